@@ -19,21 +19,41 @@ from keelson.session import shuffle_width
 MAX_SLICES = 1024
 
 
-def _with_slice(df: DataFrame, order: str, bounds: Column, slices: int) -> DataFrame:
-    """Add ``_slice``: how many bounds lie at or below the value, by binary search.
+def place_in_slices(
+    df: DataFrame, order: str, measures: Sequence[str], slices: int | None = None
+) -> DataFrame:
+    """Add ``_slice``, the slice of the value of ``order``, and ``_low``, the cut below it.
 
-    One small projection per halving step keeps the search inside generated code.
+    Slices hold about the same number of rows of ``df`` each. A NULL goes to slice 0.
     """
+    width = max(2, slices or min(MAX_SLICES, shuffle_width(df.sparkSession)))
+    fractions = [i / width for i in range(1, width)]
+    # The measures ride along so that the subquery reads the same shuffle as the rest.
+    cuts = df.agg(F.struct(
+        F.percentile_approx(F.col(order).cast("double"), F.lit(fractions), F.lit(10000)).alias("cuts"),
+        *[F.sum(c).alias(f"s{i}") for i, c in enumerate(measures)],
+    )).scalar().getField("cuts")
+
+    # Binary search; one small projection per halving step stays inside generated code.
     step = 1
-    while step * 2 < slices:
+    while step * 2 < width:
         step *= 2
     value = F.col(order).cast("double")
-    df = df.withColumns({"_bounds": bounds, "_slice": F.lit(0)})
+    df = df.withColumns({"_cuts": cuts, "_slice": F.lit(0)})
     while step:
-        reached = F.get(F.col("_bounds"), F.col("_slice") + F.lit(step - 1)) <= value
+        reached = F.get(F.col("_cuts"), F.col("_slice") + F.lit(step - 1)) <= value
         df = df.withColumn("_slice", F.col("_slice") + F.when(reached, F.lit(step)).otherwise(F.lit(0)))
         step //= 2
-    return df.drop("_bounds")
+    low = F.get(F.col("_cuts"), F.greatest(F.col("_slice") - F.lit(1), F.lit(0)))
+    return df.withColumn("_low", low).drop("_cuts")
+
+
+def same_group(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Null-safe equality of two lists of key columns."""
+    match = F.lit(True)
+    for a, b in zip(left, right):
+        match = match & F.col(a).eqNullSafe(F.col(b))
+    return match
 
 
 def running_totals(
@@ -50,16 +70,8 @@ def running_totals(
     ``cum_<stem>`` and ``total_<stem>``, plus ``next_value``, the following value of
     ``order`` inside the group.
     """
-    spark = df.sparkSession
-    width = slices or max(2, min(MAX_SLICES, shuffle_width(spark)))
-    width = max(2, width)
-    fractions = [i / width for i in range(1, width)]
-    bounds = df.agg(
-        F.percentile_approx(F.col(order).cast("double"), F.array(*[F.lit(f) for f in fractions]), F.lit(10000))
-    )
-    placed = _with_slice(df, order, bounds.scalar(), width)
-
     by = list(by)
+    placed = place_in_slices(df, order, list(measures), slices).drop("_low")
     per_slice = placed.groupBy(*by, "_slice").agg(
         *[F.sum(c).alias(f"_sum_{stem}") for c, stem in measures.items()],
         F.min(order).alias("_low"),
@@ -75,9 +87,7 @@ def running_totals(
     )
     if not by:
         offsets = F.broadcast(offsets)  # at most `slices` rows
-    match = F.col("_slice") == F.col("_offset_slice")
-    for i, c in enumerate(by):
-        match = match & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
+    match = (F.col("_slice") == F.col("_offset_slice")) & same_group(by, [f"_by_{i}" for i in range(len(by))])
 
     inner = W.partitionBy(*by, "_slice").orderBy(order)
     upto = inner.rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from keelson.functions.running import running_totals
+from keelson.functions.running import place_in_slices, same_group
 from keelson.operators.metrics import confusion_counts, curve_areas, rates, ratio
 
 ALL_ROWS = "all"
@@ -89,42 +90,78 @@ PROFILE_COLUMNS = ["n", "n_null", "min", "max", "mean", "std", *QUANTILES, "n_di
 
 
 def _exact_profile(long: DataFrame, keys: list[str]) -> DataFrame:
-    v = F.col("value")
+    """Equal values are counted first, then summed per slice of the value range. All but
+    the quantiles follow from those sums; only the few slices that hold a wanted rank are
+    sorted. Deviations are taken from the slice's lower cut, so large values cost no digits.
+    """
+    v, own = F.col("value"), F.col("held")
     counted = (
         long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
-        .withColumns({
-            "held": F.when(v.isNotNull(), F.col("rows")).otherwise(F.lit(0)),
-            "weight": F.coalesce(v * F.col("rows"), F.lit(0.0)),
-        })
+        .withColumn("held", F.when(v.isNotNull(), F.col("rows")).otherwise(F.lit(0)))
     )
-    ranked = running_totals(counted, "value", {"held": "held", "weight": "weight"}, keys)
-    n, cum, own = F.col("total_held"), F.col("cum_held"), F.col("held")
-    mean = ratio(F.col("total_weight"), n)
-
-    def at(position: Column) -> Column:
-        """The value whose rows cover a 0-based position of the sorted group."""
-        return F.max(F.when((own > 0) & (cum - own <= position) & (position < cum), v))
-
-    picks = []
-    for name, q in QUANTILES.items():
-        place = (n - F.lit(1)) * F.lit(q)
-        picks += [at(F.floor(place)).alias(f"_{name}_lo"), at(F.ceil(place)).alias(f"_{name}_hi")]
-    agg = ranked.groupBy(*keys).agg(
-        F.sum("rows").alias("n"),
-        F.sum(F.col("rows") - own).alias("n_null"),
-        F.min(v).alias("min"), F.max(v).alias("max"),
-        F.max(mean).alias("mean"),
-        F.sqrt(ratio(F.sum(own * (v - mean) * (v - mean)), F.sum(own))).alias("std"),
+    placed = place_in_slices(counted, "value", ["rows"])
+    away = v - F.col("_low")
+    per_slice = placed.groupBy(*keys, "_slice").agg(
+        F.sum("rows").alias("rows"), F.sum("held").alias("held"),
         F.count(v).alias("n_distinct"),
         F.sum(F.when(v == 0, F.col("rows")).otherwise(F.lit(0))).alias("n_zero"),
-        F.max(n).alias("_held"),
-        *picks,
+        F.min(v).alias("min"), F.max(v).alias("max"),
+        F.max("_low").alias("_low"),
+        F.sum(own * away).alias("_s1"), F.sum(own * away * away).alias("_s2"),
+    )
+    group = W.partitionBy(*keys)
+    lower = group.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    mean_here = F.col("_low") + ratio(F.col("_s1"), own)
+    summed = per_slice.withColumns({
+        "_before": F.coalesce(F.sum("held").over(lower), F.lit(0)),
+        "_held": F.sum("held").over(group),
+        "_total": F.sum(own * F.col("_low") + F.col("_s1")).over(group),
+    }).withColumns({
+        "_mean": ratio(F.col("_total"), F.col("_held")),
+        "_spread": F.greatest(F.col("_s2") - ratio(F.col("_s1") * F.col("_s1"), own), F.lit(0.0)),
+    })
+    gap = mean_here - F.col("_mean")
+    stats = summed.groupBy(*keys).agg(
+        F.sum("rows").alias("n"), F.sum(F.col("rows") - own).alias("n_null"),
+        F.min("min").alias("min"), F.max("max").alias("max"), F.max("_mean").alias("mean"),
+        F.sqrt(ratio(F.sum(F.col("_spread") + own * gap * gap), F.sum("held"))).alias("std"),
+        F.sum("n_distinct").alias("n_distinct"), F.sum("n_zero").alias("n_zero"),
+    )
+    quantiles = _exact_quantiles(placed, summed, keys)
+    joined = stats.join(quantiles, same_group(keys, [f"_q_{k}" for k in keys]), "left")
+    return joined.select(*keys, *PROFILE_COLUMNS)
+
+
+def _exact_quantiles(placed: DataFrame, summed: DataFrame, keys: list[str]) -> DataFrame:
+    """Linear interpolation between the two rows around each quantile's rank."""
+    places = {name: (F.col("_held") - F.lit(1)) * F.lit(q) for name, q in QUANTILES.items()}
+    ranks = {f"{name}_{side}": fn(place) for name, place in places.items()
+             for side, fn in (("lo", F.floor), ("hi", F.ceil))}
+
+    def covers(rank: Column, before: Column, count: Column) -> Column:
+        return (count > 0) & (before <= rank) & (rank < before + count)
+
+    wanted = F.lit(False)
+    for rank in ranks.values():
+        wanted = wanted | covers(rank, F.col("_before"), F.col("held"))
+    targets = summed.filter(wanted).select(
+        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_slice").alias("_at"), "_before", "_held"
+    )
+    here = same_group([*keys, "_slice"], [*[f"_t_{k}" for k in keys], "_at"])
+    inner = W.partitionBy(*keys, "_slice").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = placed.join(targets, here).withColumn(
+        "_first", F.col("_before") + F.sum("held").over(inner) - F.col("held")
+    )
+    picked = ranked.groupBy(*keys).agg(
+        F.max("_held").alias("_held"),
+        *[F.max(F.when(covers(rank, F.col("_first"), F.col("held")), F.col("value"))).alias(name)
+          for name, rank in ranks.items()],
+    )
+    return picked.select(
+        *[F.col(k).alias(f"_q_{k}") for k in keys],
+        *[(F.col(f"{n}_lo") + (p - F.floor(p)) * (F.col(f"{n}_hi") - F.col(f"{n}_lo"))).alias(n)
+          for n, p in places.items()],
     )
-    for name, q in QUANTILES.items():
-        place = (F.col("_held") - F.lit(1)) * F.lit(q)
-        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        agg = agg.withColumn(name, low + (place - F.floor(place)) * (high - low))
-    return agg.select(*keys, *PROFILE_COLUMNS)
 
 
 def quality(
@@ -148,11 +185,8 @@ def quality(
     out = rates(counted)
     if score:
         areas = curve_areas(df, label, score, keys).drop("n_pos", "n_neg")
-        same = F.lit(True)
-        for i, k in enumerate(keys):
-            areas = areas.withColumnRenamed(k, f"_k{i}")
-            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        out = out.join(areas, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+        areas = areas.withColumnsRenamed({k: f"_a_{k}" for k in keys})
+        out = out.join(areas, same_group(keys, [f"_a_{k}" for k in keys]), "left").drop(*[f"_a_{k}" for k in keys])
     return out
 
 

@@ -19,6 +19,7 @@ def build_session(app: str = "keelson", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
