@@ -133,15 +133,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
-def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], hint: str | None = None) -> DataFrame:
     """Rows of ``updates`` replace rows of the same key or are added.
 
-    ``updates`` must hold each key once. The anti join lets Catalyst broadcast a small
-    update or sort-merge a large one; a base bucketed on the keys is not shuffled.
+    ``updates`` must hold each key once. Without a join ``hint`` Catalyst broadcasts a
+    small update and sort-merges a large one.
     """
-    return base.join(updates.select(*keys), list(keys), "left_anti").unionByName(
-        updates.select(*base.columns)
-    )
+    replaced = updates.select(*keys)
+    if hint:
+        replaced = replaced.hint(hint)
+    return base.join(replaced, list(keys), "left_anti").unionByName(updates.select(*base.columns))
 
 
 def insert_missing(base: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -154,13 +155,14 @@ class KeyedTable:
 
     Every write builds a complete new version next to the old one and then moves the
     view, so readers never see half a write and a failed write leaves the table as it
-    was. Versions are bucketed on the key: a merge shuffles only the update.
+    was. With ``buckets`` versions are bucketed on the key, and a merge shuffles the
+    update but not the table.
     """
 
     def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
         self.spark = spark
         self.name = name
-        self.buckets = buckets
+        self._buckets = buckets
 
     # reading
 
@@ -177,6 +179,13 @@ class KeyedTable:
     def description(self) -> str | None:
         return self._properties().get("comment")
 
+    def buckets(self) -> int | None:
+        """Bucket count asked for here, or else the one the table was written with."""
+        if self._buckets or not self.exists():
+            return self._buckets
+        stored = self._properties().get("keelson.buckets")
+        return int(stored) if stored else None
+
     def current_version(self) -> str | None:
         """Name of the version table behind the view, or None for a plain table."""
         return self._properties().get("keelson.version") if self.exists() else None
@@ -218,7 +227,15 @@ class KeyedTable:
             broken = key_violations(updates, keys).take(1)
             if broken:
                 raise ValueError(f"update breaks the key {keys}: {broken[0].asDict()}")
-        self._publish(upsert(self.read(), updates, keys), keys, self.description() or "")
+        buckets = self.buckets()
+        if buckets:
+            # Update and table then share one partitioning through join and union, so
+            # the table is neither shuffled by the join nor by the write. A broadcast
+            # join would give up the bucketed read, hence the hint.
+            merged = upsert(self.read(), updates.repartition(buckets, *keys), keys, hint="merge")
+        else:
+            merged = upsert(self.read(), updates, keys)
+        self._publish(merged, keys, self.description() or "")
 
     def vacuum(self) -> list[str]:
         """Drop every version but the current one; only when no clone or reader needs them."""
@@ -236,17 +253,18 @@ class KeyedTable:
 
     def _publish(self, df: DataFrame, keys: list[str], description: str) -> None:
         version = f"{self.name}{SEPARATOR}{uuid.uuid4().hex}"
-        writer = df.write.mode("errorifexists")
-        if self.buckets:
-            # One shuffle on the key makes one file per bucket; without it each task
-            # would leave a file in every bucket.
-            writer = df.repartition(self.buckets, *keys).write.mode("errorifexists")
-            writer = writer.bucketBy(self.buckets, *keys).sortBy(*keys)
-        writer.saveAsTable(version)
+        buckets = self.buckets()
+        if buckets:
+            # One file per bucket; the exchange falls away when the rows lie right already.
+            writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+        else:
+            writer = df.write
+        writer.mode("errorifexists").saveAsTable(version)
         comment = description.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {quote_name(*self.name.split('.'))} COMMENT '{comment}' "
-            f"TBLPROPERTIES ('{KEY_PROPERTY}'='{','.join(keys)}', 'keelson.version'='{version}') "
+            f"TBLPROPERTIES ('{KEY_PROPERTY}'='{','.join(keys)}', 'keelson.version'='{version}'"
+            f"{f", 'keelson.buckets'='{buckets}'" if buckets else ''}) "
             f"AS SELECT * FROM {quote_name(*version.split('.'))}"
         )
 
