@@ -22,7 +22,7 @@ MAX_SLICES = 1024
 def place_in_slices(
     df: DataFrame, order: str, measures: Sequence[str], slices: int | None = None
 ) -> DataFrame:
-    """Add ``_slice``, the slice of the value of ``order``, and ``_low``, the cut below it.
+    """Add ``_slice``, the slice of the value range that ``order`` falls in.
 
     Slices hold about the same number of rows of ``df`` each. A NULL goes to slice 0.
     """
@@ -44,8 +44,7 @@ def place_in_slices(
         reached = F.get(F.col("_cuts"), F.col("_slice") + F.lit(step - 1)) <= value
         df = df.withColumn("_slice", F.col("_slice") + F.when(reached, F.lit(step)).otherwise(F.lit(0)))
         step //= 2
-    low = F.get(F.col("_cuts"), F.greatest(F.col("_slice") - F.lit(1), F.lit(0)))
-    return df.withColumn("_low", low).drop("_cuts")
+    return df.drop("_cuts")
 
 
 def same_group(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -71,7 +70,7 @@ def running_totals(
     ``order`` inside the group.
     """
     by = list(by)
-    placed = place_in_slices(df, order, list(measures), slices).drop("_low")
+    placed = place_in_slices(df, order, list(measures), slices)
     per_slice = placed.groupBy(*by, "_slice").agg(
         *[F.sum(c).alias(f"_sum_{stem}") for c, stem in measures.items()],
         F.min(order).alias("_low"),

@@ -51,8 +51,8 @@ def profile(
 
     The default is one aggregate with sketch quantiles and distinct counts: every group
     shrinks to a fixed-size state before the shuffle. ``exact=True`` counts equal values
-    first and ranks them with distributed running totals, so a group of any size is
-    spread over many tasks.
+    first and ranks them per slice of the value range, so a group of any size is spread
+    over many tasks.
     """
     df, keys = windowed(df, ts, window, model)
     if slices is not None:
@@ -71,94 +71,80 @@ def long_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> t
     return long, [*keys, "column"]
 
 
+PROFILE_COLUMNS = ["n", "n_null", "min", "max", "mean", "std", *QUANTILES, "n_distinct", "n_zero"]
+
+
+def _simple_stats() -> list[Column]:
+    v = F.col("value")
+    return [
+        F.count(F.lit(1)).alias("n"), F.count_if(v.isNull()).alias("n_null"),
+        F.min(v).alias("min"), F.max(v).alias("max"),
+        F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.count_if(v == 0).alias("n_zero"),
+    ]
+
+
 def sketch_profile(long: DataFrame, keys: list[str]) -> DataFrame:
     v = F.col("value")
     out = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(v.isNull()).alias("n_null"),
-        F.min(v).alias("min"), F.max(v).alias("max"),
-        F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"),
+        *_simple_stats(),
         F.percentile_approx(v, F.array(*[F.lit(q) for q in QUANTILES.values()]), F.lit(10000)).alias("_q"),
         F.approx_count_distinct(v, 0.01).alias("n_distinct"),
-        F.count_if(v == 0).alias("n_zero"),
     )
     quantiles = {name: F.get("_q", F.lit(i)) for i, name in enumerate(QUANTILES)}
     return out.withColumns(quantiles).select(*keys, *PROFILE_COLUMNS)
 
 
-PROFILE_COLUMNS = ["n", "n_null", "min", "max", "mean", "std", *QUANTILES, "n_distinct", "n_zero"]
+def _exact_profile(long: DataFrame, keys: list[str]) -> DataFrame:
+    """Two aggregates over the rows: one for the moments, which Spark merges without loss,
+    and one that counts equal values for quantiles and distinct values."""
+    ranked = _exact_ranks(long.filter(F.col("value").isNotNull()), keys)
+    joined = long.groupBy(*keys).agg(*_simple_stats()).join(
+        ranked, same_group(keys, [f"_q_{k}" for k in keys]), "left"
+    )
+    return joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0))).select(*keys, *PROFILE_COLUMNS)
 
 
-def _exact_profile(long: DataFrame, keys: list[str]) -> DataFrame:
-    """Equal values are counted first, then summed per slice of the value range. All but
-    the quantiles follow from those sums; only the few slices that hold a wanted rank are
-    sorted. Deviations are taken from the slice's lower cut, so large values cost no digits.
+def _exact_ranks(long: DataFrame, keys: list[str]) -> DataFrame:
+    """Quantiles (linear between the two rows around the rank) and distinct values.
+
+    Counts of equal values are summed per slice of the value range; only the few slices
+    that hold a wanted rank are sorted, each in a task of its own.
     """
-    v, own = F.col("value"), F.col("held")
-    counted = (
-        long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("held", F.when(v.isNotNull(), F.col("rows")).otherwise(F.lit(0)))
-    )
+    counted = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
     placed = place_in_slices(counted, "value", ["rows"])
-    away = v - F.col("_low")
-    per_slice = placed.groupBy(*keys, "_slice").agg(
-        F.sum("rows").alias("rows"), F.sum("held").alias("held"),
-        F.count(v).alias("n_distinct"),
-        F.sum(F.when(v == 0, F.col("rows")).otherwise(F.lit(0))).alias("n_zero"),
-        F.min(v).alias("min"), F.max(v).alias("max"),
-        F.max("_low").alias("_low"),
-        F.sum(own * away).alias("_s1"), F.sum(own * away * away).alias("_s2"),
-    )
     group = W.partitionBy(*keys)
     lower = group.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    mean_here = F.col("_low") + ratio(F.col("_s1"), own)
-    summed = per_slice.withColumns({
-        "_before": F.coalesce(F.sum("held").over(lower), F.lit(0)),
-        "_held": F.sum("held").over(group),
-        "_total": F.sum(own * F.col("_low") + F.col("_s1")).over(group),
-    }).withColumns({
-        "_mean": ratio(F.col("_total"), F.col("_held")),
-        "_spread": F.greatest(F.col("_s2") - ratio(F.col("_s1") * F.col("_s1"), own), F.lit(0.0)),
+    summed = placed.groupBy(*keys, "_slice").agg(
+        F.sum("rows").alias("_here"), F.count(F.lit(1)).alias("_values")
+    ).withColumns({
+        "_before": F.coalesce(F.sum("_here").over(lower), F.lit(0)),
+        "_rows": F.sum("_here").over(group),
+        "n_distinct": F.sum("_values").over(group),
     })
-    gap = mean_here - F.col("_mean")
-    stats = summed.groupBy(*keys).agg(
-        F.sum("rows").alias("n"), F.sum(F.col("rows") - own).alias("n_null"),
-        F.min("min").alias("min"), F.max("max").alias("max"), F.max("_mean").alias("mean"),
-        F.sqrt(ratio(F.sum(F.col("_spread") + own * gap * gap), F.sum("held"))).alias("std"),
-        F.sum("n_distinct").alias("n_distinct"), F.sum("n_zero").alias("n_zero"),
-    )
-    quantiles = _exact_quantiles(placed, summed, keys)
-    joined = stats.join(quantiles, same_group(keys, [f"_q_{k}" for k in keys]), "left")
-    return joined.select(*keys, *PROFILE_COLUMNS)
 
-
-def _exact_quantiles(placed: DataFrame, summed: DataFrame, keys: list[str]) -> DataFrame:
-    """Linear interpolation between the two rows around each quantile's rank."""
-    places = {name: (F.col("_held") - F.lit(1)) * F.lit(q) for name, q in QUANTILES.items()}
+    places = {name: (F.col("_rows") - F.lit(1)) * F.lit(q) for name, q in QUANTILES.items()}
     ranks = {f"{name}_{side}": fn(place) for name, place in places.items()
              for side, fn in (("lo", F.floor), ("hi", F.ceil))}
 
     def covers(rank: Column, before: Column, count: Column) -> Column:
-        return (count > 0) & (before <= rank) & (rank < before + count)
+        return (before <= rank) & (rank < before + count)
 
     wanted = F.lit(False)
     for rank in ranks.values():
-        wanted = wanted | covers(rank, F.col("_before"), F.col("held"))
+        wanted = wanted | covers(rank, F.col("_before"), F.col("_here"))
     targets = summed.filter(wanted).select(
-        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_slice").alias("_at"), "_before", "_held"
+        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_slice").alias("_at"), "_before", "_rows", "n_distinct"
     )
     here = same_group([*keys, "_slice"], [*[f"_t_{k}" for k in keys], "_at"])
     inner = W.partitionBy(*keys, "_slice").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = placed.join(targets, here).withColumn(
-        "_first", F.col("_before") + F.sum("held").over(inner) - F.col("held")
-    )
-    picked = ranked.groupBy(*keys).agg(
-        F.max("_held").alias("_held"),
-        *[F.max(F.when(covers(rank, F.col("_first"), F.col("held")), F.col("value"))).alias(name)
+    first = F.col("_before") + F.sum("rows").over(inner) - F.col("rows")
+    picked = placed.join(targets, here).withColumn("_first", first).groupBy(*keys).agg(
+        F.max("_rows").alias("_rows"), F.max("n_distinct").alias("n_distinct"),
+        *[F.max(F.when(covers(rank, F.col("_first"), F.col("rows")), F.col("value"))).alias(name)
           for name, rank in ranks.items()],
     )
     return picked.select(
-        *[F.col(k).alias(f"_q_{k}") for k in keys],
+        *[F.col(k).alias(f"_q_{k}") for k in keys], "n_distinct",
         *[(F.col(f"{n}_lo") + (p - F.floor(p)) * (F.col(f"{n}_hi") - F.col(f"{n}_lo"))).alias(n)
           for n, p in places.items()],
     )
