@@ -12,6 +12,7 @@ from keelson.functions.running import place_in_slices, same_group
 from keelson.operators.metrics import confusion_counts, curve_areas, rates, ratio
 
 ALL_ROWS = "all"
+DISTINCT_ERROR = 0.05  # keeps the state of a group below 1 KB; many groups are the rule here
 QUANTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
@@ -29,20 +30,27 @@ def sliced(df: DataFrame, slices: Mapping[str, str | Column]) -> DataFrame:
 
 
 def windowed(df: DataFrame, ts: str | None, window: str | None, model: str | None) -> tuple[DataFrame, list[str]]:
-    """Add the window bounds and the model column; returns the frame and its group keys."""
+    """Add the window start and the model column; returns the frame and its group keys."""
     keys = []
     if ts and window:
-        span = F.window(ts, window)
-        df = df.withColumn("_span", span).withColumns({
-            "window_start": F.col("_span.start"), "window_end": F.col("_span.end"),
-        }).drop("_span")
-        keys += ["window_start", "window_end"]
+        df = df.withColumn("window_start", F.window(ts, window)["start"])
+        keys.append("window_start")
     if model:
         df = df.withColumn("model_version", F.col(model).cast("string"))
         keys.append("model_version")
     return df, keys
 
 
+def with_window_end(df: DataFrame, window: str | None) -> DataFrame:
+    """The end follows from the start, so it is no group key."""
+    if "window_start" not in df.columns:
+        return df
+    end = F.col("window_start") + F.expr(f"INTERVAL {window}")
+    columns = [F.col(c) for c in df.columns]
+    columns.insert(df.columns.index("window_start") + 1, end.alias("window_end"))
+    return df.select(*columns)
+
+
 def profile(
     df: DataFrame, columns: Sequence[str], ts: str | None = None, window: str | None = None,
     model: str | None = None, slices: Mapping[str, str | Column] | None = None, exact: bool = False,
@@ -59,7 +67,8 @@ def profile(
         df = sliced(df, slices)
         keys.append("slice")
     long, keys = long_values(df, columns, keys)
-    return _exact_profile(long, keys) if exact else sketch_profile(long, keys)
+    out = _exact_profile(long, keys) if exact else sketch_profile(long, keys)
+    return with_window_end(out, window)
 
 
 def long_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -88,7 +97,7 @@ def sketch_profile(long: DataFrame, keys: list[str]) -> DataFrame:
     out = long.groupBy(*keys).agg(
         *_simple_stats(),
         F.percentile_approx(v, F.array(*[F.lit(q) for q in QUANTILES.values()]), F.lit(10000)).alias("_q"),
-        F.approx_count_distinct(v, 0.01).alias("n_distinct"),
+        F.approx_count_distinct(v, DISTINCT_ERROR).alias("n_distinct"),
     )
     quantiles = {name: F.get("_q", F.lit(i)) for i, name in enumerate(QUANTILES)}
     return out.withColumns(quantiles).select(*keys, *PROFILE_COLUMNS)
@@ -173,7 +182,7 @@ def quality(
         areas = curve_areas(df, label, score, keys).drop("n_pos", "n_neg")
         areas = areas.withColumnsRenamed({k: f"_a_{k}" for k in keys})
         out = out.join(areas, same_group(keys, [f"_a_{k}" for k in keys]), "left").drop(*[f"_a_{k}" for k in keys])
-    return out
+    return with_window_end(out, window)
 
 
 def fairness(

@@ -131,7 +131,7 @@ def test_sketch_profile_agrees_with_the_exact_one(spark, small):
     for c in ("mean", "std"):
         assert exact[c] == pytest.approx(sketch[c], rel=1e-9)
     for c in ("p25", "p50", "p75", "n_distinct"):
-        assert exact[c] == pytest.approx(sketch[c], rel=0.03)
+        assert exact[c] == pytest.approx(sketch[c], rel=0.1 if c == "n_distinct" else 0.03)
 
 
 def test_quality_areas_per_slice(spark):
