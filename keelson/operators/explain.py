@@ -13,6 +13,8 @@ from keelson.functions.text import agrees
 from keelson.operators.metrics import ratio
 from keelson.operators.splits import sample_n
 
+MIN_BLOCKS, BLOCK_ROWS = 200, 100_000
+
 Scorer = Column | Callable[[DataFrame], DataFrame]
 
 
@@ -78,15 +80,16 @@ def shapley_importance(
 
 def permutation_importance(
     df: DataFrame, features: Sequence[str], keys: Sequence[str], label: str, scorer: Scorer,
-    cut: float = 0.5, blocks: int = 200, seed: int = 7,
+    cut: float = 0.5, seed: int = 7,
 ) -> DataFrame:
     """Drop in accuracy when one feature is shuffled (Breiman 2001), over all rows.
 
-    Rows are spread over hashed blocks; inside a block a feature's values move on by one
-    place in a seeded order, so no task sees more than its blocks. Raise ``blocks`` with
-    the data.
+    Rows are spread over hashed blocks of about ``BLOCK_ROWS`` rows; inside a block a
+    feature's values move on by one place in a seeded order, so a task sorts one block
+    at a time however large the table is.
     """
     features = list(features)
+    blocks = max(MIN_BLOCKS, df.count() // BLOCK_ROWS)
     placed = df.withColumn("_block", bucket(*keys, buckets=blocks, salt=f"{seed}-block"))
     moved = placed
     for f in features:

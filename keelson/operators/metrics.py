@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.running import running_totals
+from keelson.functions.running import running_totals, same_group
 from keelson.functions.text import agrees
 
 EPSILON = 1e-15  # probability clipping of the log loss
@@ -152,10 +152,20 @@ def classifier_metrics(
     )
     out = rates(counted)
     if areas:
-        out = out.join(curve_areas(labelled, label, score, by).drop("n_pos", "n_neg"), list(by), "left")
+        out = with_areas(out, labelled, label, score, by)
     return out
 
 
+def with_areas(
+    metrics: DataFrame, labelled: DataFrame, label: str, score: str, by: Sequence[str]
+) -> DataFrame:
+    """Add the curve areas to one row per group."""
+    areas = curve_areas(labelled, label, score, by).drop("n_pos", "n_neg")
+    theirs = [f"_a_{k}" for k in by]
+    areas = areas.withColumnsRenamed(dict(zip(by, theirs)))
+    return metrics.join(areas, same_group(by, theirs), "left").drop(*theirs)
+
+
 def metric_compare(metrics: DataFrame, first: str, second: str, names: Sequence[str], by: str = "split") -> DataFrame:
     """The metrics of two parts side by side, one row per metric."""
     wide = metrics.agg(*[

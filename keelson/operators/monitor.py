@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from keelson.functions.running import place_in_slices, same_group
-from keelson.operators.metrics import confusion_counts, curve_areas, rates, ratio
+from keelson.operators.metrics import confusion_counts, rates, ratio, with_areas
 
 ALL_ROWS = "all"
 DISTINCT_ERROR = 0.05  # keeps the state of a group below 1 KB; many groups are the rule here
@@ -179,9 +179,7 @@ def quality(
     )
     out = rates(counted)
     if score:
-        areas = curve_areas(df, label, score, keys).drop("n_pos", "n_neg")
-        areas = areas.withColumnsRenamed({k: f"_a_{k}" for k in keys})
-        out = out.join(areas, same_group(keys, [f"_a_{k}" for k in keys]), "left").drop(*[f"_a_{k}" for k in keys])
+        out = with_areas(out, df, label, score, keys)
     return with_window_end(out, window)
 
 

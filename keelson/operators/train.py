@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.operators.metrics import classifier_metrics
-from keelson.session import shared_dir
+from keelson.session import shared_dir, staged
 
 METRICS = ("accuracy", "precision", "recall", "f1", "log_loss", "roc_auc", "average_precision")
 TRIAL_SCHEMA = (
@@ -125,6 +125,7 @@ def hyper_search(
     n: int, seed: int = 7, family: str = "gbt", parallelism: int = 2, split: str = "split",
 ) -> DataFrame:
     """Random search; several fits share the cluster, each one a distributed job."""
+    df = staged(df.select(*features, label, split), "trials")
     tries = list(enumerate(candidates(space, n, seed)))
     with ThreadPool(min(parallelism, max(1, len(tries)))) as pool:
         rows = pool.map(
@@ -139,6 +140,7 @@ def auto_classify(
 ) -> DataFrame:
     """One model per family until the time budget is used up; best validation F1 first."""
     deadline = time.monotonic() + 60.0 * timeout_minutes
+    df = staged(df.select(*features, label, split), "trials")
     rows = []
     for family in FAMILIES:
         if family in exclude:

@@ -252,7 +252,7 @@ case when row_number() over (partition by blk {order}) = count(*) over (partitio
 @query("permutation_importance", f"""
 with o as (select o_orderkey, o_totalprice / 100000.0 as price, substr(o_orderpriority, 1, 1)::double urgency,
                   case when o_orderstatus = 'F' then 1 else 0 end as label,
-                  {sql_bucket('o_orderkey', salt='7-block', buckets=200)} blk from orders),
+                  {sql_bucket('o_orderkey', salt='7-block', buckets='greatest(200, (select count(*) from orders) // 100000)')} blk from orders),
 mv as (select *, {_moved('price')}, {_moved('urgency')} from o),
 acc as (select avg(case when (1.0 / (1.0 + exp(-((-2.0 + 0.9 * price) + 0.2 * urgency))) > 0.5)::int = label
                         then 1.0 else 0.0 end) a0,

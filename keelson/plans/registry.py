@@ -35,7 +35,7 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def sql_bucket(key: str, salt: str = "", buckets: int = 100) -> str:
+def sql_bucket(key: str, salt: str = "", buckets: int | str = 100) -> str:
     """The SQL twin of :func:`keelson.functions.hashing.bucket`."""
     text = f"({key})::varchar"
     if salt:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "keelson", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,9 +59,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def _delete_on_exit(spark: SparkSession, path: str) -> None:
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For frames that several jobs read: they then see the same rows without computing
+    them again, and a lost executor loses nothing.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _filesystem(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    filesystem, jvm_path = _filesystem(spark, path)
     filesystem.deleteOnExit(jvm_path)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions.text import quote_name
+from keelson.session import staged
 
 KEY_PROPERTY = "primary_key"
 SEPARATOR = "__v"
@@ -217,24 +218,31 @@ class KeyedTable:
         """Upsert ``updates``.
 
         A key that is NULL or repeated in the update fails the merge; with
-        ``on_duplicate="latest"`` the greatest row under ``order`` wins instead.
+        ``on_duplicate="latest"`` the greatest row under ``order`` wins instead. An
+        update that is itself read from this table is safe: versions never change.
         """
         keys = self.keys()
-        updates = align(updates, self.read().schema)
+        current = self.read()
+        updates = align(updates, current.schema)
         if on_duplicate == "latest":
             updates = latest_per_key(updates, keys, order)
-        else:
+        first_load = current.isEmpty()
+        if not first_load:
+            updates = staged(updates, "merge")  # read by the check and twice by the upsert
+        if on_duplicate != "latest":
             broken = key_violations(updates, keys).take(1)
             if broken:
                 raise ValueError(f"update breaks the key {keys}: {broken[0].asDict()}")
         buckets = self.buckets()
-        if buckets:
+        if first_load:
+            merged = updates
+        elif buckets:
             # Update and table then share one partitioning through join and union, so
             # the table is neither shuffled by the join nor by the write. A broadcast
             # join would give up the bucketed read, hence the hint.
-            merged = upsert(self.read(), updates.repartition(buckets, *keys), keys, hint="merge")
+            merged = upsert(current, updates.repartition(buckets, *keys), keys, hint="merge")
         else:
-            merged = upsert(self.read(), updates, keys)
+            merged = upsert(current, updates, keys)
         self._publish(merged, keys, self.description() or "")
 
     def vacuum(self) -> list[str]:
