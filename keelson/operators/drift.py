@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from keelson.functions.running import running_totals
+from keelson.functions.running import running_totals, same_group
 from keelson.operators.metrics import ratio
 
 SIDE = "is_baseline"
@@ -227,22 +227,17 @@ def drift_deltas(
 
 
 def window_psi(
-    log: DataFrame, baseline: DataFrame, column: str, keys: Sequence[str], bins: int = 10
+    log: DataFrame, baseline: DataFrame, column: str, keys: Sequence[str], bins: int = 10,
+    match: Sequence[str] = (),
 ) -> DataFrame:
-    """D2 and D3 per group of the log against one baseline histogram.
+    """D2 and D3 per group of the log against the baseline's histogram.
 
-    Each side shrinks to one row of ``bins`` counts per group before any comparison; the
-    baseline row reaches the log as a scalar subquery, so nothing is paired or shuffled
-    beyond the group counts.
+    Each side shrinks to one row of ``bins`` counts per group before any comparison. The
+    baseline has one row, which reaches the log as a scalar subquery, or one row per
+    ``match`` value (a slice), which is joined.
     """
     edges = _edges(baseline, column)
-
-    def placed(df: DataFrame) -> DataFrame:
-        return _binned(df, column, edges, bins)
-
     counts = F.array(*[F.count_if(F.col("bin") == i) for i in range(bins)])
-    q_counts = placed(baseline).agg(counts.alias("q"))
-    groups = placed(log).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), counts.alias("_p"))
 
     def shares(counted: Column) -> Column:
         total = F.aggregate(counted, F.lit(0).cast("bigint"), lambda a, x: a + x)
@@ -251,9 +246,13 @@ def window_psi(
     def total(values: Column) -> Column:
         return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
-    shared = groups.withColumn("_q", q_counts.scalar()).withColumns({
-        "_p": shares(F.col("_p")), "_q": shares(F.col("_q")),
-    })
+    groups = _binned(log, column, edges, bins).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), counts.alias("_p"))
+    reference = _binned(baseline, column, edges, bins)
+    if match:
+        groups = groups.join(reference.groupBy(*match).agg(counts.alias("_q")), list(match))
+    else:
+        groups = groups.withColumn("_q", reference.agg(counts.alias("q")).scalar())
+    shared = groups.withColumns({"_p": shares(F.col("_p")), "_q": shares(F.col("_q"))})
     p, q = F.col("_p"), F.col("_q")
     terms = F.zip_with(p, q, lambda a, b: (a - b) * F.ln(a / b))
     normal = shared.withColumns({"_psi": terms, "_sp": total(p), "_sq": total(q)}).withColumns({
@@ -270,6 +269,58 @@ def window_psi(
     )
 
 
+def window_tv(
+    log: DataFrame, baseline: DataFrame, column: str, keys: Sequence[str], match: Sequence[str] = ()
+) -> DataFrame:
+    """D7 per group of the log against the baseline's shares.
+
+    A category the group lacks adds its whole baseline share. Those need no rows: the
+    shares of the lacking ones are 1 minus the shares of the ones present.
+    """
+    category = F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
+
+    def shares(df: DataFrame, by: Sequence[str], count: str, share: str) -> DataFrame:
+        counts = df.groupBy(*by, category.alias("_category")).agg(F.count(F.lit(1)).alias(count))
+        if by:
+            theirs = [f"_t_{k}" for k in by]
+            totals = counts.groupBy(*[F.col(k).alias(t) for k, t in zip(by, theirs)]).agg(F.sum(count).alias("_total"))
+            counts = counts.join(totals, same_group(by, theirs)).drop(*theirs)
+        else:
+            counts = counts.withColumn("_total", counts.agg(F.sum(count)).scalar())
+        return counts.withColumn(share, ratio(F.col(count), F.col("_total"))).drop("_total")
+
+    reference = shares(baseline, list(match), "q", "_q").drop("q")
+    present = shares(log, list(keys), "p", "_p").join(reference, [*match, "_category"], "left").withColumn(
+        "_q", F.coalesce("_q", F.lit(0.0))
+    )
+    lacking = F.greatest(F.lit(1.0) - F.sum("_q"), F.lit(0.0))
+    return present.groupBy(*keys).agg(
+        F.sum("p").alias("n"), ((F.sum(F.abs(F.col("_p") - F.col("_q"))) + lacking) / F.lit(2.0)).alias("tv_distance")
+    )
+
+
+def baseline_drift(
+    log: DataFrame, baseline: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keys: Sequence[str],
+    match: Sequence[str] = (), bins: int = 10,
+) -> DataFrame:
+    """PSI, JS and total variation per group and column as (column, kind, metric, value) rows."""
+    found = [
+        (c, window_psi(log, baseline, c, keys, bins, match), ("psi", "js_distance")) for c in numeric
+    ] + [(c, window_tv(log, baseline, c, keys, match), ("tv_distance",)) for c in categorical]
+    out = None
+    for column, frame, names in found:
+        rows = F.array(*[
+            F.struct(
+                F.lit(column).alias("column"), F.lit("baseline").alias("kind"), F.lit(n).alias("metric"),
+                F.col(n).alias("value"),
+            )
+            for n in names
+        ])
+        part = frame.select(*keys, F.inline(rows))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def retrain_signal(values: DataFrame, limits: dict[str, tuple[str, float]]) -> DataFrame:
     """O3: compare (metric, value) rows with limits.
 

@@ -71,10 +71,38 @@ def profile(
     return with_window_end(out, window)
 
 
-def long_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def category_profile(
+    df: DataFrame, columns: Sequence[str], ts: str | None = None, window: str | None = None,
+    model: str | None = None, slices: Mapping[str, str | Column] | None = None,
+) -> DataFrame:
+    """A9, L7 for text columns: rows, NULLs, distinct values and the most frequent one.
+
+    Values are counted first, so the second aggregate sees a value once per task and a
+    hot value costs no more than a rare one. Equal counts go to the greater value.
+    """
+    df, keys = windowed(df, ts, window, model)
+    if slices is not None:
+        df = sliced(df, slices)
+        keys.append("slice")
+    long, keys = long_values(df, columns, keys, "string")
+    counted = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("rows"))
+    seen = F.col("value").isNotNull()
+    out = counted.groupBy(*keys).agg(
+        F.sum("rows").alias("n"),
+        F.coalesce(F.sum(F.when(~seen, F.col("rows"))), F.lit(0)).alias("n_null"),
+        F.count("value").alias("n_distinct"),
+        F.max(F.when(seen, F.struct("rows", "value"))).alias("_top"),
+    )
+    top = {"top_value": F.col("_top.value"), "top_rows": F.col("_top.rows")}
+    return with_window_end(out.withColumns(top).drop("_top"), window)
+
+
+def long_values(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str], dtype: str = "double"
+) -> tuple[DataFrame, list[str]]:
     """One (column, value) row per profiled column, next to the group keys."""
     pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
+        F.struct(F.lit(c).alias("column"), F.col(c).cast(dtype).alias("value")) for c in columns
     ])
     long = df.select(*keys, F.explode(pairs).alias("pair")).select(*keys, "pair.column", "pair.value")
     return long, [*keys, "column"]

@@ -21,7 +21,7 @@ from keelson.operators.score import ml_score, predicts
 from keelson.operators.splits import TRAIN_VAL_TEST, split, with_split
 from keelson.session import shared_dir
 from keelson.sources.model_tables import open_table
-from keelson.sources.tables import KeyedTable, append, clone, create_database, overwrite, read_csv
+from keelson.sources.tables import KeyedTable, VersionedTable, append, clone, create_database, overwrite, read_csv
 
 # --- fixed values: the raw customer file ---
 CUSTOMER_SCHEMA = """
@@ -71,8 +71,8 @@ def ingest(spark: SparkSession, ws: Workspace, csv_path: str) -> None:
     for database in (ws.dev, ws.prod):
         create_database(spark, database)
     bronze, updates = split(read_csv(spark, csv_path, CUSTOMER_SCHEMA), [KEY], 90)
-    overwrite(bronze, ws.table("dev", BRONZE))
-    overwrite(updates, ws.table("dev", UPDATES))
+    VersionedTable(spark, ws.table("dev", BRONZE)).overwrite(bronze)
+    VersionedTable(spark, ws.table("dev", UPDATES)).overwrite(updates)
     for name in (BRONZE, UPDATES):
         clone(spark, ws.table("dev", name), ws.table("prod", name))
 
@@ -276,7 +276,13 @@ def monitor_predictions(
         names["quality"],
     )
     reference = monitor.profile(baseline, columns, slices=slices, exact=exact)
-    overwrite(drift.drift_deltas(spark.table(names["profile"]), reference), names["drift"])
+    deltas = drift.drift_deltas(spark.table(names["profile"]), reference)
+    timed, keys = monitor.windowed(log, "prediction_time", window, "model_version")
+    shifts = drift.baseline_drift(
+        monitor.sliced(timed, slices), monitor.sliced(baseline, slices), columns, ["prediction", LABEL],
+        [*keys, "slice"], ["slice"],
+    )
+    overwrite(deltas.unionByName(shifts), names["drift"])
     return names
 
 

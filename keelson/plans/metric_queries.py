@@ -30,6 +30,7 @@ from keelson.plans.derived import (
     split_sql,
 )
 from keelson.plans.registry import flag, query, rounded, sql_bucket, table
+from keelson.session import staged
 
 SCORED_AT = datetime(2024, 2, 1)
 
@@ -279,7 +280,7 @@ def permutation_importance(spark, sf_dir) -> DataFrame:
 @query("train_gbt")
 def train_gbt(spark, sf_dir) -> DataFrame:
     """Boosted trees with early stopping on labelled documents; rows correct per part."""
-    rows = labelled_documents(spark, sf_dir)
+    rows = staged(labelled_documents(spark, sf_dir), "documents")
     model = L.fit(rows, DOCUMENT_FEATURES, "label", "gbt", {"rounds": 10})
     scored = L.score(model, rows)
     return scored.groupBy("split").agg(
@@ -289,7 +290,7 @@ def train_gbt(spark, sf_dir) -> DataFrame:
 
 @query("trial_metrics")
 def trial_metrics(spark, sf_dir) -> DataFrame:
-    rows = labelled_documents(spark, sf_dir)
+    rows = staged(labelled_documents(spark, sf_dir), "documents")
     return L.trial_metrics(L.fit(rows, DOCUMENT_FEATURES, "label", "logistic"), rows, "label")
 
 

@@ -84,6 +84,17 @@ def data_profile(spark, sf_dir) -> DataFrame:
     return _rounded_profile(A.profile(table(spark, sf_dir, "customer"), ["c_acctbal", "c_nationkey"], exact=True))
 
 
+@query("category_profile", f"""
+with {_windows('1 day')},
+c as (select window_start, window_end, model_version, slice, event_type as value, count(*) n from w group by all),
+t as (select *, row_number() over (partition by window_start, model_version, slice order by n desc, value desc) rn from c)
+select window_start, window_end, model_version, slice, 'event_type' "column", sum(n)::bigint n, 0::bigint n_null,
+       count(*) n_distinct, max(case when rn = 1 then value end) top_value, max(case when rn = 1 then n end) top_rows
+from t group by all""")
+def category_profile(spark, sf_dir) -> DataFrame:
+    return A.category_profile(inference_log(spark, sf_dir), ["event_type"], "ts", "1 day", "version", _slices())
+
+
 RATES_SQL = """
 round((tp + tn)::double / n, 6) accuracy, round(coalesce(tp::double / nullif(tp + fp, 0), 0), 6) "precision",
 round(coalesce(tp::double / nullif(tp + fn, 0), 0), 6) recall,
@@ -293,6 +304,22 @@ def drift_windows(spark, sf_dir) -> DataFrame:
     return rounded(out, "psi", "js_distance")
 
 
+@query("drift_windows_tv", f"""
+with {DRIFTED},
+base as (select event_type, count(*)::double / sum(count(*)) over () q from tagged where is_baseline group by 1),
+grp as (select date_trunc('day', ts) as day, version, count(*) n from tagged where not is_baseline group by 1, 2),
+cnt as (select date_trunc('day', ts) as day, version, event_type, count(*) c from tagged where not is_baseline group by 1, 2, 3)
+select grp.day::timestamp as day, grp.version, max(n) n, round(sum(abs(coalesce(c, 0)::double / n - q)) / 2, 6) tv_distance
+from grp cross join base left join cnt
+  on cnt.day = grp.day and cnt.version = grp.version and cnt.event_type = base.event_type
+group by 1, 2""")
+def drift_windows_tv(spark, sf_dir) -> DataFrame:
+    """Total variation of the event types per day and model against the first half."""
+    tagged = drifted(spark, sf_dir).withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    out = D.window_tv(tagged.filter(~F.col(D.SIDE)), tagged.filter(D.SIDE), "event_type", ["day", "version"])
+    return rounded(out, "tv_distance")
+
+
 # --- business outputs ---------------------------------------------------------
 
 @query("at_risk_daily", f"""

@@ -107,11 +107,12 @@ def clone(spark: SparkSession, source: str, target: str) -> None:
     """Zero-copy clone: a view over the version of the source that is current now.
 
     A versioned table keeps its old versions, so the clone stays on the version it was
-    taken from while the source moves on. Does nothing when the target exists.
+    taken from while the source moves on; over a plain table it follows the source.
+    Does nothing when the target exists.
     """
     if spark.catalog.tableExists(target):
         return
-    version = KeyedTable(spark, source).current_version()
+    version = VersionedTable(spark, source).current_version()
     pinned = version if version else source
     spark.sql(f"CREATE VIEW {quote_name(*target.split('.'))} AS SELECT * FROM {quote_name(*pinned.split('.'))}")
 
@@ -151,21 +152,16 @@ def insert_missing(base: DataFrame, candidates: DataFrame, keys: Sequence[str])
     return candidates.join(base.select(*keys).distinct(), list(keys), "left_anti")
 
 
-class KeyedTable:
-    """A one-row-per-key table: immutable versions plus a view that names the current one.
+class VersionedTable:
+    """Immutable versions plus a view that names the current one.
 
     Every write builds a complete new version next to the old one and then moves the
-    view, so readers never see half a write and a failed write leaves the table as it
-    was. With ``buckets`` versions are bucketed on the key, and a merge shuffles the
-    update but not the table.
+    view, so readers never see half a write and a failed write leaves the table as it was.
     """
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.name = name
-        self._buckets = buckets
-
-    # reading
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
@@ -174,19 +170,9 @@ class KeyedTable:
         """Read by name."""
         return self.spark.table(self.name)
 
-    def keys(self) -> list[str]:
-        return self._properties()[KEY_PROPERTY].split(",")
-
     def description(self) -> str | None:
         return self._properties().get("comment")
 
-    def buckets(self) -> int | None:
-        """Bucket count asked for here, or else the one the table was written with."""
-        if self._buckets or not self.exists():
-            return self._buckets
-        stored = self._properties().get("keelson.buckets")
-        return int(stored) if stored else None
-
     def current_version(self) -> str | None:
         """Name of the version table behind the view, or None for a plain table."""
         return self._properties().get("keelson.version") if self.exists() else None
@@ -198,7 +184,67 @@ class KeyedTable:
         names = [t.name for t in self.spark.catalog.listTables(where) if t.name.lower().startswith(prefix)]
         return [".".join([*database, n]) for n in names]
 
-    # writing
+    def overwrite(self, df: DataFrame, description: str = "") -> None:
+        """A new version with the frame's rows and schema."""
+        self._publish(df, {}, description)
+
+    def vacuum(self) -> list[str]:
+        """Drop every version but the current one; only when no clone or reader needs them."""
+        keep = (self.current_version() or "").lower()
+        dropped = [v for v in self.versions() if v.lower() != keep]
+        for version in dropped:
+            drop_table(self.spark, version)
+        return dropped
+
+    def drop(self) -> None:
+        versions = self.versions()
+        drop_table(self.spark, self.name)
+        for version in versions:
+            drop_table(self.spark, version)
+
+    def _publish(self, df: DataFrame, properties: dict[str, str], description: str) -> None:
+        version = f"{self.name}{SEPARATOR}{uuid.uuid4().hex}"
+        self._write(df, version)
+        properties = {**properties, "keelson.version": version}
+        listed = ", ".join(f"'{k}'='{v}'" for k, v in properties.items())
+        comment = description.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {quote_name(*self.name.split('.'))} COMMENT '{comment}' "
+            f"TBLPROPERTIES ({listed}) AS SELECT * FROM {quote_name(*version.split('.'))}"
+        )
+
+    def _write(self, df: DataFrame, version: str) -> None:
+        df.write.mode("errorifexists").saveAsTable(version)
+
+    def _properties(self) -> dict[str, str]:
+        quoted = quote_name(*self.name.split("."))
+        found = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {quoted}").collect()}
+        for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect():
+            if row["col_name"] == "Comment" and row["data_type"]:
+                found["comment"] = row["data_type"]
+        return found
+
+
+class KeyedTable(VersionedTable):
+    """A versioned table with one row per key.
+
+    With ``buckets`` versions are bucketed on the key, and a merge shuffles the update
+    but not the table.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
+        super().__init__(spark, name)
+        self._buckets = buckets
+
+    def keys(self) -> list[str]:
+        return self._properties()[KEY_PROPERTY].split(",")
+
+    def buckets(self) -> int | None:
+        """Bucket count asked for here, or else the one the table was written with."""
+        if self._buckets or not self.exists():
+            return self._buckets
+        stored = self._properties().get("keelson.buckets")
+        return int(stored) if stored else None
 
     def create(
         self, schema: T.StructType, keys: Sequence[str], description: str = "", replace: bool = False
@@ -211,7 +257,7 @@ class KeyedTable:
         unknown = [k for k in keys if k not in schema.names]
         if unknown:
             raise ValueError(f"key columns {unknown} are not in the schema")
-        self._publish(self.spark.createDataFrame([], schema), list(keys), description)
+        self._store(self.spark.createDataFrame([], schema), list(keys), description)
         return self
 
     def merge(self, updates: DataFrame, on_duplicate: str = "fail", order: Sequence[str] = ()) -> None:
@@ -243,44 +289,21 @@ class KeyedTable:
             merged = upsert(current, updates.repartition(buckets, *keys), keys, hint="merge")
         else:
             merged = upsert(current, updates, keys)
-        self._publish(merged, keys, self.description() or "")
-
-    def vacuum(self) -> list[str]:
-        """Drop every version but the current one; only when no clone or reader needs them."""
-        keep = (self.current_version() or "").lower()
-        dropped = [v for v in self.versions() if v.lower() != keep]
-        for version in dropped:
-            drop_table(self.spark, version)
-        return dropped
-
-    def drop(self) -> None:
-        versions = self.versions()
-        drop_table(self.spark, self.name)
-        for version in versions:
-            drop_table(self.spark, version)
+        self._store(merged, keys, self.description() or "")
 
-    def _publish(self, df: DataFrame, keys: list[str], description: str) -> None:
-        version = f"{self.name}{SEPARATOR}{uuid.uuid4().hex}"
+    def _store(self, df: DataFrame, keys: list[str], description: str) -> None:
         buckets = self.buckets()
+        properties = {KEY_PROPERTY: ",".join(keys)}
         if buckets:
+            properties["keelson.buckets"] = str(buckets)
             # One file per bucket; the exchange falls away when the rows lie right already.
-            writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
-        else:
-            writer = df.write
-        writer.mode("errorifexists").saveAsTable(version)
-        comment = description.replace("\\", "\\\\").replace("'", "\\'")
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {quote_name(*self.name.split('.'))} COMMENT '{comment}' "
-            f"TBLPROPERTIES ('{KEY_PROPERTY}'='{','.join(keys)}', 'keelson.version'='{version}'"
-            f"{f", 'keelson.buckets'='{buckets}'" if buckets else ''}) "
-            f"AS SELECT * FROM {quote_name(*version.split('.'))}"
-        )
+            df = df.repartition(buckets, *keys)
+        self._layout = (buckets, keys)
+        self._publish(df, properties, description)
 
-    def _properties(self) -> dict[str, str]:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {quote_name(*self.name.split('.'))}").collect()
-        found = {r["key"]: r["value"] for r in rows}
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(*self.name.split('.'))}").collect()
-        for row in described:
-            if row["col_name"] == "Comment" and row["data_type"]:
-                found["comment"] = row["data_type"]
-        return found
+    def _write(self, df: DataFrame, version: str) -> None:
+        buckets, keys = self._layout
+        writer = df.write.mode("errorifexists")
+        if buckets:
+            writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
+        writer.saveAsTable(version)

@@ -236,3 +236,26 @@ def test_at_risk_takes_the_latest_score_of_the_day(spark):
         (2, timestamp '2024-01-01 07:00', 1, 0.6D), (1, timestamp '2024-01-02 01:00', 1, 0.7D) t(k, ts, p, s)""")
     assert [(str(r["day"]), r["k"]) for r in O.at_risk_daily(df, "k", "ts", "p", "s").collect()] == [
         ("2024-01-01", 2), ("2024-01-02", 1)]
+
+
+def test_category_profile_counts_nulls_and_breaks_ties(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",), ("b",), (None,)], "c string")
+    row = A.category_profile(df, ["c"]).first()
+    assert (row["n"], row["n_null"], row["n_distinct"], row["top_value"], row["top_rows"]) == (5, 1, 2, "b", 2)
+    nothing = A.category_profile(df.filter("c is null"), ["c"]).first()
+    assert (nothing["n"], nothing["n_null"], nothing["n_distinct"], nothing["top_value"]) == (1, 1, 0, None)
+
+
+def test_windowed_drift_equals_the_plain_statistics(spark):
+    rng = np.random.default_rng(9)
+    rows = [(bool(i % 2), "xy"[i % 3 % 2], float(rng.normal(i % 2, 1)), "abc"[int(rng.integers(0, 2 + i % 2))]) for i in range(400)]
+    df = spark.createDataFrame(rows, "is_baseline boolean, slice string, v double, c string")
+    log, base = df.filter("not is_baseline"), df.filter("is_baseline")
+    assert D.window_psi(log, base, "v", []).first()["psi"] == pytest.approx(D.psi(df, "v").first()["psi"])
+    assert D.window_psi(log, base, "v", []).first()["js_distance"] == pytest.approx(D.js_distance(df, "v").first()[0])
+    for side in "xy":
+        part = df.filter(F.col("slice") == side)
+        got = D.window_tv(log, base, "c", ["slice"], ["slice"]).filter(F.col("slice") == side).first()
+        assert got["tv_distance"] == pytest.approx(D.tv_distance(part, "c").first()[0])
+    table = D.baseline_drift(log, base, ["v"], ["c"], ["slice"], ["slice"])
+    assert table.count() == 6 and table.columns == ["slice", "column", "kind", "metric", "value"]

@@ -116,3 +116,11 @@ def test_model_tables_round_trip(spark, database):
 
 def test_catalogs(spark):
     assert "spark_catalog" in S.list_catalogs(spark) and S.list_catalogs(spark, ["spark_catalog"]) == []
+
+
+def test_clone_of_a_versioned_table_survives_another_schema(spark, database):
+    source = S.VersionedTable(spark, f"{database}.plain")
+    source.overwrite(spark.createDataFrame([(1, "a")], "k int, v string"))
+    S.clone(spark, source.name, f"{database}.plain_clone")
+    source.overwrite(spark.createDataFrame([(2.0,)], "x double"))
+    assert rows(spark.table(f"{database}.plain_clone")) == [(1, "a")] and rows(source.read()) == [(2.0,)]
