@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.operators.metrics import classifier_metrics
-from keelson.session import shared_dir, staged
+from keelson.session import shared_dir, staging
 
 METRICS = ("accuracy", "precision", "recall", "f1", "log_loss", "roc_auc", "average_precision")
 TRIAL_SCHEMA = (
@@ -125,11 +125,13 @@ def hyper_search(
     n: int, seed: int = 7, family: str = "gbt", parallelism: int = 2, split: str = "split",
 ) -> DataFrame:
     """Random search; several fits share the cluster, each one a distributed job."""
-    df = staged(df.select(*features, label, split), "trials")
     tries = list(enumerate(candidates(space, n, seed)))
-    with ThreadPool(min(parallelism, max(1, len(tries)))) as pool:
+    with (
+        staging(df.select(*features, label, split), "trials") as data,
+        ThreadPool(min(parallelism, max(1, len(tries)))) as pool,
+    ):
         rows = pool.map(
-            lambda t: run_trial(df, features, label, f"trial-{t[0]:04d}", family, t[1], split), tries
+            lambda t: run_trial(data, features, label, f"trial-{t[0]:04d}", family, t[1], split), tries
         )
     return trials_frame(df.sparkSession, rows)
 
@@ -140,18 +142,18 @@ def auto_classify(
 ) -> DataFrame:
     """One model per family until the time budget is used up; best validation F1 first."""
     deadline = time.monotonic() + 60.0 * timeout_minutes
-    df = staged(df.select(*features, label, split), "trials")
     rows = []
-    for family in FAMILIES:
-        if family in exclude:
-            continue
-        if rows and time.monotonic() > deadline:
-            rows.append({
-                "trial_id": f"trial-{family}", "family": family, "status": "SKIPPED", "params": {},
-                "metrics": {}, "loss": None, "seconds": 0.0,
-            })
-            continue
-        rows.append(run_trial(df, features, label, f"trial-{family}", family, {}, split))
+    with staging(df.select(*features, label, split), "trials") as data:
+        for family in FAMILIES:
+            if family in exclude:
+                continue
+            if rows and time.monotonic() > deadline:
+                rows.append({
+                    "trial_id": f"trial-{family}", "family": family, "status": "SKIPPED", "params": {},
+                    "metrics": {}, "loss": None, "seconds": 0.0,
+                })
+                continue
+            rows.append(run_trial(data, features, label, f"trial-{family}", family, {}, split))
     return trials_frame(df.sparkSession, rows).orderBy(F.col("loss").asc_nulls_last(), "trial_id")
 
 

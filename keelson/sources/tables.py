@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions.text import quote_name
-from keelson.session import staged
+from keelson.session import staging
 
 KEY_PROPERTY = "primary_key"
 SEPARATOR = "__v"
@@ -272,24 +272,30 @@ class KeyedTable(VersionedTable):
         updates = align(updates, current.schema)
         if on_duplicate == "latest":
             updates = latest_per_key(updates, keys, order)
-        first_load = current.isEmpty()
-        if not first_load:
-            updates = staged(updates, "merge")  # read by the check and twice by the upsert
-        if on_duplicate != "latest":
-            broken = key_violations(updates, keys).take(1)
-            if broken:
-                raise ValueError(f"update breaks the key {keys}: {broken[0].asDict()}")
-        buckets = self.buckets()
-        if first_load:
-            merged = updates
-        elif buckets:
-            # Update and table then share one partitioning through join and union, so
-            # the table is neither shuffled by the join nor by the write. A broadcast
-            # join would give up the bucketed read, hence the hint.
-            merged = upsert(current, updates.repartition(buckets, *keys), keys, hint="merge")
-        else:
-            merged = upsert(current, updates, keys)
-        self._store(merged, keys, self.description() or "")
+        checked = on_duplicate != "latest"
+        if current.isEmpty():
+            if checked:
+                self._check(updates, keys)
+            self._store(updates, keys, self.description() or "")
+            return
+        with staging(updates, "merge") as rows:  # read by the check and twice by the upsert
+            if checked:
+                self._check(rows, keys)
+            buckets = self.buckets()
+            if buckets:
+                # Update and table then share one partitioning through join and union, so
+                # the table is neither shuffled by the join nor by the write. A broadcast
+                # join would give up the bucketed read, hence the hint.
+                merged = upsert(current, rows.repartition(buckets, *keys), keys, hint="merge")
+            else:
+                merged = upsert(current, rows, keys)
+            self._store(merged, keys, self.description() or "")
+
+    @staticmethod
+    def _check(updates: DataFrame, keys: list[str]) -> None:
+        broken = key_violations(updates, keys).take(1)
+        if broken:
+            raise ValueError(f"update breaks the key {keys}: {broken[0].asDict()}")
 
     def _store(self, df: DataFrame, keys: list[str], description: str) -> None:
         buckets = self.buckets()

@@ -73,6 +73,8 @@ def test_life_of_a_model(spark, customer_file):
 
     C.train_model(spark, ws, "run-weak", "logistic", {"iterations": 1, "reg": 9.0})
     C.train_model(spark, ws, "run-good", "gbt", {"rounds": 5})
+    ranked = C.explain_model(spark, ws, "run-good", n=6).collect()
+    assert len(ranked) == len(features.columns) - 2 and ranked[0]["feature"].startswith("contract_")
     first = C.register_best(spark, ws, "short").first()
     assert (first["run_id"], first["version"]) == ("run-good", 1) and len(first["signature"]) == len(features.columns) - 2
     report = C.validate_challenger(spark, ws, AT).first()
