@@ -27,11 +27,11 @@ def as_label(probability: Column, cut: float = 0.5) -> Column:
 
 
 def with_metadata(
-    df: DataFrame, model_name: str, alias: str, version: str, at: datetime | None = None
+    df: DataFrame, model_name: str, alias: str, version: str, at: datetime | Column | None = None
 ) -> DataFrame:
     """Scoring time and model coordinates; ``at`` pins the time."""
     return df.withColumns({
-        "prediction_time": F.lit(at) if at else F.current_timestamp(),
+        "prediction_time": F.current_timestamp() if at is None else F.lit(at),
         "model_name": F.lit(model_name),
         "model_alias": F.lit(alias),
         "model_version": F.lit(str(version)),
@@ -40,7 +40,7 @@ def with_metadata(
 
 def batch_score(
     df: DataFrame, inputs: Sequence[str], predict: Column | Callable[..., Column],
-    model_name: str, alias: str, version: str, at: datetime | None = None, output: str = "prediction",
+    model_name: str, alias: str, version: str, at: datetime | Column | None = None, output: str = "prediction",
 ) -> DataFrame:
     """M1, M3: append the prediction and its metadata.
 
@@ -52,7 +52,7 @@ def batch_score(
 
 
 def ml_score(
-    df: DataFrame, model, model_name: str, alias: str, version: str, at: datetime | None = None
+    df: DataFrame, model, model_name: str, alias: str, version: str, at: datetime | Column | None = None
 ) -> DataFrame:
     """M1 for a fitted ``pyspark.ml`` model: prediction as int, positive-class probability."""
     from pyspark.ml.functions import vector_to_array

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,7 +89,7 @@ lines as (
 
 # --- events as an inference log ---
 SLICES = {"clicks": "event_type = 'click'", "high_value": "value > 50"}
-HALF = datetime(2024, 1, 16)
+HALF = "TIMESTAMP_NTZ '2024-01-16 00:00:00'"
 
 
 def inference_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +129,7 @@ sliced as (
 def drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First half of the month as baseline; values of the second half are scaled by 1.5."""
     log = inference_log(spark, sf_dir)
-    base = F.col("ts") < F.lit(HALF).cast("timestamp_ntz")
+    base = F.col("ts") < F.expr(HALF)
     return log.withColumns({
         SIDE: base, "value": F.when(base, F.col("value")).otherwise(F.col("value") * F.lit(1.5)),
     })

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +30,7 @@ from keelson.plans.derived import (
 from keelson.plans.registry import flag, query, rounded, sql_bucket, table
 from keelson.session import staged
 
-SCORED_AT = datetime(2024, 2, 1)
+SCORED_AT = "TIMESTAMP_NTZ '2024-02-01 00:00:00'"
 
 
 # --- the flagship: accuracy per slice on held-out customers --------------------
@@ -179,8 +177,8 @@ INPUTS = list(LINE_WEIGHTS)
 
 
 def _score_lines(lines: DataFrame, predict) -> DataFrame:
-    scored = score_batch(lines, INPUTS, predict, "prod.churn", "Champion", "3", at=SCORED_AT)
-    return scored.withColumn("prediction_time", F.col("prediction_time").cast("timestamp_ntz")).select(
+    scored = score_batch(lines, INPUTS, predict, "prod.churn", "Champion", "3", at=F.expr(SCORED_AT))
+    return scored.select(
         "l_orderkey", "l_linenumber", "l_partkey", "prediction", "prediction_time",
         "model_name", "model_alias", "model_version",
     )
