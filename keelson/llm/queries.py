@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.llm import mixing
 from keelson.llm.near_dup import near_duplicates
+from keelson.llm.token_files import read_token_files, token_folder, write_token_files
 from keelson.plans.registry import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +30,19 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op7_near_duplicates")
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op1_token_files")
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(write_token_files(table(spark, sf_dir, "documents"), token_folder(spark), byte_bpe()))
+
+
+@query("op2_mix_sources", mixing.ORACLE)
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
