@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import mixing
+from keelson.llm import mixing, warc
+from keelson.llm.html_text import extract_text
+from keelson.llm.langid import fit_languages, identify_languages, in_fold
 from keelson.llm.near_dup import near_duplicates
 from keelson.llm.token_files import read_token_files, token_folder, write_token_files
 from keelson.plans.registry import table
@@ -46,3 +48,25 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_mix_sources", mixing.ORACLE)
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = in_fold("doc_id", 3, 1)
+    model = fit_languages(docs.where(~held_out))
+    return identify_languages(docs.drop("lang"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op5_html_text")
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op6_warc", warc.ORACLE)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_warc(table(spark, sf_dir, "pages"), warc.warc_folder(spark))
+    return warc.read_warc(index, with_payload=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
