@@ -99,7 +99,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.hint("shuffle_hash").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -154,7 +154,8 @@ def near_duplicates(
     stars = staged(_stars(shared.join(weight, "id"), F.col("weight")), "stars")
     pairs = staged(stars.select(F.col("id").alias("a"), F.col("center").alias("b")).where("a <> b").distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    candidates = staged(texts.join(wanted, "id", "left_semi").distinct(), "candidates")
+    # The ids build the hash tables: texts stream past them and are never sorted.
+    candidates = staged(texts.join(wanted.hint("shuffle_hash"), "id", "left_semi").distinct(), "candidates")
     links = staged(confirm(pairs, candidates, percent), "links")
     found = connected_components(links)
 
