@@ -10,7 +10,6 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import ArrowUDFType
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?][^>]*+>""", re.S)
@@ -222,6 +221,6 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
             texts = [main_text(x) if x else "" for x in html.to_pylist()]
             yield pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["text", "n_chars"])
 
-    parse = F.arrow_udf(run, "text string, n_chars long", ArrowUDFType.SCALAR_ITER)
+    parse = F.arrow_udf(run, "text string, n_chars long")
     out = pages.select(*[F.col(f"`{c}`") for c in kept], parse(F.col(f"`{html_col}`").cast("string")).alias("_t"))
     return out.select(*[F.col(f"`{c}`") for c in kept], "_t.text", "_t.n_chars")

@@ -12,6 +12,7 @@ from keelson.llm.html_text import extract_text
 from keelson.llm.langid import fit_languages, identify_languages, in_fold
 from keelson.llm.near_dup import near_duplicates
 from keelson.llm.token_files import read_token_files, token_folder, write_token_files
+from keelson.llm.toxicity import fit_toxicity, score_toxicity
 from keelson.plans.registry import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +71,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_warc(table(spark, sf_dir, "pages"), warc.warc_folder(spark))
     return warc.read_warc(index, with_payload=False).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = in_fold("doc_id", 4, 2)
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")

@@ -67,13 +67,13 @@ def text_runs(column: pa.Array | pa.ChunkedArray, run_bytes: int = RUN_BYTES) ->
         low = high
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and for each text the index of its first word.
 
-    A word is a run of bytes outside space, tab, line feed, vertical tab, form feed and
-    carriage return; it never crosses two texts.
+    A word is a run of bytes that are not ``outside`` (by default space, tab, line feed,
+    vertical tab, form feed and carriage return); it never crosses two texts.
     """
-    inside = ~_SPACE[data]
+    inside = ~outside[data]
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     stops[:-1] &= ~inside[1:]
@@ -86,11 +86,18 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word with A-Z lower-cased."""
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
+    return span_hashes(running_hash(_LOWER[data]), starts, ends)
+
+
+def running_hash(data: np.ndarray) -> np.ndarray:
+    """Sums from which :func:`span_hashes` takes the hash of any span of ``data``."""
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[_LOWER[data]] * _power("up", _BASE, len(data)), out=total[1:])
-    raw = (total[ends] - total[starts]) * _power("down", _INVERSE, len(data) + 1)[starts]
+    np.cumsum(_BYTE[data] * _power("up", _BASE, len(data)), out=total[1:])
+    return total
+
+
+def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    raw = (total[ends] - total[starts]) * _power("down", _INVERSE, len(total))[starts]
     return mix(raw + (ends - starts).astype(np.uint64) * _PLACE[15])
 
 
