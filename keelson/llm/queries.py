@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import mixing, warc
+from keelson.llm import mixing, topk, warc
 from keelson.llm.html_text import extract_text
 from keelson.llm.langid import fit_languages, identify_languages, in_fold
 from keelson.llm.near_dup import near_duplicates
@@ -79,3 +79,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = in_fold("doc_id", 4, 2)
     model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(~held_out))
     return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op9_top_k", topk.ORACLE)
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
