@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.llm import mixing, topk, warc
+from keelson.llm.decontaminate import with_leaks
 from keelson.llm.html_text import extract_text
 from keelson.llm.langid import fit_languages, identify_languages, in_fold
 from keelson.llm.near_dup import near_duplicates
@@ -84,3 +85,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_top_k", topk.ORACLE)
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op10_decontaminate")
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_leaks(docs, table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform("leaks", lambda x: x.item_id)))
+    return found.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), items.alias("item_ids"), "leaks")
