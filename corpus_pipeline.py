@@ -6,21 +6,59 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
+from keelson.llm.decontaminate import with_leaks
+from keelson.llm.langid import NONE, fit_languages, identify_languages
+from keelson.llm.mixing import mix_sources, take_mix
 from keelson.llm.near_dup import near_duplicates
+from keelson.llm.token_files import byte_bpe, read_token_files, token_folder, write_token_files
 from keelson.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language stay; those without a text or a letter are rejected."""
+    model = fit_languages(docs)
+    if not model.languages:  # nothing to learn from: only what has no letter is rejected
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return identify_languages(docs, model).where(F.col("lang_pred") != NONE).select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id."""
-    kept = near_duplicates(docs, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    """One document of each near-duplicate group stays, the one with the smallest id.
+
+    Of rows that repeat an id the one with the smallest text hash stays; documents without an
+    id stay once per text.
+    """
+    kept = near_duplicates(docs, percent=80).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    stay = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    text = F.xxhash64("text")
+    same = W.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), text)).orderBy(text)
+    return stay.withColumn("_n", F.row_number().over(same)).where("_n = 1").select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return with_leaks(docs, benchmark).where(F.size("leaks") == 0).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights: documents left out, repeated or, on the line, cut."""
+    taken = take_mix(docs, mix_sources(docs))
+    return taken.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids in range-coded files; the result is what reading the files back gives per document."""
+    return read_token_files(write_token_files(docs, token_folder(spark), byte_bpe()))
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
-ORACLE_SQL = None
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix), ("token_files", token_files)]
+ORACLE_SQL = None  # fitted models, hashing and tokenizers; tests hold the stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StringType
 
 from keelson.session import shuffle_width, staged
 
@@ -52,7 +56,7 @@ def mix_sources(
     """How many words of each document a mix of sources takes.
 
     Returns per row of ``docs``: id, ``source``, ``size`` (words), ``source_size``, ``target`` and
-    ``taken``. Every source takes exactly the whole part of its target: all of its documents once
+    ``taken``, and ``text_hash``. Every source takes exactly the whole part of its target: all of its documents once
     per full epoch, and in the last epoch those whose running total of sizes, in the order of a
     hash of seed and id, stays within what is left; the document on the line gives the words
     that still fit. So ``taken`` is at most ``ceiling`` times ``size``, and reruns agree.
@@ -86,7 +90,35 @@ def mix_sources(
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     left = budget - epochs * F.col("source_size") - F.col("_before") - F.coalesce("_in", F.lit(0))
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left))
-    return placed.select(id_col, "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select(
+        id_col, "source", "size", "source_size", "target", taken.cast("long").alias("taken"), F.col("_tie").alias("text_hash"))
+
+
+def _first_words(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for column, counts in texts:
+        out = []
+        for text, n in zip(column.to_pylist(), counts.to_pylist()):
+            ends = (m.end() for m in re.finditer(WORD, text or ""))
+            out.append(None if text is None or n is None else text[:next(itertools.islice(ends, max(n - 1, 0), None), 0) if n else 0])
+        yield pa.array(out, pa.string())
+
+
+first_words = F.arrow_udf(_first_words, StringType())
+
+
+def take_mix(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents of a mix: a row per started epoch of a document, the columns those of ``docs``.
+
+    In the last epoch a document on its source's line is cut after the words that fit. ``mix`` is
+    the result of :func:`mix_sources` on the same rows, which must differ in id or text.
+    """
+    part = mix.where("taken > 0").select(F.col(id_col).alias("_id"), "text_hash", F.col("size").alias("_size"), "taken")
+    rows = docs.withColumn("_hash", F.xxhash64(text_col))
+    rows = rows.join(part.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("text_hash")))
+    copies = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("_size")).cast("long"))))
+    rest = F.col("taken") - (F.col("_copy") - 1) * F.col("_size")
+    cut = first_words(F.when(rest < F.col("_size"), F.col(text_col)), F.when(rest < F.col("_size"), rest))
+    return copies.withColumn(text_col, F.coalesce(cut, F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""

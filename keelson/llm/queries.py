@@ -12,7 +12,8 @@ from keelson.llm.decontaminate import with_leaks
 from keelson.llm.html_text import extract_text
 from keelson.llm.langid import fit_languages, identify_languages, in_fold
 from keelson.llm.near_dup import near_duplicates
-from keelson.llm.token_files import read_token_files, token_folder, write_token_files
+from keelson.llm.token_counts import count_edited
+from keelson.llm.token_files import byte_bpe, read_token_files, token_folder, write_token_files
 from keelson.llm.toxicity import fit_toxicity, score_toxicity
 from keelson.plans.registry import table
 
@@ -36,12 +37,6 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
-def byte_bpe() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query("op1_token_files")
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), token_folder(spark), byte_bpe()))
@@ -49,7 +44,7 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_mix_sources", mixing.ORACLE)
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @query("op3_language_id")
@@ -93,3 +88,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_leaks(docs, table(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct(F.transform("leaks", lambda x: x.item_id)))
     return found.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), items.alias("item_ids"), "leaks")
+
+
+def revision() -> list:
+    """Three edits of any text: a cut after a third, a new wording after two thirds, a line at the end."""
+    size = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+
+    def edit(start, removed: int, inserted: str):
+        return F.struct(start.cast("long").alias("start"), F.lit(removed).cast("long").alias("removed"), F.lit(inserted).alias("inserted"))
+
+    return [edit(F.floor(size / 3), 40, ""), edit(F.floor(size * 2 / 3), 12, "as revised, it's"), edit(size, 0, "\nUpdated 2026.")]
+
+
+@query("op4_edited_token_counts")
+def op4_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_edited(docs.withColumn("edits", F.array(*revision())), byte_bpe())

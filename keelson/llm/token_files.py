@@ -66,6 +66,16 @@ class TextEncoder:
         return (self.encode(head) if head else b"") + b"".join(map(self.pieces.__getitem__, rest))
 
 
+_encoders: dict[str, TextEncoder] = {}
+
+
+def text_encoder(path: str) -> TextEncoder:
+    """The encoder of a vocabulary file, loaded once per worker process."""
+    if path not in _encoders:
+        _encoders[path] = TextEncoder(path)
+    return _encoders[path]
+
+
 class _FileWriter:
     """One file: a magic number, then blocks of ``range_coder.BLOCK`` ids, each with its checksums."""
 
@@ -146,7 +156,7 @@ def write_token_files(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = TextEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = text_encoder(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u2").tobytes()
         writer, seq, ids, counts = None, 0, [], []
 
@@ -213,5 +223,12 @@ def read_token_files(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return jobs.repartition(width, "path").mapInArrow(run, schema)
 
 
+def byte_bpe() -> str:
+    """The vocabulary file that queries use by default."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def token_folder(spark) -> str:
     return scratch_path(spark, "tokens")
