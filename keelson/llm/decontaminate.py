@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm import textops
+from keelson.session import staged
 
 Q = 8
 WINDOW = 100
 ERROR = 0.08
 CELL = 32
 BLOCK_CHARS = 4_000_000
+LEAKS = "array<struct<item_id: long, start: long, stop: long, edits: long>>"
 
 _FOLD = np.arange(0x110000, dtype=np.uint32)
 for _c in range(0x3000):  # lower case where that is one character, all white space alike
@@ -180,7 +182,7 @@ def _leak_column(sent, window: int, error: float):
                     out.append([{"item_id": i, "start": int(own[a]), "stop": int(own[z - 1]) + 1, "edits": e} for i, a, z, e in leaks])
             yield pa.array(out, kind)
 
-    return F.arrow_udf(run, "array<struct<item_id: long, start: long, stop: long, edits: long>>")
+    return F.arrow_udf(run, LEAKS)
 
 
 def with_leaks(
@@ -196,8 +198,9 @@ def with_leaks(
     bands of diagonals; only bands that reach the q-gram lemma's bound are aligned, within the
     band. ``start`` and ``stop`` are code points of the text as it is.
 
-    The pass over the documents has no shuffle. The benchmark goes to the tasks in blocks of at
-    most about ``block_chars`` characters (more only for one longer item), one index each.
+    A pass over the documents has no shuffle. The benchmark goes to the tasks in blocks of about
+    ``block_chars`` characters (more only for one longer item); a benchmark of several blocks
+    takes a pass for each, over stored rows.
 
     NULL and empty texts leak nothing. Items that are NULL, or under eight characters once
     trimmed, are left out; items that repeat an id are searched each and reported under it once. An empty
@@ -208,10 +211,12 @@ def with_leaks(
     size = items.agg(F.sum(F.length("text")).alias("n"), F.max(F.length("text")).alias("longest")).first()
     blocks = max(1, -(-(size.n or 0) * 2 // block_chars))
     kept = [f"`{c}`" for c in docs.columns if c != "leaks"]
-    columns = []
+    out = docs.select(*kept, F.array().cast(LEAKS).alias("leaks"))
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
         sent = docs.sparkSession.sparkContext.broadcast([(r.item_id, r.text) for r in rows.orderBy("item_id", "text").collect()])
-        columns.append(_leak_column(sent, window, error)(F.col(f"`{text_col}`").cast("string")))
-    leaks = columns[0] if blocks == 1 else F.concat(*columns)
-    return docs.select(*kept, leaks.alias("leaks"))
+        found = _leak_column(sent, window, error)(F.col(f"`{text_col}`").cast("string"))
+        out = out.select(*kept, (F.concat("leaks", found) if blocks > 1 else found).alias("leaks"))
+        if b + 1 < blocks:
+            out = staged(out, "leaks")
+    return out

@@ -42,6 +42,8 @@ _FAMILY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 _BORDERS = frozenset("html body div article section main ul ol dl table blockquote td th li aside header footer form".split())
 _ARTICLE = frozenset(["article", "main"])
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre td th figcaption caption address summary tr".split())
+_LISTS = frozenset("div ul ol dl table section".split())
+MENU_SHARE = 0.9  # three links or more with this share of a container's text make it a menu
 SLACK = 0.2  # a part counts from this share of the smallest density above the main part
 
 
@@ -189,8 +191,9 @@ def _content(tags, parents, dropped, chars, link_chars, body) -> list[bool]:
     for i in range(body, n):
         up = parents[i]
         inside[i] = i == body or inside[up]
-        if not inside[i] or dropped[i]:
-            marked[i] = False
+        menu = tags[i] in _LISTS and link_tags[i] >= 3 and link_chars[i] >= MENU_SHARE * chars[i]
+        if not inside[i] or dropped[i] or menu and i != body:
+            marked[i] = inside[i] = False
             continue
         marked[i] = marked[i] or i > body and marked[up]
         if not marked[i] and chars[i] and density[i] >= SLACK * low:
@@ -203,7 +206,7 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     Elements that are no article text by name, role, or a word of class or id go first: menus,
     page headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.
-    On the rest every DOM node gets a composite text density (characters per tag, lowered by
+    So do containers of at least three links and next to no other text. On the rest every DOM node gets a composite text density (characters per tag, lowered by
     its share of link text against the page's share). The node whose children have the largest
     sum of densities is content, or the article element around it; ``SLACK`` times the smallest
     density on its way up to the body is the threshold at which other parts count as content too.
