@@ -25,50 +25,56 @@ _U = np.uint64
 _ONES = _U(0x0001000100010001)
 _LOW15 = _U(0x7FFF7FFF7FFF7FFF)
 _WORD = _U(0xFFFF)
-_TOP = _U(1 << 48)
-_SMALL = _U(1 << 32)
-_STEP, _LIMIT = 32, _U(3000)
+_16, _32, _48 = _U(16), _U(32), _U(48)
+# The coder's numbers stay below 2^49 and are whole, so doubles hold them exactly and divide faster.
+_TOP, _SMALL, _SHIFT = 2.0**48, 2.0**32, 2.0**16
+_STEP, _LIMIT = 32, 6000.0
 _FIRST, _SECOND = 1 << 11, 1 << 12
-_REFRESH = frozenset([64, 128, 256, *range(512, 1 << 20, 512)])
+_REFRESH = tuple(int(64 * 1.5**k) for k in range(24))  # where order 0 takes in the ids so far
 
 
 class _Model:
     """The predictions of all lanes for the next id."""
 
     def __init__(self, lanes: int) -> None:
-        self.lane = np.arange(lanes)
-        self.one = np.zeros(lanes * _FIRST, dtype=np.int64)
-        self.two = np.zeros(lanes * _SECOND, dtype=np.int64)
+        lane = np.arange(lanes)
+        self.base1, self.base2, self.base_c, self.base_p = lane * _FIRST, lane * _SECOND, lane * 32, lane * 64
+        self.one = np.zeros(lanes * _FIRST, dtype=np.int32)  # id and, above it, confidence
+        self.two = np.zeros(lanes * _SECOND, dtype=np.int32)
         self.by_confidence = np.full(lanes * 32, 0x0004_0004_0004_0004, dtype=_U)
         self.by_past = np.full(lanes * 64, 0x0004_0004_0004_0004, dtype=_U)
         self.past = np.zeros(lanes, dtype=np.int64)
         self.last = np.zeros(lanes, dtype=np.int64)
         self.before = np.zeros(lanes, dtype=np.int64)
 
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids that order 2 and order 1 name, and the packed weights of the four events."""
-        self.at1 = self.lane * _FIRST + ((self.last * 40503) >> 5 & (_FIRST - 1))
-        self.at2 = self.lane * _SECOND + ((self.last * 48271 + self.before * 69621) >> 4 & (_SECOND - 1))
-        self.e1, self.e2 = self.one[self.at1], self.two[self.at2]
-        self.id1, self.id2 = self.e1 & 0xFFFF, self.e2 & 0xFFFF
-        self.c1, self.c2 = self.e1 >> 16, self.e2 >> 16
-        self.at_c = self.lane * 32 + (self.c2 * 8 + self.c1 * 2 + (self.id1 == self.id2))
-        self.at_p = self.lane * 64 + self.past
-        self.w_c, self.w_p = self.by_confidence[self.at_c], self.by_past[self.at_p]
-        return self.id2, self.id1, self.w_c + self.w_p
-
-    def learn(self, event: np.ndarray, ids: np.ndarray) -> None:
-        more = _U(_STEP) << (event << 4).astype(_U)
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids that order 2 and order 1 name, the packed weights of the four events, and their packed sums."""
+        mixed = self.last * 48271
+        self.at1 = self.base1 + ((mixed >> 5) & (_FIRST - 1))
+        self.at2 = self.base2 + (((mixed + self.before) >> 4) & (_SECOND - 1))
+        self.before = self.last * 69621
+        e1, e2 = self.one.take(self.at1, mode="clip"), self.two.take(self.at2, mode="clip")
+        self.id1, self.id2 = e1 & 0xFFFF, e2 & 0xFFFF
+        self.c1, self.c2 = e1 >> 16, e2 >> 16
+        self.at_c = self.base_c + (self.c2 * 8 + self.c1 * 2 + (self.id1 == self.id2))
+        self.at_p = self.base_p + self.past
+        self.w_c, self.w_p = self.by_confidence.take(self.at_c, mode="clip"), self.by_past.take(self.at_p, mode="clip")
+        w = self.w_c + self.w_p
+        return self.id2, self.id1, w, w * _ONES
+
+    def learn(self, event: np.ndarray, shift: np.ndarray, ids: np.ndarray, total: np.ndarray) -> None:
+        more = _U(_STEP) << shift
+        full = np.flatnonzero(total > _LIMIT)
         for table, at, w in ((self.by_confidence, self.at_c, self.w_c), (self.by_past, self.at_p, self.w_p)):
-            w = w + more
-            full = (w * _ONES) >> _U(48) > _LIMIT
-            if full.any():
-                w = np.where(full, w - ((w >> _U(1)) & _LOW15), w)
+            w += more
+            if len(full):
+                halved = w[full]
+                w[full] = halved - ((halved >> _U(1)) & _LOW15)
             table[at] = w
         self.past = (self.past << 2 | event) & 63
-        self.one[self.at1] = ids | np.where(self.id1 == ids, np.minimum(self.c1 + 1, 3) << 16, 0)
-        self.two[self.at2] = ids | np.where(self.id2 == ids, np.minimum(self.c2 + 1, 3) << 16, 0)
-        self.before, self.last = self.last, ids
+        self.one[self.at1] = ids + (np.minimum(self.c1 + 1, 3) << 16) * (self.id1 == ids)
+        self.two[self.at2] = ids + (np.minimum(self.c2 + 1, 3) << 16) * (self.id2 == ids)
+        self.last = ids.astype(np.int64)
 
 
 class _History:
@@ -80,142 +86,138 @@ class _History:
     def refresh(self, past: np.ndarray) -> None:
         lanes, n = past.shape
         self.n, self.ids = n, np.sort(past, axis=1, kind="stable")
-        place = np.arange(n, dtype=np.int32)
+        place = np.arange(n, dtype=np.uint16)
         self.fresh = np.ones((lanes, n), dtype=bool)
-        self.fresh[:, 1:] = self.ids[:, 1:] != self.ids[:, :-1]
-        self.start = np.maximum.accumulate(np.where(self.fresh, place, 0), axis=1)
-        ends = np.full((lanes, n), n, dtype=np.int32)
-        ends[:, :-1] = np.where(self.fresh[:, 1:], place[1:], n)
+        np.not_equal(self.ids[:, 1:], self.ids[:, :-1], out=self.fresh[:, 1:])
+        self.start = np.maximum.accumulate(np.where(self.fresh, place, np.uint16(0)), axis=1)
+        ends = np.full((lanes, n), n, dtype=np.uint16)
+        ends[:, :-1] = np.where(self.fresh[:, 1:], place[1:], np.uint16(n))
         self.count = np.minimum.accumulate(ends[:, ::-1], axis=1)[:, ::-1] - self.start
 
 
 def encode(blocks: np.ndarray) -> list[bytes]:
     """One payload per row of ``blocks`` (lanes x BLOCK, uint16)."""
     lanes, length = blocks.shape
+    lane = np.arange(lanes)
     model, history = _Model(lanes), _History()
-    low, size = np.zeros(lanes, dtype=_U), np.full(lanes, _TOP, dtype=_U)
+    low, size = np.zeros(lanes), np.full(lanes, _TOP)
     out, used = np.zeros((lanes, 2 * length + 4), dtype=np.uint16), np.zeros(lanes, dtype=np.int64)
     place_of = np.zeros(lanes * IDS, dtype=np.uint16)  # a stale entry is found out by comparing the id
-    base = model.lane * IDS
 
-    def code(which: np.ndarray | slice, start: np.ndarray, freq: np.ndarray, total) -> None:
-        step = size[which] // total
-        lo, sz = low[which] + step * start, step * freq
-        rows = model.lane[which]
+    def carry_back(rows: np.ndarray) -> None:
+        at = used[rows] - 1
+        while len(rows):
+            out[rows, at] += 1
+            over = out[rows, at] == 0
+            rows, at = rows[over], at[over] - 1
+
+    def narrow(rows: np.ndarray, lo: np.ndarray, step: np.ndarray, start: np.ndarray, freq) -> tuple[np.ndarray, np.ndarray]:
+        lo = lo + step * start
+        sz = step * freq
         carry = np.flatnonzero(lo >= _TOP)
         if len(carry):
             lo[carry] -= _TOP
-            r, at = rows[carry], used[rows[carry]] - 1
-            while len(r):
-                out[r, at] += 1
-                over = out[r, at] == 0
-                r, at = r[over], at[over] - 1
+            carry_back(rows[carry])
         small = np.flatnonzero(sz < _SMALL)
         if len(small):
-            r = rows[small]
-            out[r, used[r]] = (lo[small] >> _U(32)).astype(np.uint16)
+            r, x = rows[small], lo[small]
+            word = np.floor(x / _SMALL)
+            out[r, used[r]] = word.astype(np.uint16)
             used[r] += 1
-            lo[small] = (lo[small] & _U(0xFFFFFFFF)) << _U(16)
-            sz[small] <<= _U(16)
-        low[which], size[which] = lo, sz
+            lo[small] = (x - word * _SMALL) * _SHIFT
+            sz[small] *= _SHIFT
+        return lo, sz
 
-    ids = np.ascontiguousarray(blocks.T).astype(np.int64)
+    ids = np.ascontiguousarray(blocks.T).astype(np.int32)
     known = np.zeros((length, lanes), dtype=bool)
-    place = np.zeros((length, lanes), dtype=np.int64)
+    place = np.zeros((length, lanes), dtype=np.uint16)
     for i in range(length):
         if i in _REFRESH:
             history.refresh(blocks[:, :i])
             row, col = np.nonzero(history.fresh)
             place_of[row * IDS + history.ids[row, col]] = col
-            end = next((j for j in range(i + 1, length) if j in _REFRESH), length)
-            at = place_of[base + ids[i:end]].astype(np.int64)
-            place[i:end] = np.minimum(at, i - 1)
-            known[i:end] = history.ids[model.lane, place[i:end]] == ids[i:end]
+            end = next((n for n in _REFRESH if n > i), length)
+            at = np.minimum(place_of.take(lane * IDS + ids[i:end], mode="clip"), np.uint16(i - 1))
+            place[i:end] = at
+            known[i:end] = history.ids.reshape(-1).take(lane * i + at, mode="clip") == ids[i:end]
         t = ids[i]
-        id2, id1, w = model.predict()
-        event = np.where(t == id2, 0, np.where(t == id1, 1, np.where(known[i], 2, 3)))
+        id2, id1, w, cum = model.predict()
+        event = np.where(t == id2, 0, np.where(t == id1, 1, 3 - known[i]))
         shift = (event << 4).astype(_U)
-        cum = w * _ONES
-        code(slice(None), ((cum << _U(16)) >> shift) & _WORD, (w >> shift) & _WORD, cum >> _U(48))
+        total = (cum >> _48).astype(np.float64)
+        low, size = narrow(lane, low, np.floor(size / total), (((cum << _16) >> shift) & _WORD).astype(np.float64),
+                           ((w >> shift) & _WORD).astype(np.float64))
         rest = np.flatnonzero(event >= 2)
         if len(rest):
             new = event[rest] == 3
-            if history.n:
-                p = place[i][rest]
-                start = np.where(new, t[rest], p).astype(_U)
-                freq = np.where(new, 1, history.count[rest, p]).astype(_U)
-                code(rest, start, freq, np.where(new, IDS, history.n).astype(_U))
-            else:
-                code(rest, t[rest].astype(_U), _U(1), _U(IDS))
-        model.learn(event, t)
-    # Any number in [low, low + size) will do: the highest 16 bits above low suffice, as size >= 2^32.
-    code(slice(None), _U(0), _U(1), _U(1))
-    tail = (low + _U(0xFFFFFFFF)) & ~_U(0xFFFFFFFF)
-    carry = np.flatnonzero(tail >= _TOP)
-    for r in carry:
-        at = used[r] - 1
-        while True:
-            out[r, at] += 1
-            if out[r, at]:
-                break
-            at -= 1
-    out[model.lane, used] = ((tail >> _U(32)) & _WORD).astype(np.uint16)
+            n, p = max(history.n, 1), place[i][rest]
+            count = history.count.reshape(-1).take(rest * n + p, mode="clip") if history.n else 1
+            step = np.where(new, np.floor(size[rest] / IDS), np.floor(size[rest] / n))
+            low[rest], size[rest] = narrow(rest, low[rest], step, np.where(new, t[rest], p), np.where(new, 1, count))
+        model.learn(event, shift, t, total)
+    # Any number in [low, low + size) will do: the words above the lowest 32 bits suffice, as size >= 2^32.
+    tail = np.ceil(low / _SMALL)
+    over = np.flatnonzero(tail >= _SHIFT)
+    tail[over] -= _SHIFT
+    carry_back(over)
+    out[lane, used] = tail.astype(np.uint16)
     return [out[r, :used[r] + 1].astype("<u2").tobytes() for r in range(lanes)]
 
 
 def decode(payloads: list[bytes], length: int = BLOCK) -> np.ndarray:
     """The blocks (lanes x ``length``, uint16) of payloads that :func:`encode` made."""
     lanes = len(payloads)
+    lane = np.arange(lanes)
     model, history = _Model(lanes), _History()
     words = np.zeros((lanes, max(map(len, payloads)) // 2 + 4), dtype=np.uint16)
     for r, p in enumerate(payloads):
         words[r, :len(p) // 2] = np.frombuffer(p, dtype="<u2")
-    last = words.shape[1] - 1
-    flat, row = words.reshape(-1), np.arange(lanes) * words.shape[1]
-    value = (words[:, 0].astype(_U) << _U(32)) | (words[:, 1].astype(_U) << _U(16)) | words[:, 2].astype(_U)
-    size, used = np.full(lanes, _TOP, dtype=_U), np.full(lanes, 3, dtype=np.int64)
-    out = np.zeros((length, lanes), dtype=np.int64)
+    flat, next_word = words.reshape(-1), lane * words.shape[1] + 3
+    value = (words[:, 0] * _SHIFT + words[:, 1]) * _SHIFT + words[:, 2]
+    size = np.full(lanes, _TOP)
+    out = np.zeros((length, lanes), dtype=np.int32)
     past = np.zeros((lanes, length), dtype=np.uint16)
     kept = 0
 
-    def consume(which, step, start, freq) -> None:
-        v, sz = value[which] - step * start, step * freq
+    def narrow(rows: np.ndarray, v: np.ndarray, step: np.ndarray, start: np.ndarray, freq) -> tuple[np.ndarray, np.ndarray]:
+        v = v - step * start
+        sz = step * freq
         small = np.flatnonzero(sz < _SMALL)
         if len(small):
-            r = model.lane[which][small]
-            v[small] = (v[small] << _U(16)) | flat[row[r] + np.minimum(used[r], last)].astype(_U)
-            used[r] += 1
-            sz[small] <<= _U(16)
-        value[which], size[which] = v, sz
+            r = rows[small]
+            v[small] = v[small] * _SHIFT + flat.take(next_word[r], mode="clip")
+            next_word[r] += 1
+            sz[small] *= _SHIFT
+        return v, sz
 
     for i in range(length):
         if i in _REFRESH:
             past[:, kept:i] = out[kept:i].T
             kept = i
             history.refresh(past[:, :i])
-        id2, id1, w = model.predict()
-        cum = w * _ONES
-        total = cum >> _U(48)
-        step = size // total
-        v = np.minimum(value // step, total - _U(1))
-        event = ((v >= (cum & _WORD)).astype(np.int64) + (v >= ((cum >> _U(16)) & _WORD)) + (v >= ((cum >> _U(32)) & _WORD)))
+        id2, id1, w, cum = model.predict()
+        total = (cum >> _48).astype(np.float64)
+        step = np.floor(size / total)
+        v = np.minimum(np.floor(value / step), total - 1).astype(_U)
+        event = (v >= (cum & _WORD)).astype(np.int64) + (v >= ((cum >> _16) & _WORD)) + (v >= ((cum >> _32) & _WORD))
         shift = (event << 4).astype(_U)
-        consume(slice(None), step, ((cum << _U(16)) >> shift) & _WORD, (w >> shift) & _WORD)
+        value, size = narrow(lane, value, step, (((cum << _16) >> shift) & _WORD).astype(np.float64), ((w >> shift) & _WORD).astype(np.float64))
         t = np.where(event == 0, id2, id1)
         rest = np.flatnonzero(event >= 2)
         if len(rest):
             new = event[rest] == 3
-            n = np.where(new, IDS, max(history.n, 1)).astype(_U)
-            step = size[rest] // n
-            v = np.minimum(value[rest] // step, n - _U(1)).astype(np.int64)
+            n, sz, val = max(history.n, 1), size[rest], value[rest]
+            step = np.where(new, np.floor(sz / IDS), np.floor(sz / n))
+            v = np.minimum(np.floor(val / step), np.where(new, IDS, n) - 1).astype(np.int64)
+            start, count = v, 1
             if history.n:
-                p = np.where(new, 0, v)
-                t[rest] = np.where(new, v, history.ids[rest, p])
-                start = np.where(new, v, history.start[rest, p]).astype(_U)
-                freq = np.where(new, 1, history.count[rest, p]).astype(_U)
+                at = rest * n + np.where(new, 0, v)
+                start = np.where(new, v, history.start.reshape(-1).take(at, mode="clip"))
+                count = np.where(new, 1, history.count.reshape(-1).take(at, mode="clip"))
+                t[rest] = np.where(new, v, history.ids.reshape(-1).take(at, mode="clip"))
             else:
-                t[rest], start, freq = v, v.astype(_U), _U(1)
-            consume(rest, step, start, freq)
+                t[rest] = v
+            value[rest], size[rest] = narrow(rest, val, step, start, count)
         out[i] = t
-        model.learn(event, t)
+        model.learn(event, shift, t, total)
     return np.ascontiguousarray(out.T).astype(np.uint16)

@@ -98,11 +98,11 @@ def count_tree(text: Column, tokenizer: str) -> Column:
         for texts in batches:
             out = []
             for text in texts.to_pylist():
-                lengths, counts, at = cut(text or ""), [], 0
+                lengths, leaves, at = cut(text or ""), [], 0
                 for size in lengths:
-                    counts.append(len(encoder((text or "")[at:at + size])) // 2)
+                    leaves.append((text or "")[at:at + size])
                     at += size
-                out.append({"leaf_chars": lengths, "sums": sums_of(counts)})
+                out.append({"leaf_chars": lengths, "sums": sums_of([len(ids) // 2 for ids in encoder.batch(leaves)])})
             yield pa.array(out, _ARROW_TREE)
 
     return F.arrow_udf(run, TREE)(text.cast("string"))

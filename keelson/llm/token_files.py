@@ -21,7 +21,8 @@ from keelson.session import scratch_path, shuffle_width, staged
 MAGIC = b"KEELTOK1"
 _BLOCK_HEAD = struct.Struct("<IIII")  # ids, payload bytes, crc32 of the payload, crc32 of the ids
 FILE_IDS = 1 << 25
-CACHED_PIECES = 400_000
+CACHED_PIECES = 600_000
+TEXTS = 500
 _RUN_OF_SPACES = re.compile(r"\s \s")
 
 
@@ -39,31 +40,52 @@ class TextEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        encode = self.encode
-
-        class Pieces(dict):
-            def __missing__(self, piece: str) -> bytes:
-                found = encode(" " + piece)
-                if len(self) < CACHED_PIECES and len(piece) < 64:
-                    self[piece] = found
-                return found
-
-        self.pieces = Pieces()
+        spaced = [i for t, i in self.library.get_vocab().items() if t.startswith("\u0120")]  # the byte-level sign of a space
+        self.opens = np.zeros(max(range_coder.IDS, self.library.get_vocab_size()), dtype=bool)
+        self.opens[spaced] = True
+        self.pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
+        ids = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
         if ids and max(ids) >= range_coder.IDS:
             raise ValueError("token ids from 65,536 on do not fit the file format")
         return np.array(ids, dtype="<u2").tobytes()
 
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode unseen pieces side by side: the ids that open with a space part them again."""
+        if len(self.pieces) + len(pieces) > CACHED_PIECES:
+            self.pieces.clear()
+        plain = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()]
+        if plain:
+            ids = np.frombuffer(self.encode(" " + " ".join(plain)), dtype="<u2")
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) == len(plain):
+                raw, ends = ids.tobytes(), [*(2 * starts[1:]).tolist(), 2 * len(ids)]
+                for p, a, z in zip(plain, (2 * starts).tolist(), ends):
+                    self.pieces[p] = raw[a:z]
+                pieces = pieces.difference(plain)
+        for p in pieces:
+            self.pieces[p] = self.encode(" " + p)
+
     def __call__(self, text: str) -> bytes:
         """Little-endian 16-bit ids."""
-        if not text:
-            return b""
-        if _RUN_OF_SPACES.search(text):
-            return self.encode(text)
-        head, *rest = text.split(" ")
-        return (self.encode(head) if head else b"") + b"".join(map(self.pieces.__getitem__, rest))
+        return self.batch([text])[0]
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        cut = [t.split(" ") if t and not _RUN_OF_SPACES.search(t) else None for t in texts]
+        unseen = set().union(*(c[1:] for c in cut if c)).difference(self.pieces)
+        if unseen:
+            self._learn(unseen)
+            unseen = set().union(*(c[1:] for c in cut if c)).difference(self.pieces)
+            if unseen:  # the cache was emptied on the way
+                self._learn(unseen)
+        known, out = self.pieces.__getitem__, []
+        for t, c in zip(texts, cut):
+            if c is None:
+                out.append(self.encode(t) if t else b"")
+            else:
+                out.append((self.encode(c[0]) if c[0] else b"") + b"".join(map(known, c[1:])))
+        return out
 
 
 _encoders: dict[str, TextEncoder] = {}
@@ -167,10 +189,12 @@ def write_token_files(
                 + [pa.array([ids], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64()))], schema=arrow)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            coded = (x for low in range(0, len(texts), TEXTS) for x in encoder.batch(texts[low:low + TEXTS]))
+            for doc, found in zip(batch.column(0).to_pylist(), coded):
                 if writer is None:
                     writer, ids, counts = _FileWriter(folder), [], []
-                found = encoder(text or "") + end
+                found += end
                 writer.add(found)
                 ids.append(doc)
                 counts.append(len(found) // 2)
