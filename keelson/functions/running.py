@@ -2,7 +2,8 @@
 
 A plain ``Window.orderBy(value)`` pulls every row into one task. Here the value range is
 cut into slices at approximate quantiles, each slice is windowed on its own, and the
-totals of the lower slices (at most ``slices`` rows per group) are added as an offset.
+totals of the lower slices (at most ``slices`` rows per group, by default as many as there are
+shuffle partitions) are added as an offset.
 A slice is a pure function of the value, so a recomputed task lands on the same slices.
 """
 
@@ -16,8 +17,6 @@ from pyspark.sql import functions as F
 
 from keelson.session import shuffle_width
 
-MAX_SLICES = 1024
-
 
 def place_in_slices(
     df: DataFrame, order: str, measures: Sequence[str], slices: int | None = None
@@ -26,11 +25,11 @@ def place_in_slices(
 
     Slices hold about the same number of rows of ``df`` each. A NULL goes to slice 0.
     """
-    width = max(2, slices or min(MAX_SLICES, shuffle_width(df.sparkSession)))
+    width = max(2, slices or shuffle_width(df.sparkSession))
     fractions = [i / width for i in range(1, width)]
     # The measures ride along so that the subquery reads the same shuffle as the rest.
     cuts = df.agg(F.struct(
-        F.percentile_approx(F.col(order).cast("double"), F.lit(fractions), F.lit(10000)).alias("cuts"),
+        F.percentile_approx(F.col(order).cast("double"), F.lit(fractions), F.lit(max(1000, 8 * width))).alias("cuts"),
         *[F.sum(c).alias(f"s{i}") for i, c in enumerate(measures)],
     )).scalar().getField("cuts")
 
@@ -84,8 +83,6 @@ def running_totals(
         *[F.sum(f"_sum_{s}").over(group).alias(f"total_{s}") for s in measures.values()],
         F.lead("_low").over(group.orderBy("_slice")).alias("_next_low"),
     )
-    if not by:
-        offsets = F.broadcast(offsets)  # at most `slices` rows
     match = (F.col("_slice") == F.col("_offset_slice")) & same_group(by, [f"_by_{i}" for i in range(len(by))])
 
     inner = W.partitionBy(*by, "_slice").orderBy(order)

@@ -55,8 +55,8 @@ def clean_text(c: str | Column) -> Column:
 
 
 def identifier(c: str | Column) -> Column:
-    """Runs of non-word characters become one underscore."""
-    return F.regexp_replace(_col(c), r"\W+", "_")
+    """Runs of non-word characters become one underscore; letters of any script stay."""
+    return F.regexp_replace(_col(c), r"(?U)\W+", "_")
 
 
 def cut_domain(c: str | Column) -> Column:

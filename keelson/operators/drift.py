@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions.running import running_totals, same_group
 from keelson.operators.metrics import ratio
+from keelson.session import staged
 
 SIDE = "is_baseline"
 SMOOTHING = 1e-4  # share given to a bin that is empty on one side
@@ -39,12 +40,17 @@ def _edges(baseline: DataFrame, column: str) -> Column:
 
 
 def _binned(df: DataFrame, column: str, edges: Column, bins: int) -> DataFrame:
-    """Equal-width bins between the edges; values beyond go to the end bins, NULLs drop out."""
-    v, lo, hi = F.col(column).cast("double"), F.col("_edges.lo"), F.col("_edges.hi")
+    """Equal-width bins between the edges; values beyond go to the end bins. A NULL has no bin, and
+    without a baseline no value has one."""
+    return df.withColumn("_edges", edges).withColumn(
+        "bin", bin_of(F.col(column), F.col("_edges.lo"), F.col("_edges.hi"), bins)).drop("_edges")
+
+
+def bin_of(column: Column, lo: Column, hi: Column, bins: int) -> Column:
+    v = column.cast("double")
     raw = F.floor((v - lo) / ((hi - lo) / F.lit(float(bins)))).cast("int")
     inside = F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))
-    index = F.when(v >= hi, F.lit(bins - 1)).when(v <= lo, F.lit(0)).otherwise(inside)
-    return df.filter(v.isNotNull()).withColumn("_edges", edges).withColumn("bin", index).drop("_edges")
+    return F.when(v >= hi, F.lit(bins - 1)).when(v <= lo, F.lit(0)).when(lo.isNotNull() & v.isNotNull(), inside)
 
 
 def bin_index(tagged: DataFrame, column: str, bins: int) -> DataFrame:
@@ -53,7 +59,8 @@ def bin_index(tagged: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def bin_shares(tagged: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """Baseline share ``q`` and log share ``p`` per bin, smoothed; every bin present.
+    """Baseline share ``q`` and log share ``p`` per bin, smoothed; every bin present. The shares
+    of a side without values are NULL, and so is every statistic made from them.
 
     One aggregate row with two counts per bin; the shuffle carries one row per task.
     """
@@ -70,7 +77,7 @@ def _share_row(i: int, bins: int) -> Column:
         total = F.lit(0)
         for j in range(bins):
             total = total + F.col(f"{name}{j}")
-        return F.greatest(ratio(F.col(f"{name}{i}"), total), F.lit(SMOOTHING))
+        return F.when(total > 0, F.greatest(ratio(F.col(f"{name}{i}"), total), F.lit(SMOOTHING)))
 
     return F.struct(F.lit(i).alias("bin"), share("p").alias("p"), share("q").alias("q"))
 
@@ -90,7 +97,12 @@ def js_distance(tagged: DataFrame, column: str, bins: int = 10) -> DataFrame:
     p, q = F.col("p"), F.col("q")
     m = (p + q) / F.lit(2.0)
     divergence = F.sum((p * F.ln(p / m) + q * F.ln(q / m)) / F.lit(2.0)) / F.ln(F.lit(2.0))
-    return sums.agg(F.sqrt(F.greatest(divergence, F.lit(0.0))).alias("js_distance"))
+    return sums.agg(_root(divergence).alias("js_distance"))
+
+
+def _root(divergence: Column) -> Column:
+    """Square root of what rounding may have put below 0; NULL stays NULL."""
+    return F.when(divergence.isNotNull(), F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
 # --- numeric drift on the full distributions ----------------------------------
@@ -116,7 +128,7 @@ def wasserstein(tagged: DataFrame, column: str, by: Sequence[str] = ()) -> DataF
     """Wasserstein-1 distance."""
     step = F.col("gap") * (F.col("next_value") - F.col("value"))
     return _cumulative(tagged, column, by).groupBy(*by).agg(
-        F.coalesce(F.sum(step), F.lit(0.0)).alias("wasserstein")
+        F.when((F.max("total_base") > 0) & (F.max("total_log") > 0), F.coalesce(F.sum(step), F.lit(0.0))).alias("wasserstein")
     )
 
 
@@ -226,77 +238,111 @@ def drift_deltas(
     return long.filter(F.col("value").isNotNull())
 
 
-def window_psi(
-    log: DataFrame, baseline: DataFrame, column: str, keys: Sequence[str], bins: int = 10,
-    match: Sequence[str] = (),
-) -> DataFrame:
-    """D2 and D3 per group of the log against the baseline's histogram.
+def _cells(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], by: Sequence[str], edges: Column | None, bins: int) -> DataFrame:
+    """(by, column, cell, n) of all columns in one aggregate: a numeric column's cells are its bins, a
+    category's cell is its value; NULL is a category of its own and no bin."""
+    df = df.withColumn("_edges", edges) if numeric else df
+    pairs = [
+        F.struct(F.lit(c).alias("column"), bin_of(F.col(c), F.col(f"_edges.lo{i}"), F.col(f"_edges.hi{i}"), bins).cast("string").alias("cell"))
+        for i, c in enumerate(numeric)
+    ] + [
+        F.struct(F.lit(c).alias("column"), F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")).alias("cell"))
+        for c in categorical
+    ]
+    return df.select(*by, F.explode(F.array(*pairs)).alias("_p")).groupBy(*by, "_p.column", "_p.cell").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _all_edges(baseline: DataFrame, numeric: Sequence[str]) -> Column | None:
+    """The extremes of all numeric columns as one scalar subquery."""
+    ends = [(f, F.col(c).cast("double"), f"{name}{i}") for i, c in enumerate(numeric) for f, name in ((F.min, "lo"), (F.max, "hi"))]
+    return baseline.agg(F.struct(*[f(v).alias(name) for f, v, name in ends]).alias("e")).scalar() if ends else None
+
+
+def window_cells(
+    log: DataFrame, baseline: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keys: Sequence[str],
+    match: Sequence[str] = (), bins: int = 10,
+) -> tuple[DataFrame, DataFrame]:
+    """The counts of log and baseline that D2, D3 and D7 are made of, stored once.
+
+    The log is read once and the baseline twice (its extremes, then its counts), whatever
+    the number of columns.
+    """
+    edges = _all_edges(baseline, numeric)
+    return (staged(_cells(log, numeric, categorical, keys, edges, bins), "drift-log"),
+            staged(_cells(baseline, numeric, categorical, match, edges, bins), "drift-baseline"))
+
+
+def cells_psi(cells: DataFrame, reference: DataFrame, numeric: Sequence[str], keys: Sequence[str], match: Sequence[str] = (), bins: int = 10) -> DataFrame:
+    """D2 and D3 per group and numeric column.
 
-    Each side shrinks to one row of ``bins`` counts per group before any comparison. The
-    baseline has one row, which reaches the log as a scalar subquery, or one row per
-    ``match`` value (a slice), which is joined.
+    A group without values, or one whose ``match`` the baseline lacks, keeps its row with
+    NULL statistics.
     """
-    edges = _edges(baseline, column)
-    counts = F.array(*[F.count_if(F.col("bin") == i) for i in range(bins)])
+    def histogram(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+        counts = F.array(*[F.coalesce(F.sum(F.when(F.col("cell") == str(i), F.col("n"))), F.lit(0)) for i in range(bins)])
+        return df.filter(F.col("column").isin(list(numeric))).groupBy(*by, "column").agg(counts.alias(name))
+
+    def total(values: Column, zero) -> Column:
+        return F.aggregate(values, zero, lambda a, x: a + x)
 
     def shares(counted: Column) -> Column:
-        total = F.aggregate(counted, F.lit(0).cast("bigint"), lambda a, x: a + x)
-        return F.transform(counted, lambda x: F.greatest(ratio(x, total), F.lit(SMOOTHING)))
-
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-
-    groups = _binned(log, column, edges, bins).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), counts.alias("_p"))
-    reference = _binned(baseline, column, edges, bins)
-    if match:
-        groups = groups.join(reference.groupBy(*match).agg(counts.alias("_q")), list(match))
-    else:
-        groups = groups.withColumn("_q", reference.agg(counts.alias("q")).scalar())
-    shared = groups.withColumns({"_p": shares(F.col("_p")), "_q": shares(F.col("_q"))})
-    p, q = F.col("_p"), F.col("_q")
-    terms = F.zip_with(p, q, lambda a, b: (a - b) * F.ln(a / b))
-    normal = shared.withColumns({"_psi": terms, "_sp": total(p), "_sq": total(q)}).withColumns({
-        "_np": F.transform(p, lambda x: x / F.col("_sp")), "_nq": F.transform(q, lambda x: x / F.col("_sq")),
-    })
+        n = total(counted, F.lit(0).cast("bigint"))
+        return F.when(n > 0, F.transform(counted, lambda x: F.greatest(ratio(x, n), F.lit(SMOOTHING))))
 
     def half(a: Column, b: Column) -> Column:
         return a * F.ln(a / ((a + b) / F.lit(2.0))) / F.lit(2.0)
 
-    js = F.zip_with(F.col("_np"), F.col("_nq"), lambda a, b: half(a, b) + half(b, a))
+    theirs = [f"_t_{k}" for k in match]
+    right = histogram(reference, match, "_q").select(*[F.col(k).alias(t) for k, t in zip(match, theirs)], F.col("column").alias("_c"), "_q")
+    groups = histogram(cells, keys, "_p").join(right, same_group([*match, "column"], [*theirs, "_c"]), "left")
+    zero = F.lit(0.0)
+    shared = groups.withColumns({"n": total(F.col("_p"), F.lit(0).cast("bigint")), "_p": shares(F.col("_p")), "_q": shares(F.col("_q"))})
+    normal = shared.withColumns({
+        "_np": F.transform("_p", lambda x: x / total(F.col("_p"), zero)), "_nq": F.transform("_q", lambda x: x / total(F.col("_q"), zero))})
+    js = F.zip_with("_np", "_nq", lambda a, b: half(a, b) + half(b, a))
     return normal.select(
-        *keys, "n", total(F.col("_psi")).alias("psi"),
-        F.sqrt(F.greatest(total(js) / F.ln(F.lit(2.0)), F.lit(0.0))).alias("js_distance"),
-    )
+        *keys, "column", "n", total(F.zip_with("_p", "_q", lambda a, b: (a - b) * F.ln(a / b)), zero).alias("psi"),
+        _root(total(js, zero) / F.ln(F.lit(2.0))).alias("js_distance"))
 
 
-def window_tv(
-    log: DataFrame, baseline: DataFrame, column: str, keys: Sequence[str], match: Sequence[str] = ()
-) -> DataFrame:
-    """D7 per group of the log against the baseline's shares.
+def cells_tv(cells: DataFrame, reference: DataFrame, categorical: Sequence[str], keys: Sequence[str], match: Sequence[str] = ()) -> DataFrame:
+    """D7 per group and categorical column; NULL where the baseline has no row for the ``match`` values.
 
     A category the group lacks adds its whole baseline share. Those need no rows: the
     shares of the lacking ones are 1 minus the shares of the ones present.
     """
-    category = F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
-
-    def shares(df: DataFrame, by: Sequence[str], count: str, share: str) -> DataFrame:
-        counts = df.groupBy(*by, category.alias("_category")).agg(F.count(F.lit(1)).alias(count))
-        if by:
-            theirs = [f"_t_{k}" for k in by]
-            totals = counts.groupBy(*[F.col(k).alias(t) for k, t in zip(by, theirs)]).agg(F.sum(count).alias("_total"))
-            counts = counts.join(totals, same_group(by, theirs)).drop(*theirs)
-        else:
-            counts = counts.withColumn("_total", counts.agg(F.sum(count)).scalar())
-        return counts.withColumn(share, ratio(F.col(count), F.col("_total"))).drop("_total")
-
-    reference = shares(baseline, list(match), "q", "_q").drop("q")
-    present = shares(log, list(keys), "p", "_p").join(reference, [*match, "_category"], "left").withColumn(
-        "_q", F.coalesce("_q", F.lit(0.0))
-    )
-    lacking = F.greatest(F.lit(1.0) - F.sum("_q"), F.lit(0.0))
-    return present.groupBy(*keys).agg(
-        F.sum("p").alias("n"), ((F.sum(F.abs(F.col("_p") - F.col("_q"))) + lacking) / F.lit(2.0)).alias("tv_distance")
-    )
+    def shares(df: DataFrame, by: Sequence[str], share: str) -> tuple[DataFrame, DataFrame]:
+        own = df.filter(F.col("column").isin(list(categorical)))
+        totals = own.groupBy(*[F.col(k).alias(f"_t_{k}") for k in (*by, "column")]).agg(F.sum("n").alias("_total"))
+        joined = own.join(totals, same_group([*by, "column"], [f"_t_{k}" for k in (*by, "column")]))
+        return joined.select(*by, "column", "cell", "n", ratio(F.col("n"), F.col("_total")).alias(share)), totals
+
+    log, _ = shares(cells, keys, "_p")
+    base, totals = shares(reference, match, "_q")
+    right = base.select(*[F.col(k).alias(f"_b_{k}") for k in (*match, "column", "cell")], "_q")
+    present = log.join(right, same_group([*match, "column", "cell"], [f"_b_{k}" for k in (*match, "column", "cell")]), "left")
+    known = present.join(totals, same_group([*match, "column"], [f"_t_{k}" for k in (*match, "column")]), "left")
+    q = F.coalesce("_q", F.lit(0.0))
+    lacking = F.greatest(F.lit(1.0) - F.sum(q), F.lit(0.0))
+    distance = (F.sum(F.abs(F.col("_p") - q)) + lacking) / F.lit(2.0)
+    return known.groupBy(*keys, "column").agg(F.sum("n").alias("n"), F.when(F.max("_total").isNotNull(), distance).alias("tv_distance"))
+
+
+def window_psi(
+    log: DataFrame, baseline: DataFrame, column: str, keys: Sequence[str], bins: int = 10,
+    match: Sequence[str] = (),
+) -> DataFrame:
+    """D2 and D3 of one column per group of the log against the baseline's histogram."""
+    cells, reference = window_cells(log, baseline, [column], [], keys, match, bins)
+    return cells_psi(cells, reference, [column], keys, match, bins).drop("column")
+
+
+def window_tv(
+    log: DataFrame, baseline: DataFrame, column: str, keys: Sequence[str], match: Sequence[str] = ()
+) -> DataFrame:
+    """D7 of one column per group of the log against the baseline's shares."""
+    cells, reference = window_cells(log, baseline, [], [column], keys, match)
+    return cells_tv(cells, reference, [column], keys, match).drop("column")
 
 
 def baseline_drift(
@@ -304,19 +350,16 @@ def baseline_drift(
     match: Sequence[str] = (), bins: int = 10,
 ) -> DataFrame:
     """PSI, JS and total variation per group and column as (column, kind, metric, value) rows."""
-    found = [
-        (c, window_psi(log, baseline, c, keys, bins, match), ("psi", "js_distance")) for c in numeric
-    ] + [(c, window_tv(log, baseline, c, keys, match), ("tv_distance",)) for c in categorical]
+    cells, reference = window_cells(log, baseline, numeric, categorical, keys, match, bins)
+    found = []
+    if numeric:
+        found.append((cells_psi(cells, reference, numeric, keys, match, bins), ("psi", "js_distance")))
+    if categorical:
+        found.append((cells_tv(cells, reference, categorical, keys, match), ("tv_distance",)))
     out = None
-    for column, frame, names in found:
-        rows = F.array(*[
-            F.struct(
-                F.lit(column).alias("column"), F.lit("baseline").alias("kind"), F.lit(n).alias("metric"),
-                F.col(n).alias("value"),
-            )
-            for n in names
-        ])
-        part = frame.select(*keys, F.inline(rows))
+    for frame, names in found:
+        rows = F.array(*[F.struct(F.lit("baseline").alias("kind"), F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])
+        part = frame.select(*keys, "column", F.inline(rows))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -13,8 +13,6 @@ from keelson.functions.text import agrees
 from keelson.operators.metrics import ratio
 from keelson.operators.splits import sample_n
 
-MIN_BLOCKS, BLOCK_ROWS = 200, 100_000
-
 Scorer = Column | Callable[[DataFrame], DataFrame]
 
 
@@ -80,26 +78,27 @@ def shapley_importance(
 
 def permutation_importance(
     df: DataFrame, features: Sequence[str], keys: Sequence[str], label: str, scorer: Scorer,
-    cut: float = 0.5, seed: int = 7,
+    cut: float = 0.5, seed: int = 7, blocks: int = 200,
 ) -> DataFrame:
     """Drop in accuracy when one feature is shuffled (Breiman 2001), over all rows.
 
-    Rows are spread over hashed blocks of about ``BLOCK_ROWS`` rows; inside a block a
-    feature's values move on by one place in a seeded order, so a task sorts one block
-    at a time however large the table is.
+    Rows are spread over ``blocks`` hashed blocks and sorted once, in a seeded order; the
+    first feature's values move on by one place within a block, the second's by two, and
+    so on. A large table takes more blocks by the parameter, never by its size alone, so
+    the result of a call does not depend on what else is in the cluster.
     """
     features = list(features)
-    blocks = max(MIN_BLOCKS, df.count() // BLOCK_ROWS)
     placed = df.withColumn("_block", bucket(*keys, buckets=blocks, salt=f"{seed}-block"))
     moved = placed
-    for f in features:
-        ring = W.partitionBy("_block").orderBy(shuffle_order(*keys, seed=f"{seed}-{f}"), *keys)
-        whole = ring.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        moved = moved.withColumn(
-            f"_moved_{f}",
-            F.when(F.row_number().over(ring) == F.count(F.lit(1)).over(W.partitionBy("_block")),
-                   F.first(f).over(whole)).otherwise(F.lead(f).over(ring)),
-        )
+    ring = W.partitionBy("_block").orderBy(shuffle_order(*keys, seed=seed), *keys)
+    whole = ring.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    left = F.count(F.lit(1)).over(W.partitionBy("_block")) - F.row_number().over(ring)
+    moved = moved.withColumn("_left", left)
+    for shift, f in enumerate(features, start=1):
+        value = F.lead(f, shift).over(ring)
+        for back in range(shift):  # the last rows of a block take its first values
+            value = F.when(F.col("_left") == back, F.nth_value(f, shift - back).over(whole)).otherwise(value)
+        moved = moved.withColumn(f"_moved_{f}", value)
     names = F.array(F.lit(""), *[F.lit(f) for f in features])
     variants = moved.withColumn("feature", F.explode(names)).select(
         "feature", F.col(label).alias("_label"),

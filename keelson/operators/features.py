@@ -10,20 +10,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions.text import clean_names, try_numeric, value_map
+from keelson.functions.text import clean_names, quote_name, try_numeric, value_map
 
-MAX_CATEGORIES = 1000
+MAX_COLUMNS = 1000
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, n) for several columns in one scan; NULL values included."""
     pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
+        F.struct(F.lit(c).alias("column"), F.col(quote_name(c)).cast("string").alias("value")) for c in columns
     ])
     return (
         df.select(F.explode(pairs).alias("pair"))
@@ -38,10 +40,11 @@ def category_vocab(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_vocab(
-    df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES
+    df: DataFrame, columns: Sequence[str], max_categories: int = MAX_COLUMNS
 ) -> dict[str, list[str]]:
-    """Collect sorted vocabularies. Each value becomes an output column, so a column with
-    more than ``max_categories`` values is refused (and never reaches the driver)."""
+    """Collect sorted vocabularies for encoding into columns. Each value becomes an output column,
+    so a column with more than ``max_categories`` values is refused (and never reaches the
+    driver); :func:`wide_one_hot` encodes those."""
     vocab = category_vocab(df, columns)
     limit = max_categories * len(columns)
     rows = vocab.select("column", "value").limit(limit + 1).collect()
@@ -55,7 +58,7 @@ def fit_vocab(
 
 
 def _indicator(column: str, value: str) -> Column:
-    hit = F.col(column).cast("string") == F.lit(value)
+    hit = F.col(quote_name(column)).cast("string") == F.lit(value)
     return F.when(hit, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
 
@@ -65,7 +68,7 @@ def one_hot(df: DataFrame, vocab: Mapping[str, Sequence[str]], drop_first: bool
     NULL and unseen values give zeros everywhere. ``drop_first`` leaves out the first
     value of every column.
     """
-    kept = [F.col(c) for c in df.columns if c not in vocab]
+    kept = [F.col(quote_name(c)) for c in df.columns if c not in vocab]
     dummies = [
         _indicator(c, v).alias(f"{c}_{v}")
         for c, values in vocab.items()
@@ -84,7 +87,13 @@ def unseen_categories(df: DataFrame, vocab: Mapping[str, Sequence[str]]) -> Data
 
 def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Keep rows without any NULL in the given (default: all) columns."""
-    return df.na.drop("any", subset=list(columns) if columns else None)
+    held = F.lit(True)
+    for c in columns if columns is not None else df.columns:
+        value = F.col(quote_name(c))
+        held = held & value.isNotNull()
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            held = held & ~F.isnan(value)
+    return df.filter(held)
 
 
 def rename_clean(df: DataFrame) -> DataFrame:
@@ -97,7 +106,7 @@ def select_supported(df: DataFrame, supported: Sequence[str]) -> DataFrame:
     missing = [c for c in supported if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    return df.select(*supported)
+    return df.select(*[quote_name(c) for c in supported])
 
 
 def select_signature(df: DataFrame, signature: T.StructType) -> DataFrame:
@@ -110,7 +119,7 @@ def select_signature(df: DataFrame, signature: T.StructType) -> DataFrame:
     ]
     if wrong:
         raise TypeError("signature mismatch: " + "; ".join(wrong))
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in signature])
+    return df.select(*[F.col(quote_name(f.name)).cast(f.dataType).alias(f.name) for f in signature])
 
 
 @dataclass
@@ -132,7 +141,8 @@ class FeatureSpec:
         out = one_hot(df, {c: self.vocab[c] for c in self.categoricals})
         if self.label and self.label in out.columns:
             mapped = value_map(self.label, self.label_map)
-            out = out.select(*[mapped.alias(c) if c == self.label else F.col(c) for c in out.columns])
+            out = out.select(*[
+                mapped.alias(c) if c == self.label else F.col(quote_name(c)) for c in out.columns])
         out = rename_clean(out)
         label = clean_names([self.label])[0] if self.label else None
         required = [c for c in out.columns if training or c != label]
@@ -213,14 +223,31 @@ def mode_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     })
 
 
-def fit_labels(df: DataFrame, column: str) -> list[str]:
-    """sorted classes of a label column."""
-    return fit_vocab(df, [column])[column]
+def fit_labels(df: DataFrame, column: str) -> DataFrame:
+    """the classes of a label column as (value, index), the index by sorted value.
 
+    A table, so any number of classes will do; the window runs over one row per class.
+    """
+    classes = category_vocab(df, [column]).select("value")
+    return classes.withColumn("index", (F.row_number().over(W.partitionBy(F.lit(0)).orderBy("value")) - 1).cast("int"))
+
+
+def label_encode(df: DataFrame, column: str, classes: DataFrame, output: str) -> DataFrame:
+    """position of the class among the sorted ones; an unknown class and NULL give NULL."""
+    known = classes.select(F.col("value").alias("_value"), F.col("index").alias(output))
+    return df.drop(output).join(known, F.col(quote_name(column)).cast("string") == F.col("_value"), "left").drop("_value")
 
-def label_encode(df: DataFrame, column: str, classes: Sequence[str], output: str) -> DataFrame:
-    """position of the class in the sorted list; an unknown class gives NULL."""
-    return df.withColumn(output, value_map(F.col(column).cast("string"), {c: i for i, c in enumerate(classes)}))
+
+def wide_one_hot(df: DataFrame, columns: Sequence[str], output: str = "encoded") -> PipelineModel:
+    """P1 for columns of any number of values: a fitted pipeline to one sparse vector.
+
+    Slots follow the sorted values, column after column; NULL and unseen values are zeros.
+    """
+    indexed = StringIndexer(inputCols=list(columns), outputCols=[f"_i_{c}" for c in columns],
+                            stringOrderType="alphabetAsc", handleInvalid="keep")
+    encoded = OneHotEncoder(inputCols=indexed.getOutputCols(), outputCols=[f"_v_{c}" for c in columns], dropLast=True)
+    joined = VectorAssembler(inputCols=encoded.getOutputCols(), outputCol=output)
+    return Pipeline(stages=[indexed, encoded, joined]).fit(df)
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.sources.tables import latest_per_key
+
 
 def latest_scores(log: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:
-    """Latest score per key; ``max`` over a struct combines map-side, also for a hot key."""
+    """Latest score per key; it combines map-side, also for a hot key."""
     rest = [c for c in log.columns if c not in (*keys, ts, *tie)]
-    best = log.groupBy(*keys).agg(F.max(F.struct(ts, *tie, *rest)).alias("_last"))
-    return best.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in (ts, *tie, *rest)])
+    return latest_per_key(log, keys, [ts, *tie]).select(*keys, ts, *tie, *rest)
 
 
 def at_risk_daily(

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from keelson.sources.tables import insert_missing, upsert
@@ -131,6 +132,7 @@ class Promotion:
 
     new_names: DataFrame
     versions: DataFrame
+    tags: DataFrame | None
     source_aliases: DataFrame
     target_aliases: DataFrame
 
@@ -138,11 +140,14 @@ class Promotion:
 def promote(
     aliases: DataFrame, versions: DataFrame, target_versions: DataFrame, target_name: Column,
     gates: DataFrame | None = None, challenger: str = CHALLENGER, champion: str = CHAMPION,
+    tags: DataFrame | None = None,
 ) -> Promotion:
     """Copy the challenger of every name to the target and make it champion in both places.
 
-    ``target_name`` maps the source name to the target name. With ``gates`` (``name,
-    version, passed``) only versions that passed are promoted.
+    ``target_name`` maps the source name to the target name; sources that share a target get
+    versions one after another, and the last is its champion. With ``gates`` (``name,
+    version, passed``) only versions that passed are promoted. The latest ``tags`` (``name,
+    version, key, value, ts``) of a version go with it.
     """
     chosen = aliases.filter(F.col("alias") == challenger).join(versions, ["name", "version"])
     if gates is not None:
@@ -153,10 +158,18 @@ def promote(
         target_name.alias("name"), "run_id", source.alias("source"), "description", "signature",
         F.col("name").alias("from_name"), F.col("version").alias("from_version"),
     )
-    numbered = copies.join(next_version(copies, target_versions), "name")
+    place = F.row_number().over(W.partitionBy("name").orderBy("from_name", "from_version")) - 1
+    numbered = copies.join(next_version(copies.select("name").distinct(), target_versions), "name").withColumn(
+        "version", (F.col("version") + place).cast("int"))
+    copied = None
+    if tags is not None:
+        copied = numbered.select("from_name", "from_version", "name", "version").join(
+            tags.select(F.col("name").alias("from_name"), F.col("version").alias("from_version"), "key", "value", "ts"),
+            ["from_name", "from_version"]).select("name", "version", "key", "value", "ts")
     return Promotion(
         new_names=missing_names(target_versions.select("name"), copies),
         versions=numbered,
+        tags=copied,
         source_aliases=chosen.select("name", F.lit(champion).alias("alias"), "version"),
-        target_aliases=numbered.select("name", F.lit(champion).alias("alias"), "version"),
+        target_aliases=numbered.groupBy("name").agg(F.lit(champion).alias("alias"), F.max("version").alias("version")),
     )

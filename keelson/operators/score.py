@@ -7,11 +7,17 @@ from datetime import datetime
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import (
+    AnalysisException, ArithmeticException, IllegalArgumentException, NumberFormatException, PythonException,
+    SparkRuntimeException,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators.features import select_supported
-from keelson.operators.splits import sample_n
+
+MODEL_ERRORS = (AnalysisException, ArithmeticException, IllegalArgumentException, NumberFormatException, PythonException,
+                SparkRuntimeException)
 
 
 def logistic(weights: Mapping[str, float], intercept: float = 0.0) -> Column:
@@ -82,12 +88,15 @@ def model_udf(load: Callable[[], Callable[[np.ndarray], np.ndarray]], result_typ
     return F.pandas_udf(score, result_type)
 
 
-def predicts(df: DataFrame, inputs: Sequence[str], predict, keys: Sequence[str], rows: int = 1000) -> int:
-    """M4: 1 when the model scores a seeded sample of rows without an error, else 0."""
+def predicts(df: DataFrame, inputs: Sequence[str], predict) -> int:
+    """M4: 1 when the model scores every row without an error and without a NULL, else 0.
+
+    A failure of the model's own code or of its expressions is the finding; one of the cluster
+    (a lost executor, a missing file) is raised.
+    """
     try:
-        sample = sample_n(df, keys, rows, seed="predicts")
         prediction = predict if isinstance(predict, Column) else predict(*[F.col(c) for c in inputs])
-        sample.select(prediction.alias("p")).agg(F.count("p")).collect()
-        return 1
-    except Exception:  # any failure of the model is the finding
+        scored, rows = df.select(prediction.alias("p")).agg(F.count("p"), F.count(F.lit(1))).first()
+    except MODEL_ERRORS:
         return 0
+    return int(scored == rows)

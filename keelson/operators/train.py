@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.operators.metrics import classifier_metrics
+from keelson.operators.score import MODEL_ERRORS
 from keelson.session import shared_dir, staging
 
 METRICS = ("accuracy", "precision", "recall", "f1", "log_loss", "roc_auc", "average_precision")
@@ -102,15 +103,17 @@ def run_trial(
 ) -> dict:
     """L4: fit and evaluate one candidate; the loss is the negative validation F1."""
     started = time.monotonic()
-    model = fit(df, features, label, family, params, split)
-    rows = trial_metrics(model, df, label, split).collect()
-    metrics = {
-        f"{r[split]}_{m}": float(r[m]) for r in rows for m in METRICS if r[m] is not None
-    }
+    metrics, status = {}, "FINISHED"
+    try:
+        model = fit(df, features, label, family, params, split)
+        for r in trial_metrics(model, df, label, split).collect():
+            metrics |= {f"{r[split]}_{m}": float(r[m]) for m in METRICS if r[m] is not None}
+    except (*MODEL_ERRORS, TypeError, ValueError):  # settings that cannot be fitted lose this trial, not the search
+        status = "FAILED"
     return {
-        "trial_id": trial_id, "family": family, "status": "FINISHED",
+        "trial_id": trial_id, "family": family, "status": status,
         "params": {k: str(v) for k, v in params.items()}, "metrics": metrics,
-        "loss": -metrics.get("val_f1", 0.0), "seconds": time.monotonic() - started,
+        "loss": -metrics.get("val_f1", 0.0) if status == "FINISHED" else None, "seconds": time.monotonic() - started,
     }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,3 +190,22 @@ select o_orderkey, o_orderstatus,
 def label_encode(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return P.label_encode(orders, "o_orderstatus", P.fit_labels(orders, "o_orderstatus"), "code")
+
+
+@query("label_encode_many", """
+select c_custkey, (dense_rank() over (order by c_name) - 1)::int code from customer""")
+def label_encode_many(spark, sf_dir) -> DataFrame:
+    """As many classes as rows: the class list is a table and has no limit."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return P.label_encode(customer, "c_name", P.fit_labels(customer, "c_name"), "code").drop("c_name")
+
+
+@query("one_hot_wide", """
+select c_custkey, (dense_rank() over (order by c_name))::int slot, 1.0::double total from customer""")
+def one_hot_wide(spark, sf_dir) -> DataFrame:
+    """A sparse vector with a slot per customer name."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    encoded = P.wide_one_hot(customer, ["c_name"]).transform(customer)
+    return encoded.select("c_custkey", vector_to_array("encoded").alias("cells")).select(
+        "c_custkey", F.array_position("cells", 1.0).cast("int").alias("slot"),
+        F.aggregate("cells", F.lit(0.0), lambda a, x: a + x).alias("total"))

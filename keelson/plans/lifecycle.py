@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from keelson.functions.text import clean_name, split_list, tag_lookup, user_slug
 from keelson.operators import drift, explain, gates, metrics, monitor, registry, train
 from keelson.operators.features import FeatureSpec
-from keelson.operators.score import ml_score, predicts
+from keelson.operators.score import MODEL_ERRORS, ml_score, predicts
 from keelson.operators.splits import TRAIN_VAL_TEST, split, with_split
-from keelson.session import shared_dir
+from keelson.session import shared_dir, staging
 from keelson.sources.model_tables import open_table
 from keelson.sources.tables import KeyedTable, VersionedTable, append, clone, create_database, overwrite, read_csv
 
@@ -38,11 +38,10 @@ CATEGORICALS = [
 ]
 KEY, LABEL = "customer_id", "churn"
 DEMOGRAPHICS = "senior_citizen,gender_female"
-# Boosting settings of the churn job. Its learning rate of 4.4 is outside the range Spark
-# accepts, so the largest accepted one stands in.
+# Boosting settings of the churn job.
 CHURN_PARAMS = {
-    "max_depth": 2, "rounds": 546, "learning_rate": 1.0, "subsample": 0.507285377704665,
-    "features_per_node": 0.7957569033043278, "min_rows_per_node": 5, "seed": 422313904,
+    "max_depth": 3, "rounds": 200, "learning_rate": 0.1, "subsample": 0.7,
+    "features_per_node": 0.8, "min_rows_per_node": 10, "seed": 11,
 }
 SLICES = {"gender_female=1": "gender_female = 1", "senior_citizen=1": "senior_citizen = 1"}
 
@@ -56,9 +55,9 @@ class Workspace:
     prod: str
 
     @staticmethod
-    def of(user: str, prefix: str = "retail") -> Workspace:
+    def of(user: str, prefix: str = "customers") -> Workspace:
         slug = user_slug(user)
-        return Workspace(user, f"dev_{prefix}_{slug}", f"prod_{prefix}_{slug}")
+        return Workspace(user, f"{prefix}_{slug}_lab", f"{prefix}_{slug}_live")
 
     def table(self, stage: str, name: str) -> str:
         return f"{self.dev if stage == 'dev' else self.prod}.{name}"
@@ -68,8 +67,8 @@ class Workspace:
         return f"churn_model_{user_slug(self.user)}"
 
 
-BRONZE, UPDATES, FEATURES = "churn_bronze_customers", "churn_updates", "churn_features"
-BASELINE, PREDICTIONS, SPECS = "churn_baseline", "churn_predictions", "feature_specs"
+BRONZE, UPDATES, FEATURES = "raw_customers", "late_customers", "customer_features"
+BASELINE, PREDICTIONS, SPECS = "scored_reference", "scored_customers", "feature_specs"
 
 
 def ingest(spark: SparkSession, ws: Workspace, csv_path: str) -> None:
@@ -96,20 +95,20 @@ def load_spec(spark: SparkSession, ws: Workspace, stage: str, name: str) -> Feat
     return FeatureSpec.from_dict(json.loads(rows[0]["spec"]))
 
 
-def build_features(spark: SparkSession, ws: Workspace, buckets: int | None = None) -> KeyedTable:
+def build_features(spark: SparkSession, ws: Workspace, parts: int | None = 16) -> KeyedTable:
     """Fit the featuriser on the bronze table and rebuild the dev feature table."""
     bronze = spark.table(ws.table("dev", BRONZE))
     spec = FeatureSpec(CATEGORICALS, LABEL).fit(bronze)
     save_spec(spark, ws, "dev", FEATURES, spec)
     features = spec.transform(bronze)
-    store = KeyedTable(spark, ws.table("dev", FEATURES), buckets)
+    store = KeyedTable(spark, ws.table("dev", FEATURES), parts)
     text = "Churn features: one-hot categoricals with clean names, numeric charges, 0/1 label."
     store.create(features.schema, [KEY], text, replace=True).merge(features)
     return store
 
 
 def refresh_features(
-    spark: SparkSession, ws: Workspace, source: str = UPDATES, buckets: int | None = None
+    spark: SparkSession, ws: Workspace, source: str = UPDATES, parts: int | None = 16
 ) -> KeyedTable:
     """Incremental job: the fitted spec on a batch of customers, merged into prod features.
 
@@ -117,7 +116,7 @@ def refresh_features(
     """
     spec = load_spec(spark, ws, "dev", FEATURES)
     features = spec.transform(spark.table(ws.table("prod", source)), training=False)
-    store = KeyedTable(spark, ws.table("prod", FEATURES), buckets)
+    store = KeyedTable(spark, ws.table("prod", FEATURES), parts)
     store.create(features.schema, [KEY], "Churn features by customer.").merge(features)
     return store
 
@@ -147,7 +146,7 @@ def train_model(
     return measured
 
 
-def explain_model(spark: SparkSession, ws: Workspace, run_id: str, n: int = 100, seed: int = 711162379) -> DataFrame:
+def explain_model(spark: SparkSession, ws: Workspace, run_id: str, n: int = 100, seed: int = 20260101) -> DataFrame:
     """Shapley importances of a run's model: val rows against train rows."""
     features = with_split(spark.table(ws.table("dev", FEATURES)), [KEY], TRAIN_VAL_TEST)
     inputs = [c for c in features.columns if c not in (KEY, LABEL, "split")]
@@ -234,18 +233,22 @@ def validate_challenger(spark: SparkSession, ws: Workspace, at: datetime) -> Dat
 def predicts_with(features: DataFrame, scored) -> int:
     """M4 for a model that transforms a frame."""
     try:
-        return predicts(scored(features), [], F.col("prediction"), [KEY])
-    except Exception:  # a model that cannot even be planned does not predict
+        frame = scored(features)
+    except MODEL_ERRORS:  # a model that cannot even be planned does not predict
         return 0
+    return predicts(frame, [], F.col("prediction"))
 
 
 def promote_challenger(spark: SparkSession, ws: Workspace, report: DataFrame | None = None) -> DataFrame:
     """Copy the challenger to prod and make it champion there and in dev."""
     aliases, versions = open_table(spark, "model_aliases", ws.dev), open_table(spark, "model_versions", ws.dev)
     target = open_table(spark, "model_versions", ws.prod)
+    own = aliases.read().filter(F.col("name") == ws.table("dev", ws.model))
     done = registry.promote(
-        aliases.read(), versions.read(), target.read(), F.lit(ws.table("prod", ws.model)), report
+        own, versions.read(), target.read(), F.lit(ws.table("prod", ws.model)), report,
+        tags=open_table(spark, "version_tags", ws.dev).read(),
     )
+    tags = spark.createDataFrame(done.tags.collect(), done.tags.schema)  # one row per tag name of a version
     copies = done.versions.drop("source").join(
         versions.read().select(F.col("name").alias("from_name"), F.col("version").alias("from_version"), "source"),
         ["from_name", "from_version"],
@@ -254,6 +257,10 @@ def promote_challenger(spark: SparkSession, ws: Workspace, report: DataFrame | N
     pinned = spark.createDataFrame(copies.collect(), copies.schema)
     target.merge(pinned.select(target.read().columns))
     champion = F.lit(registry.CHAMPION).alias("alias")
+    text = F.lit("promoted from " + ws.table("dev", ws.model)).alias("description")
+    created = spark.createDataFrame(done.new_names.select("name", text).collect(), "name string, description string")
+    open_table(spark, "registered_models", ws.prod).merge(created)
+    open_table(spark, "version_tags", ws.prod).merge(tags)
     open_table(spark, "model_aliases", ws.prod).merge(pinned.select("name", champion, "version"))
     aliases.merge(pinned.select(
         F.col("from_name").alias("name"), champion, F.col("from_version").alias("version")
@@ -264,7 +271,7 @@ def promote_challenger(spark: SparkSession, ws: Workspace, report: DataFrame | N
 def score_features(
     spark: SparkSession, ws: Workspace, features: DataFrame, target: str = PREDICTIONS, at: datetime | None = None
 ) -> DataFrame:
-    """Batch inference with the champion, appended to the log."""
+    """Batch inference with the champion, appended to the log; returns the stored rows of this run."""
     name = ws.table("prod", ws.model)
     champion = pointed_version(spark, ws.prod, name, registry.CHAMPION)
     if champion is None:
@@ -273,8 +280,11 @@ def score_features(
     scored = ml_score(
         marked, PipelineModel.load(champion["source"]), name, registry.CHAMPION, str(champion["version"]), at
     ).drop("_validation")
-    append(scored, ws.table("prod", target))
-    return scored
+    with staging(scored, "scored") as rows:
+        append(rows, ws.table("prod", target))
+        times = [r[0] for r in rows.select("prediction_time").distinct().limit(2).collect()]
+    log = spark.table(ws.table("prod", target))
+    return log.filter(F.col("prediction_time").isin(times) & (F.col("model_name") == name)) if times else log.limit(0)
 
 
 def score_baseline_and_log(spark: SparkSession, ws: Workspace, at: datetime | None = None) -> None:

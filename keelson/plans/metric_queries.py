@@ -240,19 +240,20 @@ def shapley_importance(spark, sf_dir) -> DataFrame:
 PERM_Z = "(((-2.0 + 0.9 * price) + 0.2 * urgency))"
 
 
-def _moved(column: str) -> str:
-    order = f"order by md5('7-{column}|' || o_orderkey::varchar), o_orderkey"
+def _moved(column: str, shift: int) -> str:
+    ring = "partition by blk order by md5('7|' || o_orderkey::varchar), o_orderkey"
+    whole = f"{ring} rows between unbounded preceding and unbounded following"
+    ends = " ".join(f"when {back} then nth_value({column}, {shift - back}) over ({whole})" for back in range(shift))
     return f"""
-case when row_number() over (partition by blk {order}) = count(*) over (partition by blk)
-     then first_value({column}) over (partition by blk {order} rows between unbounded preceding and unbounded following)
-     else lead({column}) over (partition by blk {order}) end moved_{column}"""
+case count(*) over (partition by blk) - row_number() over ({ring}) {ends}
+     else lead({column}, {shift}) over ({ring}) end moved_{column}"""
 
 
 @query("permutation_importance", f"""
 with o as (select o_orderkey, o_totalprice / 100000.0 as price, substr(o_orderpriority, 1, 1)::double urgency,
                   case when o_orderstatus = 'F' then 1 else 0 end as label,
-                  {sql_bucket('o_orderkey', salt='7-block', buckets='greatest(200, (select count(*) from orders) // 100000)')} blk from orders),
-mv as (select *, {_moved('price')}, {_moved('urgency')} from o),
+                  {sql_bucket('o_orderkey', salt='7-block', buckets=200)} blk from orders),
+mv as (select *, {_moved('price', 1)}, {_moved('urgency', 2)} from o),
 acc as (select avg(case when (1.0 / (1.0 + exp(-((-2.0 + 0.9 * price) + 0.2 * urgency))) > 0.5)::int = label
                         then 1.0 else 0.0 end) a0,
                avg(case when (1.0 / (1.0 + exp(-((-2.0 + 0.9 * moved_price) + 0.2 * urgency))) > 0.5)::int = label

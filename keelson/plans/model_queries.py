@@ -9,6 +9,7 @@ from keelson.functions.text import tag_lookup
 from keelson.operators import gates as G
 from keelson.operators import metrics as M
 from keelson.operators import registry as R
+from keelson.operators.score import predicts
 from keelson.plans.derived import (
     ALIASES,
     RUNS,
@@ -217,10 +218,10 @@ copies as (select 'prod.' || c.name as name, (coalesce(last, 0) + 1)::int as ver
            from chosen c left join prod on prod.name = 'prod.' || c.name)"""
 
 
-def _promotion(spark, sf_dir, gates: DataFrame | None = None) -> R.Promotion:
+def _promotion(spark, sf_dir, gates: DataFrame | None = None, tags: DataFrame | None = None) -> R.Promotion:
     versions = model_versions(spark, sf_dir)
     target = versions.filter("stage = 'P'").withColumn("name", F.concat(F.lit("prod."), "name"))
-    return R.promote(model_aliases(versions), versions, target, F.concat(F.lit("prod."), "name"), gates)
+    return R.promote(model_aliases(versions), versions, target, F.concat(F.lit("prod."), "name"), gates, tags=tags)
 
 
 @query("promote", f"""
@@ -231,6 +232,34 @@ def promote(spark, sf_dir) -> DataFrame:
     return copies.select("name", "version", "run_id", "source", "description", "from_name", "from_version")
 
 
+@query("promote_tags", f"""
+with {VERSIONS}, {ALIASES}, {PROMOTED}
+select name, version, 'run' "key", run_id "value" from copies""")
+def promote_tags(spark, sf_dir) -> DataFrame:
+    """A version's tags go to the target with it."""
+    versions = model_versions(spark, sf_dir)
+    tags = versions.select("name", "version", F.lit("run").alias("key"), F.col("run_id").alias("value"),
+                           F.lit("2026-01-01").cast("timestamp").alias("ts"))
+    return _promotion(spark, sf_dir, tags=tags).tags.select("name", "version", "key", "value")
+
+
+@query("create_models", f"""
+with {VERSIONS}, {ALIASES}, {PROMOTED}
+select distinct name from copies where name not in (select name from prod)""")
+def create_models(spark, sf_dir) -> DataFrame:
+    """The names a promotion has to create in the target."""
+    return _promotion(spark, sf_dir).new_names
+
+
+@query("predicts_all", """
+select (count(*) = count(o_totalprice))::int whole, (count(*) = count(nullif(o_orderstatus, 'P')))::int gap from orders""")
+def predicts_all(spark, sf_dir) -> DataFrame:
+    """M4 over all rows: one model answers everywhere, one leaves NULLs."""
+    orders = table(spark, sf_dir, "orders")
+    gap = F.when(F.col("o_orderstatus") != "P", F.lit(1))
+    return spark.createDataFrame([(predicts(orders, [], F.col("o_totalprice")), predicts(orders, [], gap))], "whole int, gap int")
+
+
 @query("promote_aliases", f"""
 with {VERSIONS}, {ALIASES}, {PROMOTED}
 select name, 'Champion' alias, version from copies union all select from_name, 'Champion', from_version from copies""")

@@ -22,7 +22,7 @@ from keelson.plans.derived import (
 )
 from keelson.plans.registry import query, rounded, sql_bucket, table
 from keelson.plans.table_queries import scratch_name
-from keelson.session import scratch_path
+from keelson.session import is_folder, scratch_path
 from keelson.sources.tables import KeyedTable
 from keelson.streaming import jobs
 
@@ -304,6 +304,77 @@ def drift_windows(spark, sf_dir) -> DataFrame:
     return rounded(out, "psi", "js_distance")
 
 
+@query("drift_missing_sides", f"""
+with {DRIFTED},
+t as (select *, date_trunc('day', ts) as day, case when day(ts) = 20 then null else value end v
+      from tagged where not (is_baseline and event_type = 'view')),
+edges as (select min(v) lo, max(v) hi from t where is_baseline),
+binned as (select is_baseline, day, event_type, case when v >= hi then {BINS - 1} when v <= lo then 0 else
+             least(greatest(floor((v - lo) / ((hi - lo) / {BINS}.0)), 0), {BINS - 1})::int end bin
+           from t, edges where v is not null),
+grp as (select day, event_type, count(v) n from t where not is_baseline group by 1, 2),
+cnt as (select day, event_type, bin, count(*) c from binned where not is_baseline group by 1, 2, 3),
+bt as (select event_type, count(*) b from binned where is_baseline group by 1),
+bc as (select event_type, bin, count(*) c from binned where is_baseline group by 1, 2),
+s as (select grp.day, grp.event_type, n, b, greatest(coalesce(cnt.c, 0)::double / nullif(n, 0), 0.0001) p,
+             greatest(coalesce(bc.c, 0)::double / b, 0.0001) q
+      from grp cross join range({BINS}) r(i) left join bt on bt.event_type = grp.event_type
+      left join cnt on cnt.day = grp.day and cnt.event_type = grp.event_type and cnt.bin = i
+      left join bc on bc.event_type = grp.event_type and bc.bin = i)
+select day::timestamp as day, event_type, max(n) n,
+       case when max(n) > 0 and max(b) > 0 then round(sum((p - q) * ln(p / q)), 6) end psi from s group by 1, 2""")
+def drift_missing_sides(spark, sf_dir) -> DataFrame:
+    """A day without values, and an event type the baseline lacks, keep their rows with a NULL statistic."""
+    tagged = drifted(spark, sf_dir).withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz")).withColumn(
+        "value", F.when(F.dayofmonth("ts") != 20, F.col("value")))
+    baseline = tagged.filter(F.col(D.SIDE) & (F.col("event_type") != "view"))
+    out = D.window_psi(tagged.filter(~F.col(D.SIDE)), baseline, "value", ["day", "event_type"], BINS, ["event_type"])
+    return rounded(out.select("day", "event_type", "n", "psi"), "psi")
+
+
+@query("drift_empty_baseline", f"""
+with {DRIFTED} select null::double psi, null::double js_distance, null::double wasserstein, count(value) n
+from tagged where not is_baseline""")
+def drift_empty_baseline(spark, sf_dir) -> DataFrame:
+    """Without a baseline there is no statistic, and no error."""
+    log = drifted(spark, sf_dir).filter(~F.col(D.SIDE))
+    n = log.agg(F.count("value").alias("n"))
+    return n.select(
+        D.psi(log, "value").scalar().alias("psi"), D.js_distance(log, "value").scalar().alias("js_distance"),
+        D.wasserstein(log, "value").scalar().alias("wasserstein"), "n")
+
+
+def _psi_sql(column: str) -> str:
+    return f"""
+select day, '{column}' as column, 'psi' metric, round(sum((p - q) * ln(p / q)), 6) as value from (
+  select grp.day, greatest(coalesce(cnt.c, 0)::double / n, 0.0001) p, greatest(coalesce(bc.c, 0)::double / b, 0.0001) q
+  from (select day, count({column}) n from t where not is_baseline group by 1) grp
+  cross join range({BINS}) r(i) cross join (select count({column}) b from t where is_baseline)
+  left join (select day, {column}_bin bin, count(*) c from t where not is_baseline group by 1, 2) cnt on cnt.day = grp.day and cnt.bin = i
+  left join (select {column}_bin bin, count(*) c from t where is_baseline group by 1) bc on bc.bin = i) group by 1"""
+
+
+def _bin_sql(column: str) -> str:
+    lo, hi = (f"(select {f}({column}) from tagged where is_baseline)" for f in ("min", "max"))
+    return f"""case when {column} is null then null when {column} >= {hi} then {BINS - 1} when {column} <= {lo} then 0 else
+  least(greatest(floor(({column} - {lo}) / (({hi} - {lo}) / {BINS}.0)), 0), {BINS - 1})::int end {column}_bin"""
+
+
+@query("baseline_drift", f"""
+with {DRIFTED}, t as (select *, date_trunc('day', ts)::timestamp as day, {_bin_sql('value')}, {_bin_sql('user_id')} from tagged),
+tv as (select day, 'event_type' as column, 'tv_distance' metric, round(sum(abs(coalesce(c, 0)::double / n - q)) / 2, 6) as value
+       from (select day, count(*) n from t where not is_baseline group by 1) grp
+       cross join (select event_type, count(*)::double / sum(count(*)) over () q from t where is_baseline group by 1) base
+       left join (select day d, event_type e, count(*) c from t where not is_baseline group by 1, 2) on d = grp.day and e = base.event_type
+       group by 1)
+select * from ({_psi_sql('value')} union all {_psi_sql('user_id')} union all select * from tv)""")
+def baseline_drift(spark, sf_dir) -> DataFrame:
+    """All columns of the log against the baseline from one set of counts."""
+    tagged = drifted(spark, sf_dir).withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    out = D.baseline_drift(tagged.filter(~F.col(D.SIDE)), tagged.filter(D.SIDE), ["value", "user_id"], ["event_type"], ["day"], (), BINS)
+    return rounded(out.filter("metric <> 'js_distance'").select("day", "column", "metric", "value"), "value")
+
+
 @query("drift_windows_tv", f"""
 with {DRIFTED},
 base as (select event_type, count(*)::double / sum(count(*)) over () q from tagged where is_baseline group by 1),
@@ -370,8 +441,12 @@ def retrain_signal(spark, sf_dir) -> DataFrame:
 # --- streaming ----------------------------------------------------------------
 
 def event_stream(spark, sf_dir, name: str = "events") -> DataFrame:
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """A table as a stream of its files, be it a folder of them or a single one."""
+    stream = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if is_folder(spark, path):
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 CLOSED = "w.window_end <= (select max(ts) from events) - interval '10 minutes'"

@@ -112,7 +112,7 @@ def keyed_merge(spark, sf_dir) -> DataFrame:
     """The same upsert through a keyed table: create, load, merge, read."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     place = bucket("o_orderkey")
-    store = S.KeyedTable(spark, scratch_name(spark, "merged"), buckets=8)
+    store = S.KeyedTable(spark, scratch_name(spark, "merged"), parts=8)
     store.create(orders.schema, ["o_orderkey"], "orders by key").merge(orders.filter(place < 90))
     store.merge(orders.filter(place >= 85).withColumn("o_totalprice", F.round(F.col("o_totalprice") + 1, 2)))
     return store.read()
@@ -130,6 +130,40 @@ def snapshot_clone(spark, sf_dir) -> DataFrame:
     return spark.table(target)
 
 
+@query("replace_keeps_clone", "select c_custkey, c_acctbal from customer")
+def replace_keeps_clone(spark, sf_dir) -> DataFrame:
+    """The source starts afresh and is cleaned up; the clone still reads its version."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    store = S.KeyedTable(spark, scratch_name(spark, "replaced"), parts=4)
+    store.create(customer.schema, ["c_custkey"]).merge(customer)
+    target = scratch_name(spark, "clone")
+    S.clone(spark, store.name, target)
+    store.create(customer.schema, ["c_custkey"], replace=True).merge(customer.limit(10))
+    store.vacuum()
+    return spark.table(target)
+
+
+@query("merge_touched_partitions", """
+select o_orderkey, case when o_orderkey <= 40 then -1.0 else o_totalprice end o_totalprice from orders""")
+def merge_touched_partitions(spark, sf_dir) -> DataFrame:
+    """A small update reads and writes only the partitions its keys lie in."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    store = S.KeyedTable(spark, scratch_name(spark, "touched"), parts=64)
+    store.create(orders.schema, ["o_orderkey"]).merge(orders)
+    store.merge(orders.filter("o_orderkey <= 40").withColumn("o_totalprice", F.lit(-1.0)))
+    return store.read()
+
+
+@query("latest_runs", """
+select o_custkey, arg_max(o_orderkey, o_orderkey) last_order, arg_max(o_orderstatus, o_orderkey) status from orders group by 1""")
+def latest_runs(spark, sf_dir) -> DataFrame:
+    """The latest row per key with a map among its columns."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderkey", F.create_map(F.lit("status"), F.col("o_orderstatus")).alias("tags"))
+    return S.latest_per_key(orders, ["o_custkey"], ["o_orderkey"]).select(
+        "o_custkey", F.col("o_orderkey").alias("last_order"), F.col("tags")["status"].alias("status"))
+
+
 @query("preview_limit", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 20")
 def preview_limit(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
@@ -164,10 +198,10 @@ def split_60_20_20(spark, sf_dir) -> DataFrame:
 
 
 @query("sample_n", """
-select doc_id, n_chars from documents order by md5('711162379|' || doc_id::varchar), doc_id limit 100""")
+select doc_id, n_chars from documents order by md5('20260101|' || doc_id::varchar), doc_id limit 100""")
 def sample_documents(spark, sf_dir) -> DataFrame:
     """SP4 with the fixed seed."""
-    return sample_n(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), ["doc_id"], 100, 711162379)
+    return sample_n(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), ["doc_id"], 100, 20260101)
 
 
 # --- scalar functions ---------------------------------------------------------
@@ -180,9 +214,9 @@ def sf_clean_text(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", X.clean_text(raw).alias("cleaned"))
 
 
-@query("sf_identifier", r"select c_custkey, regexp_replace(c_name || '--x', '\W+', '_', 'g') slug from customer")
+@query("sf_identifier", r"select c_custkey, regexp_replace(c_name || '--José x', '[^\w\p{L}]+', '_', 'g') slug from customer")
 def sf_identifier(spark, sf_dir) -> DataFrame:
-    raw = F.concat("c_name", F.lit("--x"))
+    raw = F.concat("c_name", F.lit("--José x"))
     return table(spark, sf_dir, "customer").select("c_custkey", X.identifier(raw).alias("slug"))
 
 

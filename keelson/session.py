@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -45,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
         return configured
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="keelson-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -81,8 +82,18 @@ def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        filesystem, jvm_path = _filesystem(spark, path)
-        filesystem.delete(jvm_path, True)
+        delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; a missing one is fine."""
+    filesystem, jvm_path = _filesystem(spark, path)
+    filesystem.delete(jvm_path, True)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    filesystem, jvm_path = _filesystem(spark, path)
+    return filesystem.getFileStatus(jvm_path).isDirectory()
 
 
 def _filesystem(spark: SparkSession, path: str):

@@ -18,6 +18,7 @@ SCHEMAS = {
         "signature array<struct<name:string,type:string>>"
     ),
     "model_aliases": "name string, alias string, version int",
+    "registered_models": "name string, description string",
     "version_tags": "name string, version int, key string, value string, ts timestamp",
 }
 KEYS = {
@@ -25,6 +26,7 @@ KEYS = {
     "runs": ["run_id"],
     "model_versions": ["name", "version"],
     "model_aliases": ["name", "alias"],
+    "registered_models": ["name"],
     "version_tags": ["name", "version", "key"],
 }
 

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions.text import quote_name
-from keelson.session import staging
+from keelson.session import delete_path, staging
 
 KEY_PROPERTY = "primary_key"
+OWNER_PROPERTY = "keelson.table"
+PIN_PROPERTY = "keelson.pinned"
+PARTS_PROPERTY = "keelson.parts"
 SEPARATOR = "__v"
+PART, NEWER = "_part", "_newer"
 
 
 # --- scans --------------------------------------------------------------------
@@ -87,7 +92,7 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     extra = [c for c in df.columns if c not in schema.names]
     if missing or extra:
         raise ValueError(f"columns do not match the table: missing {missing}, unexpected {extra}")
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    return df.select(*[F.col(quote_name(f.name)).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def append(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
@@ -112,9 +117,12 @@ def clone(spark: SparkSession, source: str, target: str) -> None:
     """
     if spark.catalog.tableExists(target):
         return
-    version = VersionedTable(spark, source).current_version()
-    pinned = version if version else source
-    spark.sql(f"CREATE VIEW {quote_name(*target.split('.'))} AS SELECT * FROM {quote_name(*pinned.split('.'))}")
+    pinned = VersionedTable(spark, source).current_version() or source
+    quoted = quote_name(*pinned.split("."))
+    if pinned != source:
+        spark.sql(f"ALTER TABLE {quoted} SET TBLPROPERTIES ('{PIN_PROPERTY}'='true')")
+    columns = ", ".join(quote_name(c) for c in spark.table(source).columns)
+    spark.sql(f"CREATE VIEW {quote_name(*target.split('.'))} AS SELECT {columns} FROM {quoted}")
 
 
 # --- keys and upserts ---------------------------------------------------------
@@ -128,11 +136,17 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the greatest under ``order``; combines map-side, so a hot key is cheap."""
+    """One row per key, the greatest under ``order``; combines map-side, so a hot key is cheap.
+
+    Rows that tie on ``order`` are told apart by a hash of all columns, maps included.
+    """
     others = [c for c in df.columns if c not in keys]
-    rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in others if c not in order])
-    best = df.groupBy(*keys).agg(F.max(rank).alias("_best"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
+    comparable = [F.to_json(F.struct(quote_name(f.name))) for f in df.schema if f.name in others]
+    rank = F.struct(*[F.col(quote_name(c)) for c in order], F.xxhash64(*comparable) if comparable else F.lit(0))
+    row = F.struct(*[F.col(quote_name(c)) for c in others]) if others else F.lit(0)
+    best = df.groupBy(*[quote_name(k) for k in keys]).agg(F.max_by(row, rank).alias("_best"))
+    return best.select(*[
+        F.col(quote_name(c)) if c in keys else F.col("_best").getField(c).alias(c) for c in df.columns])
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], hint: str | None = None) -> DataFrame:
@@ -155,8 +169,10 @@ def insert_missing(base: DataFrame, candidates: DataFrame, keys: Sequence[str])
 class VersionedTable:
     """Immutable versions plus a view that names the current one.
 
-    Every write builds a complete new version next to the old one and then moves the
-    view, so readers never see half a write and a failed write leaves the table as it was.
+    Every write builds a new version next to the old one and then moves the view, so
+    readers never see half a write and a failed write leaves the table as it was. A
+    version carries the name of its table as a property; only tables that do are ever
+    listed as versions or dropped.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -171,53 +187,57 @@ class VersionedTable:
         return self.spark.table(self.name)
 
     def description(self) -> str | None:
-        return self._properties().get("comment")
+        return self._properties(self.name).get("comment")
 
     def current_version(self) -> str | None:
         """Name of the version table behind the view, or None for a plain table."""
-        return self._properties().get("keelson.version") if self.exists() else None
+        return self._properties(self.name).get("keelson.version") if self.exists() else None
 
     def versions(self) -> list[str]:
         *database, table = self.name.split(".")
         where = ".".join(database) or self.spark.catalog.currentDatabase()
-        prefix = (table + SEPARATOR).lower()
-        names = [t.name for t in self.spark.catalog.listTables(where) if t.name.lower().startswith(prefix)]
-        return [".".join([*database, n]) for n in names]
+        shape = re.compile(re.escape(table + SEPARATOR) + "[0-9a-f]{32}", re.IGNORECASE)
+        names = [".".join([*database, t.name]) for t in self.spark.catalog.listTables(where) if shape.fullmatch(t.name)]
+        return [n for n in names if self._properties(n).get(OWNER_PROPERTY, "").lower() == self.name.lower()]
 
     def overwrite(self, df: DataFrame, description: str = "") -> None:
         """A new version with the frame's rows and schema."""
-        self._publish(df, {}, description)
+        version = self._new_name()
+        df.write.mode("errorifexists").saveAsTable(version)
+        self._move_view(version, {}, description)
 
     def vacuum(self) -> list[str]:
-        """Drop every version but the current one; only when no clone or reader needs them."""
+        """Drop every version but the current one and those that a clone reads."""
         keep = (self.current_version() or "").lower()
-        dropped = [v for v in self.versions() if v.lower() != keep]
-        for version in dropped:
-            drop_table(self.spark, version)
+        dropped = [v for v in self.versions() if v.lower() != keep and PIN_PROPERTY not in self._properties(v)]
+        self._drop_versions(dropped)
         return dropped
 
     def drop(self) -> None:
+        """Drop the table and its versions, but for those that a clone reads."""
         versions = self.versions()
         drop_table(self.spark, self.name)
+        self._drop_versions([v for v in versions if PIN_PROPERTY not in self._properties(v)])
+
+    def _drop_versions(self, versions: Sequence[str]) -> None:
         for version in versions:
             drop_table(self.spark, version)
 
-    def _publish(self, df: DataFrame, properties: dict[str, str], description: str) -> None:
-        version = f"{self.name}{SEPARATOR}{uuid.uuid4().hex}"
-        self._write(df, version)
-        properties = {**properties, "keelson.version": version}
-        listed = ", ".join(f"'{k}'='{v}'" for k, v in properties.items())
+    def _new_name(self) -> str:
+        return f"{self.name}{SEPARATOR}{uuid.uuid4().hex}"
+
+    def _move_view(self, version: str, properties: Mapping[str, str], description: str, columns: str = "*") -> None:
+        quoted = quote_name(*version.split("."))
+        self.spark.sql(f"ALTER TABLE {quoted} SET TBLPROPERTIES ('{OWNER_PROPERTY}'='{self.name}')")
+        listed = ", ".join(f"'{k}'='{v}'" for k, v in {**properties, "keelson.version": version}.items())
         comment = description.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {quote_name(*self.name.split('.'))} COMMENT '{comment}' "
-            f"TBLPROPERTIES ({listed}) AS SELECT * FROM {quote_name(*version.split('.'))}"
+            f"TBLPROPERTIES ({listed}) AS SELECT {columns} FROM {quoted}"
         )
 
-    def _write(self, df: DataFrame, version: str) -> None:
-        df.write.mode("errorifexists").saveAsTable(version)
-
-    def _properties(self) -> dict[str, str]:
-        quoted = quote_name(*self.name.split("."))
+    def _properties(self, name: str) -> dict[str, str]:
+        quoted = quote_name(*name.split("."))
         found = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {quoted}").collect()}
         for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect():
             if row["col_name"] == "Comment" and row["data_type"]:
@@ -228,88 +248,137 @@ class VersionedTable:
 class KeyedTable(VersionedTable):
     """A versioned table with one row per key.
 
-    With ``buckets`` versions are bucketed on the key, and a merge shuffles the update
-    but not the table.
+    With ``parts`` the rows are partitioned by a stored hash of the key. A merge then reads
+    and writes only the partitions that its update touches; a new version is an external
+    table that takes the other partitions over by their location. Without ``parts`` (small
+    tables) a merge writes the whole table.
     """
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, name: str, parts: int | None = None):
         super().__init__(spark, name)
-        self._buckets = buckets
+        self._parts = parts
 
     def keys(self) -> list[str]:
-        return self._properties()[KEY_PROPERTY].split(",")
+        return self._properties(self.name)[KEY_PROPERTY].split(",")
 
-    def buckets(self) -> int | None:
-        """Bucket count asked for here, or else the one the table was written with."""
-        if self._buckets or not self.exists():
-            return self._buckets
-        stored = self._properties().get("keelson.buckets")
+    def parts(self) -> int | None:
+        """The number of partitions the table was made with, or else the one asked for here."""
+        if not self.exists():
+            return self._parts
+        stored = self._properties(self.name).get(PARTS_PROPERTY)
         return int(stored) if stored else None
 
     def create(
         self, schema: T.StructType, keys: Sequence[str], description: str = "", replace: bool = False
     ) -> KeyedTable:
-        """Create the empty table unless it exists; ``replace`` starts afresh."""
-        if self.exists():
-            if not replace:
-                return self
-            self.drop()
+        """Create the empty table unless it exists; ``replace`` starts afresh.
+
+        The new version is published before the old ones go, and those that a clone reads stay.
+        """
+        if self.exists() and not replace:
+            return self
         unknown = [k for k in keys if k not in schema.names]
         if unknown:
             raise ValueError(f"key columns {unknown} are not in the schema")
-        self._store(self.spark.createDataFrame([], schema), list(keys), description)
+        version = self._new_name()
+        self._write_version(self._placed(self.spark.createDataFrame([], schema), keys, self._parts), version, self._parts, {})
+        self._publish(version, schema.names, keys, self._parts, description)
+        if replace:
+            self.vacuum()
         return self
 
     def merge(self, updates: DataFrame, on_duplicate: str = "fail", order: Sequence[str] = ()) -> None:
         """Upsert ``updates``.
 
         A key that is NULL or repeated in the update fails the merge; with
-        ``on_duplicate="latest"`` the greatest row under ``order`` wins instead. An
-        update that is itself read from this table is safe: versions never change.
+        ``on_duplicate="latest"`` the greatest row under ``order`` wins instead, be it in the
+        update or in the table (of equals the update's). An update that is itself read from
+        this table is safe: versions never change.
         """
-        keys = self.keys()
+        keys, parts, old = self.keys(), self.parts(), self.current_version()
         current = self.read()
-        updates = align(updates, current.schema)
-        if on_duplicate == "latest":
-            updates = latest_per_key(updates, keys, order)
-        checked = on_duplicate != "latest"
-        if current.isEmpty():
-            if checked:
-                self._check(updates, keys)
-            self._store(updates, keys, self.description() or "")
+        updates = self._placed(align(updates, current.schema), keys, parts)
+        base = self.spark.table(old)
+        version = self._new_name()
+        if on_duplicate != "latest" and base.isEmpty():  # written once, checked, then published
+            self._write_version(updates, version, parts, {})
+            self._check(self.spark.table(version), keys, version)
+            self._publish(version, current.columns, keys, parts, self.description() or "")
             return
-        with staging(updates, "merge") as rows:  # read by the check and twice by the upsert
-            if checked:
-                self._check(rows, keys)
-            buckets = self.buckets()
-            if buckets:
-                # Update and table then share one partitioning through join and union, so
-                # the table is neither shuffled by the join nor by the write. A broadcast
-                # join would give up the bucketed read, hence the hint.
-                merged = upsert(current, rows.repartition(buckets, *keys), keys, hint="merge")
+        with staging(updates, "merge") as rows:
+            if parts:
+                touched = [r[PART] for r in rows.select(PART).distinct().collect()]  # at most `parts`
+                if not touched:
+                    return
+                base = base.where(F.col(PART).isin(touched))
+            if on_duplicate == "latest":
+                stored = base.join(rows.select(*keys).distinct(), keys, "left_semi")
+                both = stored.withColumn(NEWER, F.lit(0)).unionByName(rows.withColumn(NEWER, F.lit(1)))
+                rows = latest_per_key(both, keys, [*order, NEWER]).drop(NEWER)
             else:
-                merged = upsert(current, rows, keys)
-            self._store(merged, keys, self.description() or "")
+                self._check(rows, keys)
+            kept = {}
+            if parts:
+                kept = {p: self._location(old, p) for p in range(parts) if p not in touched}
+            self._write_version(upsert(base, rows, keys), version, parts, kept)
+        self._publish(version, current.columns, keys, parts, self.description() or "")
 
-    @staticmethod
-    def _check(updates: DataFrame, keys: list[str]) -> None:
+    def _check(self, updates: DataFrame, keys: list[str], version: str | None = None) -> None:
         broken = key_violations(updates, keys).take(1)
         if broken:
+            if version:
+                self._forget(version)
             raise ValueError(f"update breaks the key {keys}: {broken[0].asDict()}")
 
-    def _store(self, df: DataFrame, keys: list[str], description: str) -> None:
-        buckets = self.buckets()
-        properties = {KEY_PROPERTY: ",".join(keys)}
-        if buckets:
-            properties["keelson.buckets"] = str(buckets)
-            # One file per bucket; the exchange falls away when the rows lie right already.
-            df = df.repartition(buckets, *keys)
-        self._layout = (buckets, keys)
-        self._publish(df, properties, description)
-
-    def _write(self, df: DataFrame, version: str) -> None:
-        buckets, keys = self._layout
-        writer = df.write.mode("errorifexists")
-        if buckets:
-            writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
-        writer.saveAsTable(version)
+    @staticmethod
+    def _placed(df: DataFrame, keys: Sequence[str], parts: int | None) -> DataFrame:
+        return df.withColumn(PART, F.pmod(F.hash(*[F.col(quote_name(k)) for k in keys]), F.lit(parts))) if parts else df
+
+    def _write_version(self, df: DataFrame, version: str, parts: int | None, kept: Mapping[int, str]) -> None:
+        """Write the rows; ``kept`` names the folders of the partitions that are taken over."""
+        if not parts:
+            df.write.mode("errorifexists").saveAsTable(version)
+            return
+        root = self._root(version)
+        df.write.mode("errorifexists").partitionBy(PART).parquet(root)
+        columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+        quoted = quote_name(*version.split("."))
+        self.spark.sql(f"CREATE TABLE {quoted} ({columns}) USING parquet PARTITIONED BY ({PART}) LOCATION '{root}'")
+        places = {p: f"{root}/{PART}={p}" for p in range(parts)} | dict(kept)
+        listed = " ".join(f"PARTITION ({PART}={p}) LOCATION '{path}'" for p, path in places.items())
+        self.spark.sql(f"ALTER TABLE {quoted} ADD {listed}")
+
+    def _publish(self, version: str, columns: Sequence[str], keys: Sequence[str], parts: int | None, description: str) -> None:
+        properties = {KEY_PROPERTY: ",".join(keys)} | ({PARTS_PROPERTY: str(parts)} if parts else {})
+        self._move_view(version, properties, description, ", ".join(quote_name(c) for c in columns))
+
+    def _root(self, version: str) -> str:
+        *database, table = version.split(".")
+        where = ".".join(database) or self.spark.catalog.currentDatabase()
+        return f"{self.spark.catalog.getDatabase(where).locationUri.rstrip('/')}/{table}"
+
+    def _location(self, version: str, part: int) -> str:
+        quoted = quote_name(*version.split("."))
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted} PARTITION ({PART}={part})").collect()
+        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+    def _forget(self, version: str) -> None:
+        """Drop a version that was never published, with its files."""
+        parts = PART in self.spark.table(version).columns
+        drop_table(self.spark, version)
+        if parts:
+            delete_path(self.spark, self._root(version))
+
+    def _drop_versions(self, versions: Sequence[str]) -> None:
+        """Partitions of a dropped version go only if no version that stays names them."""
+        stays = [v for v in self.versions() if v not in versions] if versions else []
+        in_use = {self._location(v, p) for v in stays for p in range(self._stored_parts(v))}
+        folders = [self._location(v, p) for v in versions for p in range(self._stored_parts(v))]
+        super()._drop_versions(versions)
+        for folder in sorted(set(folders) - in_use):
+            delete_path(self.spark, folder)
+
+    def _stored_parts(self, version: str) -> int:
+        if PART not in self.spark.table(version).columns:
+            return 0
+        return self.spark.sql(f"SHOW PARTITIONS {quote_name(*version.split('.'))}").count()

@@ -88,4 +88,18 @@ def test_modes_and_labels(spark):
     assert [r["c"] for r in P.mode_impute(df, ["c"]).collect()].count("b") == 3
     classes = P.fit_labels(df, "c")
     codes = [r["k"] for r in P.label_encode(df, "c", classes, "k").collect()]
-    assert classes == ["a", "b"] and codes == [1, 0, 1, 0, None]
+    assert [tuple(r) for r in classes.collect()] == [("a", 0), ("b", 1)] and sorted(codes, key=str) == [0, 0, 1, 1, None]
+
+
+def test_values_and_names_with_dots(spark):
+    df = spark.createDataFrame([("a.b", "x`y", 1.0), ("c", None, None)], "`k.d` string, v string, `n.o` double")
+    spec = P.FeatureSpec(["k.d", "v"]).fit(df)
+    out = spec.transform(df)
+    assert out.columns == ["n.o", "k.d_a.b", "k.d_c", "v_x`y"] and out.count() == 1
+    assert P.drop_nulls(df).count() == 1 and P.select_supported(df, ["k.d"]).columns == ["k.d"]
+
+
+def test_wide_one_hot(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
+    rows = P.wide_one_hot(df, ["c"]).transform(df.union(spark.createDataFrame([("z",)], "c string"))).collect()
+    assert [list(r["encoded"].toArray()) for r in rows] == [[1, 0], [0, 1], [0, 0], [0, 0]]

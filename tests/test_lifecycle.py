@@ -55,7 +55,7 @@ def customer_file(spark, tiny, tmp_path_factory):
 
 def test_life_of_a_model(spark, customer_file):
     ws = C.Workspace.of("some.body@x.io")
-    assert (ws.dev, ws.prod, ws.model) == ("dev_retail_some_body", "prod_retail_some_body", "churn_model_some_body")
+    assert (ws.dev, ws.prod, ws.model) == ("customers_some_body_lab", "customers_some_body_live", "churn_model_some_body")
     C.ingest(spark, ws, customer_file)
     bronze, updates = (spark.table(ws.table("prod", n)) for n in (C.BRONZE, C.UPDATES))
     assert bronze.count() + updates.count() == 150 and bronze.columns[0] == "customer_id"

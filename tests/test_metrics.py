@@ -212,12 +212,13 @@ def test_udf_and_column_agree_and_metadata(spark):
     udf = batch_score(df, ["a", "b"], model_udf(load, "int"), "m", "Champion", 3, at)
     assert sorted(map(tuple, col.collect())) == sorted(map(tuple, udf.collect()))
     assert col.columns[2:] == ["prediction", "prediction_time", "model_name", "model_alias", "model_version"]
-    assert predicts(df, ["a", "b"], model_udf(load, "int"), ["a"]) == 1
+    assert predicts(df, ["a", "b"], model_udf(load, "int")) == 1
 
     def broken():
         raise ValueError("no model")
 
-    assert predicts(df, ["a", "b"], model_udf(broken, "int"), ["a"]) == 0
+    assert predicts(df, ["a", "b"], model_udf(broken, "int")) == 0
+    assert predicts(df, [], F.lit(None).cast("int")) == 0
 
 
 def test_shapley_sums_to_the_difference(spark):

@@ -33,15 +33,15 @@ def test_overwrite_replaces_the_schema(spark, database):
     assert spark.table(name).columns == ["x"]
 
 
-def keyed(spark, name, buckets=None):
-    return S.KeyedTable(spark, name, buckets).create(
+def keyed(spark, name, parts=None):
+    return S.KeyedTable(spark, name, parts).create(
         spark.createDataFrame([], "k int, v string").schema, ["k"], "it's keyed", replace=True
     )
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
-def test_merge_updates_inserts_and_is_idempotent(spark, database, buckets):
-    store = keyed(spark, f"{database}.merge_{buckets}", buckets)
+@pytest.mark.parametrize("parts", [None, 4])
+def test_merge_updates_inserts_and_is_idempotent(spark, database, parts):
+    store = keyed(spark, f"{database}.merge_{parts}", parts)
     store.merge(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
     update = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
     store.merge(update)
@@ -52,8 +52,8 @@ def test_merge_updates_inserts_and_is_idempotent(spark, database, buckets):
     store.merge(update.limit(0))
     assert rows(store.read()) == want
     again = S.KeyedTable(spark, store.name)
-    assert again.keys() == ["k"] and again.description() == "it's keyed" and again.buckets() == buckets
-    assert len(store.vacuum()) == 4 and rows(store.read()) == want
+    assert again.keys() == ["k"] and again.description() == "it's keyed" and again.parts() == parts
+    assert len(store.vacuum()) == (3 if parts else 4) and rows(store.read()) == want
     store.drop()
     assert not store.exists() and store.versions() == []
 
@@ -77,13 +77,56 @@ def test_create_keeps_an_existing_table(spark, database):
     assert keyed(spark, store.name).read().count() == 0
 
 
-def test_bucketed_merge_does_not_shuffle_the_table(spark, database):
-    store = keyed(spark, f"{database}.still", 4)
-    store.merge(spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v")))
-    update = spark.range(50, 150).select(F.col("id").cast("int").alias("k"), F.lit("b").alias("v"))
-    merged = S.upsert(store.read(), update.repartition(4, "k"), ["k"], hint="merge").repartition(4, "k")
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 2 and "Bucketed: true" in plan  # the update, as key list and as rows
+def files_of(df):
+    return {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
+
+
+def test_merge_leaves_untouched_partitions_where_they_are(spark, database):
+    store = keyed(spark, f"{database}.still", 8)
+    store.merge(spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v")))
+    first = store.current_version()
+    before = {r["_part"]: files_of(spark.table(first).where(F.col("_part") == r["_part"])) for r in spark.table(first).select("_part").distinct().collect()}
+    store.merge(spark.createDataFrame([(3, "b")], "k int, v string"))
+    now = spark.table(store.current_version())
+    (touched,) = {r["_part"] for r in now.where("k = 3").collect()}
+    for part, files in before.items():
+        assert (files_of(now.where(F.col("_part") == part)) == files) == (part != touched)
+    plan = now.where(F.col("_part") == touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_part" in plan
+    assert store.vacuum() and store.read().count() == 200 and rows(store.read().where("k = 3")) == [(3, "b")]
+
+
+def test_only_own_versions_are_dropped(spark, database):
+    store = keyed(spark, f"{database}.features")
+    for name in ("features__vendors", "features__v" + "a" * 32):
+        S.overwrite(spark.range(3), f"{database}.{name}")
+    store.merge(spark.createDataFrame([(1, "a")], "k int, v string"))
+    store.vacuum()
+    store.create(store.read().schema, ["k"], replace=True)
+    store.drop()
+    assert spark.table(f"{database}.features__vendors").count() == 3 == spark.table(f"{database}.features__v" + "a" * 32).count()
+
+
+def test_latest_compares_with_the_stored_row(spark, database):
+    schema = "k int, at int, v string"
+    store = S.KeyedTable(spark, f"{database}.late", 4).create(spark.createDataFrame([], schema).schema, ["k"], replace=True)
+    for batch in ([(1, 9, "new"), (2, 1, "x")], [(1, 1, "old"), (3, 1, "y")], [(2, 1, "again")]):
+        store.merge(spark.createDataFrame(batch, schema), on_duplicate="latest", order=["at"])
+    assert rows(store.read()) == [(1, 9, "new"), (2, 1, "again"), (3, 1, "y")]
+
+
+def test_first_load_that_breaks_the_key_leaves_nothing(spark, database):
+    for parts in (None, 4):
+        store = keyed(spark, f"{database}.first_{parts}", parts)
+        with pytest.raises(ValueError, match="breaks the key"):
+            store.merge(spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"))
+        assert store.read().count() == 0 and len(store.versions()) == 1
+
+
+def test_latest_row_with_maps_and_dots(spark):
+    df = spark.createDataFrame([(1, 2, {"a": 1}), (1, 3, {"b": 2}), (1, 3, {"b": 2})], "k int, `at.t` int, m map<string,int>")
+    assert rows(S.latest_per_key(df, ["k"], ["at.t"])) == [(1, 3, {"b": 2})]
+    assert S.align(df, df.schema).columns == ["k", "at.t", "m"]
 
 
 def test_clone_is_pinned(spark, database):
