@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from keelson.functions.running import running_totals, same_group
 from keelson.functions.text import agrees
+from keelson.session import staged
 
+ROWS = "_rows"
 EPSILON = 1e-15  # probability clipping of the log loss
 
 
@@ -35,16 +37,16 @@ def slice_accuracy(
 
 
 def confusion_counts(
-    label: str = "label", prediction: str = "prediction", positive: int = 1
+    label: str = "label", prediction: str = "prediction", positive: int = 1, weight: str | None = None
 ) -> dict[str, Column]:
     """tp / fp / fn / tn as conditional counts; rows with a NULL on either side count nowhere."""
     said = F.col(prediction).cast("double") == F.lit(float(positive))
     true = F.col(label).cast("double") == F.lit(float(positive))
     return {
-        "tp": F.count_if(said & true),
-        "fp": F.count_if(said & ~true),
-        "fn": F.count_if(~said & true),
-        "tn": F.count_if(~said & ~true),
+        "tp": _count(said & true, weight),
+        "fp": _count(said & ~true, weight),
+        "fn": _count(~said & true, weight),
+        "tn": _count(~said & ~true, weight),
     }
 
 
@@ -65,20 +67,27 @@ def confusion_matrix(
 
 
 def score_counts(
-    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()
+    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
-    """Positives and negatives per distinct score; this is what curves and areas are made of."""
+    """Positives and negatives per distinct score; this is what curves and areas are made of.
+
+    ``weight`` names the row count of a frame that is aggregated already.
+    """
     positive = F.col(label).cast("int") == F.lit(1)
     return (
         df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
         .groupBy(*by, F.col(score).cast("double").alias("threshold"))
-        .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+        .agg(_count(positive, weight).alias("pos"), _count(~positive, weight).alias("neg"))
     )
 
 
-def _ranked(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
+def _count(condition: Column, weight: str | None) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col(weight))), F.lit(0)) if weight else F.count_if(condition)
+
+
+def _ranked(df: DataFrame, label: str, score: str, by: Sequence[str], weight: str | None = None) -> DataFrame:
     """Per distinct score: tp / fp when everything at or above it is called positive."""
-    totals = running_totals(score_counts(df, label, score, by), "threshold", {"pos": "pos", "neg": "neg"}, by)
+    totals = running_totals(score_counts(df, label, score, by, weight), "threshold", {"pos": "pos", "neg": "neg"}, by)
     return totals.withColumns({
         "tp": F.col("total_pos") - F.col("cum_pos") + F.col("pos"),
         "fp": F.col("total_neg") - F.col("cum_neg") + F.col("neg"),
@@ -103,12 +112,14 @@ def pr_curve(df: DataFrame, label: str = "label", score: str = "score", by: Sequ
     )
 
 
-def curve_areas(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+def curve_areas(
+    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Area under the ROC curve (ties by average rank) and average precision.
 
     Areas are NULL when only one class is present.
     """
-    ranked = _ranked(df, label, score, by)
+    ranked = _ranked(df, label, score, by, weight)
     above = F.col("tp") - F.col("pos")
     roc = F.sum(F.col("neg").cast("double") * (above + F.col("pos") / F.lit(2.0)))
     step = F.col("pos") * ratio(F.col("tp"), F.col("tp") + F.col("fp"))
@@ -138,29 +149,35 @@ def classifier_metrics(
     df: DataFrame, by: Sequence[str] = ("split",), label: str = "label",
     prediction: str = "prediction", score: str = "score", areas: bool = True,
 ) -> DataFrame:
-    """A4: all metrics for every group in one pass (plus the ranking for the areas).
+    """A4: all metrics for every group from one scan.
 
-    ``by`` names a handful of groups, such as the parts of a split.
+    ``by`` names a handful of groups, such as the parts of a split. For the areas the rows are
+    counted once per (group, score, label, prediction) and stored; all metrics and the
+    ranking then come from those counts.
     """
     p = F.least(F.greatest(F.col(score).cast("double"), F.lit(EPSILON)), F.lit(1.0 - EPSILON))
     loss = F.when(F.col(label).cast("int") == F.lit(1), -F.ln(p)).otherwise(-F.ln(F.lit(1.0) - p))
     labelled = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-    counted = labelled.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("example_count"),
-        *[c.alias(n) for n, c in confusion_counts(label, prediction).items()],
-        F.avg(loss).alias("log_loss"),
+    if not areas:
+        return rates(labelled.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("example_count"),
+            *[c.alias(n) for n, c in confusion_counts(label, prediction).items()],
+            F.avg(loss).alias("log_loss"),
+        ))
+    cells = staged(labelled.groupBy(*by, label, prediction, score).agg(F.count(F.lit(1)).alias(ROWS)), "metric-cells")
+    counted = cells.groupBy(*by).agg(
+        F.sum(ROWS).alias("example_count"),
+        *[c.alias(n) for n, c in confusion_counts(label, prediction, weight=ROWS).items()],
+        ratio(F.sum(loss * F.col(ROWS)), F.sum(F.when(loss.isNotNull(), F.col(ROWS)))).alias("log_loss"),
     )
-    out = rates(counted)
-    if areas:
-        out = with_areas(out, labelled, label, score, by)
-    return out
+    return with_areas(rates(counted), cells, label, score, by, ROWS)
 
 
 def with_areas(
-    metrics: DataFrame, labelled: DataFrame, label: str, score: str, by: Sequence[str]
+    metrics: DataFrame, labelled: DataFrame, label: str, score: str, by: Sequence[str], weight: str | None = None
 ) -> DataFrame:
     """Add the curve areas to one row per group."""
-    areas = curve_areas(labelled, label, score, by).drop("n_pos", "n_neg")
+    areas = curve_areas(labelled, label, score, by, weight).drop("n_pos", "n_neg")
     theirs = [f"_a_{k}" for k in by]
     areas = areas.withColumnsRenamed(dict(zip(by, theirs)))
     return metrics.join(areas, same_group(by, theirs), "left").drop(*theirs)

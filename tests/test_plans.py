@@ -19,7 +19,9 @@ def final_plan(df) -> str:
 
 
 def test_curves_read_the_table_once(spark, tiny):
-    plan = final_plan(M.curve_areas(scored_lines(spark, tiny)))
+    areas = M.curve_areas(scored_lines(spark, tiny))
+    areas.collect()
+    plan = areas._jdf.queryExecution().executedPlan().toString()  # the scan stands below a subquery's own plans
     assert "ReusedExchange" in plan
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert {c.split(":")[0] for c in schema.split(",")} == {"l_quantity", "l_discount", "l_tax", "l_returnflag"}
