@@ -173,7 +173,7 @@ def _leak_column(sent, window: int, error: float):
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = Index(sent.value, window, error)
-        for texts in batches:
+        for texts in textops.released(batches):
             out = []
             for _, _, data, offsets in textops.text_runs(texts):
                 points, at, place = folded(data, offsets)

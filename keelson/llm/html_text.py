@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.llm import textops
+
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?][^>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -220,7 +222,7 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     kept = [c for c in pages.columns if c not in ("text", "n_chars")]
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for html in batches:
+        for html in textops.released(batches):
             texts = [main_text(x) if x else "" for x in html.to_pylist()]
             yield pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["text", "n_chars"])
 

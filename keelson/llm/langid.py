@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,7 +100,7 @@ def _counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in textops.released(batches):
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             for low, high, data, offsets in textops.text_runs(batch.column(1)):
                 three, ok3, two, ok2 = grams(data, offsets)
@@ -167,18 +166,17 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "t
     docs = docs.drop(*own)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages and features bound its size
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = sent.value
         names = np.array([*m.languages, NONE], dtype=object)
-        for texts in batches:
-            column = pa.array(texts, pa.large_string(), from_pandas=True)
+        for column in textops.released(batches):
             best, score = np.full(len(column), len(m.languages)), np.zeros(len(column))
             if m.languages:
                 for low, high, data, offsets in textops.text_runs(column):
                     best[low:high], score[low:high] = m.decode(m.margins(data, offsets))
-            yield pd.DataFrame({"lang": names[best], "score": score})
+            yield pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score)], ["lang", "score"])
 
-    predict = F.pandas_udf(run, "lang string, score double")
+    predict = F.arrow_udf(run, "struct<lang: string, score: double>")
     letters = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
     out = docs.withColumn("_p", predict(F.col(text_col).cast("string"))).withColumn("_ok", letters & (F.col("_p.lang") != NONE))
     return out.select(

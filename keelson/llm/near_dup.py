@@ -58,7 +58,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: in
     """(id, n_shingles, two checksums of the set, band keys) in one pass over the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.released(batches):
             ids = batch.column(0)
             for low, high, data, offsets in textops.text_runs(batch.column(1)):
                 sets, at = textops.shingle_sets(data, offsets)
@@ -82,7 +82,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple = (None, None)
-        for batch in batches:
+        for batch in textops.released(batches):
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             keep = np.zeros(len(a), dtype=bool)
             hub = batch.column(3)

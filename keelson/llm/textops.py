@@ -7,12 +7,15 @@ multiple of the larger of that size and the longest text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import ctypes.util
+from collections.abc import Iterable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 SHINGLE_WORDS = 5
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -28,6 +31,19 @@ _INVERSE = pow(_BASE, -1, 2**64)
 _powers: dict[str, np.ndarray] = {}
 
 
+Batch = TypeVar("Batch")
+
+
+def released(batches: Iterable[Batch]) -> Iterator[Batch]:
+    """The batches of a task; after the last one its freed memory goes back to the system, since a
+    Python worker lives on and counts against the memory of its executor."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(ctypes.util.find_library("c") or None), "malloc_trim", None)
+    if trim:  # glibc only
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keelson.llm import textops
 from keelson.llm.token_files import text_encoder
 
 LEAF = 256
@@ -95,7 +96,7 @@ def count_tree(text: Column, tokenizer: str) -> Column:
     """
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = text_encoder(tokenizer)
-        for texts in batches:
+        for texts in textops.released(batches):
             out = []
             for text in texts.to_pylist():
                 lengths, leaves, at = cut(text or ""), [], 0
@@ -117,7 +118,7 @@ def apply_edits(text: Column, tree: Column, edits: Column, tokenizer: str) -> Co
     """
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         encoder = text_encoder(tokenizer)
-        for texts, trees, changes in batches:
+        for texts, trees, changes in textops.released(batches):
             out = []
             for t, tree, change in zip(texts.to_pylist(), trees.to_pylist(), changes.to_pylist()):
                 steps = [(e["start"], e["removed"] or 0, e["inserted"] or "") for e in change or [] if e and e["start"] is not None]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from keelson.llm import files, range_coder
+from keelson.llm import files, range_coder, textops
 from keelson.session import scratch_path, shuffle_width, staged
 
 MAGIC = b"KEELTOK1"
@@ -188,7 +188,7 @@ def write_token_files(
                 [pa.array([x]) for x in (writer.path, part, seq, writer.total, writer.blocks, writer.size)]
                 + [pa.array([ids], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64()))], schema=arrow)
 
-        for batch in batches:
+        for batch in textops.released(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             coded = (x for low in range(0, len(texts), TEXTS) for x in encoder.batch(texts[low:low + TEXTS]))
             for doc, found in zip(batch.column(0).to_pylist(), coded):
@@ -218,7 +218,7 @@ def read_token_files(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
     ``ids_crc32``, the unsigned crc32 of the document's ids as little-endian 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.released(batches):
             for path, start, ids, counts in zip(*(c.to_pylist() for c in batch.columns)):
                 ends = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
                 crc, done, seen = np.zeros(len(ids), dtype=np.int64), 0, 0

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from keelson.llm.textops import list_column
+from keelson.llm import textops
 from keelson.session import shuffle_width, staged
 
 LISTS = 2
@@ -33,7 +33,7 @@ def _blocks(rows: DataFrame, size: int, extra: str | None = None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.released(batches):
             for low in range(0, len(batch), size):
                 part = batch.slice(low, size)
                 ids = part.column(0).to_numpy(zero_copy_only=False)
@@ -42,7 +42,7 @@ def _blocks(rows: DataFrame, size: int, extra: str | None = None) -> DataFrame:
                 # A block's name is drawn from its content, so a retried task names it alike.
                 name = int(np.bitwise_xor.reduce((ids + 1) * np.int64(0x9E3779B97F4A7C1)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name], pa.int64()), *(list_column(x, np.array([0, len(x)])) for x in (ids, values, more))],
+                    [pa.array([name], pa.int64()), *(textops.list_column(x, np.array([0, len(x)])) for x in (ids, values, more))],
                     names=["block", "ids", "values", "extra"])
 
     schema = "block long, ids array<long>, `values` array<long>, extra array<long>"
@@ -73,7 +73,7 @@ def _parts(q_ids, q_values, ids, values, lists: int) -> np.ndarray:
 
 
 def _cell_rows(batches, lists):
-    for batch in batches:
+    for batch in textops.released(batches):
         for i in range(len(batch)):
             q_ids, q_values, q_cut, ids, values = (batch.column(j)[i].values.to_numpy(zero_copy_only=False) for j in range(5))
             for low in range(0, len(q_ids), QUERY_BLOCK):  # at most QUERY_BLOCK x CANDIDATE_BLOCK scores at a time

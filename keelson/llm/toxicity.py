@@ -200,7 +200,7 @@ def fit_toxicity(
     voters = Voters(stems)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.released(batches):
             rows = _votes(batch.column(1), voters)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.packbits(r).tobytes() for r in rows], pa.binary())], names=["toxic", "votes"])
 
@@ -225,7 +225,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         voters, w = Voters(sent.value.stems), sent.value.weights
-        for texts in batches:
+        for texts in textops.released(batches):
             yield pa.array(1 / (1 + np.exp(-np.clip(_votes(texts, voters) @ w[:-1] + w[-1], -30, 30))))
 
     score = F.arrow_udf(run, "double")

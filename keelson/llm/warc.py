@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from keelson.llm import files
+from keelson.llm import files, textops
 from keelson.session import scratch_path, shuffle_width, staged
 
 _HEX32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"  # the digits of base 32 as conv() writes them
@@ -81,7 +81,7 @@ def write_warc(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = path = None
         at = 0
-        for batch in batches:
+        for batch in textops.released(batches):
             rows = []
             for page, url, html, digest, size, first in zip(*(c.to_pylist() for c in batch.columns)):
                 if stream is not None and at >= file_bytes:
@@ -149,7 +149,7 @@ def read_warc(index: DataFrame, with_payload: bool = True) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textops.released(batches):
             for path, start, length, at, sizes in zip(*(c.to_pylist() for c in batch.columns)):
                 data = files.read_range(path, start, length)
                 rows = []
