@@ -64,7 +64,7 @@ def ml_score(
     from pyspark.ml.functions import vector_to_array
 
     scored = model.transform(df)
-    drop = [c for c in ("rawPrediction", "features", "probability") if c in scored.columns]
+    drop = [c for c in scored.columns if c in ("rawPrediction", "features", "probability") or c.startswith("_in_")]
     if "probability" in scored.columns:
         scored = scored.withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
     scored = scored.withColumn("prediction", F.col("prediction").cast("int")).drop(*drop)

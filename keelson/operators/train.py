@@ -14,15 +14,18 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.functions.text import quote_name
+from keelson.operators.features import NumericSpec, fit_vocab
 from keelson.operators.metrics import classifier_metrics
 from keelson.operators.score import MODEL_ERRORS
 from keelson.session import shared_dir, staging
 
+IN = "_in_"
 METRICS = ("accuracy", "precision", "recall", "f1", "log_loss", "roc_auc", "average_precision")
 TRIAL_SCHEMA = (
     "trial_id string, family string, status string, params map<string,string>, "
@@ -67,18 +70,48 @@ def estimator(family: str, params: Mapping[str, object], label: str, validation:
 FAMILIES = ("logistic", "tree", "forest", "gbt")
 
 
+def preprocessing(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), passthrough: Sequence[str] = (),
+) -> tuple[list, list[str]]:
+    """Stages fitted on the train rows, and the vector's columns in order.
+
+    Numeric columns are coerced, filled with the mean and standardised; a categorical one
+    becomes an indicator per value but the first; a passed-through one is coerced, and NULL
+    becomes 0. The fitted values are literals of one SQL stage, so they are saved with the
+    model, and columns the model does not name are ignored at scoring.
+    """
+    spec = NumericSpec(list(numeric)).fit(train) if numeric else None
+    vocab = fit_vocab(train, categorical) if categorical else {}
+    cells = []
+    for c in numeric:
+        scale = spec.scales[c] or 1.0
+        cells.append((f"{IN}{c}", f"(coalesce(try_cast({quote_name(c)} as double), {spec.means[c]!r}D) - {spec.means[c]!r}D) / {scale!r}D"))
+    for c in categorical:
+        for v in vocab[c][1:]:
+            text = v.replace("\\", "\\\\").replace("'", "\\'")
+            cells.append((f"{IN}{c}_{v}", f"cast(coalesce(cast({quote_name(c)} as string) = '{text}', false) as double)"))
+    cells += [(f"{IN}{c}", f"coalesce(try_cast({quote_name(c)} as double), 0.0D)") for c in passthrough]
+    names = [f"{IN}{i}" for i in range(len(cells))]  # plain names: a value may hold any character
+    chosen = ", ".join(f"{sql} AS {n}" for n, (_, sql) in zip(names, cells))
+    stages = [SQLTransformer(statement=f"SELECT *, {chosen} FROM __THIS__"), VectorAssembler(inputCols=names, outputCol="features")]
+    return stages, [n.removeprefix(IN) for n, _ in cells]
+
+
 def fit(
     df: DataFrame, features: Sequence[str], label: str, family: str = "gbt",
     params: Mapping[str, object] | None = None, split: str = "split",
+    categorical: Sequence[str] = (), passthrough: Sequence[str] = (),
 ):
-    """Fit on the train part (boosting watches the val part); returns a PipelineModel."""
+    """Fit preprocessing and classifier on the train part (boosting watches the val part).
+
+    Returns a PipelineModel that takes the raw columns: numeric ``features``, ``categorical`` and
+    ``passthrough`` ones (see :func:`preprocessing`).
+    """
     shared_dir(df.sparkSession)  # deep tree lineages are checkpointed there
     marked = df.withColumn("_validation", F.col(split) == "val")
     rows = marked.filter(F.col(split).isin("train", "val") if family == "gbt" else F.col(split) == "train")
-    stages = [
-        VectorAssembler(inputCols=list(features), outputCol="features"),
-        estimator(family, params or {}, label, "_validation" if family == "gbt" else None),
-    ]
+    stages, _ = preprocessing(df.filter(F.col(split) == "train"), features, categorical, passthrough)
+    stages.append(estimator(family, params or {}, label, "_validation" if family == "gbt" else None))
     return Pipeline(stages=stages).fit(rows)
 
 
@@ -88,7 +121,7 @@ def score(model, df: DataFrame) -> DataFrame:
     return out.withColumns({
         "score": F.get(vector_to_array("probability"), F.lit(1)),
         "prediction": F.col("prediction").cast("int"),
-    }).drop("features", "rawPrediction", "probability", "_validation")
+    }).drop("features", "rawPrediction", "probability", "_validation", *[c for c in out.columns if c.startswith(IN)])
 
 
 def trial_metrics(model, df: DataFrame, label: str, split: str = "split") -> DataFrame:

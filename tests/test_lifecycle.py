@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from keelson.operators import registry as R
@@ -139,6 +140,23 @@ def test_automatic_search_excludes_and_stops(spark, small):
     assert [(t["family"], t["status"]) for t in out] == [("logistic", "FINISHED"), ("tree", "SKIPPED")]
 
 
+def test_saved_pipeline_scores_raw_rows(spark, small, tmp_path):
+    rows = labelled_documents(spark, small)
+    model = L.fit(rows, ["n_chars", "digit_share"], "label", "logistic", categorical=["lang"], passthrough=["n_words"])
+    model.write().save(str(tmp_path / "m"))
+    odd = spark.createDataFrame([("abc", None, "xx", None, 1), (None, 0.5, None, "7", 2)],
+                                "n_chars string, digit_share double, lang string, n_words string, more int")
+    scored = L.score(PipelineModel.load(str(tmp_path / "m")), odd).collect()
+    assert len(scored) == 2 and all(0 <= r["score"] <= 1 for r in scored) and [r["more"] for r in scored] == [1, 2]
+    assert not [c for c in L.score(model, odd).columns if c.startswith("_in_")]
+
+
+def test_a_failing_trial_is_a_row(spark, small):
+    rows = labelled_documents(spark, small)
+    got = L.hyper_search(rows, DOCUMENT_FEATURES, "label", {"learning_rate": [4.4]}, n=1).collect()
+    assert got[0]["status"] == "FAILED" and got[0]["loss"] is None
+
+
 # --- registry edges ----------------------------------------------------------------
 
 def test_best_run_ties_and_missing_metrics(spark):
