@@ -124,8 +124,8 @@ def fit_languages(labelled: DataFrame, lang_col: str = "lang", text_col: str = "
     A bit's classifier is a linear n-gram model: the log-odds of each n-gram between the languages
     on the two sides of the bit, every language weighing the same. The n-gram counts cover all
     rows and come to the driver summed (languages x ``FEATURES`` cells at most). The scale of the
-    margins and the trust in each bit are tuned on ``tune_rows`` rows of smallest text hash, the
-    only bounded sample. Without rows the model has no language.
+    margins and the trust in each bit are tuned on about ``tune_rows`` rows, at most twice as
+    many, the only bounded sample. Without rows the model has no language.
     """
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL")
     counts = _counts(rows).toPandas()
@@ -142,7 +142,9 @@ def fit_languages(labelled: DataFrame, lang_col: str = "lang", text_col: str = "
         np.log(table[code[:, b] > 0].mean(axis=0)) - np.log(table[code[:, b] < 0].mean(axis=0))
         if (code[:, b] < 0).any() else np.zeros(FEATURES) for b in range(code.shape[1])], axis=1).astype(np.float32)
     model = LanguageModel(languages, code, np.clip(weights, -6, 6), np.ones(code.shape[1]), np.full(code.shape[1], 8.0))
-    tune = rows.orderBy(F.xxhash64("text"), "lang").limit(tune_rows).toPandas()
+    # A share of the texts by hash; copies of one text, which the share takes all or none of, are cut.
+    share = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, tune_rows / rows.count()))
+    tune = rows.where(share).limit(2 * tune_rows).toPandas()
     texts = pa.array(tune.text, pa.string())
     margins = np.concatenate([model.margins(d, o) for _, _, d, o in textops.text_runs(texts)]) if len(tune) else np.zeros((0, 1))
     if n > 1 and len(tune):
