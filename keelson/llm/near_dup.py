@@ -81,7 +81,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b), those with 100 * intersection >= ``percent`` * union on full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: tuple = (None, None)
+        known: tuple = (None, None, None)
         for batch in textops.released(batches):
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             keep = np.zeros(len(a), dtype=bool)
@@ -89,9 +89,9 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             for low, high, data, offsets in textops.text_runs(batch.column(2)):
                 sets, at = textops.shingle_sets(data, offsets)
                 for i in range(low, high):
-                    if known[0] != b[i]:  # rows come sorted by b within a partition
+                    if known[0] != b[i] or not hub[i].equals(known[2]):  # rows come sorted by b within a partition
                         one = next(textops.text_runs(hub.slice(i, 1)))
-                        known = (b[i], textops.shingle_sets(one[2], one[3])[0])
+                        known = (b[i], textops.shingle_sets(one[2], one[3])[0], hub[i])
                     mine = sets[at[i - low]:at[i - low + 1]]
                     both = textops.common(mine, known[1])
                     keep[i] = 100 * both >= percent * (len(mine) + len(known[1]) - both)

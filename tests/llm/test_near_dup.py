@@ -72,6 +72,13 @@ def test_hub_whose_copies_are_not_alike(spark):
     check(spark, texts, 85)
 
 
+def test_an_id_with_several_texts(spark):
+    a, b = prose(80, 3), prose(80, 11)
+    rows = [row(1, a), row(1, b), row(2, a + " end"), row(3, "start " + b), row(4, prose(80, 5))]
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, DOCS), percent=85).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_small_driver_table(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text")
     texts = {r.doc_id: r.text for r in docs.collect()}
