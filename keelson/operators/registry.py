@@ -107,6 +107,12 @@ def describe(versions: DataFrame, updates: DataFrame) -> DataFrame:
     return joined.withColumn("description", F.coalesce("_new", "description")).select(*versions.columns)
 
 
+def describe_models(models: DataFrame, updates: DataFrame) -> DataFrame:
+    """Replace the description of registered models by name; other models stay."""
+    joined = models.join(updates.select("name", F.col("description").alias("_new")), "name", "left")
+    return joined.withColumn("description", F.coalesce("_new", "description")).select(*models.columns)
+
+
 def resolve_alias(
     aliases: DataFrame, versions: DataFrame, runs: DataFrame, alias: str = CHALLENGER
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from keelson.operators import drift, explain, gates, metrics, monitor, registry,
 from keelson.operators.features import FeatureSpec
 from keelson.operators.score import MODEL_ERRORS, ml_score, predicts
 from keelson.operators.splits import TRAIN_VAL_TEST, split, with_split
-from keelson.session import shared_dir, staging
+from keelson.session import require_lasting_tables, shared_dir, staging
 from keelson.sources.model_tables import open_table
 from keelson.sources.tables import KeyedTable, VersionedTable, append, clone, create_database, overwrite, read_csv
 
@@ -73,6 +73,7 @@ BASELINE, PREDICTIONS, SPECS = "scored_reference", "scored_customers", "feature_
 
 def ingest(spark: SparkSession, ws: Workspace, csv_path: str) -> None:
     """Read the raw file, keep a tenth of the customers back as a later update, clone to prod."""
+    require_lasting_tables(spark)
     for database in (ws.dev, ws.prod):
         create_database(spark, database)
     bronze, updates = split(read_csv(spark, csv_path, CUSTOMER_SCHEMA), [KEY], 90)

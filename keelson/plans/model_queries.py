@@ -208,6 +208,17 @@ def describe_versions(spark, sf_dir) -> DataFrame:
     return R.describe(versions, updates).select("name", "version", "description")
 
 
+@query("describe_models", f"""
+with {VERSIONS}
+select name, case when max(stage) = 'P' then 'has pending versions' else min(description) end description from versions group by 1""")
+def describe_models(spark, sf_dir) -> DataFrame:
+    """Models with a pending version get a new description."""
+    versions = model_versions(spark, sf_dir)
+    models = versions.groupBy("name").agg(F.min("description").alias("description"))
+    pending = versions.filter("stage = 'P'").select("name", F.lit("has pending versions").alias("description")).distinct()
+    return R.describe_models(models, pending)
+
+
 PROMOTED = """
 prod as (select 'prod.' || name as name, max(version) last from versions where stage = 'P' group by 1),
 chosen as (select v.* from versions v join aliases a on a.name = v.name and a.version = v.version

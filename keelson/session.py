@@ -91,6 +91,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     filesystem.delete(jvm_path, True)
 
 
+def require_lasting_tables(spark: SparkSession) -> None:
+    """Refuse a cluster session whose tables would vanish with it or with a machine.
+
+    Feature tables, registry and log are catalog tables: on a cluster they need a catalog of their
+    own (``spark.sql.catalogImplementation``) and a stated warehouse folder that executors share.
+    """
+    if re.match(r"local(\[|$)", spark.sparkContext.master):
+        return
+    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory":
+        raise RuntimeError("the catalog is in-memory: tables would vanish with the session")
+    warehouse = spark.sparkContext.getConf().get("spark.sql.warehouse.dir", "")
+    if not warehouse:
+        raise RuntimeError("set spark.sql.warehouse.dir to a folder all executors share")
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     filesystem, jvm_path = _filesystem(spark, path)
     return filesystem.getFileStatus(jvm_path).isDirectory()

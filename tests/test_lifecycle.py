@@ -97,6 +97,12 @@ def test_life_of_a_model(spark, customer_file):
     tags = open_table(spark, "version_tags", ws.dev).read().filter("version = 2").collect()
     assert {t["key"]: t["value"] for t in tags}["demo_test"] == "pass"
 
+    other = spark.newSession()  # the registry and the models are there for a second session
+    assert C.pointed_version(other, ws.prod, ws.table("prod", ws.model), R.CHAMPION)["run_id"] == "run-good"
+    assert open_table(other, "registered_models", ws.prod).read().first()["name"] == ws.table("prod", ws.model)
+    copied = open_table(other, "version_tags", ws.prod).read().collect()
+    assert {t["key"]: t["value"] for t in copied}["demo_test"] == "pass" and {t["version"] for t in copied} == {1}
+
     C.score_baseline_and_log(spark, ws, AT)
     log = spark.table(ws.table("prod", C.PREDICTIONS))
     assert log.count() + spark.table(ws.table("prod", C.BASELINE)).count() == 149
@@ -195,6 +201,26 @@ def test_stream_score_resumes_without_repeating(spark, tiny, tmp_path):
     assert got.count() == 1000 and got.select("event_id").distinct().count() == 1000
 
 
+def test_late_rows_of_a_later_batch_lose(spark, database, tmp_path):
+    source = tmp_path / "in"
+    schema = "k int, v string, at int"
+    store = KeyedTable(spark, f"{database}.late_stream", 4).create(spark.createDataFrame([], schema).schema, ["k"], replace=True)
+    for n, batch in enumerate([[(1, "new", 9), (2, "x", 1)], [(1, "old", 1), (1, "older", 0)], [(2, "y", 2), (3, "z", 1)]]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(schema).parquet(str(source))
+        jobs.stream_upsert(stream, store, lambda df: df, ["at"], str(tmp_path / "state")).awaitTermination()
+        assert store.read().where("k = 1").first()["v"] == "new"
+    assert sorted(tuple(r) for r in store.read().collect()) == [(1, "new", 9), (2, "y", 2), (3, "z", 1)]
+
+
+def test_a_folder_is_streamed_like_a_file(spark, tiny, tmp_path):
+    events = spark.read.parquet(f"{tiny}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    out = str(tmp_path / "out")
+    jobs.append_to(event_stream(spark, str(tmp_path)), out).awaitTermination()
+    assert spark.read.parquet(out).count() == events.count()
+
+
 def test_stream_upsert_takes_the_latest_row(spark, database, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k int, v string, at int").write.parquet(source)
