@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import textops
 from keelson.llm.components import connected_components
-from keelson.session import staged
+from keelson.session import staged, staging
 
 BANDS, ROWS = 32, 6
 _ATTEMPTS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**31, (512, 1024))
@@ -115,6 +115,24 @@ def _stars(rows: DataFrame, rank: Column) -> DataFrame:
     return rows.select("key", "id").join(centers, "key")
 
 
+def _second_round(stars: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
+    """New pairs among the members that the star of a bucket did not join: stars of buckets by two bands."""
+
+    def grouped(frame: DataFrame, column: str, out: str) -> DataFrame:
+        group = found.select(F.col("node").alias(column), F.col("component").alias(out))
+        return frame.join(group, column, "left").withColumn(out, F.coalesce(out, column))
+
+    apart = grouped(grouped(stars, "id", "own"), "center", "theirs").where("own <> theirs").select("id", "key")
+    each = staged(apart.groupBy("id").agg(F.collect_set("key").alias("keys")), "apart")  # at most `bands` keys
+    twice = each.select("id", F.explode("keys").alias("one"), "keys").select(
+        "id", "one", F.explode("keys").alias("two")).where("one < two")
+    again = _shared(twice.select("id", F.xxhash64("one", "two").alias("key")))
+    more = _stars(again, F.xxhash64(F.col("id"), F.col("key"))).select(F.col("id").alias("a"), F.col("center").alias("b"))
+    more = more.where("a <> b").distinct()
+    turned = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return staged(more.join(tried, ["a", "b"], "left_anti").join(turned, ["a", "b"], "left_anti"), "pairs")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
     bands: int = BANDS, rows: int = ROWS,
@@ -154,26 +172,11 @@ def near_duplicates(
     stars = staged(_stars(shared.join(weight, "id"), F.col("weight")), "stars")
     pairs = staged(stars.select(F.col("id").alias("a"), F.col("center").alias("b")).where("a <> b").distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    # The ids build the hash tables: texts stream past them and are never sorted.
-    candidates = staged(texts.join(wanted.hint("shuffle_hash"), "id", "left_semi").distinct(), "candidates")
-    links = staged(confirm(pairs, candidates, percent), "links")
-    found = connected_components(links)
-
-    def grouped(frame: DataFrame, column: str, out: str) -> DataFrame:
-        group = found.select(F.col("node").alias(column), F.col("component").alias(out))
-        return frame.join(group, column, "left").withColumn(out, F.coalesce(out, column))
-
-    apart = staged(
-        grouped(grouped(stars, "id", "own"), "center", "theirs").where("own <> theirs").select("id", "key", "own"), "apart")
-    each = apart.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))  # at most `bands`
-    twice = each.select("id", F.explode("keys").alias("one"), "keys").select(
-        "id", "one", F.explode("keys").alias("two")).where("one < two")
-    again = _shared(twice.select("id", F.xxhash64("one", "two").alias("key")))
-    more = _stars(again, F.xxhash64(F.col("id"), F.col("key"))).select(F.col("id").alias("a"), F.col("center").alias("b"))
-    more = more.where("a <> b").distinct()
-    fresh = staged(more.join(pairs, ["a", "b"], "left_anti").join(
-        pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "pairs")
-    links = staged(links.unionByName(confirm(fresh, candidates, percent)), "links")
+    # The ids build the hash tables: texts stream past them and are never sorted. Their copy goes after use.
+    with staging(texts.join(wanted.hint("shuffle_hash"), "id", "left_semi").distinct(), "candidates") as candidates:
+        links = staged(confirm(pairs, candidates, percent), "links")
+        fresh = _second_round(stars, connected_components(links), pairs)
+        links = staged(links.unionByName(confirm(fresh, candidates, percent)), "links")
 
     # Copies of one set and links between sets make one graph on ids.
     joined = links.unionByName(members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))

@@ -20,7 +20,7 @@ from keelson.session import scratch_path, shuffle_width, staged
 
 MAGIC = b"KEELTOK1"
 _BLOCK_HEAD = struct.Struct("<IIII")  # ids, payload bytes, crc32 of the payload, crc32 of the ids
-FILE_IDS = 1 << 25
+FILE_IDS, FILE_DOCS = 1 << 25, 1 << 20
 CACHED_PIECES = 600_000
 TEXTS = 500
 _RUN_OF_SPACES = re.compile(r"\s \s")
@@ -162,14 +162,14 @@ def read_blocks(path: str) -> Iterator[np.ndarray]:
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-    end_id: int = 0, file_ids: int = FILE_IDS,
+    end_id: int = 0, file_ids: int = FILE_IDS, file_docs: int = FILE_DOCS,
 ) -> DataFrame:
     """Encode whole texts and write their ids in ascending order of the document id.
 
     Returns the stored index, one row per file: ``path, part, seq`` (the order of the files),
     ``n_ids, n_blocks, n_bytes`` and, in file order, ``doc_ids`` and ``counts`` (ids of each
     document with the ``end_id`` that closes it). A file ends at a document boundary after about
-    ``file_ids`` ids, which also bounds an index row by the same number of documents.
+    ``file_ids`` ids or after ``file_docs`` documents, which bounds an index row.
 
     Blocks are coded without any state from others and carry a checksum of the payload and of
     the ids. A NULL or empty text has only its end id. Rows that repeat an id are written one
@@ -198,7 +198,7 @@ def write_token_files(
                 writer.add(found)
                 ids.append(doc)
                 counts.append(len(found) // 2)
-                if writer.total + writer.waiting // 2 >= file_ids:
+                if writer.total + writer.waiting // 2 >= file_ids or len(ids) >= file_docs:
                     yield finish()
                     writer, seq = None, seq + 1
         if writer is not None:
