@@ -135,8 +135,11 @@ def search(index: Index, points: np.ndarray, at: np.ndarray) -> list[list[tuple[
     owner, place = index.owner[source], index.place[source]
     text, pos = np.repeat(text, many), np.repeat(hit - at[text], many)
     # Diagonals in cells; any band of up to CELL + 1 diagonals lies in two neighbouring cells.
-    cell = (pos - place + (1 << 20)) // CELL
-    key = (text * len(index.ids) + owner) * (1 << 40) + cell
+    cell = (pos - place) // CELL
+    first = int(cell.min()) if len(cell) else 0
+    # A free number between two pairs keeps their cells apart. A run has less than 2^20 texts or is one text, so keys stay below 2^63.
+    span = int(cell.max()) - first + 2 if len(cell) else 1
+    key = (text * len(index.ids) + owner) * span + (cell - first)
     order = np.argsort(key)
     key = key[order]
     start = np.flatnonzero(np.concatenate((key[:1] == key[:1], key[1:] != key[:-1])))
@@ -144,12 +147,12 @@ def search(index: Index, points: np.ndarray, at: np.ndarray) -> list[list[tuple[
     total = count.copy()
     beside = np.flatnonzero(cells[1:] == cells[:-1] + 1)
     total[beside] += count[beside + 1]
-    item = (cells >> 40) % len(index.ids)
+    item = cells // span % len(index.ids)
     for j in np.flatnonzero(total >= index.least[item]):
-        t, i = int(cells[j] >> 40) // len(index.ids), int(item[j])
+        t, i = int(cells[j]) // span // len(index.ids), int(item[j])
         if any(f[0] == index.ids[i] for f in found[t]):
             continue
-        low = int(cells[j] & ((1 << 40) - 1)) * CELL - (1 << 20)
+        low = (int(cells[j]) % span + first) * CELL
         stop = start[j] + total[j]
         offsets = np.sort(place[order[start[j]:stop]])
         most, least = index.budget[i]

@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from keelson.llm.decontaminate import align, needed, with_leaks
+from keelson.llm.decontaminate import Index, align, folded, needed, search, with_leaks
 from keelson.llm.queries import QUERIES
 from tests.llm.conftest import DOCS, prose, row
 
@@ -74,6 +74,16 @@ def test_blocks_and_odd_items(spark, block_chars):
     assert all(not v for v in leaks(spark, [ITEM], []).values())
 
 
+def test_more_text_item_pairs_than_23_bits():
+    items = [(i, f"{i:06d} is the number of this item") for i in range(9_000)]
+    texts = [f"text {t} quotes: {items[(t * 8) % 9_000][1]}" if t % 50 == 0 else f"text {t}" for t in range(1_100)]
+    raw = [t.encode() for t in texts]
+    assert len(texts) * len(items) > 1 << 23
+    points, at, _ = folded(np.frombuffer(b"".join(raw), dtype=np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))))
+    found = search(Index(items, 100, 0.0), points, at)
+    assert [{f[0] for f in hits} for hits in found] == [{(t * 8) % 9_000} if t % 50 == 0 else set() for t in range(1_100)]
+
+
 def test_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(7, "x" * 300, ""), (8, prose(60), "")], BENCH)
     got = with_leaks(odd, bench)
