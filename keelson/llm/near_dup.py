@@ -14,6 +14,7 @@ from keelson.llm.components import connected_components
 from keelson.session import staged, staging
 
 BANDS, ROWS = 32, 6
+GROUP = 100
 _ATTEMPTS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**31, (512, 1024))
 _BAND = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -133,6 +134,63 @@ def _second_round(stars: DataFrame, found: DataFrame, tried: DataFrame) -> DataF
     return staged(more.join(tried, ["a", "b"], "left_anti").join(turned, ["a", "b"], "left_anti"), "pairs")
 
 
+def _rest(stars: DataFrame, found: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links among the pairs of a bucket that no star has tested and whose groups are still apart.
+
+    A bucket's centre is tested with all its members, so only the others count. A bucket is cut into
+    groups of ``GROUP`` members on average and each two groups meet in one task, which holds a text once however
+    many pairs it is in. A pair with several buckets is tested in the one of the smallest key.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, groups, key = table["id"].to_numpy(), table["component"].to_numpy(), table["key"][0].as_py()
+        side = table["side"].to_numpy()
+        met = table["one"][0].as_py() != table["two"][0].as_py()  # two groups: pairs inside one are tested elsewhere
+        sets = []
+        for _, _, data, offsets in textops.text_runs(table["text"]):
+            own, at = textops.shingle_sets(data, offsets)
+            sets += [own[a:b] for a, b in zip(at, at[1:])]
+        keys = [set(k) for k in table["keys"].to_pylist()]
+        size = np.array([len(s) for s in sets])
+        a_out, b_out, joined = [], [], {}
+
+        def top(g: int) -> int:
+            while g in joined:
+                g = joined[g]
+            return g
+
+        for i in range(len(ids)):
+            high, low = np.maximum(size[i + 1:], size[i]), np.minimum(size[i + 1:], size[i])
+            able = (groups[i + 1:] != groups[i]) & (100 * low >= percent * high)
+            if met:
+                able &= side[i + 1:] != side[i]
+            for j in (np.flatnonzero(able) + i + 1).tolist():
+                x, y = top(int(groups[i])), top(int(groups[j]))
+                if x == y or min(keys[i] & keys[j]) != key:
+                    continue
+                both = textops.common(sets[i], sets[j])
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    a_out.append(ids[i])
+                    b_out.append(ids[j])
+                    joined[x] = y
+        return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
+
+    others = stars.where("id <> center").select("id", "key")
+    label = found.select(F.col("node").alias("id"), "component")
+    others = others.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_keys = others.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count("*") / GROUP).alias("groups"))
+    open_keys = open_keys.where("least <> most").select("key", "groups")
+    rows = staged(others.join(open_keys, "key"), "rest")
+    each = rows.groupBy("id").agg(F.collect_set("key").alias("keys"))  # at most `bands` keys
+    texts = staged(texts.join(each.hint("shuffle_hash"), "id"), "rest-texts")
+    side = F.pmod(F.xxhash64("id"), F.col("groups"))
+    meets = rows.withColumn("side", side).select(
+        "id", "key", "component", "side", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("other"))
+    meets = meets.select("id", "key", "component", "side", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"))
+    return meets.join(texts, "id").groupBy("key", "one", "two").applyInArrow(run, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
     bands: int = BANDS, rows: int = ROWS,
@@ -152,6 +210,8 @@ def near_duplicates(
       row and band, however large a group is.
     * Members that their star did not join are bucketed once more by pairs of their bands (at
       most bands * (bands - 1) / 2 rows per document), with stars of their own.
+    * Of what is then still apart, every pair of a bucket is tested, so links do not depend on the
+      choice of centres. That is quadratic only in members of a bucket that are not alike.
 
     NULL, empty and blank texts have no shingle and stay alone; texts under five words are one
     shingle. A NULL id is kept, unlinked. Rows that repeat an id with the same text get the same
@@ -177,6 +237,7 @@ def near_duplicates(
         links = staged(confirm(pairs, candidates, percent), "links")
         fresh = _second_round(stars, connected_components(links), pairs)
         links = staged(links.unionByName(confirm(fresh, candidates, percent)), "links")
+        links = staged(links.unionByName(_rest(stars, connected_components(links), candidates, percent)), "links")
 
     # Copies of one set and links between sets make one graph on ids.
     joined = links.unionByName(members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))

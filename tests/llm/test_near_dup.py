@@ -72,6 +72,14 @@ def test_hub_whose_copies_are_not_alike(spark):
     check(spark, texts, 85)
 
 
+def test_texts_of_shared_passages(spark):
+    """Texts put together from passages that many others hold too: nothing in a linked pair is its own."""
+    rng = np.random.Generator(np.random.PCG64(23))
+    passages = [" ".join(f"p{n}_{i}" for i in range(20)) for n in range(22)]
+    texts = {i: " ".join(passages[n] for n in sorted(rng.choice(22, 18, replace=False))) for i in range(450)}
+    check(spark, texts, 80)
+
+
 def test_an_id_with_several_texts(spark):
     a, b = prose(80, 3), prose(80, 11)
     rows = [row(1, a), row(1, b), row(2, a + " end"), row(3, "start " + b), row(4, prose(80, 5))]
