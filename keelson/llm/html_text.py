@@ -25,7 +25,7 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr".split())
 # What is never article text, by element.
 DROPPED = frozenset(
-    "head nav footer aside form button select option input dialog menu template svg math canvas object embed audio "
+    "head nav footer aside button select option input dialog menu template svg math canvas object embed audio "
     "video map".split()) | RAW
 # The same by a word of class or id, and by role.
 DROPPED_WORDS = frozenset(
@@ -33,6 +33,10 @@ DROPPED_WORDS = frozenset(
     "notice notices notification alert popup modal overlay sidebar sidebars sidenav rail menu menus nav navbar navigation breadcrumb "
     "breadcrumbs footer masthead topbar comment comments commentlist respond reply replies disqus share sharing social "
     "related recommended newsletter subscribe signup login search searchbox widget widgets pagination pager toolbar copyright".split())
+# Names of readers' texts, which may well be longer than the article.
+_READERS = frozenset("comment comments commentlist respond reply replies disqus".split())
+# Names that speak of a layout or a page builder, not of what the element is.
+_LAYOUT = re.compile(r"(?:with|without|no|has|elementor)[-_]")
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 # A start tag that closes an open element of the same family, up to the nearest of its borders.
@@ -46,30 +50,72 @@ _ARTICLE = frozenset(["article", "main"])
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre td th figcaption caption address summary tr".split())
 _LISTS = frozenset("div ul ol dl table section".split())
 MENU_SHARE = 0.9  # three links or more with this share of a container's text make it a menu
+READERS_SHARE = 0.9  # an element named after comments is the page's text from here on
 SLACK = 0.2  # a part counts from this share of the smallest density above the main part
 
 
-def _drops(tag: str, attributes: str, in_article: bool) -> bool:
+KEPT, DROP, NAMED, READERS = range(4)
+
+
+def _drops(tag: str, attributes: str, in_article: bool) -> int:
+    """DROP: never article text. NAMED, READERS: no article text unless most of the page's text is in it."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return DROP
+    verdict = NAMED if tag == "form" else KEPT
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return verdict
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            words = _WORDS.split(value)
-            if not DROPPED_WORDS.isdisjoint(words) or ("header" in words and not in_article):
-                return True
-        elif name == "role" and value in DROPPED_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            words = {w for one in value.split() if not _LAYOUT.match(one) for w in _WORDS.split(one)}
+            if not _READERS.isdisjoint(words):
+                verdict = READERS
+            elif not DROPPED_WORDS.isdisjoint(words) or ("header" in words and not in_article):
+                verdict = max(verdict, NAMED)
+        elif name == "role" and value in DROPPED_ROLES:
+            verdict = max(verdict, NAMED)
+        elif name == "hidden" or name == "aria-hidden" and value == "true":
+            return DROP
         elif name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return DROP
+    return verdict
+
+
+def _drop_named(tags, parents, dropped, named, chars, link_chars) -> None:
+    """Drop the elements of unfitting names, but for those that hold the page's text.
+
+    One stays if it is around ``main`` or has more than half of the text outside links, readers' texts
+    aside; an element of readers' texts if it has more than ``READERS_SHARE`` of all. If nothing else is left, all stay.
+    """
+    if not any(named):
+        return
+    n = len(tags)
+
+    def plain() -> list[int]:
+        own = [0 if dropped[i] else chars[i] - link_chars[i] for i in range(n)]
+        for i in range(n - 1, 0, -1):
+            own[parents[i]] += own[i]
+        return own
+
+    def drop(verdict: int, share: float) -> None:
+        text = plain()
+        for i in range(1, n):
+            if dropped[parents[i]] or named[i] == verdict and not around[i] and text[i] <= share * text[0]:
+                dropped[i] = True
+
+    around = [t == "main" for t in tags]
+    for i in range(n - 1, 0, -1):
+        around[parents[i]] = around[parents[i]] or around[i]
+    before = list(dropped)
+    drop(READERS, READERS_SHARE)
+    drop(NAMED, 0.5)
+    if not any(c for c, d in zip(chars, dropped) if not d):
+        dropped[:] = before
 
 
 def main_text(html: str) -> str:
     """The blocks of the page's densest part, joined by line feeds."""
-    tags, parents, dropped, linked, article = [""], [-1], [False], [False], [False]
+    tags, parents, dropped, named, linked, article = [""], [-1], [False], [KEPT], [False], [False]
     pieces: list[tuple[int, int, str]] = []  # node, block, text
     stack, block, at, end = [0], 0, 0, len(html)
     body = 0
@@ -121,7 +167,9 @@ def main_text(html: str) -> str:
         tags.append(tag)
         parents.append(up)
         article.append(article[up] or tag in _ARTICLE)
-        dropped.append(dropped[up] or _drops(tag, m[3] or m[6] or "", article[up]))
+        verdict = _drops(tag, m[3] or m[6] or "", article[up])
+        dropped.append(dropped[up] or verdict == DROP)
+        named.append(verdict if verdict > DROP else KEPT)
         linked.append(linked[up] or tag == "a")
         node = len(tags) - 1
         if tag == "body":
@@ -142,6 +190,10 @@ def main_text(html: str) -> str:
         chars[node] += size
         if linked[node]:
             link_chars[node] += size
+    _drop_named(tags, parents, dropped, named, chars, link_chars)
+    for i in range(n):
+        if dropped[i]:
+            chars[i] = link_chars[i] = 0
     marked = _content(tags, parents, dropped, chars, link_chars, body)
     out = []
     for b in sorted(blocks):
@@ -193,7 +245,7 @@ def _content(tags, parents, dropped, chars, link_chars, body) -> list[bool]:
     for i in range(body, n):
         up = parents[i]
         inside[i] = i == body or inside[up]
-        menu = tags[i] in _LISTS and link_tags[i] >= 3 and link_chars[i] >= MENU_SHARE * chars[i]
+        menu = not (marked[up] and up != body) and tags[i] in _LISTS and link_tags[i] >= 3 and link_chars[i] >= MENU_SHARE * chars[i]
         if not inside[i] or dropped[i] or menu and i != body:
             marked[i] = inside[i] = False
             continue
@@ -208,7 +260,8 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     Elements that are no article text by name, role, or a word of class or id go first: menus,
     page headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.
-    So do containers of at least three links and next to no other text. On the rest every DOM node gets a composite text density (characters per tag, lowered by
+    Those named by class, id or role, and forms, stay where they hold most of the page's text. Containers of at least
+    three links and next to no other text go too, unless they are within the main part. On the rest every DOM node gets a composite text density (characters per tag, lowered by
     its share of link text against the page's share). The node whose children have the largest
     sum of densities is content, or the article element around it; ``SLACK`` times the smallest
     density on its way up to the body is the threshold at which other parts count as content too.

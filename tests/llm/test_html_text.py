@@ -36,6 +36,25 @@ def test_boilerplate_goes(page):
     assert main_text(page) == WANT
 
 
+@pytest.mark.parametrize("page", [
+    *(f"<body><nav>Home</nav><div class='{c}'>{BODY}</div><footer>About us</footer></body>" for c in (
+        "content with-sidebar", "no-sidebar", "has-banner", "search-results", "social-layout", "post comments-open")),
+    f"<body><div class='elementor-widget x'>{BODY.split('</p>', 1)[0]}</p></div><div class='elementor-widget y'>{BODY.split('</p>', 1)[1]}</div></body>",
+    f"<form id=aspnetForm action=/><div>{BODY}</div><div class=sidebar>More of this</div></form>",
+    f"<div class='page widget'><main>{BODY}</main></div><div class=comments><p>{'A reader says so. ' * 40}</p></div>",
+    f"<div>{BODY}</div><div class=comments><p>{'A reader says so. ' * 40}</p></div>",
+])
+def test_names_do_not_drop_the_article(page):
+    assert main_text(page) == WANT
+
+
+def test_lists_of_links_in_an_article():
+    sources = "<ul><li><a href=a>Source one</a><li><a href=b>Source two</a><li><a href=c>Source three</a></ul>"
+    want = f"{WANT}\nSource one\nSource two\nSource three"
+    assert main_text(f"<body><article>{BODY}{sources}</article><ul class=menu><li><a href=d>Home</a></ul></body>") == want
+    assert main_text(f"<body><div class=content>{BODY}{sources}</div><div>Imprint</div></body>").startswith(want)
+
+
 @pytest.mark.parametrize("page, text", [
     ("", ""), ("plain", "plain"), ("<p>open <b>tags<p>here", "open tags\nhere"), ("a < b &lt; c&nbsp; d", "a < b < c d"),
     ("<p>x</i></p></div>y", "x\ny"), ("<ul><li>one<li>two</ul>", "one\ntwo"), ("<p>cut off <a href='", "cut off <a href='"),
