@@ -63,10 +63,10 @@ def needed(length: int, error: float) -> tuple[int, int]:
 
 
 class Index:
-    """The windows of a block of benchmark items and where each q-gram stands in the items."""
+    """A block of benchmark items, the size of their windows and where each q-gram stands in the items."""
 
     def __init__(self, items: list[tuple[int, str]], window: int, error: float) -> None:
-        self.ids, self.points, self.windows, codes, owner, place = [], [], [], [], [], []
+        self.ids, self.points, self.sizes, codes, owner, place = [], [], [], [], [], []
         for item, text in items:
             raw = np.frombuffer(text.encode(), dtype=np.uint8)
             points = folded(raw, np.array([0, len(raw)]))[0]
@@ -74,16 +74,14 @@ class Index:
             points = points[:-1] if len(points) and points[-1] == 32 else points
             if len(points) < Q:
                 continue
-            size = min(window, len(points))
-            starts = sorted({*range(0, len(points) - size + 1, max(1, size // 2)), len(points) - size})
             g = grams(points)
             codes.append(g)
             owner.append(np.full(len(g), len(self.ids)))
             place.append(np.arange(len(g)))
             self.ids.append(item)
             self.points.append(points)
-            self.windows.append([(s, s + size) for s in starts])
-        self.budget = [needed(w[0][1] - w[0][0], error) for w in self.windows]
+            self.sizes.append(min(window, len(points)))
+        self.budget = [needed(size, error) for size in self.sizes]
         self.least = np.array([n for _, n in self.budget], dtype=np.int64)
         codes = np.concatenate(codes) if codes else np.zeros(0, dtype=np.uint64)
         order = np.argsort(codes, kind="stable")
@@ -120,11 +118,11 @@ def align(pattern: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, i
 
 
 def search(index: Index, points: np.ndarray, at: np.ndarray) -> list[list[tuple[int, int, int, int]]]:
-    """For each text of a run, (item, start, end, edits) of each item found, in folded positions."""
-    found: list[list[tuple[int, int, int, int]]] = [[] for _ in range(len(at) - 1)]
+    """For each text of a run, (item, start, end, edits) of each region of an item found, in folded positions."""
+    parts: list[list[list]] = [[] for _ in range(len(at) - 1)]  # first match, start and end of each part
     g = grams(points)
     if not len(g) or not len(index.ids):
-        return found
+        return parts
     hit = np.flatnonzero(index.maybe[((g * _MULTIPLIER) >> np.uint64(64 - _BITS)).astype(np.int64)])
     code = np.minimum(np.searchsorted(index.codes, g[hit]), len(index.codes) - 1)
     text = np.searchsorted(at, hit, side="right") - 1
@@ -150,24 +148,31 @@ def search(index: Index, points: np.ndarray, at: np.ndarray) -> list[list[tuple[
     item = cells // span % len(index.ids)
     for j in np.flatnonzero(total >= index.least[item]):
         t, i = int(cells[j]) // span // len(index.ids), int(item[j])
-        if any(f[0] == index.ids[i] for f in found[t]):
-            continue
         low = (int(cells[j]) % span + first) * CELL
         stop = start[j] + total[j]
         offsets = np.sort(place[order[start[j]:stop]])
         most, least = index.budget[i]
-        doc = points[at[t]:at[t + 1]]
-        for a, b in index.windows[i]:
-            grams_in = np.searchsorted(offsets, b - Q, side="right") - np.searchsorted(offsets, a)
-            if grams_in < least:
-                continue
-            left = max(0, a + low - most)
-            band = doc[left:max(left, b + low + 2 * CELL + most)]
-            match = align(index.points[i][a:b], band, most)
-            if match:
-                found[t].append((index.ids[i], left + match[1], left + match[2], match[0]))
-                break
-    return found
+        doc, size = points[at[t]:at[t + 1]], index.sizes[i]
+        # The q-grams in a window change only where one enters or leaves, so the starts that reach the bound are few runs.
+        edges = np.unique(np.clip(np.concatenate(([0], offsets - (size - Q), offsets + 1)), 0, len(index.points[i]) - size))
+        inside = np.searchsorted(offsets, edges + size - Q, side="right") - np.searchsorted(offsets, edges)
+        ends = np.concatenate((edges[1:], [len(index.points[i]) - size + 1]))
+        a = reached = 0
+        for first_start, after in zip(edges[inside >= least].tolist(), ends[inside >= least].tolist()):
+            a = max(a, first_start)
+            while a < after:
+                left = max(0, a + low - most, reached)  # what overlaps the last match belongs to its part
+                band = doc[left:max(left, a + size + low + 2 * CELL + most)]
+                match = align(index.points[i][a:a + size], band, most) if len(band) >= size - most else None
+                a += 1
+                if match:
+                    begin, reached = left + match[1], left + match[2]
+                    part = next((p for p in parts[t] if p[0][0] == index.ids[i] and begin <= p[2] + most and p[1] <= reached + most), None)
+                    if part:
+                        part[1:] = min(part[1], begin), max(part[2], reached)
+                    else:
+                        parts[t].append([(index.ids[i], begin, reached, match[0]), begin, reached])
+    return [[p[0] for p in own] for own in parts]
 
 
 def _leak_column(sent, window: int, error: float):
@@ -192,11 +197,10 @@ def with_leaks(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     window: int = WINDOW, error: float = ERROR, block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """``docs`` with ``leaks``: array of (item_id, start, stop, edits), one entry per benchmark item of
-    which the text holds a window.
+    """``docs`` with ``leaks``: array of (item_id, start, stop, edits), one entry per part of the text that
+    holds a window of a benchmark item; windows that touch are one part, and its first one is given.
 
-    An item is cut into windows of ``window`` characters, each half over the one before (a shorter item is
-    one window). A text leaks it if some part of it is within ``error`` * window edits of a
+    Any ``window`` characters of an item are a window (a shorter item is one window). A text leaks it if some part of it is within ``error`` * window edits of a
     window, case and runs of white space aside. Shared q-grams are counted in overlapping
     bands of diagonals; only bands that reach the q-gram lemma's bound are aligned, within the
     band. ``start`` and ``stop`` are code points of the text as it is.
@@ -206,7 +210,7 @@ def with_leaks(
     takes a pass for each, over stored rows.
 
     NULL and empty texts leak nothing. Items that are NULL, or under eight characters once
-    trimmed, are left out; items that repeat an id are searched each and reported under it once. An empty
+    trimmed, are left out; items that repeat an id are searched each, and parts that overlap are reported once. An empty
     benchmark gives empty arrays. A former column ``leaks`` is replaced.
     """
     items = benchmark.where(F.col(item_text_col).isNotNull() & F.col(item_col).isNotNull()).select(

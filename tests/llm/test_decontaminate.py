@@ -84,6 +84,17 @@ def test_more_text_item_pairs_than_23_bits():
     assert [{f[0] for f in hits} for hits in found] == [{(t * 8) % 9_000} if t % 50 == 0 else set() for t in range(1_100)]
 
 
+def test_quotations_off_the_grid_and_several_places(spark):
+    item, around = " ".join(f"{w}{i}" for i, w in enumerate(ITEM.split() * 3)), prose(40)
+    texts = [f"{around} {item[a:a + 103]} {around}" for a in (0, 27, 74, 131)]
+    texts += [f"{item[:110]} {around} {item[-110:]}", f"{item[20:125]} {around} {item[20:125]}", f"{around} {item}"]
+    got = leaks(spark, texts, [(1, item, "")])
+    assert [len(got[i]) for i in range(7)] == [1, 1, 1, 1, 2, 2, 1]
+    for i in (4, 5):
+        first, second = sorted(x.start for x in got[i])
+        assert first < 20 and second > len(around)
+
+
 def test_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(7, "x" * 300, ""), (8, prose(60), "")], BENCH)
     got = with_leaks(odd, bench)
