@@ -31,7 +31,7 @@ class TextEncoder:
 
     The pre-tokenizer of a byte-level vocabulary joins at most one space to the word after it, so
     a text may be cut before any space that has no white space on one of its two sides, and each
-    piece encoded alone. A text with another space is encoded whole.
+    piece encoded alone. A text with another space, or with an added token of the vocabulary, is encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -39,7 +39,8 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         spaced = [i for t, i in self.library.get_vocab().items() if t.startswith("\u0120")]  # the byte-level sign of a space
         self.opens = np.zeros(max(range_coder.IDS, self.library.get_vocab_size()), dtype=bool)
         self.opens[spaced] = True
@@ -72,7 +73,7 @@ class TextEncoder:
         return self.batch([text])[0]
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") if t and not _RUN_OF_SPACES.search(t) else None for t in texts]
+        cut = [t.split(" ") if t and not _RUN_OF_SPACES.search(t) and not (self.added and self.added.search(t)) else None for t in texts]
         unseen = set().union(*(c[1:] for c in cut if c)).difference(self.pieces)
         if unseen:
             self._learn(unseen)

@@ -63,6 +63,19 @@ def test_odd_rows(spark, odd, none, library):
     assert read_token_files(write_token_files(none, token_folder(spark), byte_bpe())).count() == 0
 
 
+def test_texts_with_an_added_token(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(byte_bpe())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>  y z<|endoftext|>", "a <|endoftext b", "no token here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[0] and [np.frombuffer(x, "<u2").tolist() for x in text_encoder(byte_bpe()).batch(texts)] == want
+    got = read_token_files(write_token_files(docs, token_folder(spark), byte_bpe())).orderBy("start").collect()
+    assert [r.n_tokens for r in got] == [len(ids) + 1 for ids in want]
+    assert [r.ids_crc32 for r in got] == [zlib.crc32(np.array([*ids, 0], "<u4").tobytes()) for ids in want]
+
+
 def test_damage_is_found(spark, odd, tmp_path):
     index = write_token_files(odd.limit(3), str(tmp_path / "t"), byte_bpe())
     path = index.first().path
