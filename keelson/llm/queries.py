@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import mixing, topk, warc
+from keelson.llm import hard_negatives, mixing, topk, warc
 from keelson.llm.decontaminate import with_leaks
 from keelson.llm.html_text import extract_text
 from keelson.llm.langid import fit_languages, identify_languages, in_fold
@@ -104,3 +104,10 @@ def revision() -> list:
 def op4_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_edited(docs.withColumn("edits", F.array(*revision())), byte_bpe())
+
+
+@query("op13_hard_negatives", hard_negatives.ORACLE)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(vectors.withColumn("label", noisy), F.col("vec_id") % 50 == 0)
