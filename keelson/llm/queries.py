@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.llm import hard_negatives, mixing, topk, warc
+from keelson.llm.cross_tokens import align_tokenizers, piece_bpe
 from keelson.llm.decontaminate import with_leaks
 from keelson.llm.html_text import extract_text
 from keelson.llm.langid import fit_languages, identify_languages, in_fold
@@ -111,3 +112,8 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine_hard_negatives(vectors.withColumn("label", noisy), F.col("vec_id") % 50 == 0)
+
+
+@query("op12_cross_tokens")
+def op12_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), byte_bpe(), piece_bpe())[0]
