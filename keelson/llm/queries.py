@@ -13,6 +13,7 @@ from keelson.llm.decontaminate import with_leaks
 from keelson.llm.html_text import extract_text
 from keelson.llm.langid import fit_languages, identify_languages, in_fold
 from keelson.llm.near_dup import near_duplicates
+from keelson.llm.pitman_yor import pitman_yor
 from keelson.llm.token_counts import count_edited
 from keelson.llm.token_files import byte_bpe, read_token_files, token_folder, write_token_files
 from keelson.llm.toxicity import fit_toxicity, score_toxicity
@@ -117,3 +118,8 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_cross_tokens")
 def op12_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(table(spark, sf_dir, "documents"), byte_bpe(), piece_bpe())[0]
+
+
+@query("op11_pitman_yor")
+def op11_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2))[0]
