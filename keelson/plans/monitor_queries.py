@@ -9,6 +9,7 @@ from keelson.functions.hashing import bucket
 from keelson.operators import drift as D
 from keelson.operators import monitor as A
 from keelson.operators import outputs as O
+from keelson.operators import profile_state as P
 from keelson.operators.features import FeatureSpec
 from keelson.plans.derived import (
     DRIFTED,
@@ -95,6 +96,29 @@ def category_profile(spark, sf_dir) -> DataFrame:
     return A.category_profile(inference_log(spark, sf_dir), ["event_type"], "ts", "1 day", "version", _slices())
 
 
+GRANULARITIES = ("5 minutes", "1 hour", "1 day")
+SKETCH_FLAGS = ["p25_ok", "p50_ok", "p75_ok", "n_distinct_ok"]
+
+
+def _rolled_sql(size: str) -> str:
+    flags = ", ".join(f"true {f}" for f in SKETCH_FLAGS)
+    return (f"select '{size}' granularity, *, {flags} from (with {_windows(size)} "
+            + _profile_sql("w", PROFILED, ["value", "user_id"], quantiles=False) + ")")
+
+
+@query("profile_rollup", " union all ".join(map(_rolled_sql, GRANULARITIES)))
+def profile_rollup(spark, sf_dir) -> DataFrame:
+    """Five-minute cells of one scan, rolled up to hours and days; sketches are held against the rows."""
+    log, columns = inference_log(spark, sf_dir), ["value", "user_id"]
+    profiled = P.profile_windows(log, columns, "ts", GRANULARITIES, P.CELL, "version", _slices())
+    out = None
+    for size in GRANULARITIES:
+        one = profiled.filter(F.col("granularity") == size)
+        one = P.within_bounds(one, log, columns, "ts", size, "version", _slices()).drop("p25", "p50", "p75", "n_distinct")
+        out = one if out is None else out.unionByName(one)
+    return _rounded_profile(out)
+
+
 RATES_SQL = """
 round((tp + tn)::double / n, 6) accuracy, round(coalesce(tp::double / nullif(tp + fp, 0), 0), 6) "precision",
 round(coalesce(tp::double / nullif(tp + fn, 0), 0), 6) recall,
@@ -453,20 +477,18 @@ CLOSED = "w.window_end <= (select max(ts) from events) - interval '10 minutes'"
 
 
 @query("stream_monitor", f"""
-with {_windows('1 hour')}, closed as (select * from w where {CLOSED}) """
-       + _profile_sql("closed", PROFILED, ["value"], quantiles=False))
+with {_windows('1 hour')}, closed as (select * from w where {CLOSED})
+select *, {", ".join(f"true {f}" for f in SKETCH_FLAGS)} from (""" + _profile_sql("closed", PROFILED, ["value"], quantiles=False) + ")")
 def stream_monitor(spark, sf_dir) -> DataFrame:
-    """Windows the watermark has passed; the open ones are still held as state."""
+    """Windows the watermark has passed; the open ones are still held as state. Sketches are held against the rows."""
     path = scratch_path(spark, "stream-monitor")
     log = prepare_log(event_stream(spark, sf_dir))
     profiled = jobs.stream_monitor(log, ["value"], "ts", "1 hour", "10 minutes", "version", _slices())
     jobs.append_to(profiled, path).awaitTermination()
-    kept = ["window_start", "window_end", "model_version", "slice", "column", "n", "n_null",
-            "min", "max", "mean", "std", "n_zero"]
-    out = spark.read.parquet(path).select(kept).withColumns({
-        c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")
-    })
-    return _rounded_profile(out)
+    out = spark.read.parquet(path).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    out = P.within_bounds(out, inference_log(spark, sf_dir), ["value"], "ts", "1 hour", "version", _slices(),
+                          distinct_error=4 * A.DISTINCT_ERROR)
+    return _rounded_profile(out.drop("p25", "p50", "p75", "n_distinct"))
 
 
 @query("stream_upsert", f"""
