@@ -17,6 +17,7 @@ WINDOW = 100
 ERROR = 0.08
 CELL = 32
 BLOCK_CHARS = 4_000_000
+STARTS = 64
 LEAKS = "array<struct<item_id: long, start: long, stop: long, edits: long>>"
 
 _FOLD = np.arange(0x110000, dtype=np.uint32)
@@ -117,6 +118,31 @@ def align(pattern: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, i
     return int(row[end]), end - int(back.argmin()), end
 
 
+def distance(pattern: list[int], text: list[int]) -> int:
+    """The least number of edits between ``pattern`` and any part of ``text``: a column of the table is two bit vectors,
+    one bit per character of the pattern, and a character of the text costs a few operations on whole vectors."""
+    at: dict[int, int] = {}
+    for i, c in enumerate(pattern):
+        at[c] = at.get(c, 0) | 1 << i
+    full, top = (1 << len(pattern)) - 1, 1 << (len(pattern) - 1)
+    up, down, here = full, 0, len(pattern)
+    best, find = here, at.get
+    for c in text:
+        equal = find(c, 0)
+        across = (((equal & up) + up) ^ up) | equal
+        rise, fall = down | (full & ~(across | up)), up & across
+        if rise & top:
+            here += 1
+        elif fall & top:
+            here -= 1
+            if here < best:
+                best = here
+        rise, fall, kept = rise << 1, fall << 1, equal | down
+        up = (fall | ~(kept | rise)) & full
+        down = rise & kept & full
+    return best
+
+
 def search(index: Index, points: np.ndarray, at: np.ndarray) -> list[list[tuple[int, int, int, int]]]:
     """For each text of a run, (item, start, end, edits) of each region of an item found, in folded positions."""
     parts: list[list[list]] = [[] for _ in range(len(at) - 1)]  # first match, start and end of each part
@@ -160,12 +186,22 @@ def search(index: Index, points: np.ndarray, at: np.ndarray) -> list[list[tuple[
         a = reached = 0
         for first_start, after in zip(edges[inside >= least].tolist(), ends[inside >= least].tolist()):
             a = max(a, first_start)
+            wide, tested = [], a  # one band around the bands of the starts before ``tested``
             while a < after:
+                if a >= tested:
+                    tested, left = min(after, a + STARTS), max(0, a + low - most, reached)
+                    wide = doc[left:max(left, tested - 1 + size + low + 2 * CELL + most)].tolist()
+                # A character less at the front takes away at most one edit, one more at the end none.
+                over = distance(index.points[i][a:a + size].tolist(), wide) - most
+                if over > 0:
+                    a += over
+                    continue
                 left = max(0, a + low - most, reached)  # what overlaps the last match belongs to its part
                 band = doc[left:max(left, a + size + low + 2 * CELL + most)]
                 match = align(index.points[i][a:a + size], band, most) if len(band) >= size - most else None
                 a += 1
                 if match:
+                    tested = a
                     begin, reached = left + match[1], left + match[2]
                     part = next((p for p in parts[t] if p[0][0] == index.ids[i] and begin <= p[2] + most and p[1] <= reached + most), None)
                     if part:
