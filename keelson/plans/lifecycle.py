@@ -20,6 +20,7 @@ from keelson.operators.features import FeatureSpec
 from keelson.operators.score import MODEL_ERRORS, ml_score, predicts
 from keelson.operators.splits import TRAIN_VAL_TEST, split, with_split
 from keelson.session import require_lasting_tables, shared_dir, staging
+from keelson.sources.clustered import ClusteredTable
 from keelson.sources.model_tables import open_table
 from keelson.sources.tables import KeyedTable, VersionedTable, append, clone, create_database, overwrite, read_csv
 
@@ -69,6 +70,7 @@ class Workspace:
 
 BRONZE, UPDATES, FEATURES = "raw_customers", "late_customers", "customer_features"
 BASELINE, PREDICTIONS, SPECS = "scored_reference", "scored_customers", "feature_specs"
+ROWS_PER_FILE = 250_000
 
 
 def ingest(spark: SparkSession, ws: Workspace, csv_path: str) -> None:
@@ -96,28 +98,28 @@ def load_spec(spark: SparkSession, ws: Workspace, stage: str, name: str) -> Feat
     return FeatureSpec.from_dict(json.loads(rows[0]["spec"]))
 
 
-def build_features(spark: SparkSession, ws: Workspace, parts: int | None = 16) -> KeyedTable:
+def build_features(spark: SparkSession, ws: Workspace, rows_per_file: int = ROWS_PER_FILE) -> ClusteredTable:
     """Fit the featuriser on the bronze table and rebuild the dev feature table."""
     bronze = spark.table(ws.table("dev", BRONZE))
     spec = FeatureSpec(CATEGORICALS, LABEL).fit(bronze)
     save_spec(spark, ws, "dev", FEATURES, spec)
     features = spec.transform(bronze)
-    store = KeyedTable(spark, ws.table("dev", FEATURES), parts)
+    store = ClusteredTable(spark, ws.table("dev", FEATURES), rows_per_file)
     text = "Churn features: one-hot categoricals with clean names, numeric charges, 0/1 label."
     store.create(features.schema, [KEY], text, replace=True).merge(features)
     return store
 
 
 def refresh_features(
-    spark: SparkSession, ws: Workspace, source: str = UPDATES, parts: int | None = 16
-) -> KeyedTable:
+    spark: SparkSession, ws: Workspace, source: str = UPDATES, rows_per_file: int = ROWS_PER_FILE
+) -> ClusteredTable:
     """Incremental job: the fitted spec on a batch of customers, merged into prod features.
 
     Unlabelled customers are kept, since they are to be scored.
     """
     spec = load_spec(spark, ws, "dev", FEATURES)
     features = spec.transform(spark.table(ws.table("prod", source)), training=False)
-    store = KeyedTable(spark, ws.table("prod", FEATURES), parts)
+    store = ClusteredTable(spark, ws.table("prod", FEATURES), rows_per_file)
     store.create(features.schema, [KEY], "Churn features by customer.").merge(features)
     return store
 

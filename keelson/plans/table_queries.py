@@ -11,6 +11,7 @@ from keelson.plans.registry import flag, query, sql_bucket, table
 from keelson.functions.hashing import bucket
 from keelson.session import scratch_path
 from keelson.sources import tables as S
+from keelson.sources.clustered import FILE, ClusteredTable
 
 
 def scratch_database(spark: SparkSession) -> str:
@@ -154,6 +155,42 @@ def merge_touched_partitions(spark, sf_dir) -> DataFrame:
     return store.read()
 
 
+@query("merge_touched_files", """
+select o_orderkey, o_custkey, case when o_orderkey <= (select max(o_orderkey) from orders) / 200 then -1.0 else o_totalprice end o_totalprice,
+       true most_files_stay, true written_in_proportion from orders
+union all select (select max(o_orderkey) from orders) + 1 + c_custkey, c_custkey, c_acctbal, true, true from customer where c_custkey <= 10""")
+def merge_touched_files(spark, sf_dir) -> DataFrame:
+    """Half a per cent of the keys, neighbours of each other, and a few new ones: the other files stay where they are."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    store = ClusteredTable(spark, scratch_name(spark, "clustered"), rows_per_file=max(1, orders.count() // 40))
+    store.create(orders.schema, ["o_orderkey"], "orders in ranges of the key").merge(orders)
+    before = store.files()
+    highest = orders.agg(F.max("o_orderkey")).first()[0]
+    changed = orders.filter(F.col("o_orderkey") <= highest / 200).withColumn("o_totalprice", F.lit(-1.0))
+    new = table(spark, sf_dir, "customer").filter("c_custkey <= 10").select((F.col("c_custkey") + (highest + 1)).alias("o_orderkey"),
+        F.col("c_custkey").alias("o_custkey"), F.col("c_acctbal").alias("o_totalprice"))
+    store.merge(changed.unionByName(new))
+    stay = set(before) & set(store.files())
+    version = spark.table(store.current_version())
+    share = version.agg(F.avg(F.when(F.col(FILE).isin(sorted(stay)), 0.0).otherwise(1.0))).first()[0]
+    return store.read().withColumns({
+        "most_files_stay": F.lit(len(stay) >= 0.9 * len(before)), "written_in_proportion": F.lit(share <= 0.1)})
+
+
+@query("merge_scattered_files", f"""
+select o_orderkey, o_custkey, case when {sql_bucket('o_orderkey')} = 7 then -1.0 else o_totalprice end o_totalprice from orders""")
+def merge_scattered_files(spark, sf_dir) -> DataFrame:
+    """Keys from everywhere, two per row of the key: a price and a customer; then one more clustering."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    store = ClusteredTable(spark, scratch_name(spark, "scattered"), rows_per_file=max(1, orders.count() // 5))
+    store.create(orders.schema, ["o_custkey", "o_orderkey"]).merge(orders.filter(bucket("o_orderkey") != 7))
+    store.merge(orders.filter(bucket("o_orderkey") == 7).withColumn("o_totalprice", F.lit(0.0)))
+    store.merge(orders.filter(bucket("o_orderkey") == 7).withColumn("o_totalprice", F.lit(-1.0)))
+    store.recluster()
+    store.vacuum()
+    return store.read()
+
+
 @query("latest_runs", """
 select o_custkey, arg_max(o_orderkey, o_orderkey) last_order, arg_max(o_orderstatus, o_orderkey) status from orders group by 1""")
 def latest_runs(spark, sf_dir) -> DataFrame:

@@ -111,6 +111,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return filesystem.getFileStatus(jvm_path).isDirectory()
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders directly below a folder."""
+    filesystem, jvm_path = _filesystem(spark, path)
+    return [f.getPath().getName() for f in filesystem.listStatus(jvm_path) if f.isDirectory()]
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
