@@ -14,7 +14,6 @@ from keelson.llm.components import connected_components
 from keelson.session import staged, staging
 
 BANDS, ROWS = 32, 6
-GROUP = 100
 _ATTEMPTS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**31, (512, 1024))
 _BAND = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -116,79 +115,60 @@ def _stars(rows: DataFrame, rank: Column) -> DataFrame:
     return rows.select("key", "id").join(centers, "key")
 
 
-def _second_round(stars: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
-    """New pairs among the members that the star of a bucket did not join: stars of buckets by two bands."""
+def _shingles(texts: DataFrame) -> DataFrame:
+    """(id, component, member, size, shingles): the set of every text, which ``member`` names."""
 
-    def grouped(frame: DataFrame, column: str, out: str) -> DataFrame:
-        group = found.select(F.col("node").alias(column), F.col("component").alias(out))
-        return frame.join(group, column, "left").withColumn(out, F.coalesce(out, column))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in textops.released(batches):
+            for low, high, data, offsets in textops.text_runs(batch.column(2)):
+                sets, at = textops.shingle_sets(data, offsets)
+                own = [batch.column(i).slice(low, high - low) for i in (0, 1, 3)]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(np.diff(at)), textops.list_column(sets.view(np.int64), at)],
+                    names=["id", "component", "member", "size", "shingles"])
 
-    apart = grouped(grouped(stars, "id", "own"), "center", "theirs").where("own <> theirs").select("id", "key")
-    each = staged(apart.groupBy("id").agg(F.collect_set("key").alias("keys")), "apart")  # at most `bands` keys
-    twice = each.select("id", F.explode("keys").alias("one"), "keys").select(
-        "id", "one", F.explode("keys").alias("two")).where("one < two")
-    again = _shared(twice.select("id", F.xxhash64("one", "two").alias("key")))
-    more = _stars(again, F.xxhash64(F.col("id"), F.col("key"))).select(F.col("id").alias("a"), F.col("center").alias("b"))
-    more = more.where("a <> b").distinct()
-    turned = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    return staged(more.join(tried, ["a", "b"], "left_anti").join(turned, ["a", "b"], "left_anti"), "pairs")
+    rows = texts.select("id", "component", "text", F.xxhash64("id", "text").alias("member"))
+    return rows.mapInArrow(run, "id long, component long, member long, size long, shingles array<long>")
 
 
 def _rest(stars: DataFrame, found: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links among the pairs of a bucket that no star has tested and whose groups are still apart.
-
-    A bucket's centre is tested with all its members, so only the others count. A bucket is cut into
-    groups of ``GROUP`` members on average and each two groups meet in one task, which holds a text once however
-    many pairs it is in. A pair with several buckets is tested in the one of the smallest key.
+    """(a, b): the pairs that no star has tested, share a bucket's company and may still link two groups.
+
+    A bucket's centre is tested with all its members, so only buckets whose others lie in several groups count.
+    With the shingles of their members in ascending order of frequency, two linked sets of size n share one of the first
+    n - ceil(t * n) + 1. A shingle of one member alone is shared by none, so a member that has that many of
+    those links with nobody and goes. At the first shingle that two sets share, neither may have gone through more than a link
+    leaves over. Of the members that share a leading shingle, those of its largest group need not
+    meet each other: only the others meet all, and only where sizes allow a link.
     """
-
-    def run(table: pa.Table) -> pa.Table:
-        ids, groups, key = table["id"].to_numpy(), table["component"].to_numpy(), table["key"][0].as_py()
-        side = table["side"].to_numpy()
-        met = table["one"][0].as_py() != table["two"][0].as_py()  # two groups: pairs inside one are tested elsewhere
-        sets = []
-        for _, _, data, offsets in textops.text_runs(table["text"]):
-            own, at = textops.shingle_sets(data, offsets)
-            sets += [own[a:b] for a, b in zip(at, at[1:])]
-        keys = [set(k) for k in table["keys"].to_pylist()]
-        size = np.array([len(s) for s in sets])
-        a_out, b_out, joined = [], [], {}
-
-        def top(g: int) -> int:
-            while g in joined:
-                g = joined[g]
-            return g
-
-        for i in range(len(ids)):
-            high, low = np.maximum(size[i + 1:], size[i]), np.minimum(size[i + 1:], size[i])
-            able = (groups[i + 1:] != groups[i]) & (100 * low >= percent * high)
-            if met:
-                able &= side[i + 1:] != side[i]
-            for j in (np.flatnonzero(able) + i + 1).tolist():
-                x, y = top(int(groups[i])), top(int(groups[j]))
-                if x == y or min(keys[i] & keys[j]) != key:
-                    continue
-                both = textops.common(sets[i], sets[j])
-                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                    a_out.append(ids[i])
-                    b_out.append(ids[j])
-                    joined[x] = y
-        return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
-
-    others = stars.where("id <> center").select("id", "key")
     label = found.select(F.col("node").alias("id"), "component")
-    others = others.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_keys = others.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count("*") / GROUP).alias("groups"))
-    open_keys = open_keys.where("least <> most").select("key", "groups")
-    rows = staged(others.join(open_keys, "key"), "rest")
-    each = rows.groupBy("id").agg(F.collect_set("key").alias("keys"))  # at most `bands` keys
-    texts = staged(texts.join(each.hint("shuffle_hash"), "id"), "rest-texts")
-    side = F.pmod(F.xxhash64("id"), F.col("groups"))
-    meets = rows.withColumn("side", side).select(
-        "id", "key", "component", "side", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("other"))
-    meets = meets.select("id", "key", "component", "side", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"))
-    return meets.join(texts, "id").groupBy("key", "one", "two").applyInArrow(run, "a long, b long")
+    others = stars.where("id <> center").select("id", "key").join(label, "id", "left")
+    others = others.withColumn("component", F.coalesce("component", "id"))
+    open_keys = others.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    open_ids = staged(others.join(open_keys.select("key"), "key", "left_semi").select("id", "component").distinct(), "open-ids")
+    rows = staged(_shingles(texts.join(open_ids.hint("shuffle_hash"), "id")), "open-sets").where("size > 0")
+    rows = rows.select("id", "component", "member", "size", F.explode("shingles").alias("shingle"))
+    often = staged(rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "shared-shingles")
+
+    order = F.sort_array(F.collect_list(F.struct("n", "shingle")))  # at most the shingles of one text
+    members = rows.join(often, "shingle").groupBy("member").agg(
+        F.first("id").alias("id"), F.first("component").alias("component"), F.first("size").alias("size"), order.alias("order"))
+    leading = F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1 - (F.col("size") - F.size("order"))
+    members = members.withColumn("leading", leading.cast("int")).where("leading > 0")
+    alone = F.col("size") - F.size("order")  # the shingles of one member alone come first
+    heads = staged(members.select("id", "component", "size", alone.alias("alone"), F.posexplode(
+        F.slice("order.shingle", F.lit(1), F.col("leading"))).alias("place", "shingle")), "heads")
+    heads = heads.withColumn("left", F.col("size") - F.col("alone") - F.col("place")).drop("alone", "place")
+    groups = heads.groupBy("shingle", "component").agg(F.count("*").alias("n")).groupBy("shingle").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("groups")).where("groups > 1")
+    heads = staged(heads.join(groups.select("shingle", "main"), "shingle"), "open-heads")
+    a, b = (heads.select("shingle", "main", F.col("id").alias(x), F.col("component").alias(c), F.col("size").alias(f"size_{x}"),
+                         F.col("left").alias(f"left_{x}")) for x, c in (("a", "own"), ("b", "theirs")))
+    a = a.where("own <> main").drop("main")
+    # At their first common shingle two sets share at most what is left from there on in either.
+    near = (100 + percent) * F.least("left_a", "left_b") >= percent * (F.col("size_a") + F.col("size_b"))
+    once = (F.col("theirs") == F.col("main")) | (F.col("a") < F.col("b"))
+    return a.join(b, "shingle").where((F.col("own") != F.col("theirs")) & once & near).select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -208,10 +188,10 @@ def near_duplicates(
     * In a bucket only star edges are made: to the member that shares most buckets with others,
       which in a group of edited copies is their origin. So candidate pairs are at most one per
       row and band, however large a group is.
-    * Members that their star did not join are bucketed once more by pairs of their bands (at
-      most bands * (bands - 1) / 2 rows per document), with stars of their own.
-    * Of what is then still apart, every pair of a bucket is tested, so links do not depend on the
-      choice of centres. That is quadratic only in members of a bucket that are not alike.
+    * The members of buckets that then still span several groups are compared by their rarest shingles
+      (a prefix filter, which loses no link), so links do not depend on the choice of centres: a pair is tested
+      if it shares one of them, its sizes allow a link and it lies in two groups, of which the largest
+      group's members never meet each other.
 
     NULL, empty and blank texts have no shingle and stay alone; texts under five words are one
     shingle. A NULL id is kept, unlinked. Rows that repeat an id with the same text get the same
@@ -235,9 +215,8 @@ def near_duplicates(
     # The ids build the hash tables: texts stream past them and are never sorted. Their copy goes after use.
     with staging(texts.join(wanted.hint("shuffle_hash"), "id", "left_semi").distinct(), "candidates") as candidates:
         links = staged(confirm(pairs, candidates, percent), "links")
-        fresh = _second_round(stars, connected_components(links), pairs)
+        fresh = staged(_rest(stars, connected_components(links), candidates, percent), "pairs")
         links = staged(links.unionByName(confirm(fresh, candidates, percent)), "links")
-        links = staged(links.unionByName(_rest(stars, connected_components(links), candidates, percent)), "links")
 
     # Copies of one set and links between sets make one graph on ids.
     joined = links.unionByName(members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))

@@ -6,7 +6,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from keelson.llm import textops
+from keelson.llm import near_dup, textops
 from keelson.llm.components import connected_components
 from keelson.llm.near_dup import near_duplicates, one_permutation
 from tests.llm.conftest import DOCS, prose, row
@@ -80,6 +80,20 @@ def test_texts_of_shared_passages(spark):
     check(spark, texts, 80)
 
 
+def test_one_foreign_member_adds_a_row_per_member(spark):
+    """A bucket of n copies around one centre and a text that is no copy of any: at most n pairs are left to test."""
+    words, n = [f"w{i}" for i in range(200)], 150
+    texts = {i: " ".join([*words[:199], f"own{i}"]) for i in range(n)}
+    texts[n] = " ".join(words[:165] + [f"other{i}" for i in range(35)])
+    stars = spark.createDataFrame([(1, i, 0) for i in range(n + 1)], "key long, id long, center long")
+    found = spark.createDataFrame([(i, 0) for i in range(n)], "node long, component long")
+    frame = spark.createDataFrame(list(texts.items()), "id long, text string")
+    for percent, rows in ((65, n - 1), (85, 0)):  # a similarity of 0.70 with all members, of which the centre is done
+        pairs = near_dup._rest(stars, found, frame, percent).collect()
+        assert len(pairs) == rows and all(n in (p.a, p.b) for p in pairs)
+    assert near_dup._rest(stars.where(f"id < {n}"), found, frame, 65).collect() == []
+
+
 def test_an_id_with_several_texts(spark):
     a, b = prose(80, 3), prose(80, 11)
     rows = [row(1, a), row(1, b), row(2, a + " end"), row(3, "start " + b), row(4, prose(80, 5))]
