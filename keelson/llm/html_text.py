@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm import textops
+from keelson.llm.columns import unused
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?][^>]*+>""", re.S)
@@ -50,7 +51,8 @@ _ARTICLE = frozenset(["article", "main"])
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre td th figcaption caption address summary tr".split())
 _LISTS = frozenset("div ul ol dl table section".split())
 MENU_SHARE = 0.9  # three links or more with this share of a container's text make it a menu
-READERS_SHARE = 0.9  # an element named after comments is the page's text from here on
+READERS_SHARE = 0.9  # on a page without structure an element named after comments is the text from here on
+FREE_TEXT = 60  # so many characters directly in an element that is no p are a paragraph as well
 SLACK = 0.2  # a part counts from this share of the smallest density above the main part
 
 
@@ -58,7 +60,7 @@ KEPT, DROP, NAMED, READERS = range(4)
 
 
 def _drops(tag: str, attributes: str, in_article: bool) -> int:
-    """DROP: never article text. NAMED, READERS: no article text unless most of the page's text is in it."""
+    """DROP: never article text. NAMED, READERS: no article text unless the article is in it."""
     if tag in DROPPED or (tag == "header" and not in_article):
         return DROP
     verdict = NAMED if tag == "form" else KEPT
@@ -82,33 +84,55 @@ def _drops(tag: str, attributes: str, in_article: bool) -> int:
 
 
 def _drop_named(tags, parents, dropped, named, chars, link_chars) -> None:
-    """Drop the elements of unfitting names, but for those that hold the page's text.
+    """Drop the elements of unfitting names, as the structure of the page says.
 
-    One stays if it is around ``main`` or has more than half of the text outside links, readers' texts
-    aside; an element of readers' texts if it has more than ``READERS_SHARE`` of all. If nothing else is left, all stay.
+    One around ``main`` stays. If the page has an article or main with text outside such elements, or a first heading
+    and a paragraph, all others go. Else those that hold an article or first heading stay (of readers' texts only if no other
+    does) and the rest goes. Without either, all go if there is a paragraph outside. Only a page that has nothing else
+    is decided by shares: more than half of the text outside links, for readers' texts ``READERS_SHARE``. If no text would be left, all stay.
     """
     if not any(named):
         return
     n = len(tags)
+    under = [False] * n
+    for i in range(n):
+        under[i] = dropped[i] or named[i] != KEPT or i > 0 and under[parents[i]]
 
-    def plain() -> list[int]:
-        own = [0 if dropped[i] else chars[i] - link_chars[i] for i in range(n)]
+    def subtree(own: list[int]) -> list[int]:
         for i in range(n - 1, 0, -1):
             own[parents[i]] += own[i]
         return own
 
-    def drop(verdict: int, share: float) -> None:
-        text = plain()
+    def plain() -> list[int]:
+        return subtree([0 if d else c - k for d, c, k in zip(dropped, chars, link_chars)])
+
+    def having(wanted: frozenset[str], text: list[int]) -> list[int]:
+        return subtree([int(t in wanted and x > 0) for t, x in zip(tags, text)])
+
+    outside = [0 if u else c - k for u, c, k in zip(under, chars, link_chars)]
+    paragraph = any(x >= FREE_TEXT or t == "p" and x for t, x in zip(tags, outside))
+    free = subtree(list(outside))
+    article = any(x and t in _ARTICLE for t, x in zip(tags, free)) or paragraph and any(x and t == "h1" for t, x in zip(tags, free))
+    text = plain()
+    around, signs = having(frozenset(["main"]), text), having(_ARTICLE | {"h1"}, text)
+    before = list(dropped)
+
+    def drop(goes) -> None:
         for i in range(1, n):
-            if dropped[parents[i]] or named[i] == verdict and not around[i] and text[i] <= share * text[0]:
+            if dropped[parents[i]] or named[i] != KEPT and not around[i] and goes(i):
                 dropped[i] = True
 
-    around = [t == "main" for t in tags]
-    for i in range(n - 1, 0, -1):
-        around[parents[i]] = around[parents[i]] or around[i]
-    before = list(dropped)
-    drop(READERS, READERS_SHARE)
-    drop(NAMED, 0.5)
+    if article:
+        drop(lambda i: True)
+    elif any(s and v != KEPT for s, v in zip(signs, named)):
+        best = min(v for s, v in zip(signs, named) if s and v != KEPT)
+        drop(lambda i: not signs[i] or named[i] > best)
+    elif paragraph:
+        drop(lambda i: True)
+    else:
+        for verdict, share in ((READERS, READERS_SHARE), (NAMED, 0.5)):
+            text = plain()
+            drop(lambda i: named[i] == verdict and text[i] <= share * text[0])
     if not any(c for c, d in zip(chars, dropped) if not d):
         dropped[:] = before
 
@@ -260,7 +284,8 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     Elements that are no article text by name, role, or a word of class or id go first: menus,
     page headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.
-    Those named by class, id or role, and forms, stay where they hold most of the page's text. Containers of at least
+    Those named by class, id or role, and forms, stay where the structure says that they hold the article
+    (:func:`_drop_named`); a button's word goes also inside a paragraph. Containers of at least
     three links and next to no other text go too, unless they are within the main part. On the rest every DOM node gets a composite text density (characters per tag, lowered by
     its share of link text against the page's share). The node whose children have the largest
     sum of densities is content, or the article element around it; ``SLACK`` times the smallest
@@ -280,5 +305,6 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
             yield pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["text", "n_chars"])
 
     parse = F.arrow_udf(run, "text string, n_chars long")
-    out = pages.select(*[F.col(f"`{c}`") for c in kept], parse(F.col(f"`{html_col}`").cast("string")).alias("_t"))
-    return out.select(*[F.col(f"`{c}`") for c in kept], "_t.text", "_t.n_chars")
+    found, = unused(kept, "found")
+    out = pages.select(*[F.col(f"`{c}`") for c in kept], parse(F.col(f"`{html_col}`").cast("string")).alias(found))
+    return out.select(*[F.col(f"`{c}`") for c in kept], f"{found}.text", f"{found}.n_chars")

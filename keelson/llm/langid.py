@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm import textops
+from keelson.llm.columns import unused
 
 TRIGRAMS = 1 << 15
 FEATURES = TRIGRAMS + (1 << 14)
@@ -180,12 +181,13 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "t
 
     predict = F.arrow_udf(run, "struct<lang: string, score: double>")
     letters = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
-    out = docs.withColumn("_p", predict(F.col(text_col).cast("string"))).withColumn("_ok", letters & (F.col("_p.lang") != NONE))
+    p, ok = unused(docs.columns, "p", "ok")
+    out = docs.withColumn(p, predict(F.col(text_col).cast("string"))).withColumn(ok, letters & (F.col(f"{p}.lang") != NONE))
     return out.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col("_ok"), F.col("_p.lang")).otherwise(NONE).alias("lang_pred"),
-        F.when(F.col("_ok"), F.col("_p.score")).otherwise(0.0).alias("score"),
-        (~F.col("_ok") | (F.col("_p.score") < doubt)).alias("ambiguous"))
+        F.when(F.col(ok), F.col(f"{p}.lang")).otherwise(NONE).alias("lang_pred"),
+        F.when(F.col(ok), F.col(f"{p}.score")).otherwise(0.0).alias("score"),
+        (~F.col(ok) | (F.col(f"{p}.score") < doubt)).alias("ambiguous"))
 
 
 def in_fold(id_col: str, folds: int, fold: int) -> Column:

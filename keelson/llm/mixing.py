@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import StringType
 
+from keelson.llm.columns import unused
 from keelson.session import shuffle_width, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,7 +52,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), ceiling
 
 def mix_sources(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights: Sequence[int] = (1, 2, 3), ceiling: int = 3, seed: int = 17,
+    weights: Sequence[int] = (1, 2, 3), ceiling: int = 3, seed: int = 17, row_col: str | None = None,
 ) -> DataFrame:
     """How many words of each document a mix of sources takes.
 
@@ -67,12 +68,12 @@ def mix_sources(
 
     A NULL text has size 0 and takes nothing, as has any text without words. NULL is a source
     of its own, the last one. Rows that repeat an id count each; equal keys are ordered by
-    text hash, and rows equal in both are interchangeable. If no source has a word, all targets are 0.
+    text hash, and rows equal in both are interchangeable. ``row_col`` names a column that is carried along. If no source has a word, all targets are 0.
     """
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     rows = staged(docs.select(
-        F.col(id_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        key.alias("_key"), F.xxhash64(text_col).alias("_tie")), "mix-rows")
+        *([F.col(f"`{row_col}`")] if row_col else []), F.col(id_col), F.col(source_col).alias("source"),
+        word_count(F.col(text_col)).alias("size"), key.alias("_key"), F.xxhash64(text_col).alias("_tie")), "mix-rows")
     slices = 4 * shuffle_width(docs.sparkSession)
     head = F.conv(F.substring("_key", 1, KEY_DIGITS), 16, 10).cast("long")
     rows = rows.withColumn("_slice", F.floor(head * slices / 16**KEY_DIGITS).cast("int"))
@@ -91,7 +92,7 @@ def mix_sources(
     left = budget - epochs * F.col("source_size") - F.col("_before") - F.coalesce("_in", F.lit(0))
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left))
     return placed.select(
-        id_col, "source", "size", "source_size", "target", taken.cast("long").alias("taken"), F.col("_tie").alias("text_hash"))
+        *([F.col(f"`{row_col}`")] if row_col else []), id_col, "source", "size", "source_size", "target", taken.cast("long").alias("taken"), F.col("_tie").alias("text_hash"))
 
 
 def _first_words(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -106,21 +107,47 @@ def _first_words(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Arra
 first_words = F.arrow_udf(_first_words, StringType())
 
 
-def take_mix(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def take_mix(
+    docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None,
+) -> DataFrame:
     """The documents of a mix: a row per started epoch of a document, the columns those of ``docs``.
 
-    In the last epoch a document on its source's line is cut after the words that fit. ``mix`` is
-    the result of :func:`mix_sources` on the same rows, which must differ in id or text.
+    In the last epoch a document on its source's line is cut after the words that fit. ``mix`` is the result of
+    :func:`mix_sources` on the same rows. With ``row_col``, a column that numbers the rows in both, each row
+    takes its own share. Without, rows that are equal in id, source and text are numbered on both sides in one window per
+    group of them; as they are interchangeable it does not matter which takes which share.
     """
-    part = mix.where("taken > 0").select(F.col(id_col).alias("_id"), "text_hash", F.col("size").alias("_size"), "taken")
-    rows = docs.withColumn("_hash", F.xxhash64(text_col))
-    rows = rows.join(part.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("text_hash")))
-    copies = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("_size")).cast("long"))))
-    rest = F.col("taken") - (F.col("_copy") - 1) * F.col("_size")
-    cut = first_words(F.when(rest < F.col("_size"), F.col(text_col)), F.when(rest < F.col("_size"), rest))
+    row, size, taken, copy, text_hash, nth, source, key = unused(docs.columns, "row", "size", "taken", "copy", "hash", "nth", "source", "key")
+    part = mix.where("taken > 0")
+    if row_col:
+        part = part.select(F.col(f"`{row_col}`").alias(row), F.col("size").alias(size), F.col("taken").alias(taken))
+        rows = docs.join(part.hint("shuffle_hash"), F.col(f"`{row_col}`") == F.col(row))
+    else:
+        number = F.row_number().over(W.partitionBy(id_col, "source", "text_hash").orderBy(F.desc("taken")))
+        part = part.select(F.col(id_col).alias(key), F.col("source").alias(source), F.col("text_hash").alias(text_hash),
+                           F.col("size").alias(size), F.col("taken").alias(taken), number.alias(row))
+        rows = docs.withColumn(text_hash + "_", F.xxhash64(text_col))
+        rows = rows.withColumn(nth, F.row_number().over(W.partitionBy(id_col, source_col, text_hash + "_").orderBy(F.lit(0))))
+        rows = rows.join(part.hint("shuffle_hash"), (
+            F.col(id_col).eqNullSafe(F.col(key)) & F.col(source_col).eqNullSafe(F.col(source)) & (F.col(text_hash + "_") == F.col(text_hash))
+            & (F.col(nth) == F.col(row))))
+    copies = rows.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col(taken) / F.col(size)).cast("long"))))
+    rest = F.col(taken) - (F.col(copy) - 1) * F.col(size)
+    cut = first_words(F.when(rest < F.col(size), F.col(text_col)), F.when(rest < F.col(size), rest))
     return copies.withColumn(text_col, F.coalesce(cut, F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
+    """:func:`mix_sources` and :func:`take_mix` in one: the documents that a mix takes, as often as it takes them.
+
+    Rows are numbered and stored first, so rows that repeat an id or a text take a share each, however many they are.
+    """
+    row, = unused(docs.columns, "row")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
+    names = {k: v for k, v in settings.items() if k in ("id_col", "text_col", "source_col")}
+    return take_mix(rows, mix_sources(rows, row_col=row, **settings), row_col=row, **names).drop(row)
+
+
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, md5('17|' || doc_id::varchar) AS k,

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, id long, key string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, id long, key string, _hash string, _copy string, taken string, size string"
 
 
 def prose(n: int, step: int = 7) -> str:
@@ -11,7 +11,7 @@ def prose(n: int, step: int = 7) -> str:
 
 
 def row(doc_id, text, lang="en", source="a"):
-    return (doc_id, text, lang, source, None if text is None else len(text), "clash", 5, "clash")
+    return (doc_id, text, lang, source, None if text is None else len(text), "clash", 5, "clash", "clash", "clash", "clash", "clash")
 
 
 def odd_rows():

@@ -48,6 +48,23 @@ def test_names_do_not_drop_the_article(page):
     assert main_text(page) == WANT
 
 
+LONG = "".join(f"<p>Part {i} of what stands beside the article goes on and on about other things.</p>" for i in range(40))
+
+
+@pytest.mark.parametrize("page", [
+    *(f"<body><{t}>{BODY}</{t}><div class=sidebar>{LONG}</div></body>" for t in ("div", "article", "main", "section")),
+    f"<body><article>{BODY}</article><div class='cookie-notice'>{LONG}</div></body>",
+    f"<body><div>{BODY}</div><div id=comments>{LONG}</div></body>",
+    f"<body><article>{BODY}</article><ol class=commentlist><li><article>{LONG}</article></ol></body>",
+    f"<body><div class='widget'><article>{BODY}</article></div><div class=related>{LONG}</div></body>",
+    f"<body><form action=/><main>{BODY}</main><div class=promo>{LONG}</div></form></body>",
+    f"<body><article><div class='social-layout'>{BODY}</div></article></body>",
+    f"<body><div class='banner page'><h1></h1>{BODY}</div></body>",
+])
+def test_structure_outweighs_size(page):
+    assert main_text(page) == WANT
+
+
 def test_lists_of_links_in_an_article():
     sources = "<ul><li><a href=a>Source one</a><li><a href=b>Source two</a><li><a href=c>Source three</a></ul>"
     want = f"{WANT}\nSource one\nSource two\nSource three"
@@ -71,9 +88,9 @@ def test_deep_and_long_pages():
 
 def test_odd_rows(spark):
     rows = [(1, None, None, 3), (2, "u", "", 4), (2, "u", BODY, 5), (2, "u", BODY, 5), (None, "u", "x", 6)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars long")
+    pages = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "page_id long, url string, html string, n_chars long, _t string, _found string")
     got = extract_text(pages)
-    assert got.columns == ["page_id", "url", "html", "text", "n_chars"]
+    assert got.columns == ["page_id", "url", "html", "_t", "_found", "text", "n_chars"]
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got.collect()) == sorted(
         [(1, "", 0), (2, "", 0), (2, WANT, len(WANT)), (2, WANT, len(WANT)), (0, "x", 1)])
     assert extract_text(pages.limit(0)).count() == 0

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from keelson.llm.mixing import mix_sources, source_targets, take_mix
+from keelson.llm.mixing import mix_sources, mixed_documents, source_targets, take_mix
 from tests.llm.conftest import DOCS, prose, row
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -72,5 +72,24 @@ def test_odd_rows(odd, none):
         own = [r for r in got if r.source == s]
         assert sum(r.taken for r in own) == math.floor(own[0].target)
         assert all(0 <= r.taken <= 3 * r["size"] for r in own)
-    assert take_mix(odd.dropDuplicates(["doc_id", "text"]), mix_sources(odd.dropDuplicates(["doc_id", "text"]))).columns == odd.columns
-    assert mix_sources(none).count() == 0 and take_mix(none, mix_sources(none)).count() == 0
+    for out in (take_mix(odd, mix_sources(odd)), mixed_documents(odd)):
+        assert out.columns == odd.columns
+        rows = out.collect()
+        for s in ("a", "b", None):
+            assert sum(len(WORD.findall(r.text)) for r in rows if r.source == s) == sum(r.taken for r in got if r.source == s)
+        assert all(r[5:] == ("clash", 5, *["clash"] * 5) for r in rows)
+    assert mix_sources(none).count() == 0 and take_mix(none, mix_sources(none)).count() == mixed_documents(none).count() == 0
+
+
+def test_repeated_rows_take_a_share_each(spark):
+    """Equal rows, rows of one id and rows without an id: words per row as brute force gives them."""
+    rows = [row(1, "one two three four")] * 4 + [row(1, "five six")] * 3 + [row(None, "a b c")] * 5 + [row(2, prose(20), "en", "b")] * 3
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    want = {}
+    for i, s, n, t in taken([(r[0], r[3], len(WORD.findall(r[1]))) for r in rows]):
+        want[s] = want.get(s, 0) + t
+    for out in (take_mix(docs, mix_sources(docs)), mixed_documents(docs)):
+        got = {}
+        for r in out.collect():
+            got[r.source] = got.get(r.source, 0) + len(WORD.findall(r.text))
+        assert got == want
