@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -87,21 +88,23 @@ class Pair:
         # Words can be encoded alone only if no piece goes on past the blank that opens the next word.
         self.by_word = not any(re.search("[^▁]▁", p) for p in pieces)
         self.a_text, self.b_text = ([str(i) for i in range(m)] for m in (len(entries), n))
+        self.names = [x + sign for x in (*self.a_text, *self.b_text) for sign in ",|;"]
 
     def tokens(self, text: str) -> tuple[Tokens, Tokens, bytes]:
         """Both tokenizations of a blank and the text; A sees the blank, B adds it."""
         data = (" " + text).encode()
         found = self.a.encode(" " + text, add_special_tokens=False)
         ids = np.array(found.ids, dtype=np.int64)
-        span = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)
+        span = np.fromiter(itertools.chain.from_iterable(found.offsets), dtype=np.int64, count=2 * len(ids)).reshape(-1, 2)
         lead = (np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80
         byte_of = np.append(np.flatnonzero(lead), len(data))  # the byte at which each character starts
         inside = np.append(span[1:, 0] < span[:-1, 1], False) if len(ids) else np.zeros(0, dtype=bool)
         a = self.a_bytes.spans(ids, byte_of[span[:, 1]], inside, data)
-        parts = [(p.id, p.begin, p.end) for p in self.b.encode(text, return_type="proto", num_threads=1).pieces]
-        span = np.array(parts, dtype=np.int64).reshape(-1, 3)
-        inside = self.b_byte[span[:, 0]] & (span[:, 1] == span[:, 2])  # all bytes of a character but its last
-        return a, self.b_bytes.spans(span[:, 0], span[:, 2] + 1, inside, data), data
+        pieces = self.b.encode(text, return_type="proto", num_threads=1).pieces
+        ids, ends = (np.array(x, dtype=np.int64) for x in ([p.id for p in pieces], [p.end for p in pieces]))
+        # All bytes of a character but its last end where the piece before them does.
+        inside = self.b_byte[ids] & (ends == np.concatenate(([0], ends[:-1]))) if len(ids) else np.zeros(0, dtype=bool)
+        return a, self.b_bytes.spans(ids, ends + 1, inside, data), data
 
 
 _pairs: dict[tuple[str, str], Pair] = {}
@@ -156,48 +159,49 @@ class Words:
 
     def _alone(self, word: str) -> None:
         """A word by itself, behind a letter so that an empty one or one of blanks keeps its place."""
-        if not (self.pair.by_word and self._add([word], "a " + word, 2)) and not (not self.pair.by_word and self._add([word], word, 0)):
+        if not (self._add([word], "a " + word, 2) if self.pair.by_word else self._add([word], word, 0)):
             self.number[word] = len(self.groups)
             self.groups.append(b"")
             self.counts.append(np.zeros((1, 5), dtype=np.int64))
-            self.codes.append(np.zeros(0, dtype=np.int64))
 
     def _add(self, words: list[str], text: str, skip: int) -> bool:
         """Learn words that stand side by side in ``text`` from byte ``skip`` on; False if a token crosses a word's end."""
         a, b, data = self.pair.tokens(text)
         if not (a.whole and b.whole):
             return False
-        edges = skip + np.concatenate(([0], np.cumsum([1 + len(w.encode()) for w in words])))
+        size = np.fromiter(map(len, map(str.encode, words)), dtype=np.int64, count=len(words))
+        edges = skip + np.concatenate(([0], np.cumsum(1 + size)))
         groups, stretch, left, right = align(a, b)
-        inner = np.searchsorted(groups, edges[1:])
-        if edges[-1] != len(data) or (groups[np.minimum(inner, len(groups) - 1)] != edges[1:]).any():
-            return False
-        if skip and skip not in groups:
+        if edges[-1] != len(data) or not np.isin(edges[1:] if not skip else edges, groups).all():
             return False
         places = [np.searchsorted(ends, edges, side="right") for ends in (a.ends, b.ends, groups, stretch)]
-        code = a.ids[left] * len(self.pair.b_text) + b.ids[right]
-        text_of = self._group_text(a, b, groups)
-        first = len(self.groups)
-        for n, w in enumerate(words):
-            self.number[w] = first + n
-            self.groups.append(b";".join(text_of[places[2][n]:places[2][n + 1]]))
-            self.bytes += len(w) + len(self.groups[-1])
+        self.number.update(zip(words, range(len(self.groups), len(self.groups) + len(words))))
+        sequence, own = self._sequence(a, b, groups), (places[0] + places[1]).tolist()
+        self.groups += ["".join(sequence[x:y])[:-1].encode() for x, y in zip(own, own[1:])]
+        self.bytes += 8 * len(data)
         self.counts.append(np.stack([np.diff(p) for p in places] + [np.ones(len(words), dtype=np.int64)], axis=1))
-        self.codes += [code[x:y] for x, y in zip(places[3], places[3][1:])]
+        self.codes.append((a.ids[left] * len(self.pair.b_text) + b.ids[right])[places[3][0]:])
         return True
 
-    def _group_text(self, a: Tokens, b: Tokens, groups: np.ndarray) -> list[bytes]:
-        """``a1,a2|b1`` for every group."""
-        sides = []
-        for found, names in ((a, self.pair.a_text), (b, self.pair.b_text)):
-            last = np.searchsorted(found.ends, groups, side="right").tolist()
-            own = [names[i] for i in found.ids.tolist()]
-            sides.append([",".join(own[x:y]) for x, y in zip([0, *last], last)])
-        return [f"{x}|{y}".encode() for x, y in zip(*sides)]
+    def _sequence(self, a: Tokens, b: Tokens, groups: np.ndarray) -> list[str]:
+        """The ids of all groups in order, each with the sign that parts it from the next: ``a1,a2|b1;``."""
+        place = np.concatenate([2 * np.searchsorted(groups, t.ends) + side for side, t in enumerate((a, b))])
+        order = np.argsort(place, kind="stable")
+        place, last = place[order], np.append(place[order][1:], -1)
+        sign = np.where(place == last, 0, np.where(place & 1, 2, 1))
+        number = np.concatenate((a.ids, b.ids + len(self.pair.a_text)))[order]
+        return list(map(self.pair.names.__getitem__, (3 * number + sign).tolist()))
 
     def full(self) -> bool:
         return len(self.groups) > CACHED_WORDS or self.bytes > CACHED_BYTES
 
+    def pool(self) -> tuple[np.ndarray, np.ndarray]:
+        """The links of all words as codes, one after another, and where each word's end."""
+        if len(self.codes) > 1:
+            self.codes = [np.concatenate(self.codes)]
+        pool = self.codes[0] if self.codes else np.zeros(0, dtype=np.int64)
+        return pool, np.concatenate(([0], np.cumsum(self.tables()[:, 3])))
+
     def tables(self) -> np.ndarray:
         if len(self.counts) > 1:
             self.counts = [np.concatenate(self.counts)]
@@ -235,9 +239,11 @@ class _Chunk:
         """Write the chunk; its path, the codes of its token pairs and their numbers of links."""
         used, place = np.unique(np.concatenate(self.words), return_inverse=True)
         often = np.bincount(place, minlength=len(used))
-        codes = [words.codes[i] for i in used.tolist()]
-        owner = np.repeat(np.arange(len(used)), [len(c) for c in codes])
-        pairs, pair = np.unique(np.concatenate(codes) if codes else np.zeros(0, dtype=np.int64), return_inverse=True)
+        pool, ends = words.pool()
+        many = ends[used + 1] - ends[used]
+        owner = np.repeat(np.arange(len(used)), many)
+        codes = pool[np.repeat(ends[used] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(len(owner))]
+        pairs, pair = np.unique(codes, return_inverse=True)
         links = np.zeros(len(pairs), dtype=np.int64)
         np.add.at(links, pair, often[owner])
         out = io.BytesIO()
