@@ -177,7 +177,7 @@ class MultiIndex:
 
         wanted = anchors.select("id", "label", "v", "scores").mapInArrow(plan, (
             "cell int, part int, a_ids array<long>, a_labels array<long>, a_values array<long>, a_scores array<array<long>>"))
-        pairs = self.blocks.join(wanted, ["cell", "part"])
+        pairs = wanted.join(self.blocks.hint("shuffle_hash"), ["cell", "part"])  # anchors stream past a cell's rows
         return pairs.select("a_ids", "a_labels", "a_values", "ids", "labels", "values", "a_scores").mapInArrow(run, HIT)
 
 
