@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
+from keelson.llm.columns import unused
 from keelson.llm.decontaminate import with_leaks
 from keelson.llm.langid import NONE, fit_languages, identify_languages
-from keelson.llm.mixing import mix_sources, take_mix
+from keelson.llm.mixing import mixed_documents
 from keelson.llm.near_dup import near_duplicates
 from keelson.llm.token_files import byte_bpe, read_token_files, token_folder, write_token_files
 from keelson.session import scratch_path
@@ -18,37 +18,51 @@ from keelson.session import scratch_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The text, and whole rows as one column, so that new columns meet no name of theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_document"), "text")
+
+
+def unpacked(found: DataFrame) -> DataFrame:
+    return found.select("_document.*")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language stay; those without a text or a letter are rejected."""
     model = fit_languages(docs)
     if not model.languages:  # nothing to learn from: only what has no letter is rejected
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return identify_languages(docs, model).where(F.col("lang_pred") != NONE).select(docs.columns)
+    return unpacked(identify_languages(packed(docs), model).where(F.col("lang_pred") != NONE))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id.
+    """One document of each near-duplicate group stays, the one with the smallest id (a missing id comes last).
 
-    Of rows that repeat an id the one with the smallest text hash stays; documents without an
-    id stay once per text.
+    Groups are made of texts, not of ids: every distinct pair of id and text has a number of its own (a 64-bit hash), so
+    rows that share an id, or have none, are linked and kept each by its own text. Rows equal in both are one
+    document; of those that differ elsewhere the greatest under a hash of all columns stays. So do texts without words, one per id.
     """
-    kept = near_duplicates(docs, percent=80).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    stay = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    text = F.xxhash64("text")
-    same = W.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), text)).orderBy(text)
-    return stay.withColumn("_n", F.row_number().over(same)).where("_n = 1").select(docs.columns)
+    row, best, kept = unused(docs.columns, "row", "best", "kept")
+    numbered = docs.withColumn(row, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    groups = near_duplicates(numbered, id_col=row, percent=80).select(row, "component_id").distinct()
+    ids = numbered.select(row, "doc_id").distinct().withColumnRenamed(row, kept)
+    first = groups.join(ids, groups[row] == ids[kept]).groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", kept)).alias("first"))
+    stay = numbered.join(first.select(F.col(f"first.{kept}").alias(kept)).hint("shuffle_hash"), F.col(row) == F.col(kept), "left_semi")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = stay.groupBy(row).agg(F.max_by(F.struct(*columns), F.xxhash64(*columns)).alias(best))
+    return one.select(*[F.col(best)[c].alias(c) for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return with_leaks(docs, benchmark).where(F.size("leaks") == 0).select(docs.columns)
+    return unpacked(with_leaks(packed(docs), benchmark).where(F.size("leaks") == 0))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: documents left out, repeated or, on the line, cut."""
-    taken = take_mix(docs, mix_sources(docs))
-    return taken.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return mixed_documents(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
