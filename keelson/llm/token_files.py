@@ -21,7 +21,7 @@ from keelson.session import scratch_path, shuffle_width, staged
 MAGIC = b"KEELTOK1"
 _BLOCK_HEAD = struct.Struct("<IIII")  # ids, payload bytes, crc32 of the payload, crc32 of the ids
 FILE_IDS, FILE_DOCS = 1 << 25, 1 << 20
-CACHED_PIECES = 600_000
+CACHED_PIECES = 400_000
 TEXTS = 500
 _RUN_OF_SPACES = re.compile(r"\s \s")
 
@@ -190,8 +190,8 @@ def write_token_files(
                 + [pa.array([ids], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64()))], schema=arrow)
 
         for batch in textops.released(batches):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            coded = (x for low in range(0, len(texts), TEXTS) for x in encoder.batch(texts[low:low + TEXTS]))
+            texts = (batch.column(1).slice(low, TEXTS).fill_null("").to_pylist() for low in range(0, len(batch), TEXTS))
+            coded = (x for some in texts for x in encoder.batch(some))
             for doc, found in zip(batch.column(0).to_pylist(), coded):
                 if writer is None:
                     writer, ids, counts = _FileWriter(folder), [], []
