@@ -21,8 +21,9 @@ from keelson.operators.score import MODEL_ERRORS, ml_score, predicts
 from keelson.operators.splits import TRAIN_VAL_TEST, split, with_split
 from keelson.session import require_lasting_tables, shared_dir, staging
 from keelson.sources.clustered import ClusteredTable
+from keelson.sources.daily import BATCH, DAY, DailyLog, refresh_days, replace_days
 from keelson.sources.model_tables import open_table
-from keelson.sources.tables import KeyedTable, VersionedTable, append, clone, create_database, overwrite, read_csv
+from keelson.sources.tables import KeyedTable, VersionedTable, clone, create_database, read_csv
 
 # --- fixed values: the raw customer file ---
 CUSTOMER_SCHEMA = """
@@ -283,11 +284,12 @@ def score_features(
     scored = ml_score(
         marked, PipelineModel.load(champion["source"]), name, registry.CHAMPION, str(champion["version"]), at
     ).drop("_validation")
-    with staging(scored, "scored") as rows:
-        append(rows, ws.table("prod", target))
-        times = [r[0] for r in rows.select("prediction_time").distinct().limit(2).collect()]
-    log = spark.table(ws.table("prod", target))
-    return log.filter(F.col("prediction_time").isin(times) & (F.col("model_name") == name)) if times else log.limit(0)
+    log = DailyLog(spark, ws.table("prod", target), "prediction_time")
+    with staging(scored, "scored") as rows:  # scored once, whatever reads it
+        empty = rows.isEmpty()
+        batch = log.append(rows)
+    stored = log.read().drop(DAY, BATCH)
+    return stored.limit(0) if empty else log.read().filter(F.col(BATCH) == batch).drop(DAY, BATCH)
 
 
 def score_baseline_and_log(spark: SparkSession, ws: Workspace, at: datetime | None = None) -> None:
@@ -301,23 +303,30 @@ def monitor_predictions(
     spark: SparkSession, ws: Workspace, columns: Sequence[str] = ("tenure", "monthly_charges", "total_charges"),
     window: str = "5 minutes", slices: Mapping[str, str | Column] = SLICES, exact: bool = False,
 ) -> dict[str, str]:
-    """Write profile, quality and drift tables next to the log; returns their names."""
-    log, baseline = spark.table(ws.table("prod", PREDICTIONS)), spark.table(ws.table("prod", BASELINE))
+    """Bring profile, quality and drift tables next to the log up to date; returns their names.
+
+    Only the days that new batches hold rows of are read from the log and written again, late ones included. Deltas
+    against the window before are recomputed from the stored profile, from the first such day on. ``window`` divides a day.
+    """
+    log = DailyLog(spark, ws.table("prod", PREDICTIONS), "prediction_time")
+    baseline = spark.table(ws.table("prod", BASELINE))
     names = {kind: ws.table("prod", f"{PREDICTIONS}_{kind}") for kind in ("profile", "quality", "drift")}
-    profiled = monitor.profile(log, columns, "prediction_time", window, "model_version", slices, exact)
-    overwrite(profiled, names["profile"])
-    overwrite(
-        monitor.quality(log, LABEL, "prediction", "prediction_time", window, "model_version", slices, "score"),
-        names["quality"],
-    )
-    reference = monitor.profile(baseline, columns, slices=slices, exact=exact)
-    deltas = drift.drift_deltas(spark.table(names["profile"]), reference)
-    timed, keys = monitor.windowed(log, "prediction_time", window, "model_version")
-    shifts = drift.baseline_drift(
-        monitor.sliced(timed, slices), monitor.sliced(baseline, slices), columns, ["prediction", LABEL],
-        [*keys, "slice"], ["slice"],
-    )
-    overwrite(deltas.unionByName(shifts), names["drift"])
+    day = F.to_date("window_start").alias(DAY)
+
+    def compute(rows: DataFrame, days: list, upto: int) -> None:
+        replace_days(monitor.profile(rows, columns, "prediction_time", window, "model_version", slices, exact).select("*", day), names["profile"])
+        measured = monitor.quality(rows, LABEL, "prediction", "prediction_time", window, "model_version", slices, "score")
+        replace_days(measured.select("*", day), names["quality"])
+        reference = monitor.profile(baseline, columns, slices=slices, exact=exact)
+        deltas = drift.drift_deltas(spark.table(names["profile"]).drop(DAY), reference).select("*", day, F.lit("deltas").alias("source"))
+        timed, keys = monitor.windowed(rows, "prediction_time", window, "model_version")
+        shifts = drift.baseline_drift(
+            monitor.sliced(timed, slices), monitor.sliced(baseline, slices), columns, ["prediction", LABEL],
+            [*keys, "slice"], ["slice"],
+        ).select("*", day, F.lit("counts").alias("source"))
+        replace_days(deltas.filter(F.col(DAY) >= F.lit(min(days))).unionByName(shifts), names["drift"], ("source", DAY))
+
+    refresh_days(log, "monitor", KeyedTable(spark, ws.table("prod", f"{PREDICTIONS}_marks")), compute)
     return names
 
 

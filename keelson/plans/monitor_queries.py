@@ -24,6 +24,7 @@ from keelson.plans.derived import (
 from keelson.plans.registry import query, rounded, sql_bucket, table
 from keelson.plans.table_queries import scratch_name
 from keelson.session import is_folder, scratch_path
+from keelson.sources.daily import DAY, DailyLog, refresh_days, replace_days
 from keelson.sources.tables import KeyedTable
 from keelson.streaming import jobs
 
@@ -96,6 +97,28 @@ def category_profile(spark, sf_dir) -> DataFrame:
     return A.category_profile(inference_log(spark, sf_dir), ["event_type"], "ts", "1 day", "version", _slices())
 
 
+@query("refresh_late_rows", f"""
+with {_windows('1 day')}, p as ({_profile_sql('w', PROFILED, ['value', 'user_id'])})
+select *, case when window_start < timestamp '2024-01-06' then 3 when window_start < timestamp '2024-01-16' then 1 else 2 end::bigint written_by
+from p""")
+def refresh_late_rows(spark, sf_dir) -> DataFrame:
+    """Three batches, the third with late rows of the first five days, and a refresh after each: the result is that of a
+    profile of everything, and ``written_by`` tells which batch a day was last written after."""
+    rows, half = inference_log(spark, sf_dir), F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'")
+    late = (bucket("event_id") < 10) & (F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-06 00:00:00'"))
+    log = DailyLog(spark, scratch_name(spark, "log"), "ts")
+    results, marks = scratch_name(spark, "daily_profile"), KeyedTable(spark, scratch_name(spark, "marks"))
+
+    def compute(changed: DataFrame, days, upto: int) -> None:
+        profiled = A.profile(changed, ["value", "user_id"], "ts", "1 day", "version", _slices(), exact=True)
+        replace_days(profiled.withColumns({"written_by": F.lit(upto).cast("bigint"), DAY: F.to_date("window_start")}), results)
+
+    for batch in (rows.filter(half & ~late), rows.filter(~half), rows.filter(late)):
+        log.append(batch)
+        refresh_days(log, "profile", marks, compute)
+    return _rounded_profile(spark.table(results).drop(DAY))
+
+
 GRANULARITIES = ("5 minutes", "1 hour", "1 day")
 SKETCH_FLAGS = ["p25_ok", "p50_ok", "p75_ok", "n_distinct_ok"]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -116,6 +116,14 @@ def test_life_of_a_model(spark, customer_file):
     assert quality["accuracy"] > 0.55 and quality["n"] == log.count()
     assert spark.table(names["drift"]).filter("kind = 'baseline'").count() > 0
 
+    later = C.score_features(spark, ws, spark.table(ws.table("prod", C.FEATURES)), at=AT + timedelta(days=1))
+    assert later.count() == 149 and "day" not in later.columns
+    C.monitor_predictions(spark, ws, exact=True)  # the new day alone is read, and compared with the window before it
+    days = {r["day"].day: r["n"] for r in spark.table(names["quality"]).filter("slice = 'all'").collect()}
+    assert days[2] == 149 and days[1] == quality["n"]
+    step = spark.table(names["drift"]).filter("kind = 'consecutive' AND metric = 'delta_count' AND slice = 'all' AND column = 'tenure'").collect()
+    assert [(r["day"].day, r["value"]) for r in step] == [(2, 149.0 - total["n"])]
+
 
 # --- training -------------------------------------------------------------------
 
