@@ -7,9 +7,10 @@ import time
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -23,6 +24,7 @@ from keelson.functions.text import quote_name
 from keelson.operators.features import NumericSpec, fit_vocab
 from keelson.operators.metrics import classifier_metrics
 from keelson.operators.score import MODEL_ERRORS
+from keelson.operators.search import Space, densities, kept_rounds, propose, settings_of
 from keelson.session import shared_dir, staging
 
 IN = "_in_"
@@ -32,29 +34,47 @@ TRIAL_SCHEMA = (
     "metrics map<string,double>, loss double, seconds double"
 )
 DEFAULT_PARAMS = {
-    "max_depth": 2, "rounds": 20, "learning_rate": 0.1, "subsample": 0.5,
-    "features_per_node": "0.8", "min_rows_per_node": 5, "seed": 7,
+    "max_depth": 5, "rounds": 20, "learning_rate": 0.1, "subsample": 1.0,
+    "features_per_node": "all", "min_rows_per_node": 1, "seed": 7,
 }
+PATIENCE = 5
 
 
-def gbt(params: Mapping[str, object], label: str, validation: str | None = None) -> GBTClassifier:
-    """L1, L2: boosted trees; with ``validation`` (a boolean column) boosting stops early."""
+def gbt(params: Mapping[str, object], label: str) -> GBTClassifier:
+    """L1: boosted trees."""
     p = {**DEFAULT_PARAMS, **params}
-    model = GBTClassifier(
+    return GBTClassifier(
         featuresCol="features", labelCol=label, maxDepth=int(p["max_depth"]), maxIter=int(p["rounds"]),
         stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
         featureSubsetStrategy=str(p["features_per_node"]), minInstancesPerNode=int(p["min_rows_per_node"]),
         seed=int(p["seed"]), checkpointInterval=10,
     )
-    return model.setValidationIndicatorCol(validation) if validation else model
 
 
-def estimator(family: str, params: Mapping[str, object], label: str, validation: str | None = None):
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` boosting rounds: the same trees, weights and columns."""
+    java = model._java_obj
+    trees, weights = java.trees(), java.treeWeights()
+    jvm = SparkSession.active().sparkContext._gateway
+    kept = jvm.new_array(jvm.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    shares = jvm.new_array(jvm.jvm.double, rounds)
+    for i in range(rounds):
+        kept[i], shares[i] = trees[i], weights[i]
+    short = jvm.jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), kept, shares)
+    return GBTClassificationModel(java.copyValues(short, java.extractParamMap()))
+
+
+def validation_losses(model: GBTClassificationModel, rows: DataFrame) -> list[float]:
+    """L2: the loss of every boosting round on rows with ``features`` and label, from one pass over the trees."""
+    return list(model.evaluateEachIteration(rows))
+
+
+def estimator(family: str, params: Mapping[str, object], label: str):
     """A classifier of a family on the ``features`` vector."""
     p = {**DEFAULT_PARAMS, **params}
     common = {"featuresCol": "features", "labelCol": label}
     if family == "gbt":
-        return gbt(params, label, validation)
+        return gbt(params, label)
     if family == "logistic":
         return LogisticRegression(**common, regParam=float(p.get("reg", 0.01)), maxIter=int(p.get("iterations", 30)))
     if family == "tree":
@@ -100,28 +120,32 @@ def preprocessing(
 def fit(
     df: DataFrame, features: Sequence[str], label: str, family: str = "gbt",
     params: Mapping[str, object] | None = None, split: str = "split",
-    categorical: Sequence[str] = (), passthrough: Sequence[str] = (),
+    categorical: Sequence[str] = (), passthrough: Sequence[str] = (), patience: int = PATIENCE,
 ):
-    """Fit preprocessing and classifier on the train part (boosting watches the val part).
+    """Fit preprocessing and classifier on the train part (boosting watches the val part).
 
-    Returns a PipelineModel that takes the raw columns: numeric ``features``, ``categorical`` and
-    ``passthrough`` ones (see :func:`preprocessing`).
+    Boosting runs all its rounds and keeps those up to the best one on the val part, as if it had stopped
+    after ``patience`` rounds without gain there; without val rows, or with ``patience`` 0, it keeps all. Returns a PipelineModel that takes
+    the raw columns: numeric ``features``, ``categorical`` and ``passthrough`` ones (see :func:`preprocessing`).
     """
     shared_dir(df.sparkSession)  # deep tree lineages are checkpointed there
-    marked = df.withColumn("_validation", F.col(split) == "val")
-    rows = marked.filter(F.col(split).isin("train", "val") if family == "gbt" else F.col(split) == "train")
-    stages, _ = preprocessing(df.filter(F.col(split) == "train"), features, categorical, passthrough)
-    stages.append(estimator(family, params or {}, label, "_validation" if family == "gbt" else None))
-    return Pipeline(stages=stages).fit(rows)
+    rows, val = df.filter(F.col(split) == "train"), df.filter(F.col(split) == "val")
+    stages, _ = preprocessing(rows, features, categorical, passthrough)
+    model = Pipeline(stages=[*stages, estimator(family, params or {}, label)]).fit(rows)
+    if family == "gbt" and patience and not val.isEmpty():
+        *prepare, trees = model.stages
+        losses = validation_losses(trees, PipelineModel(stages=prepare).transform(val))
+        model = PipelineModel(stages=[*prepare, first_trees(trees, max(1, kept_rounds(losses, patience)))])
+    return model
 
 
 def score(model, df: DataFrame) -> DataFrame:
     """Prediction as int and probability of class 1 as ``score``."""
-    out = model.transform(df.withColumn("_validation", F.lit(False)))
+    out = model.transform(df)
     return out.withColumns({
         "score": F.get(vector_to_array("probability"), F.lit(1)),
         "prediction": F.col("prediction").cast("int"),
-    }).drop("features", "rawPrediction", "probability", "_validation", *[c for c in out.columns if c.startswith(IN)])
+    }).drop("features", "rawPrediction", "probability", *[c for c in out.columns if c.startswith(IN)])
 
 
 def trial_metrics(model, df: DataFrame, label: str, split: str = "split") -> DataFrame:
@@ -172,6 +196,29 @@ def hyper_search(
     return trials_frame(df.sparkSession, rows)
 
 
+def learned_search(
+    df: DataFrame, features: Sequence[str], label: str, space: Space, n: int, startup: int = 8, batch: int = 4, seed: int = 7,
+    family: str = "gbt", split: str = "split",
+) -> DataFrame:
+    """A search that learns from its own trials.
+
+    ``startup`` random settings first, then batches of ``batch`` settings that the densities of good and other trials
+    propose; the fits of a batch share the cluster. Failed trials teach nothing but stay as rows.
+    """
+    spark, rows = df.sparkSession, []
+    with staging(df.select(*features, label, split), "trials") as data, ThreadPool(max(1, batch)) as pool:
+        while len(rows) < n:
+            finished = [r for r in rows if r["status"] == "FINISHED"]
+            if len(rows) < startup or not finished:
+                tries = candidates(space, min(startup, n - len(rows)), seed + len(rows))
+            else:
+                laws = densities(trials_frame(spark, rows), space)
+                tries = settings_of(propose(laws, min(batch, n - len(rows)), seed + len(rows)), space)
+            first = len(rows)
+            rows += pool.map(lambda t: run_trial(data, features, label, f"trial-{first + t[0]:04d}", family, t[1], split), list(enumerate(tries)))
+    return trials_frame(spark, rows)
+
+
 def auto_classify(
     df: DataFrame, features: Sequence[str], label: str, exclude: Sequence[str] = (),
     timeout_minutes: float = 10.0, split: str = "split",

@@ -280,10 +280,9 @@ def score_features(
     champion = pointed_version(spark, ws.prod, name, registry.CHAMPION)
     if champion is None:
         raise LookupError(f"{name} has no champion")
-    marked = features.withColumn("_validation", F.lit(False))
     scored = ml_score(
-        marked, PipelineModel.load(champion["source"]), name, registry.CHAMPION, str(champion["version"]), at
-    ).drop("_validation")
+        features, PipelineModel.load(champion["source"]), name, registry.CHAMPION, str(champion["version"]), at
+    )
     log = DailyLog(spark, ws.table("prod", target), "prediction_time")
     with staging(scored, "scored") as rows:  # scored once, whatever reads it
         empty = rows.isEmpty()

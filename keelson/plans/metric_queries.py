@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from keelson.functions.text import agrees
 from keelson.operators import explain as E
 from keelson.operators import metrics as M
+from keelson.operators import search as S
 from keelson.operators import train as L
 from keelson.operators.gates import slice_gate as gate
 from keelson.operators.score import as_label, batch_score as score_batch, logistic, model_udf
@@ -326,6 +327,87 @@ def hyper_search(spark, sf_dir) -> DataFrame:
     return _trials(L.hyper_search(labelled_documents(spark, sf_dir), DOCUMENT_FEATURES, "label", space, n=2))
 
 
+# Finished orders as trials of a search: settings from their lines, the loss their mean discount.
+SEARCH_SPACE = {"depth": [1, 2, 3, 4, 5], "lines": [1, 2, 3, 4, 5, 6, 7], "flag": ["A", "N", "R"]}
+
+
+def _order_trials(spark, sf_dir) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).cast("string").alias("lines"), F.max("l_returnflag").alias("flag"), F.round(F.avg("l_discount"), 6).alias("loss"))
+    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    names = F.array(F.lit("depth"), F.lit("lines"), F.lit("flag"))
+    return orders.select(
+        F.concat(F.lit("run-"), "o_orderkey").alias("trial_id"), F.when(F.col("o_orderstatus") == "F", "FINISHED").otherwise("FAILED").alias("status"),
+        F.map_from_arrays(names, F.array(F.substring("o_orderpriority", 1, 1), "lines", "flag")).alias("params"), "loss")
+
+
+def _space_rows() -> str:
+    rows = []
+    for name, values in SEARCH_SPACE.items():
+        for i, v in enumerate(values):
+            x = f"{float(v)}, 1.0" if isinstance(v, int) else "null, null"
+            rows.append(f"('{name}', '{v}', {i}, {x})")
+    return ", ".join(rows)
+
+
+LAWS = f"""
+t as (select 'run-' || o_orderkey trial_id, substr(any_value(o_orderpriority), 1, 1) depth, count(*)::varchar as lines,
+             max(l_returnflag) flag, round(avg(l_discount), 6) loss
+      from orders join lineitem on l_orderkey = o_orderkey where o_orderstatus = 'F' group by o_orderkey),
+g as (select *, row_number() over (order by loss, trial_id) <= ceil(sqrt(count(*) over ())) good from t),
+taken as (select good, 'depth' param, depth v from g union all select good, 'lines', lines from g union all select good, 'flag', flag from g),
+space(param, value, place, x, width) as (values {_space_rows()}),
+counted as (select s.*, count(*) filter (where good) n_good, count(*) filter (where not good) n_bad
+            from space s left join taken on taken.param = s.param and v = s.value group by all),
+laid as (select s.param, s.value, s.place, count(*) size, sum(k * n_good) g, sum(k * n_bad) b
+         from (select s.*, o.n_good, o.n_bad, case when s.x is null then (s.value = o.value)::int::double
+                      else exp(-power((s.x - o.x) / s.width, 2) / 2) end k
+               from space s join counted o on o.param = s.param) s group by all),
+laws as (select param, value, place, (g + 1.0 / size) / sum(g + 1.0 / size) over (partition by param) good,
+                (b + 1.0 / size) / sum(b + 1.0 / size) over (partition by param) bad from laid)"""
+
+
+@query("search_densities", f"""
+with {LAWS} select param, value, round(good, 6) good, round(bad, 6) bad, round(ln(good / bad), 6) gain from laws""")
+def search_densities(spark, sf_dir) -> DataFrame:
+    """The two laws of every parameter from all finished trials."""
+    laws = S.densities(_order_trials(spark, sf_dir), SEARCH_SPACE)
+    return rounded(laws.select("param", "value", "good", "bad", "gain"), "good", "bad", "gain")
+
+
+@query("search_proposals", f"""
+with {LAWS},
+steps as (select *, sum(good) over (partition by param order by place) high,
+                 row_number() over (partition by param order by place desc) = 1 last from laws),
+draws as (select p.i proposal, c.i candidate, param,
+                 ('0x' || substr(md5('7|' || p.i || '|' || c.i || '|' || param), 1, 7))::bigint / 268435456.0 u
+          from range(5) p(i), range(24) c(i), (select distinct param from laws)),
+drawn as (select proposal, candidate, steps.* from draws join steps using (param)
+          where u >= high - good and (last or u < high)),
+settings as (select proposal, candidate, max(case when param = 'depth' then value end) depth, max(case when param = 'lines' then value end) as lines,
+                    max(case when param = 'flag' then value end) flag, sum(ln(good / bad)) gain from drawn group by 1, 2)
+select proposal, candidate::int candidate, depth, lines, flag, round(gain, 6) gain from settings
+qualify row_number() over (partition by proposal order by round(gain, 9) desc, candidate) = 1""")
+def search_proposals(spark, sf_dir) -> DataFrame:
+    """Five settings for parallel fits, each the best of 24 draws."""
+    found = S.propose(S.densities(_order_trials(spark, sf_dir), SEARCH_SPACE), 5)
+    return rounded(found.select("proposal", "candidate", *[F.col("params")[c].alias(c) for c in ("depth", "lines", "flag")], "gain"), "gain")
+
+
+@query("early_stopping", """
+with r as (select o_custkey, o_totalprice loss, row_number() over (partition by o_custkey order by o_orderkey) n from orders),
+i as (select *, loss < coalesce(min(loss) over (partition by o_custkey order by n rows between unbounded preceding and 1 preceding), 1e99) lower from r),
+b as (select *, max(case when lower then n end) over (partition by o_custkey order by n) best from i),
+s as (select o_custkey, coalesce(min(case when n - best >= 3 then n end), max(n)) stop_round, max(n) rounds from b group by 1)
+select o_custkey, best best_round, (select loss from r where r.o_custkey = b.o_custkey and r.n = b.best) best_loss, stop_round, rounds
+from s join b using (o_custkey) where b.n = stop_round""")
+def early_stopping(spark, sf_dir) -> DataFrame:
+    """A customer's orders as the losses of a fit: it stops after three rounds without gain."""
+    losses = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("round"), F.col("o_totalprice").alias("loss"))
+    return S.patience_stop(losses, ["o_custkey"], patience=3).withColumns({
+        c: F.col(c).cast("bigint") for c in ("best_round", "stop_round", "rounds")})
+
+
 @query("auto_classify", f"""
 with {LABELLED}, families(family) as (values ('logistic'), ('tree'), ('forest'))
 select 'trial-' || family trial_id, family, 'FINISHED' status, 1 loss_is_f1, 1 has_best from families
