@@ -10,6 +10,7 @@ from keelson.operators import drift as D
 from keelson.operators import monitor as A
 from keelson.operators import outputs as O
 from keelson.operators import profile_state as P
+from keelson.operators import significance as G
 from keelson.operators.features import FeatureSpec
 from keelson.plans.derived import (
     DRIFTED,
@@ -313,6 +314,69 @@ def drift_linf(spark, sf_dir) -> DataFrame:
     return rounded(D.linf_distance(_categorised(spark, sf_dir), "category"), "linf_distance")
 
 
+SIDES = f"""{LOG}, tagged as (select *, ts < timestamp '2024-01-16' is_baseline, extract(hour from ts)::int as hour from log)"""
+
+
+def _sides(spark, sf_dir) -> DataFrame:
+    """Both halves of the month as they are; errors of the last hour only in the second."""
+    return inference_log(spark, sf_dir).withColumns({D.SIDE: F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'"), "hour": F.hour("ts")})
+
+
+@query("drift_ks_test", f"""
+with {SIDES},
+c as (select hour, value, count(*) filter (where is_baseline) b, count(*) filter (where not is_baseline) l
+      from tagged where value is not null and not (hour = 23 and is_baseline) group by 1, 2),
+f as (select hour, value, sum(l) over o / sum(l) over (partition by hour)::double - sum(b) over o / nullif(sum(b) over (partition by hour), 0)::double gap,
+             sum(l) over (partition by hour) n, sum(b) over (partition by hour) m from c window o as (partition by hour order by value)),
+k as (select hour, max(abs(gap)) ks, max(n)::bigint n_log, max(m)::bigint n_base from f group by 1),
+x as (select *, sqrt(n_log * n_base::double / (n_log + n_base)) e from k)
+select hour, round(ks, 6) ks, n_log, n_base, case when ks is not null then
+  round(least(1, greatest(0, 2 * list_sum(list_transform(range(1, 2000), lambda j: power(-1, j - 1) * exp(-2 * j * j * power((e + 0.12 + 0.11 / e) * ks, 2)))))), 6) end p_value
+from x""")
+def drift_ks_test(spark, sf_dir) -> DataFrame:
+    """Per hour of the day; the last hour has no baseline."""
+    rows = _sides(spark, sf_dir).filter((F.col("hour") < 23) | ~F.col(D.SIDE))
+    return rounded(G.ks_test(rows, "value", ["hour"]), "ks", "p_value")
+
+
+@query("drift_chi2_test", f"""
+with {SIDES},
+c as (select hour, event_type, count(*) filter (where not is_baseline) p, count(*) filter (where is_baseline) q
+      from tagged where not (hour = 23 and is_baseline) group by 1, 2),
+t as (select *, sum(p) over (partition by hour) np, sum(q) over (partition by hour) nq from c),
+k as (select hour, case when max(nq) > 0 then sum(power(p - (p + q) * np / (np + nq), 2) / ((p + q) * np / (np + nq))
+                 + power(q - (p + q) * nq / (np + nq), 2) / ((p + q) * nq / (np + nq))) end chi2, count(*) - 1 dof from t group by 1)
+select hour, round(chi2, 6) chi2, dof, round(1 - list_sum(list_transform(range(0, 400),
+         lambda n: exp((dof / 2.0 + n) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2.0 + n + 1)))), 6) p_value from k""")
+def drift_chi2_test(spark, sf_dir) -> DataFrame:
+    """Event types per hour of the day; the last hour has no baseline."""
+    rows = _sides(spark, sf_dir).filter((F.col("hour") < 23) | ~F.col(D.SIDE))
+    return rounded(G.chi2_test(rows, "event_type", ["hour"]), "chi2", "p_value")
+
+
+@query("retrain_series", f"""
+with {LOG},
+d as (select date_trunc('day', ts)::timestamp as day, version, case when day(ts) <> 12 then avg(prediction) end risk
+      from log where not (version = '2' and day(ts) = 9) group by 1, 2, day(ts)),
+b as (select version, avg(risk) target from d where day < timestamp '2024-01-06' group by 1),
+r as (select d.*, case when day >= timestamp '2024-01-20' then 1 else 0 end run, coalesce(risk - target - 0.002, 0) step from d join b using (version)),
+s as (select *, sum(step) over (partition by version, run order by day) total from r),
+c as (select *, total - least(0, min(total) over (partition by version, run order by day)) cusum from s)
+select day, version, round(risk, 6) risk, run, round(cusum, 6) cusum, cusum > 0.05 alarm,
+       cusum > 0.05 and sum((cusum > 0.05)::int) over (partition by version, run order by day) = 1 first_alarm from c""")
+def retrain_series(spark, sf_dir) -> DataFrame:
+    """The share of positive predictions per day and model against its first five days; retrained on the 20th. One day has no
+    value, and one model lacks a day."""
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
+    log = inference_log(spark, sf_dir).filter(~((F.col("version") == "2") & (F.dayofmonth("ts") == 9)))
+    daily = log.groupBy(day, "version").agg(F.avg("prediction").alias("risk"))
+    daily = daily.withColumn("risk", F.when(F.dayofmonth("day") != 12, F.col("risk")))
+    base = daily.filter(F.col("day") < F.expr("TIMESTAMP_NTZ '2024-01-06 00:00:00'")).groupBy("version").agg(F.avg("risk").alias("target"))
+    retrained = F.col("day") == F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'")
+    out = G.cusum(daily.join(base, "version"), ["version"], "day", "risk", F.col("target"), 0.002, 0.05, retrained)
+    return rounded(out.drop("target"), "risk", "cusum")
+
+
 def _rate_sql(c: str) -> str:
     return f"""
 select '{c}' "column", round(avg({c}::double) filter (where is_baseline), 6) base_rate,
