@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from keelson.session import shuffle_width
+from keelson.session import shuffle_width, staged
 
 
 def place_in_slices(
@@ -104,3 +104,17 @@ def running_totals(
             *[f"_before_{s}" for s in measures.values()],
         )
     )
+
+
+def numbered(df: DataFrame, order: Sequence[str], output: str = "index") -> DataFrame:
+    """Number rows from 0 in ascending ``order``, which tells any two of them apart.
+
+    Range slices are stored, each is numbered in a task of its own, and the sizes of the lower slices (a row per slice)
+    are added. So neither a sort nor a window of all rows meets in one task.
+    """
+    placed = staged(df.repartitionByRange(shuffle_width(df.sparkSession), *order).withColumn("_slice", F.spark_partition_id()), "numbered")
+    sizes = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
+    lower = W.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select("_slice", F.coalesce(F.sum("_size").over(lower), F.lit(0)).alias("_before"))
+    place = F.row_number().over(W.partitionBy("_slice").orderBy(*order))
+    return placed.join(before, "_slice").withColumn(output, F.col("_before") + place - 1).drop("_slice", "_before")

@@ -11,15 +11,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelson.functions.running import numbered
 from keelson.functions.text import clean_names, quote_name, try_numeric, value_map
+from keelson.session import staged
 
 MAX_COLUMNS = 1000
+UNSEEN = 1e15  # beyond any slot: the encoder gives such an index no place
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,7 +46,7 @@ def fit_vocab(
 ) -> dict[str, list[str]]:
     """Collect sorted vocabularies for encoding into columns. Each value becomes an output column,
     so a column with more than ``max_categories`` values is refused (and never reaches the
-    driver); :func:`wide_one_hot` encodes those."""
+    driver); :class:`WideEncoder` encodes those."""
     vocab = category_vocab(df, columns)
     limit = max_categories * len(columns)
     rows = vocab.select("column", "value").limit(limit + 1).collect()
@@ -124,28 +126,38 @@ def select_signature(df: DataFrame, signature: T.StructType) -> DataFrame:
 
 @dataclass
 class FeatureSpec:
-    """P5: the fitted featuriser: encode, map the label, clean names, drop NULL rows."""
+    """P5: the fitted featuriser: encode, map the label, clean names, drop NULL rows.
+
+    ``wide`` names categorical columns whose values are too many for columns of their own: they stay as they are, also
+    where they are NULL, for a :class:`WideEncoder` that turns them into one sparse vector.
+    """
 
     categoricals: Sequence[str]
     label: str | None = None
     label_map: Mapping[str, int] = field(default_factory=lambda: {"Yes": 1, "No": 0})
     vocab: dict[str, list[str]] | None = None
+    wide: Sequence[str] = ()
 
     def fit(self, df: DataFrame) -> FeatureSpec:
-        return FeatureSpec(self.categoricals, self.label, self.label_map, fit_vocab(df, self.categoricals))
+        vocab = fit_vocab(df, self._narrow()) if self._narrow() else {}
+        return FeatureSpec(self.categoricals, self.label, self.label_map, vocab, self.wide)
+
+    def _narrow(self) -> list[str]:
+        return [c for c in self.categoricals if c not in self.wide]
 
     def transform(self, df: DataFrame, training: bool = True) -> DataFrame:
         """Training drops rows with a NULL feature or label; scoring keeps unlabelled rows."""
         if self.vocab is None:
             raise ValueError("fit the spec first")
-        out = one_hot(df, {c: self.vocab[c] for c in self.categoricals})
+        out = one_hot(df, {c: self.vocab[c] for c in self._narrow()})
         if self.label and self.label in out.columns:
             mapped = value_map(self.label, self.label_map)
             out = out.select(*[
                 mapped.alias(c) if c == self.label else F.col(quote_name(c)) for c in out.columns])
+        wide = [n for c, n in zip(out.columns, clean_names(out.columns)) if c in self.wide]
         out = rename_clean(out)
         label = clean_names([self.label])[0] if self.label else None
-        required = [c for c in out.columns if training or c != label]
+        required = [c for c in out.columns if c not in wide and (training or c != label)]
         return drop_nulls(out, required)
 
     def to_dict(self) -> dict:
@@ -154,11 +166,12 @@ class FeatureSpec:
             "label": self.label,
             "label_map": dict(self.label_map),
             "vocab": self.vocab,
+            "wide": list(self.wide),
         }
 
     @staticmethod
     def from_dict(state: Mapping) -> FeatureSpec:
-        return FeatureSpec(state["categoricals"], state["label"], state["label_map"], state["vocab"])
+        return FeatureSpec(state["categoricals"], state["label"], state["label_map"], state["vocab"], state.get("wide", ()))
 
 
 # --- imputation and scaling ---------------------------------------------------
@@ -226,10 +239,10 @@ def mode_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def fit_labels(df: DataFrame, column: str) -> DataFrame:
     """the classes of a label column as (value, index), the index by sorted value.
 
-    A table, so any number of classes will do; the window runs over one row per class.
+    A table of any size: classes are numbered by ranges of the value, see :func:`numbered`.
     """
     classes = category_vocab(df, [column]).select("value")
-    return classes.withColumn("index", (F.row_number().over(W.partitionBy(F.lit(0)).orderBy("value")) - 1).cast("int"))
+    return numbered(classes, ["value"]).withColumn("index", F.col("index").cast("int"))
 
 
 def label_encode(df: DataFrame, column: str, classes: DataFrame, output: str) -> DataFrame:
@@ -238,16 +251,59 @@ def label_encode(df: DataFrame, column: str, classes: DataFrame, output: str) ->
     return df.drop(output).join(known, F.col(quote_name(column)).cast("string") == F.col("_value"), "left").drop("_value")
 
 
-def wide_one_hot(df: DataFrame, columns: Sequence[str], output: str = "encoded") -> PipelineModel:
-    """P1 for columns of any number of values: a fitted pipeline to one sparse vector.
+@dataclass
+class WideEncoder:
+    """P1, P5, F1 for columns of any number of values: one sparse vector, a slot per value.
 
-    Slots follow the sorted values, column after column; NULL and unseen values are zeros.
+    The values of all columns are a table (column, value, slot) that is never collected: slots follow the columns and
+    then the sorted values. Rows get their slots by joins; NULL and unseen values are zeros.
     """
-    indexed = StringIndexer(inputCols=list(columns), outputCols=[f"_i_{c}" for c in columns],
-                            stringOrderType="alphabetAsc", handleInvalid="keep")
-    encoded = OneHotEncoder(inputCols=indexed.getOutputCols(), outputCols=[f"_v_{c}" for c in columns], dropLast=True)
-    joined = VectorAssembler(inputCols=encoded.getOutputCols(), outputCol=output)
-    return Pipeline(stages=[indexed, encoded, joined]).fit(df)
+
+    columns: Sequence[str]
+    output: str = "encoded"
+    slots: DataFrame | None = None
+    model: PipelineModel | None = None
+
+    def fit(self, df: DataFrame) -> WideEncoder:
+        order = F.create_map(*[x for i, c in enumerate(self.columns) for x in (F.lit(c), F.lit(i))])
+        values = category_vocab(df, self.columns).select("column", "value", order[F.col("column")].alias("_place"))
+        slots = staged(numbered(values, ["_place", "value"], "slot").drop("_place"), "slots")
+        found = {r["column"]: (r["first"], r["n"]) for r in slots.groupBy("column").agg(
+            F.min("slot").alias("first"), F.count(F.lit(1)).alias("n")).collect()}  # a row per column
+        index = F.col("slot") - F.create_map(*[x for c, (first, _) in found.items() for x in (F.lit(c), F.lit(first))])[F.col("column")] if found else F.col("slot")
+        encoder = OneHotEncoder(inputCols=self._indexes(), outputCols=[f"_v_{i}" for i in range(len(self.columns))], handleInvalid="keep", dropLast=True)
+        # A row of the highest indexes tells the encoder its sizes; the values themselves stay in the table.
+        highest = df.sparkSession.createDataFrame([tuple(float(max(found.get(c, (0, 0))[1] - 1, 0)) for c in self.columns)], self._indexes())
+        joined = VectorAssembler(inputCols=encoder.getOutputCols(), outputCol=self.output)
+        return WideEncoder(self.columns, self.output, slots.withColumn("index", index), Pipeline(stages=[encoder, joined]).fit(highest))
+
+    def _indexes(self) -> list[str]:
+        return [f"_i_{i}" for i in range(len(self.columns))]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        if self.slots is None:
+            raise ValueError("fit the encoder first")
+        out = df
+        for name, column in zip(self._indexes(), self.columns):
+            known = self.slots.filter(F.col("column") == column).select("value", "index")
+            out = label_encode(out, column, known, name).withColumn(name, F.coalesce(F.col(name).cast("double"), F.lit(UNSEEN)))
+        return self.model.transform(out).drop(*self._indexes(), *[f"_v_{i}" for i in range(len(self.columns))])
+
+    def save(self, path: str) -> None:
+        self.slots.write.mode("overwrite").parquet(f"{path}/slots")
+        self.model.write().overwrite().save(f"{path}/model")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> WideEncoder:
+        model = PipelineModel.load(f"{path}/model")
+        slots = spark.read.parquet(f"{path}/slots")
+        names = {r["column"]: r["first"] for r in slots.groupBy("column").agg(F.min("slot").alias("first")).collect()}
+        return WideEncoder(sorted(names, key=names.get), model.stages[-1].getOutputCol(), slots, model)
+
+
+def wide_one_hot(df: DataFrame, columns: Sequence[str], output: str = "encoded") -> WideEncoder:
+    """The fitted :class:`WideEncoder` of some columns."""
+    return WideEncoder(list(columns), output).fit(df)
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:

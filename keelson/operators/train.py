@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.text import quote_name
-from keelson.operators.features import NumericSpec, fit_vocab
+from keelson.operators.features import NumericSpec, WideEncoder, fit_vocab, wide_one_hot
 from keelson.operators.metrics import classifier_metrics
 from keelson.operators.score import MODEL_ERRORS
 from keelson.operators.search import Space, densities, kept_rounds, propose, settings_of
@@ -139,6 +140,38 @@ def fit(
     return model
 
 
+@dataclass(frozen=True)
+class WideModel:
+    """A classifier on a wide sparse vector beside the usual columns: a table of slots and a pipeline."""
+
+    encoder: WideEncoder
+    pipeline: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(self.encoder.transform(df)).drop(self.encoder.output, f"{IN}narrow")
+
+    def save(self, path: str) -> None:
+        self.encoder.save(f"{path}/encoder")
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> WideModel:
+        return WideModel(WideEncoder.load(spark, f"{path}/encoder"), PipelineModel.load(f"{path}/pipeline"))
+
+
+def fit_wide(
+    df: DataFrame, wide: Sequence[str], features: Sequence[str], label: str, family: str = "logistic",
+    params: Mapping[str, object] | None = None, split: str = "split", categorical: Sequence[str] = (), passthrough: Sequence[str] = (),
+) -> WideModel:
+    """L3, P5: :func:`fit` with columns of any number of values, whose slots and weights come from the train part."""
+    rows = df.filter(F.col(split) == "train")
+    encoder = wide_one_hot(rows, wide, f"{IN}wide")
+    stages, _ = preprocessing(rows, features, categorical, passthrough)
+    stages[-1].setOutputCol(f"{IN}narrow")
+    both = VectorAssembler(inputCols=[f"{IN}narrow", encoder.output], outputCol="features")
+    return WideModel(encoder, Pipeline(stages=[*stages, both, estimator(family, params or {}, label)]).fit(encoder.transform(rows)))
+
+
 def score(model, df: DataFrame) -> DataFrame:
     """Prediction as int and probability of class 1 as ``score``."""
     out = model.transform(df)

@@ -201,11 +201,29 @@ def label_encode_many(spark, sf_dir) -> DataFrame:
 
 
 @query("one_hot_wide", """
-select c_custkey, (dense_rank() over (order by c_name))::int slot, 1.0::double total from customer""")
+select c_custkey, (dense_rank() over (order by c_name) - 1)::int slot, 1.0::double total,
+       (select count(distinct c_name) from customer)::int size from customer""")
 def one_hot_wide(spark, sf_dir) -> DataFrame:
     """A sparse vector with a slot per customer name."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     encoded = P.wide_one_hot(customer, ["c_name"]).transform(customer)
-    return encoded.select("c_custkey", vector_to_array("encoded").alias("cells")).select(
-        "c_custkey", F.array_position("cells", 1.0).cast("int").alias("slot"),
-        F.aggregate("cells", F.lit(0.0), lambda a, x: a + x).alias("total"))
+    cells = F.unwrap_udt("encoded")
+    return encoded.select(
+        "c_custkey", F.get(cells["indices"], F.lit(0)).alias("slot"), F.aggregate(cells["values"], F.lit(0.0), lambda a, x: a + x).alias("total"),
+        cells["size"].alias("size"))
+
+
+@query("one_hot_wide_many", """
+with k as (select o_orderkey, o_clerk_id, o_orderpriority p from (select *, (o_custkey % 977)::varchar o_clerk_id from orders)),
+a as (select distinct o_clerk_id v from k where o_orderkey % 5 <> 0), b as (select distinct p v from k where o_orderkey % 5 <> 0),
+sa as (select v, row_number() over (order by v) - 1 slot from a),
+sb as (select v, row_number() over (order by v) - 1 + (select count(*) from a) slot from b)
+select o_orderkey, [sa.slot, sb.slot]::varchar slots, ((select count(*) from a) + (select count(*) from b))::int size
+from k join sa on sa.v = o_clerk_id join sb on sb.v = p""")
+def one_hot_wide_many(spark, sf_dir) -> DataFrame:
+    """Two columns, fitted on four fifths of the rows; rows with a value that those lack are left out here."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 977).cast("string").alias("clerk"), "o_orderpriority")
+    encoded = P.wide_one_hot(orders.filter("o_orderkey % 5 <> 0"), ["clerk", "o_orderpriority"]).transform(orders)
+    cells = F.unwrap_udt("encoded")
+    slots = F.concat(F.lit("["), F.concat_ws(", ", F.transform(cells["indices"], lambda i: i.cast("string"))), F.lit("]"))
+    return encoded.filter(F.size(cells["indices"]) == 2).select("o_orderkey", slots.alias("slots"), cells["size"].alias("size"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.operators import features as P
+from keelson.operators import train
 
 
 @pytest.fixture
@@ -103,3 +104,36 @@ def test_wide_one_hot(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
     rows = P.wide_one_hot(df, ["c"]).transform(df.union(spark.createDataFrame([("z",)], "c string"))).collect()
     assert [list(r["encoded"].toArray()) for r in rows] == [[1, 0], [0, 1], [0, 0], [0, 0]]
+
+
+def test_wide_encoder_of_two_columns_and_its_stored_form(spark, tmp_path):
+    df = spark.createDataFrame([("b", 2), ("a", 1), ("c", None), (None, 10)], "c string, `n.x` int")
+    spec = P.wide_one_hot(df, ["n.x", "c"], "cells")
+    spec.save(str(tmp_path / "w"))
+    more = df.union(spark.createDataFrame([("zz", 1)], df.schema))
+    for encoder in (spec, P.WideEncoder.load(spark, str(tmp_path / "w"))):
+        got = {(r.c, r["n.x"]): (r.cells.size, list(r.cells.indices)) for r in encoder.transform(more).collect()}
+        assert got == {("b", 2): (6, [2, 4]), ("a", 1): (6, [0, 3]), ("c", None): (6, [5]), (None, 10): (6, [1]), ("zz", 1): (6, [0])}
+    assert [(r["column"], r.value, r.slot) for r in spec.slots.orderBy("slot").collect()] == [
+        ("n.x", "1", 0), ("n.x", "10", 1), ("n.x", "2", 2), ("c", "a", 3), ("c", "b", 4), ("c", "c", 5)]
+    empty = P.wide_one_hot(df.limit(0), ["c"]).transform(df)
+    assert empty.count() == 4 and all(r.encoded.numNonzeros() == 0 for r in empty.collect())
+
+
+def test_any_number_of_values_is_encoded_and_trained_on(spark):
+    """More values than a vocabulary of columns takes; classes numbered without a window over all of them."""
+    rows = spark.range(6000).select(
+        "id", F.concat(F.lit("v"), (F.col("id") % 1500).cast("string")).alias("shop"), (F.col("id") % 7).cast("double").alias("x"),
+        F.when(F.col("id") % 1500 < 700, "Yes").otherwise("No").alias("churn"), F.when(F.col("id") < 1500, "val").otherwise("train").alias("split"))
+    with pytest.raises(ValueError, match="too many categories"):
+        P.FeatureSpec(["shop"], "churn").fit(rows)
+    spec = P.FeatureSpec.from_dict(P.FeatureSpec(["shop"], "churn", wide=["shop"]).fit(rows).to_dict())
+    features = spec.transform(rows)
+    assert features.columns == rows.columns and features.count() == 6000
+    model = train.fit_wide(features, ["shop"], ["x"], "churn", "logistic", {"reg": 0.0, "iterations": 20})
+    scored = train.score(model, features)
+    assert scored.filter("split = 'val' AND prediction = churn").count() >= 0.95 * scored.filter("split = 'val'").count()
+    assert not [c for c in scored.columns if c.startswith("_")]
+    plan = P.fit_labels(rows, "shop")._jdf.queryExecution().executedPlan().toString()
+    assert "_slice" in plan and sorted((r.value, r["index"]) for r in P.fit_labels(rows, "shop").collect()) == [
+        (v, i) for i, v in enumerate(sorted(f"v{i}" for i in range(1500)))]
