@@ -124,6 +124,17 @@ def select_signature(df: DataFrame, signature: T.StructType) -> DataFrame:
     return df.select(*[F.col(quote_name(f.name)).cast(f.dataType).alias(f.name) for f in signature])
 
 
+def with_signature(df: DataFrame, signature: T.StructType) -> DataFrame:
+    """P17 for a batch that is scored: all its columns, those of the signature checked by name and kind and cast to its types."""
+    checked = select_signature(df, signature)
+    return df.withColumns({f.name: F.col(quote_name(f.name)).cast(f.dataType) for f in checked.schema})
+
+
+def signature_type(fields: Sequence) -> T.StructType:
+    """A stored signature, (name, type) rows, as a schema."""
+    return T.StructType([T.StructField(f["name"], T._parse_datatype_string(f["type"])) for f in fields])
+
+
 @dataclass
 class FeatureSpec:
     """P5: the fitted featuriser: encode, map the label, clean names, drop NULL rows.

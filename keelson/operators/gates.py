@@ -45,10 +45,13 @@ def signature_diff(old: DataFrame, new: DataFrame, by: Sequence[str] = ()) -> Da
 
 def gate_report(
     versions: DataFrame, predictions: DataFrame, slices: DataFrame, artifacts: DataFrame,
-    min_accuracy: float = MIN_SLICE_ACCURACY, min_description: int = MIN_DESCRIPTION,
+    min_accuracy: float = MIN_SLICE_ACCURACY, min_description: int = MIN_DESCRIPTION, changes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per version with the five gates and the overall verdict.
 
+    With ``changes`` (J6: ``name, version, change`` of the version's inputs against the table it is to score, no row for
+    one that fits) there is a sixth gate, ``signature_matches``.
+
     versions: ``name, version, description, signature`` (array);
     predictions: ``name, version, predicts`` (0/1); slices: ``name, version, pct_acc``,
     no row for a version without demographic slices; artifacts: ``name, version``, a row each.
@@ -72,16 +75,20 @@ def gate_report(
         "has_description",
         F.coalesce("has_artifacts", F.lit(0)).alias("has_artifacts"),
     )
-    return report.withColumn(
-        "passed",
-        (F.col("predicts") == 1) & (F.col("has_signature") == 1) & (F.col("demo_test") == "pass")
-        & (F.col("has_description") == 1) & (F.col("has_artifacts") == 1),
-    )
+    passed = ((F.col("predicts") == 1) & (F.col("has_signature") == 1) & (F.col("demo_test") == "pass")
+              & (F.col("has_description") == 1) & (F.col("has_artifacts") == 1))
+    if changes is not None:
+        changed = changes.select(*key).distinct().withColumn("_changed", F.lit(1))
+        report = report.join(changed, key, "left").withColumn(
+            "signature_matches", F.lit(1) - F.coalesce("_changed", F.lit(0))).drop("_changed")
+        passed = passed & (F.col("signature_matches") == 1)
+    return report.withColumn("passed", passed)
 
 
 def gate_tags(report: DataFrame) -> DataFrame:
     """The report as (name, version, key, value) tag rows."""
-    gates = ("predicts", "has_signature", "demo_test", "has_description", "has_artifacts")
+    gates = ("predicts", "has_signature", "demo_test", "has_description", "has_artifacts", "signature_matches")
+    gates = [g for g in gates if g in report.columns]
     rows = F.array(*[
         F.struct(F.lit(g).alias("key"), F.col(g).cast("string").alias("value")) for g in gates
     ])

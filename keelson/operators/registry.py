@@ -79,6 +79,15 @@ def tags_map(latest: DataFrame, entity: Sequence[str], key: str = "key", value:
     return latest.groupBy(*entity).agg(F.map_from_entries(entries).alias("tags"))
 
 
+def set_run_tags(runs: DataFrame, tags: DataFrame) -> DataFrame:
+    """R1 for runs: the changed rows of ``runs`` after setting ``tags`` (``run_id, tags``, a row per run): a new value
+    replaces one of the same key, other tags stay. Unknown runs give no row."""
+    new = tags.select("run_id", F.col("tags").alias("_new"))
+    old = F.coalesce("tags", F.create_map().cast("map<string,string>"))
+    stays = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys("_new"), k))
+    return runs.join(new, "run_id").withColumn("tags", F.map_concat(stays, "_new")).select(*runs.columns)
+
+
 # --- versions and aliases -----------------------------------------------------
 
 def next_version(names: DataFrame, versions: DataFrame) -> DataFrame:

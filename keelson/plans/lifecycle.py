@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions.text import clean_name, split_list, tag_lookup, user_slug
 from keelson.operators import drift, explain, gates, metrics, monitor, registry, train
-from keelson.operators.features import FeatureSpec
+from keelson.operators.features import FeatureSpec, signature_type, with_signature
 from keelson.operators.score import MODEL_ERRORS, ml_score, predicts
 from keelson.operators.splits import TRAIN_VAL_TEST, split, with_split
 from keelson.session import require_lasting_tables, shared_dir, staging
@@ -150,6 +150,16 @@ def train_model(
     return measured
 
 
+def tag_run(spark: SparkSession, ws: Workspace, run_id: str, tags: Mapping[str, str]) -> None:
+    """Set tags on a recorded run; an unknown run is refused."""
+    store = open_table(spark, "runs", ws.dev)
+    rows = registry.set_run_tags(store.read(), spark.createDataFrame([(run_id, dict(tags))], "run_id string, tags map<string,string>"))
+    pinned = spark.createDataFrame(rows.collect(), rows.schema)  # one row, read before its table changes
+    if pinned.isEmpty():
+        raise LookupError(f"no run {run_id!r}")
+    store.merge(pinned)
+
+
 def explain_model(spark: SparkSession, ws: Workspace, run_id: str, n: int = 100, seed: int = 20260101) -> DataFrame:
     """Shapley importances of a run's model: val rows against train rows."""
     features = with_split(spark.table(ws.table("dev", FEATURES)), [KEY], TRAIN_VAL_TEST)
@@ -223,11 +233,14 @@ def validate_challenger(spark: SparkSession, ws: Workspace, at: datetime) -> Dat
         slices = metrics.slice_accuracy(scored(features), found["demographics"], LABEL).withColumns(key)
     else:
         slices = spark.createDataFrame([], "pct_acc double").withColumns(key)
+    declared = spark.createDataFrame([(f["name"], f["type"]) for f in chosen["signature"] or []], "name string, type string")
+    present = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in features.schema if f.name not in (KEY, LABEL)], declared.schema)
+    changes = gates.signature_diff(declared, present).select("change").withColumns(key)
     artifacts = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(chosen["source"])
     versions = open_table(spark, "model_versions", ws.dev).read().filter(
         (F.col("name") == name) & (F.col("version") == chosen["version"])
     )
-    report = gates.gate_report(versions, predictions, slices, artifacts.select("path").withColumns(key))
+    report = gates.gate_report(versions, predictions, slices, artifacts.select("path").withColumns(key), changes=changes)
     result = spark.createDataFrame(report.collect(), report.schema)  # one row per validated version
     tags = gates.gate_tags(result).withColumn("ts", F.lit(at))
     open_table(spark, "version_tags", ws.dev).merge(tags)
@@ -275,11 +288,17 @@ def promote_challenger(spark: SparkSession, ws: Workspace, report: DataFrame | N
 def score_features(
     spark: SparkSession, ws: Workspace, features: DataFrame, target: str = PREDICTIONS, at: datetime | None = None
 ) -> DataFrame:
-    """Batch inference with the champion, appended to the log; returns the stored rows of this run."""
+    """Batch inference with the champion, appended to the log; returns the stored rows of this run.
+
+    The batch is held against the signature stored with the version: a missing input is refused, and so is one that is no
+    number where the model wants one.
+    """
     name = ws.table("prod", ws.model)
     champion = pointed_version(spark, ws.prod, name, registry.CHAMPION)
     if champion is None:
         raise LookupError(f"{name} has no champion")
+    if champion["signature"]:
+        features = with_signature(features, signature_type(champion["signature"]))
     scored = ml_score(
         features, PipelineModel.load(champion["source"]), name, registry.CHAMPION, str(champion["version"]), at
     )

@@ -193,6 +193,15 @@ def batch_score(spark, sf_dir) -> DataFrame:
     return _score_lines(table(spark, sf_dir, "lineitem"), as_label(logistic(LINE_WEIGHTS, LINE_INTERCEPT)))
 
 
+@query("scoring_time", "select l_orderkey, l_linenumber, true recent, '3' model_version from lineitem")
+def scoring_time(spark, sf_dir) -> DataFrame:
+    """Without a stated time, rows carry that of the run."""
+    lines = table(spark, sf_dir, "lineitem")
+    scored = score_batch(lines, INPUTS, as_label(logistic(LINE_WEIGHTS, LINE_INTERCEPT)), "prod.churn", "Champion", "3")
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("prediction_time")
+    return scored.select("l_orderkey", "l_linenumber", age.between(0, 600).alias("recent"), "model_version")
+
+
 def _load_linear():
     weights, intercept = np.array(list(LINE_WEIGHTS.values())), LINE_INTERCEPT
 

@@ -19,8 +19,8 @@ from keelson.plans.derived import (
     runs,
 )
 from keelson.plans.registry import flag, query, rounded, table
-from keelson.plans.table_queries import scratch_name
-from keelson.sources.model_tables import KEYS
+from keelson.plans.table_queries import fresh_database, scratch_name
+from keelson.sources.model_tables import KEYS, open_table, scan_runs
 from keelson.sources.tables import KeyedTable
 
 
@@ -35,10 +35,25 @@ def _flat(df: DataFrame) -> DataFrame:
 with {RUNS} select run_id, experiment_id, status, val_f1_score, test_f1_score, source from runs""")
 def runs_scan(spark, sf_dir) -> DataFrame:
     """Runs written to their keyed table and read back as a source."""
-    store = KeyedTable(spark, scratch_name(spark, "runs"))
-    found = runs(spark, sf_dir)
-    store.create(found.schema, KEYS["runs"]).merge(found)
-    return _flat(store.read())
+    database = fresh_database(spark)
+    found, store = runs(spark, sf_dir), open_table(spark, "runs", database)
+    store.merge(found.select(store.read().columns))
+    return _flat(scan_runs(spark, database))
+
+
+@query("run_tags_set", f"""
+with {RUNS}
+select run_id, case when status = 'FAILED' then 'checked' else source end source, owner,
+       case when status = 'FAILED' then 'yes' end reviewed from runs""")
+def run_tags_set(spark, sf_dir) -> DataFrame:
+    """Tags set on recorded runs: one replaces the old value, one is new, the others stay."""
+    database = fresh_database(spark)
+    found, store = runs(spark, sf_dir), open_table(spark, "runs", database)
+    store.merge(found.select(store.read().columns))
+    tags = F.create_map(F.lit("source"), F.lit("checked"), F.lit("reviewed"), F.lit("yes"))
+    failed = found.filter("status = 'FAILED'").select("run_id", tags.alias("tags"))
+    store.merge(R.set_run_tags(scan_runs(spark, database), failed))
+    return scan_runs(spark, database).select("run_id", *[F.try_element_at("tags", F.lit(t)).alias(t) for t in ("source", "owner", "reviewed")])
 
 
 @query("runs_by_tag", f"""
@@ -318,6 +333,23 @@ def gate_report(spark, sf_dir) -> DataFrame:
     return G.gate_report(*_line_evidence(spark, sf_dir))
 
 
+@query("signature_gate", f"""
+with {VERSIONS}, {GATES},
+fits as (select l_orderkey from lineitem group by 1 having count(distinct l_linenumber) = 3 and max(l_linenumber) = 3)
+select report.*, case when f.l_orderkey is null then 0 else 1 end signature_matches, {PASSED} and f.l_orderkey is not null passed
+from report left join fits f on f.l_orderkey = version - 1""")
+def signature_gate(spark, sf_dir) -> DataFrame:
+    """The stored inputs of every version against a table of three lines: one more gate."""
+    evidence = _line_evidence(spark, sf_dir)
+    versions = evidence[0]
+    declared = versions.select("name", "version", F.explode("signature").alias("f")).select(
+        F.col("name").alias("model"), "version", "f.name", "f.type")
+    wanted = F.array(*[F.struct(F.lit(f"line_{i}").alias("name"), F.lit("double").alias("type")) for i in (1, 2, 3)])
+    present = versions.select(F.col("name").alias("model"), "version", F.inline(wanted))
+    changes = G.signature_diff(declared, present, ["model", "version"]).select(F.col("model").alias("name"), "version", "change")
+    return G.gate_report(*evidence, changes=changes)
+
+
 @query("promote_gated", f"""
 with {VERSIONS}, {ALIASES}, {PROMOTED}, {GATES}
 select copies.name, copies.version, from_name, from_version from copies

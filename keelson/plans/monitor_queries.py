@@ -597,6 +597,26 @@ def stream_upsert(spark, sf_dir) -> DataFrame:
     return rounded(store.read(), "o_totalprice", digits=2)
 
 
+@query("stream_upsert_late", """
+select o_orderkey, case when o_orderkey % 4 = 0 then 2 else 3 end::bigint as version,
+       round(o_totalprice + case when o_orderkey % 4 = 0 then 2 else 3 end, 2) price from orders""")
+def stream_upsert_late(spark, sf_dir) -> DataFrame:
+    """Three micro-batches over a table in partitions: keys come again and again, some twice in a batch, and for many the newest
+    row comes first and older ones late."""
+    orders = table(spark, sf_dir, "orders")
+    versions = orders.select("o_orderkey", "o_totalprice", F.explode(F.sequence(F.lit(1), F.when(F.col("o_orderkey") % 4 == 0, 2).otherwise(3))).alias("version"))
+    rows = versions.select("o_orderkey", F.col("version").cast("bigint").alias("version"), F.round(F.col("o_totalprice") + F.col("version"), 2).alias("price"))
+    folder, schema = scratch_path(spark, "arriving"), rows.schema
+    for i in range(3):
+        due = F.when(F.col("o_orderkey") % 5 == 0, 0).otherwise((F.col("o_orderkey") + F.col("version")) % 3)  # a fifth all at once
+        rows.filter(due == i).coalesce(1).write.mode("append").parquet(folder)
+    store = KeyedTable(spark, scratch_name(spark, "late_features"), parts=8)
+    store.create(schema, ["o_orderkey"]).merge(rows.filter("version = 1 AND o_orderkey % 3 = 0"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    jobs.stream_upsert(stream, store, lambda batch: batch, order=["version"]).awaitTermination()
+    return store.read()
+
+
 @query("stream_score", f"with {LOG} select event_id, ts, prediction, score from log")
 def stream_score(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "stream-score")

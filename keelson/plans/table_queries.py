@@ -23,6 +23,15 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
+def fresh_database(spark: SparkSession) -> str:
+    """A database of its own below the shared scratch folder."""
+    name = scratch_name(spark, "db").split(".")[1]
+    path = scratch_path(spark, "database").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{path}'")
+    S.create_database(spark, name)  # there already: nothing happens
+    return name
+
+
 def scratch_name(spark: SparkSession, label: str) -> str:
     import uuid
 
@@ -204,7 +213,28 @@ def latest_runs(spark, sf_dir) -> DataFrame:
 @query("preview_limit", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 20")
 def preview_limit(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(20)
+    return S.preview(orders, 20, F.col("o_totalprice").desc(), "o_orderkey")
+
+
+@query("prefix_columns", "select c_nationkey, c_name from customer")
+def prefix_columns(spark, sf_dir) -> DataFrame:
+    """The columns whose names start alike."""
+    customer = table(spark, sf_dir, "customer")
+    return customer.select(*X.prefixed(customer.columns, "c_na"))
+
+
+@query("namespaces", "select 'customer_copy' table_name, count(*) n, false has_reserved from customer")
+def namespaces(spark, sf_dir) -> DataFrame:
+    """A database is made and used, its table is found by name, and reserved catalogs are left out."""
+    name, before = fresh_database(spark), spark.catalog.currentDatabase()
+    S.create_database(spark, name, use=True)
+    try:
+        S.overwrite(table(spark, sf_dir, "customer").select("c_custkey"), "customer_copy")
+        found = [t.name for t in spark.catalog.listTables(name)]
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    reserved = "spark_catalog" in S.list_catalogs(spark, without=["spark_catalog"])
+    return spark.table(f"{name}.{found[0]}").agg(F.lit(found[0]).alias("table_name"), F.count(F.lit(1)).alias("n"), F.lit(reserved).alias("has_reserved"))
 
 
 # --- splits and samples -------------------------------------------------------

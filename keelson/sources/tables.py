@@ -6,7 +6,7 @@ import re
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
     return spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE")
 
 
-def preview(df: DataFrame, n: int, *order: str) -> DataFrame:
+def preview(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """The first rows under a stated order (top-k, no full sort)."""
     return df.orderBy(*order).limit(n) if order else df.limit(n)
 

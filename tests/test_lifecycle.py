@@ -89,7 +89,13 @@ def test_life_of_a_model(spark, customer_file):
     second = C.register_best(spark, ws, "Boosted trees on the churn feature table.").first()
     assert second["version"] == 2
     passed = C.validate_challenger(spark, ws, AT)
-    assert passed.first()["passed"]
+    assert passed.first()["passed"] and passed.first()["signature_matches"] == 1
+    store = C.ClusteredTable(spark, ws.table("dev", C.FEATURES))
+    whole = spark.createDataFrame(store.read().collect(), store.read().schema)
+    store.create(whole.drop("tenure").schema, [C.KEY], replace=True).merge(whole.drop("tenure"))
+    assert [C.validate_challenger(spark, ws, AT).first()[c] for c in ("signature_matches", "passed")] == [0, False]
+    store.create(whole.schema, [C.KEY], replace=True).merge(whole)
+    C.validate_challenger(spark, ws, AT)
     C.promote_challenger(spark, ws, passed)
     for database, name in ((ws.prod, ws.table("prod", ws.model)), (ws.dev, ws.table("dev", ws.model))):
         champion = C.pointed_version(spark, database, name, R.CHAMPION)
@@ -103,6 +109,17 @@ def test_life_of_a_model(spark, customer_file):
     copied = open_table(other, "version_tags", ws.prod).read().collect()
     assert {t["key"]: t["value"] for t in copied}["demo_test"] == "pass" and {t["version"] for t in copied} == {1}
 
+    retyped = scored_keys.withColumn("tenure", F.col("tenure").cast("string"))
+    with pytest.raises(TypeError, match="tenure: string is not int"):
+        C.score_features(spark, ws, retyped)
+    with pytest.raises(ValueError, match="missing columns: .*tenure"):
+        C.score_features(spark, ws, scored_keys.drop("tenure"))
+    C.tag_run(spark, ws, "run-good", {"reviewed": "yes", "demographic_vars": "senior_citizen"})
+    kept = C.pointed_version(spark, ws.dev, ws.table("dev", ws.model), R.CHAMPION)["tags"]
+    assert kept["reviewed"] == "yes" and kept["demographic_vars"] == "senior_citizen" and "db_table" in kept
+    with pytest.raises(LookupError, match="no run"):
+        C.tag_run(spark, ws, "run-none", {"a": "b"})
+
     C.score_baseline_and_log(spark, ws, AT)
     log = spark.table(ws.table("prod", C.PREDICTIONS))
     assert log.count() + spark.table(ws.table("prod", C.BASELINE)).count() == 149
