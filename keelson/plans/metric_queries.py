@@ -250,6 +250,25 @@ def shapley_importance(spark, sf_dir) -> DataFrame:
     return rounded(values, "importance")
 
 
+@query("kernel_attribution", f"""
+with {CUSTOMERS},
+parts as (select *, {split_sql('c_custkey')} split from customers),
+bg as (select * from parts where split = 'train' order by md5('7-background|' || c_custkey::varchar), c_custkey limit 37),
+ex as (select * from parts where split = 'val' order by md5('7-example|' || c_custkey::varchar), c_custkey limit 37),
+m as (select avg(n_orders) n, avg(c_acctbal) a, avg(top_price) t, avg(c_acctbal * n_orders) an from bg)
+select c_custkey, unnest(['n_orders', 'c_acctbal', 'top_price']) feature,
+       unnest([round(-0.2113 * (n_orders - n) + 0.0005135 * (c_acctbal * n_orders - c_acctbal * n + a * n_orders - an), 6),
+               round(0.0005135 * (c_acctbal * n_orders - a * n_orders + c_acctbal * n - an), 6),
+               round(0.0000133 * (top_price - t), 6)]) attribution from ex, m""")
+def kernel_attribution(spark, sf_dir) -> DataFrame:
+    """A scorer with an interaction: balance times number of orders is shared between the two by the Shapley value."""
+    rows = with_split(customers(spark, sf_dir), ["c_custkey"])
+    scorer = F.lit(2.0) - F.lit(0.2113) * F.col("n_orders") + F.lit(0.001027) * F.col("c_acctbal") * F.col("n_orders") + F.lit(0.0000133) * F.col("top_price")
+    values = E.kernel_values(
+        rows.filter("split = 'val'"), rows.filter("split = 'train'"), ["n_orders", "c_acctbal", "top_price"], ["c_custkey"], scorer, n=37)
+    return rounded(values, "attribution")
+
+
 PERM_Z = "(((-2.0 + 0.9 * price) + 0.2 * urgency))"
 
 
