@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from keelson.functions.text import agrees
+from keelson.operators import boosting as B
 from keelson.operators import explain as E
 from keelson.operators import metrics as M
 from keelson.operators import search as S
@@ -355,6 +356,59 @@ def hyper_search(spark, sf_dir) -> DataFrame:
     return _trials(L.hyper_search(labelled_documents(spark, sf_dir), DOCUMENT_FEATURES, "label", space, n=2))
 
 
+# --- second-order boosting, tree by tree ----------------------------------------
+
+BOOST_EDGES = {"l_quantity": [5, 10, 15, 20, 25, 30, 35, 40, 45], "l_discount": [0.015, 0.035, 0.055, 0.075], "l_tax": [0.015, 0.035, 0.055]}
+BOOST_LABEL = "case when (0.04 * l_quantity - 8.0 * l_discount + 3.0 * l_tax > 0.75) <> (l_orderkey % 7 = 0) then 1 else 0 end"
+
+
+def _boost_sql(rounds: int) -> str:
+    """The trees of depth two as one statement: a chain of histograms, best splits and leaves per round."""
+    def cut(column: str) -> str:
+        return " + ".join(f"({column} > {e})::int" for e in BOOST_EDGES[column])
+
+    def level(rows: str, out: str) -> str:
+        return f"""
+{out}_s as (select node, f, bin, sum(g) g, sum(h) h from (
+     select node, g, h, unnest([0, 1, 2]) f, unnest([b0, b1, b2]) bin from {rows}) group by all),
+{out}_c as (select node, f, bin, sum(g) over o gl, sum(h) over o hl, sum(g) over w ga, sum(h) over w ha from {out}_s
+     window o as (partition by node, f order by bin), w as (partition by node, f)),
+{out}_g as (select node, f, bin, hl, ha - hl hr, round((gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1)) / 2, 9) gain from {out}_c),
+{out} as (select node, f, bin, gain from {out}_g where hl >= 5 and hr >= 5 and gain > 0
+     qualify row_number() over (partition by node order by gain desc, f, bin) = 1)"""
+
+    def move(rows: str, splits: str, out: str) -> str:
+        return f"""
+{out} as (select * replace (case when s.node is null then r.node
+     when (case s.f when 0 then b0 when 1 then b1 else b2 end) <= s.bin then 2 * r.node else 2 * r.node + 1 end as node)
+     from {rows} r left join {splits} s on s.node = r.node)""".replace("select *", "select r.*")
+
+    parts = [f"""
+r0 as (select l_orderkey k, l_linenumber n, {cut('l_quantity')} b0, {cut('l_discount')} b1, {cut('l_tax')} b2, {BOOST_LABEL}::double y, 0.0::double m
+       from lineitem)"""]
+    for i in range(1, rounds + 1):
+        parts += [f"""
+g{i} as (select k, n, b0, b1, b2, y, m, 1 node, p - y g, p * (1 - p) h from (select *, 1 / (1 + exp(-m)) p from r{i - 1}))""",
+                  level(f"g{i}", f"a{i}"), move(f"g{i}", f"a{i}", f"h{i}"), level(f"h{i}", f"c{i}"), move(f"h{i}", f"c{i}", f"i{i}"), f"""
+l{i} as (select node, -sum(g) / (sum(h) + 1) * 1.5 w from i{i} group by 1)""", f"""
+r{i} as (select k, n, b0, b1, b2, y, m + w m from i{i} join l{i} using (node))"""]
+    rows = " union all ".join(f"""
+select {i} round, node, f feature, bin, round(gain, 6) gain, null::double weight from a{i}
+union all select {i}, node, f, bin, round(gain, 6), null from c{i} union all select {i}, node, null, null, null, round(w, 6) from l{i}"""
+                              for i in range(1, rounds + 1))
+    return f"with {','.join(parts)} {rows}"
+
+
+@query("boosted_trees", _boost_sql(3))
+def boosted_trees(spark, sf_dir) -> DataFrame:
+    """All nodes of three trees of depth two, learning rate above one."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("label", F.expr(BOOST_LABEL))
+    settings = B.Boosting(rounds=3, depth=2, learning_rate=1.5, min_child_weight=5.0)
+    model = B.fit_boosted(lines, list(BOOST_EDGES), "label", settings, BOOST_EDGES)
+    rows = [(i, n.node, n.feature, n.bin, n.gain, n.weight) for i, tree in enumerate(model.trees, 1) for n in tree]
+    return rounded(spark.createDataFrame(rows, "round int, node int, feature int, bin int, gain double, weight double"), "gain", "weight")
+
+
 # Finished orders as trials of a search: settings from their lines, the loss their mean discount.
 SEARCH_SPACE = {"depth": [1, 2, 3, 4, 5], "lines": [1, 2, 3, 4, 5, 6, 7], "flag": ["A", "N", "R"]}
 
