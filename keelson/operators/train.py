@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import random
+import threading
 import time
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -39,6 +42,7 @@ DEFAULT_PARAMS = {
     "features_per_node": "all", "min_rows_per_node": 1, "seed": 7,
 }
 PATIENCE = 5
+WATCH_SECONDS = 0.2
 
 
 def gbt(params: Mapping[str, object], label: str) -> GBTClassifier:
@@ -187,19 +191,59 @@ def trial_metrics(model, df: DataFrame, label: str, split: str = "split") -> Dat
     return classifier_metrics(scored, (split,))
 
 
+class Budget:
+    """A deadline that ends the Spark jobs of a block of work once it has passed.
+
+    Jobs started inside the block carry a tag of their own; a watcher cancels the jobs of that tag from the deadline on, so
+    the work ends with its running tasks at the latest.
+    """
+
+    def __init__(self, spark: SparkSession, seconds: float):
+        self.context, self.deadline = spark.sparkContext, time.monotonic() + seconds
+
+    @property
+    def over(self) -> bool:
+        return time.monotonic() > self.deadline
+
+    @contextmanager
+    def ending(self) -> Iterator[None]:
+        tag, done = f"budget-{uuid.uuid4().hex}", threading.Event()
+
+        def watch() -> None:
+            if not done.wait(max(0.0, self.deadline - time.monotonic())):
+                while not done.wait(WATCH_SECONDS):  # the work may be between two jobs
+                    self.context.cancelJobsWithTag(tag)
+
+        watcher = threading.Thread(target=watch, daemon=True)
+        self.context.addJobTag(tag)
+        watcher.start()
+        try:
+            yield
+        finally:
+            done.set()
+            watcher.join()
+            self.context.removeJobTag(tag)
+
+
 def run_trial(
     df: DataFrame, features: Sequence[str], label: str, trial_id: str, family: str,
-    params: Mapping[str, object], split: str = "split",
+    params: Mapping[str, object], split: str = "split", budget: Budget | None = None,
 ) -> dict:
-    """L4: fit and evaluate one candidate; the loss is the negative validation F1."""
+    """L4: fit and evaluate one candidate; the loss is the negative validation F1. One that its ``budget`` ends is CUT."""
     started = time.monotonic()
     metrics, status = {}, "FINISHED"
     try:
-        model = fit(df, features, label, family, params, split)
-        for r in trial_metrics(model, df, label, split).collect():
-            metrics |= {f"{r[split]}_{m}": float(r[m]) for m in METRICS if r[m] is not None}
-    except (*MODEL_ERRORS, TypeError, ValueError):  # settings that cannot be fitted lose this trial, not the search
-        status = "FAILED"
+        with budget.ending() if budget else nullcontext():
+            model = fit(df, features, label, family, params, split)
+            for r in trial_metrics(model, df, label, split).collect():
+                metrics |= {f"{r[split]}_{m}": float(r[m]) for m in METRICS if r[m] is not None}
+    except Exception as e:  # settings that cannot be fitted lose this trial, not the search
+        if budget and budget.over:
+            metrics, status = {}, "CUT"
+        elif isinstance(e, (*MODEL_ERRORS, TypeError, ValueError)):
+            status = "FAILED"
+        else:
+            raise
     return {
         "trial_id": trial_id, "family": family, "status": status,
         "params": {k: str(v) for k, v in params.items()}, "metrics": metrics,
@@ -256,23 +300,62 @@ def auto_classify(
     df: DataFrame, features: Sequence[str], label: str, exclude: Sequence[str] = (),
     timeout_minutes: float = 10.0, split: str = "split",
 ) -> DataFrame:
-    """One model per family until the time budget is used up; best validation F1 first."""
-    deadline = time.monotonic() + 60.0 * timeout_minutes
-    rows = []
+    """One model per family; best validation F1 first.
+
+    The first family is always fitted. At the deadline the running fit is ended (CUT) and the others are SKIPPED.
+    """
+    budget, rows = Budget(df.sparkSession, 60.0 * timeout_minutes), []
     with staging(df.select(*features, label, split), "trials") as data:
         for family in FAMILIES:
-            if family in exclude:
-                continue
-            if rows and time.monotonic() > deadline:
-                rows.append({
-                    "trial_id": f"trial-{family}", "family": family, "status": "SKIPPED", "params": {},
-                    "metrics": {}, "loss": None, "seconds": 0.0,
-                })
-                continue
-            rows.append(run_trial(data, features, label, f"trial-{family}", family, {}, split))
+            if family not in exclude:
+                rows.append(_within(data, features, label, f"trial-{family}", family, {}, split, budget, not rows))
     return trials_frame(df.sparkSession, rows).orderBy(F.col("loss").asc_nulls_last(), "trial_id")
 
 
+def _within(data, features, label, trial_id, family, params, split, budget: Budget, first: bool) -> dict:
+    if budget.over and not first:
+        return {"trial_id": trial_id, "family": family, "status": "SKIPPED", "params": {k: str(v) for k, v in params.items()},
+                "metrics": {}, "loss": None, "seconds": 0.0}
+    return run_trial(data, features, label, trial_id, family, params, split, None if first else budget)
+
+
+# What each family is tried with.
+SETTINGS: Mapping[str, Sequence[Mapping[str, object]]] = {
+    "logistic": [{"reg": 0.0}, {"reg": 0.1}], "tree": [{"max_depth": 3}, {"max_depth": 6}],
+    "forest": [{"max_depth": 4}, {"max_depth": 7}], "gbt": [{"rounds": 10, "max_depth": 3}, {"rounds": 25, "max_depth": 3}],
+}
+
+
+def halving_search(
+    df: DataFrame, features: Sequence[str], label: str, minutes: float = 10.0, settings: Mapping[str, Sequence[Mapping[str, object]]] = SETTINGS,
+    keep: int = 3, rungs: int = 3, split: str = "split",
+) -> DataFrame:
+    """Families and settings by successive halving within a time budget.
+
+    Every setting is fitted on a share of the train rows first, keep^(1 - rungs) by a hash of the row; the best one of each
+    ``keep`` goes on to a share ``keep`` times as large, until all rows are used. Small fits come first, so something is finished
+    even if the budget is short: the first one always runs to its end, a fit that the deadline meets is CUT, the rest is
+    SKIPPED. Trials are named after family, setting and rung; the best of the highest rung comes first.
+    """
+    spark, budget, rows = df.sparkSession, Budget(df.sparkSession, 60.0 * minutes), []
+    tries = [(family, i, params) for family in FAMILIES if family in settings for i, params in enumerate(settings[family])]
+    with staging(df.select(*features, label, split), "trials") as data:
+        for rung in range(rungs):
+            parts = keep ** (rungs - 1 - rung)
+            place = F.pmod(F.xxhash64(*[F.col(quote_name(c)) for c in (*features, label)]), F.lit(parts))
+            some = data.filter((F.col(split) != "train") | (place == 0)) if parts > 1 else data
+            done = []
+            for family, i, params in tries:
+                row = _within(some, features, label, f"trial-{family}-{i}-rung{rung}", family, params, split, budget, not rows)
+                rows.append(row | {"params": row["params"] | {"share": f"1/{parts}"}})
+                if row["status"] == "FINISHED":
+                    done.append((row["loss"], len(done), (family, i, params)))
+            tries = [t for *_, t in sorted(done)[:max(1, -(-len(done) // keep))]]
+    out = trials_frame(spark, rows)
+    rung = F.regexp_extract("trial_id", r"rung(\d+)$", 1).cast("int")
+    return out.orderBy(F.col("loss").isNull(), rung.desc(), "loss", "trial_id")
+
+
 def trials_frame(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     names = [part.split()[0] for part in TRIAL_SCHEMA.split(", ")]
     return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], TRIAL_SCHEMA)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import time
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -75,3 +76,29 @@ def test_boosting_keeps_the_rounds_up_to_the_best(spark, small):
     no_val = L.fit(rows.where("split <> 'val'"), DOCUMENT_FEATURES, "label", "gbt", {"rounds": 3})
     assert no_val.stages[-1].getNumTrees == 3 and L.score(no_val, rows.withColumn("more", F.lit(1))).count() == rows.count()
     rows.unpersist()
+
+
+def test_a_budget_ends_a_running_fit(spark, small):
+    rows = labelled_documents(spark, small).cache()
+    rows.count()
+    budget, started = L.Budget(spark, 3.0), time.monotonic()
+    cut = L.run_trial(rows, DOCUMENT_FEATURES, "label", "t", "gbt", {"rounds": 400, "max_depth": 5}, budget=budget)
+    assert (cut["status"], cut["loss"], cut["metrics"]) == ("CUT", None, {}) and time.monotonic() - started < 15
+    fine = L.run_trial(rows, DOCUMENT_FEATURES, "label", "t", "logistic", {"iterations": 2}, budget=L.Budget(spark, 300.0))
+    assert fine["status"] == "FINISHED" and not spark.sparkContext.getJobTags()
+    rows.unpersist()
+
+
+def test_halving_finishes_something_and_cuts_the_rest(spark, small):
+    rows = labelled_documents(spark, small)
+    settings = {"logistic": [{"iterations": 3}, {"iterations": 0}], "gbt": [{"rounds": 400, "max_depth": 5}], "tree": [{"max_depth": 2}]}
+    started = time.monotonic()
+    out = L.halving_search(rows, DOCUMENT_FEATURES, "label", minutes=0.2, settings=settings, keep=2).collect()
+    assert time.monotonic() - started < 60
+    status = {r.trial_id: r.status for r in out}
+    assert status["trial-logistic-0-rung0"] == "FINISHED" and "CUT" in status.values() and out[0].status == "FINISHED"
+    assert all((r.loss is None) == (r.status != "FINISHED") for r in out) and {r.params["share"] for r in out} <= {"1/4", "1/2", "1/1"}
+    small_ones = {k: v for k, v in settings.items() if k != "gbt"}
+    full = L.halving_search(rows, DOCUMENT_FEATURES, "label", settings=small_ones, keep=2).collect()
+    assert [sum(f"rung{i}" in r.trial_id for r in full) for i in range(3)] == [3, 2, 1] and full[0].trial_id.endswith("rung2")
+    assert {r.status for r in full} == {"FINISHED"}
