@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import textops
 from keelson.llm.token_files import text_encoder
+from keelson.session import staged
 
 LEAF = 256
 TREE = "struct<leaf_chars: array<long>, sums: array<long>>"
@@ -43,12 +44,27 @@ def sums_of(counts: list[int]) -> list[int]:
     return sums
 
 
-def edited(text: str, leaf_chars: list[int], sums: list[int], edits: list[tuple[int, int, str]], count) -> tuple[str, list[int], list[int], int]:
+def leaves_of(text: str, size: int = LEAF) -> list[int]:
+    """Lengths of the leaves of a renewed stretch: one leaf below twice ``size``, else leaves as :func:`cut` makes them, without
+    a short one at the end."""
+    if len(text) < 2 * size:
+        return [len(text)]
+    lengths = cut(text, size)
+    if len(lengths) > 1 and lengths[-1] < size:
+        lengths[-2:] = [lengths[-2] + lengths[-1]]
+    return lengths
+
+
+def edited(
+    text: str, leaf_chars: list[int], sums: list[int], edits: list[tuple[int, int, str]], count, size: int = LEAF,
+) -> tuple[str, list[int], list[int], int]:
     """Apply edits (start, removed characters, inserted text) to a text and its tree.
 
     Positions refer to the text before all edits. Returns the new text, the new tree and how
     many characters were encoded again: the leaves that an edit touches, with the character
-    before and after it as context, nothing else.
+    before and after it as context, nothing else. A stretch that has grown is split into leaves again, so leaves stay
+    short however many edits follow each other. Where the number of leaves stays, only the sums above the renewed ones change;
+    else the tree is put together anew from the leaves' counts.
     """
     n, clean, done = len(text), [], 0
     for start, removed, insert in sorted(edits, key=lambda e: (e[0], e[1])):
@@ -68,7 +84,7 @@ def edited(text: str, leaf_chars: list[int], sums: list[int], edits: list[tuple[
             groups[-1][2].append((begin, stop, insert))
         else:
             groups.append([low, high, [(begin, stop, insert)]])
-    pieces, at, encoded, half = [], 0, 0, len(sums) // 2
+    pieces, at, encoded, half, renewals = [], 0, 0, len(sums) // 2, []
     for low, high, own in groups:
         begin, end = int(bounds[low]), int(bounds[high + 1])
         parts, inner = [], begin
@@ -79,13 +95,26 @@ def edited(text: str, leaf_chars: list[int], sums: list[int], edits: list[tuple[
         pieces += [text[at:begin], renewed]
         at = end
         encoded += len(renewed)
-        for leaf in range(low, high + 1):
-            leaf_chars[leaf] = len(renewed) if leaf == low else 0
-            node = half + leaf
-            change = (count(renewed) if leaf == low else 0) - sums[node]
-            while node and change:
-                sums[node] += change
-                node //= 2
+        lengths, counts, place = leaves_of(renewed, size), [], 0
+        for length in lengths:
+            counts.append(count(renewed[place:place + length]))
+            place += length
+        spare = [0] * (high - low + 1 - len(lengths))  # leaves without text keep the others in their places
+        renewals.append((low, high, lengths + spare, counts + spare))
+    if all(len(lengths) == high - low + 1 for low, high, lengths, _ in renewals):
+        for low, high, lengths, counts in renewals:
+            for leaf, length, new in zip(range(low, high + 1), lengths, counts):
+                leaf_chars[leaf], node = length, half + leaf
+                change = new - sums[node]
+                while node and change:
+                    sums[node] += change
+                    node //= 2
+    else:
+        counts_now = sums[half:half + len(leaf_chars)]
+        for low, high, lengths, counts in reversed(renewals):
+            leaf_chars[low:high + 1], counts_now[low:high + 1] = lengths, counts
+        both = [(c, k) for c, k in zip(leaf_chars, counts_now) if c] or [(0, 0)]
+        leaf_chars, sums = [c for c, _ in both], sums_of([k for _, k in both])
     return "".join([*pieces, text[at:]]), leaf_chars, sums, encoded
 
 
@@ -136,6 +165,20 @@ def attach_edits(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id") -> D
     return docs.join(own, id_col, "left")
 
 
+def keep_trees(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The stored table (id, ``text``, ``tree``): every text encoded once, its tree kept for edits to come."""
+    text = F.col(f"`{text_col}`").cast("string")
+    return staged(docs.select(F.col(f"`{id_col}`").alias(id_col), text.alias("text"), count_tree(text, tokenizer).alias("tree")), "token-trees")
+
+
+def edit_kept(kept: DataFrame, edits: DataFrame, tokenizer: str, id_col: str = "doc_id") -> DataFrame:
+    """The stored table after a batch of edits (id, start, removed, inserted), with ``encoded_chars``: the result is
+    the ``kept`` of the next batch. Documents without edits pass their tree on and encode nothing."""
+    rows = attach_edits(kept.select(id_col, "text", "tree"), edits, id_col)
+    new = rows.select(id_col, apply_edits(F.col("text"), F.col("tree"), F.col("edits"), tokenizer).alias("new"))
+    return staged(new.select(id_col, "new.text", "new.tree", "new.encoded_chars"), "token-trees")
+
+
 def count_edited(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits",
 ) -> DataFrame:

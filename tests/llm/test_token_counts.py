@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from keelson.llm.queries import QUERIES, revision
-from keelson.llm.token_counts import attach_edits, count_edited, cut, edited, sums_of
+from keelson.llm.token_counts import attach_edits, count_edited, cut, edit_kept, edited, keep_trees, sums_of
 from keelson.llm.token_files import byte_bpe, text_encoder
 
 TEXT = st.text(alphabet="ab'st 1é\n\t  !世", max_size=80)
@@ -38,6 +38,37 @@ def test_counts_after_rounds_of_edits(text, rounds):
         assert text == want and sums[1] == count(want) and sum(lengths) == len(want)
 
 
+@settings(max_examples=200, deadline=None)
+@given(TEXT, st.lists(st.lists(st.tuples(st.integers(0, 90), st.integers(0, 9), st.text(alphabet="a 's", max_size=40)), max_size=4), max_size=4))
+def test_grown_leaves_are_split_again(text, rounds):
+    lengths = cut(text, 8)
+    at = [sum(lengths[:i]) for i in range(len(lengths) + 1)]
+    sums = sums_of([count(text[a:b]) for a, b in zip(at, at[1:])])
+    for edits in rounds:
+        text, lengths, sums, _ = edited(text, lengths, sums, edits, count, 8)
+        assert sums[1] == count(text) and sum(lengths) == len(text) and len(sums) >= 2 * len(lengths)
+        at = [sum(lengths[:i]) for i in range(len(lengths) + 1)]
+        assert [count(text[a:b]) for a, b in zip(at, at[1:])] == sums[len(sums) // 2:len(sums) // 2 + len(lengths)]
+
+
+def test_stored_trees_take_several_batches(spark):
+    docs = [(i, " ".join(f"word{(i * j) % 997}" for j in range(60 * i))) for i in range(12)] + [(20, None), (21, "")]
+    kept = keep_trees(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), byte_bpe())
+    now = dict(docs)
+    for batch in range(3):
+        edits = [(i, 37 * i + batch, 5 * batch, " it's new" * (1 + 90 * (i % 2))) for i in (1, 5, 5 + batch, 11, 21) for _ in (0,)] + [(99, 0, 0, "none")]
+        kept = edit_kept(kept, spark.createDataFrame(edits, "doc_id long, start long, removed long, inserted string"), byte_bpe())
+        for i in now:
+            own = [e[1:] for e in edits if e[0] == i]
+            now[i] = brute(now[i] or "", own) if own else now[i]
+        rows = {r.doc_id: r for r in kept.collect()}
+        assert rows.keys() == now.keys()
+        for i, r in rows.items():
+            size = sum(len(e[3]) + e[2] for e in edits if e[0] == i)
+            assert (r.text or "") == (now[i] or "") and r.tree.sums[1] == count(now[i] or "") and sum(r.tree.leaf_chars) == len(now[i] or "")
+            assert r.encoded_chars <= (size + 3 * 2 * 300 if size else 0) and max(r.tree.leaf_chars) < 1000
+
+
 def test_only_touched_leaves_are_encoded():
     text = " ".join(f"word{i}" for i in range(20_000))
     lengths = cut(text)
