@@ -145,7 +145,7 @@ def fit_languages(labelled: DataFrame, lang_col: str = "lang", text_col: str = "
     model = LanguageModel(languages, code, np.clip(weights, -6, 6), np.ones(code.shape[1]), np.full(code.shape[1], 8.0))
     # A share of the texts by hash; copies of one text, which the share takes all or none of, are cut.
     share = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, tune_rows / rows.count()))
-    tune = rows.where(share).limit(2 * tune_rows).toPandas()
+    tune = rows.where(share).orderBy(F.xxhash64("text"), "lang").limit(2 * tune_rows).toPandas()
     texts = pa.array(tune.text, pa.string())
     margins = np.concatenate([model.margins(d, o) for _, _, d, o in textops.text_runs(texts)]) if len(tune) else np.zeros((0, 1))
     if n > 1 and len(tune):

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import math
+import re
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from keelson.llm.langid import in_fold
@@ -36,6 +40,30 @@ def test_votes_match_plain_reading():
     assert got[0, len(LEXICON)] == 1 and got[0, len(LEXICON) + 1] == 0
 
 
+def plain_score(model, text):
+    """The score of one text from the fitted weights, word by word."""
+    text = text or ""
+    low = "".join(c.lower() if c.isascii() or "À" <= c <= "Þ" and c != "×" else c for c in text)
+    words = re.findall(r"[a-z\u0080-\U0010ffff]+", low)
+    hits = [sum(w.startswith(s) for w in words) for s in model.stems]
+    kinds, letters = sum(h > 0 for h in hits), sum(len(c.encode()) for c in low if "a" <= c <= "z" or c >= "\u0080")
+    upper, bangs = sum("A" <= c <= "Z" for c in text), sum(a == b == "!" for a, b in zip(text, text[1:]))
+    votes = [h > 0 for h in hits] + [kinds >= 2, kinds >= 3, kinds > 0 and sum(hits) * 150 >= len(words), letters >= 20 and 2 * upper > letters, bangs >= 3]
+    z = sum(float(w) for w, v in zip(model.weights, votes) if v) + float(model.weights[-1])
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_scores_match_a_plain_scorer(spark, tiny, odd):
+    docs, labels = (spark.read.parquet(f"{tiny}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit_toxicity(docs, labels)
+    more = ["YOU ARE A CLOWN AND A FOOL, SIR!!!!", "Crétin CRÉTIN ÉTÉ", "!!! !! !!!", "×idiot Þidiot"]
+    extra = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(more)], "doc_id long, text string")
+    rows = [f for frame in (docs, odd, extra) for f in score_toxicity(frame.select("doc_id", "text"), model).collect()]
+    for r in rows:
+        want = plain_score(model, r.text)
+        assert r.score == pytest.approx(want, abs=1e-9) and r.predicted == int(want >= 0.3), r.doc_id
+
+
 def test_label_model_learns_accuracies():
     rng = np.random.Generator(np.random.PCG64(4))
     y = rng.random(4000) < 0.15
