@@ -210,7 +210,8 @@ def write_token_files(
     schema = "path string, part long, seq long, n_ids long, n_blocks long, n_bytes long, doc_ids array<long>, counts array<long>"
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-        .repartitionByRange(shuffle_width(docs.sparkSession), "_id").sortWithinPartitions("_id", "_text"))
+        # The first characters part rows that share an id, or have none, without a whole text in the ranges' bounds.
+        .repartitionByRange(shuffle_width(docs.sparkSession), F.col("_id"), F.substring("_text", 1, 32)).sortWithinPartitions("_id", "_text"))
     return staged(ordered.mapInArrow(run, schema), "token-index")
 
 
