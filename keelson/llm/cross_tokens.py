@@ -19,7 +19,7 @@ from keelson.llm import files, textops
 from keelson.session import scratch_path, staged
 
 CHUNK_BYTES = 8 << 20
-CACHED_WORDS, CACHED_BYTES = 400_000, 64 << 20
+CACHED_WORDS, CACHED_BYTES = 800_000, 128 << 20
 JOINED = 2_000
 TEXTS = 500
 _CUT = re.compile(r"(?<=\S) ")
@@ -208,6 +208,17 @@ class Words:
         return self.counts[0] if self.counts else np.zeros((0, 5), dtype=np.int64)
 
 
+_words: dict[tuple[str, str], Words] = {}
+
+
+def known_words(a_path: str, b_path: str) -> Words:
+    """The words that this worker process has learned so far, also in earlier tasks; forgotten once they are too many."""
+    key = a_path, b_path
+    if key not in _words or _words[key].full() or _words[key].pair is not tokenizer_pair(*key):
+        _words[key] = Words(tokenizer_pair(*key))
+    return _words[key]
+
+
 class _Chunk:
     """Documents of a task until they fill a chunk: their words by number and what is known without the corpus."""
 
@@ -321,7 +332,7 @@ def align_tokenizers(
     width = tokenizer_pair(a_path, b_path).b.get_piece_size()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, chunk = Words(tokenizer_pair(a_path, b_path)), _Chunk()
+        words, chunk = known_words(a_path, b_path), _Chunk()
 
         def close() -> pa.RecordBatch:
             path, pairs, links = chunk.close(words, folder)
@@ -339,9 +350,7 @@ def align_tokenizers(
                 chunk.add(ids.slice(low, high - low).to_pylist(), [t or "" for t in texts.slice(low, high - low).to_pylist()], words)
                 if chunk.bytes >= chunk_bytes:
                     yield close()
-                    chunk = _Chunk()
-                    if words.full():
-                        words = Words(words.pair)
+                    words, chunk = known_words(a_path, b_path), _Chunk()
         if chunk.ids:
             yield close()
 
