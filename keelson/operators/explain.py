@@ -163,8 +163,8 @@ def permutation_importance(
 
     Rows are spread over ``blocks`` hashed blocks and sorted once, in a seeded order; the
     first feature's values move on by one place within a block, the second's by two, and
-    so on. A large table takes more blocks by the parameter, never by its size alone, so
-    the result of a call does not depend on what else is in the cluster.
+    so on. At most ``blocks`` tasks sort the rows, a block each: a large table takes more blocks by the parameter, never by its
+    size alone, so the result of a call does not depend on what else is in the cluster.
     """
     features = list(features)
     placed = df.withColumn("_block", bucket(*keys, buckets=blocks, salt=f"{seed}-block"))

@@ -431,16 +431,20 @@ s as (select grp.day, grp.event_type, n, b, greatest(coalesce(cnt.c, 0)::double
              greatest(coalesce(bc.c, 0)::double / b, 0.0001) q
       from grp cross join range({BINS}) r(i) left join bt on bt.event_type = grp.event_type
       left join cnt on cnt.day = grp.day and cnt.event_type = grp.event_type and cnt.bin = i
-      left join bc on bc.event_type = grp.event_type and bc.bin = i)
+      left join bc on bc.event_type = grp.event_type and bc.bin = i),
+u as (select *, p / sum(p) over (partition by day, event_type) a, q / sum(q) over (partition by day, event_type) c from s)
 select day::timestamp as day, event_type, max(n) n,
-       case when max(n) > 0 and max(b) > 0 then round(sum((p - q) * ln(p / q)), 6) end psi from s group by 1, 2""")
+       case when max(n) > 0 and max(b) > 0 then round(sum((p - q) * ln(p / q)), 6) end psi,
+       case when max(n) > 0 and max(b) > 0 then
+         round(sqrt(greatest(sum((a * ln(a / ((a + c) / 2)) + c * ln(c / ((a + c) / 2))) / 2) / ln(2), 0)), 6) end js_distance
+from u group by 1, 2""")
 def drift_missing_sides(spark, sf_dir) -> DataFrame:
     """A day without values, and an event type the baseline lacks, keep their rows with a NULL statistic."""
     tagged = drifted(spark, sf_dir).withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz")).withColumn(
         "value", F.when(F.dayofmonth("ts") != 20, F.col("value")))
     baseline = tagged.filter(F.col(D.SIDE) & (F.col("event_type") != "view"))
     out = D.window_psi(tagged.filter(~F.col(D.SIDE)), baseline, "value", ["day", "event_type"], BINS, ["event_type"])
-    return rounded(out.select("day", "event_type", "n", "psi"), "psi")
+    return rounded(out.select("day", "event_type", "n", "psi", "js_distance"), "psi", "js_distance")
 
 
 @query("drift_empty_baseline", f"""
@@ -457,12 +461,14 @@ def drift_empty_baseline(spark, sf_dir) -> DataFrame:
 
 def _psi_sql(column: str) -> str:
     return f"""
-select day, '{column}' as column, 'psi' metric, round(sum((p - q) * ln(p / q)), 6) as value from (
+select day, '{column}' as column, unnest(['psi', 'js_distance']) metric, unnest([round(sum((p - q) * ln(p / q)), 6),
+       round(sqrt(greatest(sum((a * ln(a / ((a + b) / 2)) + b * ln(b / ((a + b) / 2))) / 2) / ln(2), 0)), 6)]) as value
+from (select *, p / sum(p) over (partition by day) a, q / sum(q) over (partition by day) b from (
   select grp.day, greatest(coalesce(cnt.c, 0)::double / n, 0.0001) p, greatest(coalesce(bc.c, 0)::double / b, 0.0001) q
   from (select day, count({column}) n from t where not is_baseline group by 1) grp
   cross join range({BINS}) r(i) cross join (select count({column}) b from t where is_baseline)
   left join (select day, {column}_bin bin, count(*) c from t where not is_baseline group by 1, 2) cnt on cnt.day = grp.day and cnt.bin = i
-  left join (select {column}_bin bin, count(*) c from t where is_baseline group by 1) bc on bc.bin = i) group by 1"""
+  left join (select {column}_bin bin, count(*) c from t where is_baseline group by 1) bc on bc.bin = i)) group by 1"""
 
 
 def _bin_sql(column: str) -> str:
@@ -483,7 +489,7 @@ def baseline_drift(spark, sf_dir) -> DataFrame:
     """All columns of the log against the baseline from one set of counts."""
     tagged = drifted(spark, sf_dir).withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
     out = D.baseline_drift(tagged.filter(~F.col(D.SIDE)), tagged.filter(D.SIDE), ["value", "user_id"], ["event_type"], ["day"], (), BINS)
-    return rounded(out.filter("metric <> 'js_distance'").select("day", "column", "metric", "value"), "value")
+    return rounded(out.select("day", "column", "metric", "value"), "value")
 
 
 @query("drift_windows_tv", f"""

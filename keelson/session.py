@@ -66,7 +66,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     For frames that several jobs read: they then see the same rows without computing
-    them again, and a lost executor loses nothing.
+    them again, and a lost executor loses nothing. The rows are written when this is called, also by functions that return a
+    frame, and stay until the session's JVM ends; :func:`staging` is for results that are consumed at once.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)

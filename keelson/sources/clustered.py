@@ -116,10 +116,10 @@ class ClusteredTable(KeyedTable):
         quoted = quote_name(*version.split("."))
         self.spark.sql(f"CREATE TABLE {quoted} ({columns}, {FILE} STRING) USING parquet PARTITIONED BY ({FILE}) LOCATION '{self._root(version)}'")
         for low in range(0, len(files), LISTED):
-            listed = " ".join(f"PARTITION ({FILE}='{f}') LOCATION '{self._folder(f)}'" for f in files[low:low + LISTED])
+            listed = " ".join(f"PARTITION ({FILE}='{f}') LOCATION '{self._path(f)}'" for f in files[low:low + LISTED])
             self.spark.sql(f"ALTER TABLE {quoted} ADD {listed}")
 
-    def _folder(self, file: str) -> str:
+    def _path(self, file: str) -> str:
         """Where a file lies follows from its name."""
         return f"{self._root(self.name + SEPARATOR + file.split('-', 1)[0])}/{FILE}={file}"
 
@@ -134,4 +134,4 @@ class ClusteredTable(KeyedTable):
         for version in versions:
             drop_table(self.spark, version)
         for file in sorted(gone - in_use):
-            delete_path(self.spark, self._folder(file))
+            delete_path(self.spark, self._path(file))

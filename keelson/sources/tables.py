@@ -17,6 +17,7 @@ KEY_PROPERTY = "primary_key"
 OWNER_PROPERTY = "keelson.table"
 PIN_PROPERTY = "keelson.pinned"
 PARTS_PROPERTY = "keelson.parts"
+PLACES_PROPERTY = "keelson.places"
 SEPARATOR = "__v"
 PART, NEWER = "_part", "_newer"
 
@@ -319,7 +320,7 @@ class KeyedTable(VersionedTable):
                 self._check(rows, keys)
             kept = {}
             if parts:
-                kept = {p: self._location(old, p) for p in range(parts) if p not in touched}
+                kept = {p: writer for p, writer in self._places(old).items() if p not in touched}
             self._write_version(upsert(base, rows, keys), version, parts, kept)
         self._publish(version, current.columns, keys, parts, self.description() or "")
 
@@ -335,7 +336,7 @@ class KeyedTable(VersionedTable):
         return df.withColumn(PART, F.pmod(F.hash(*[F.col(quote_name(k)) for k in keys]), F.lit(parts))) if parts else df
 
     def _write_version(self, df: DataFrame, version: str, parts: int | None, kept: Mapping[int, str]) -> None:
-        """Write the rows; ``kept`` names the folders of the partitions that are taken over."""
+        """Write the rows; ``kept`` names the versions that wrote the partitions that are taken over."""
         if not parts:
             df.write.mode("errorifexists").saveAsTable(version)
             return
@@ -344,9 +345,11 @@ class KeyedTable(VersionedTable):
         columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in df.schema)
         quoted = quote_name(*version.split("."))
         self.spark.sql(f"CREATE TABLE {quoted} ({columns}) USING parquet PARTITIONED BY ({PART}) LOCATION '{root}'")
-        places = {p: f"{root}/{PART}={p}" for p in range(parts)} | dict(kept)
-        listed = " ".join(f"PARTITION ({PART}={p}) LOCATION '{path}'" for p, path in places.items())
+        places = {p: version.rsplit(SEPARATOR, 1)[1] for p in range(parts)} | dict(kept)
+        listed = " ".join(f"PARTITION ({PART}={p}) LOCATION '{self._folder(p, writer)}'" for p, writer in places.items())
         self.spark.sql(f"ALTER TABLE {quoted} ADD {listed}")
+        stored = ",".join(f"{p}:{writer}" for p, writer in places.items())
+        self.spark.sql(f"ALTER TABLE {quoted} SET TBLPROPERTIES ('{PLACES_PROPERTY}'='{stored}')")
 
     def _publish(self, version: str, columns: Sequence[str], keys: Sequence[str], parts: int | None, description: str) -> None:
         properties = {KEY_PROPERTY: ",".join(keys)} | ({PARTS_PROPERTY: str(parts)} if parts else {})
@@ -357,10 +360,13 @@ class KeyedTable(VersionedTable):
         where = ".".join(database) or self.spark.catalog.currentDatabase()
         return f"{self.spark.catalog.getDatabase(where).locationUri.rstrip('/')}/{table}"
 
-    def _location(self, version: str, part: int) -> str:
-        quoted = quote_name(*version.split("."))
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted} PARTITION ({PART}={part})").collect()
-        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+    def _places(self, version: str) -> dict[int, str]:
+        """Which version wrote each partition, from one property of the version."""
+        stored = self._properties(version).get(PLACES_PROPERTY, "")
+        return {int(p): writer for p, writer in (x.split(":") for x in stored.split(",") if x)}
+
+    def _folder(self, part: int, writer: str) -> str:
+        return f"{self._root(self.name + SEPARATOR + writer)}/{PART}={part}"
 
     def _forget(self, version: str) -> None:
         """Drop a version that was never published, with its files."""
@@ -372,13 +378,8 @@ class KeyedTable(VersionedTable):
     def _drop_versions(self, versions: Sequence[str]) -> None:
         """Partitions of a dropped version go only if no version that stays names them."""
         stays = [v for v in self.versions() if v not in versions] if versions else []
-        in_use = {self._location(v, p) for v in stays for p in range(self._stored_parts(v))}
-        folders = [self._location(v, p) for v in versions for p in range(self._stored_parts(v))]
+        in_use = {place for v in stays for place in self._places(v).items()}
+        gone = {place for v in versions for place in self._places(v).items()}
         super()._drop_versions(versions)
-        for folder in sorted(set(folders) - in_use):
-            delete_path(self.spark, folder)
-
-    def _stored_parts(self, version: str) -> int:
-        if PART not in self.spark.table(version).columns:
-            return 0
-        return self.spark.sql(f"SHOW PARTITIONS {quote_name(*version.split('.'))}").count()
+        for part, writer in sorted(gone - in_use):
+            delete_path(self.spark, self._folder(part, writer))
