@@ -19,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 4096
-LANES = 768
+LANES = 512
 IDS = 1 << 16
 _U = np.uint64
 _ONES = _U(0x0001000100010001)

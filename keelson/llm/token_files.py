@@ -21,7 +21,7 @@ from keelson.session import scratch_path, shuffle_width, staged
 MAGIC = b"KEELTOK1"
 _BLOCK_HEAD = struct.Struct("<IIII")  # ids, payload bytes, crc32 of the payload, crc32 of the ids
 FILE_IDS, FILE_DOCS = 1 << 25, 1 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 250_000
 TEXTS = 500
 _RUN_OF_SPACES = re.compile(r"\s \s")
 
