@@ -18,10 +18,9 @@ from keelson.plans.derived import (
     model_versions,
     runs,
 )
-from keelson.plans.registry import flag, query, rounded, table
-from keelson.plans.table_queries import fresh_database, scratch_name
-from keelson.sources.model_tables import KEYS, open_table, scan_runs
-from keelson.sources.tables import KeyedTable
+from keelson.plans.registry import flag, query, table
+from keelson.plans.table_queries import fresh_database
+from keelson.sources.model_tables import open_table, scan_runs
 
 
 def _flat(df: DataFrame) -> DataFrame:
