@@ -4,7 +4,6 @@ import hashlib
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from keelson.llm import cross_tokens
 from keelson.llm.cross_tokens import Words, align_tokenizers, piece_bpe, tokenizer_pair, tokenizer_spans
