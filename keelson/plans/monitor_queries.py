@@ -612,14 +612,14 @@ def stream_upsert_late(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     versions = orders.select("o_orderkey", "o_totalprice", F.explode(F.sequence(F.lit(1), F.when(F.col("o_orderkey") % 4 == 0, 2).otherwise(3))).alias("version"))
     rows = versions.select("o_orderkey", F.col("version").cast("bigint").alias("version"), F.round(F.col("o_totalprice") + F.col("version"), 2).alias("price"))
-    folder, schema = scratch_path(spark, "arriving"), rows.schema
-    for i in range(3):
-        due = F.when(F.col("o_orderkey") % 5 == 0, 0).otherwise((F.col("o_orderkey") + F.col("version")) % 3)  # a fifth all at once
-        rows.filter(due == i).coalesce(1).write.mode("append").parquet(folder)
+    folder, state, schema = scratch_path(spark, "arriving"), scratch_path(spark, "stream-state"), rows.schema
     store = KeyedTable(spark, scratch_name(spark, "late_features"), parts=8)
     store.create(schema, ["o_orderkey"]).merge(rows.filter("version = 1 AND o_orderkey % 3 = 0"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    jobs.stream_upsert(stream, store, lambda batch: batch, order=["version"]).awaitTermination()
+    for i in range(3):
+        due = F.when(F.col("o_orderkey") % 5 == 0, 0).otherwise((F.col("o_orderkey") + F.col("version")) % 3)  # a fifth all at once
+        rows.filter(due == i).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        jobs.stream_upsert(stream, store, lambda batch: batch, order=["version"], checkpoint=state).awaitTermination()
     return store.read()
 
 

@@ -19,7 +19,8 @@ PIN_PROPERTY = "keelson.pinned"
 PARTS_PROPERTY = "keelson.parts"
 PLACES_PROPERTY = "keelson.places"
 SEPARATOR = "__v"
-PART, NEWER = "_part", "_newer"
+PART, NEWER, SLICE = "_part", "_newer", "_slice"
+TASK_ROWS = 250_000  # rows of a merge that one task sorts
 
 
 # --- scans --------------------------------------------------------------------
@@ -312,18 +313,38 @@ class KeyedTable(VersionedTable):
                 if not touched:
                     return
                 base = base.where(F.col(PART).isin(touched))
-            if on_duplicate == "latest":
-                stored = base.join(rows.select(*keys).distinct(), keys, "left_semi")
-                both = stored.withColumn(NEWER, F.lit(0)).unionByName(rows.withColumn(NEWER, F.lit(1)))
-                rows = latest_per_key(both, keys, [*order, NEWER]).drop(NEWER)
-            else:
-                self._check(rows, keys)
             kept = {}
             if parts:
                 kept = {p: writer for p, writer in self._places(old).items() if p not in touched}
-            self._write_version(upsert(base, rows, keys), version, parts, kept)
+            if on_duplicate == "latest":
+                merged = self._latest(base, rows, keys, order, parts)
+            else:
+                self._check(rows, keys)
+                merged = upsert(base, rows, keys)
+            self._write_version(merged, version, parts, kept)
         self._publish(version, current.columns, keys, parts, self.description() or "")
 
+    @staticmethod
+    def _latest(base: DataFrame, updates: DataFrame, keys: list[str], order: Sequence[str], parts: int | None) -> DataFrame:
+        """The greatest row of every key out of the table and the update; rows of the table without a key stay as they are.
+
+        The number of tasks grows with the rows, so what one of them sorts does not. Rows of a key that comes often are
+        combined by slices of their order first. It is a multiple of ``parts``, so that a task writes into one partition.
+        """
+        tasks = -(-(base.count() + updates.count()) // TASK_ROWS)
+        tasks = max(1, -(-tasks // (parts or 1))) * (parts or 1)
+        names = [quote_name(k) for k in keys]
+        keyed = F.lit(True)
+        for name in names:
+            keyed = keyed & F.col(name).isNotNull()
+        updates = updates.withColumn(NEWER, F.lit(1))
+        if order:
+            sliced = updates.withColumn(SLICE, F.pmod(F.xxhash64(*[F.to_json(F.struct(quote_name(c))) for c in order]), F.lit(tasks)))
+            updates = latest_per_key(sliced.repartition(tasks, *names, SLICE), [*keys, SLICE], [*order, NEWER]).drop(SLICE)
+        both = base.where(keyed).withColumn(NEWER, F.lit(0)).unionByName(updates)
+        latest = latest_per_key(both.repartition(tasks, *names), keys, [*order, NEWER]).drop(NEWER)
+        return latest.unionByName(base.where(~keyed)) if any(f.nullable for f in base.schema if f.name in keys) else latest
+
     def _check(self, updates: DataFrame, keys: list[str], version: str | None = None) -> None:
         broken = key_violations(updates, keys).take(1)
         if broken:

@@ -115,6 +115,21 @@ def test_latest_compares_with_the_stored_row(spark, database):
     assert rows(store.read()) == [(1, 9, "new"), (2, 1, "again"), (3, 1, "y")]
 
 
+@pytest.mark.parametrize("parts", [None, 4])
+def test_tasks_of_a_latest_merge_grow_with_its_rows(spark, database, monkeypatch, parts):
+    """No task takes more than its share, a key that comes often included, and rows without a key stay apart."""
+    monkeypatch.setattr(S, "TASK_ROWS", 200, raising=False)
+    table = S.KeyedTable(spark, f"{database}.grown_{parts or 0}", parts)
+    table.create(spark.createDataFrame([], "id long, at int, v string").schema, ["id"])
+    rows = spark.range(2000).selectExpr("if(id < 500, 7, id) id", "cast(id as int) at", "concat('a', id) v")
+    for _ in range(2):
+        table.merge(rows.unionByName(spark.sql("SELECT cast(null as long) id, 1 at, 'n' v")), "latest", ["at"])
+    got = sorted(((r.id, r.at, r.v) for r in table.read().collect()), key=str)
+    assert got == sorted([(7, 499, "a499"), *((i, i, f"a{i}") for i in range(500, 2000)), (None, 1, "n"), (None, 1, "n")], key=str)
+    files = spark.table(table.current_version()).groupBy("_metadata.file_path").count()
+    assert files.agg(F.max("count")).first()[0] <= 400
+
+
 def test_first_load_that_breaks_the_key_leaves_nothing(spark, database):
     for parts in (None, 4):
         store = keyed(spark, f"{database}.first_{parts}", parts)
