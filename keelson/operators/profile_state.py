@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators.monitor import PROFILE_COLUMNS, QUANTILES, long_values, sliced, windowed, with_window_end
-from keelson.session import staged
+from keelson.session import shuffle_width, staged
 
 CELL = "5 minutes"
 KLL_K, HLL_LG_K = 200, 12
 RANK_ERROR, DISTINCT_ERROR = 0.03, 0.08  # five standard errors of sketches of these sizes
+TASK_ROWS = 500_000  # rows that one task checks against a profile
 STATE = ["n", "n_null", "n_zero", "min", "max", "mean", "m2", "ranks", "values"]
 
 
@@ -112,17 +113,27 @@ def within_bounds(
 
     A quantile is right if its rank among the group's values is within ``rank_error``, a number of distinct values if
     it is within one or ``distinct_error`` of the true one.
+
+    Equal values of a group are counted first, in as many tasks as the profile's own counts of rows ask for; a group
+    is cut by its values into slices, and only sums of slices meet in one place. The profile is read when this is called.
     """
     df, keys = windowed(df, ts, window, model)
     if slices is not None:
         df = sliced(df, slices)
         keys.append("slice")
     long, keys = long_values(df, columns, keys)
-    marks = [F.col(q).alias(f"_{q}") for q in QUANTILES]
-    held = long.join(profiled.select(*keys, *marks), keys).groupBy(*keys).agg(
-        F.count("value").alias("_n"), F.countDistinct("value").alias("_distinct"),
-        *[F.count_if(F.col("value") < F.col(f"_{q}")).alias(f"_{q}_below") for q in QUANTILES],
-        *[F.count_if(F.col("value") <= F.col(f"_{q}")).alias(f"_{q}_upto") for q in QUANTILES],
+    size = profiled.agg(F.max("n").alias("top"), F.sum("n").alias("all")).first()
+    tasks = max(shuffle_width(df.sparkSession), -(-(size["all"] or 0) // TASK_ROWS))
+    cuts = min(tasks, max(1, -(-(size["top"] or 0) // (TASK_ROWS // 10))))
+    value = F.col("value") + F.lit(0.0)  # one zero
+    counted = long.where("value IS NOT NULL").withColumn("_cut", F.pmod(F.xxhash64(value), F.lit(cuts)))
+    counted = counted.repartition(tasks, *keys, "_cut").groupBy(*keys, "_cut", "value").agg(F.count(F.lit(1)).alias("_rows"))
+    marks = profiled.select(*keys, *[F.col(q).alias(f"_{q}") for q in QUANTILES])
+    marks = marks.withColumn("_cut", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cuts - 1).cast("long"))))
+    held = counted.join(marks, [*keys, "_cut"]).groupBy(*keys).agg(
+        F.sum("_rows").alias("_n"), F.count(F.lit(1)).alias("_distinct"),
+        *[F.sum(F.when(F.col("value") < F.col(f"_{q}"), F.col("_rows")).otherwise(0)).alias(f"_{q}_below") for q in QUANTILES],
+        *[F.sum(F.when(F.col("value") <= F.col(f"_{q}"), F.col("_rows")).otherwise(0)).alias(f"_{q}_upto") for q in QUANTILES],
     )
     both = profiled.join(held, keys, "left")
     empty = F.coalesce(F.col("_n"), F.lit(0)) == 0

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 import statistics
 
 import pytest
@@ -73,3 +74,22 @@ def test_odd_cells(spark):
     assert P.profile_windows(frame.limit(0), ["value"], "ts", ["1 hour", "1 day"]).count() == 0
     with pytest.raises(ValueError, match="multiple"):
         P.roll_up(P.profile_cells(frame, ["value"], "ts", "7 minutes"), "1 hour", "7 minutes")
+
+
+def test_a_large_group_is_checked_by_many_tasks(spark, monkeypatch):
+    """Values of one day are counted by slices of them; both zeros are one value."""
+    monkeypatch.setattr(P, "TASK_ROWS", 100, raising=False)
+    value = "case when id % 11 = 0 then null when id % 7 = 0 then 0d when id % 7 = 1 then -0d else (id * 7919) % 300 end value"
+    frame = spark.range(2000).selectExpr("timestamp_seconds(1704067200 + id) ts", value)
+    profiled = P.profile_windows(frame, ["value"], "ts", ["1 day"])
+    held = P.within_bounds(profiled, frame, ["value"], "ts", "1 day")
+    assert held.where("p25_ok AND p50_ok AND p75_ok AND n_distinct_ok").count() == held.count() == 1
+    near = frame.select(F.countDistinct("value").alias("d")).first().d
+    for shown, ok in ((near, True), (near * 1.08 + 1.5, False), (near * 0.92 - 1.5, False)):
+        asked = profiled.withColumn("n_distinct", F.lit(shown))
+        assert P.within_bounds(asked, frame, ["value"], "ts", "1 day").first().n_distinct_ok is ok
+    for p25, ok in ((-1.0, False), (0.0, True), (300.0, False)):
+        assert P.within_bounds(profiled.withColumn("p25", F.lit(p25)), frame, ["value"], "ts", "1 day").first().p25_ok is ok
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    found = [int(n) for n in re.findall(r"hashpartitioning\([^)]*_cut[^)]*, (\d+)\)", plan)]
+    assert found and min(found) >= 20
