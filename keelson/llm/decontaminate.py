@@ -176,7 +176,7 @@ def search(index: Index, points: np.ndarray, at: np.ndarray) -> list[list[tuple[
         t, i = int(cells[j]) // span // len(index.ids), int(item[j])
         low = (int(cells[j]) % span + first) * CELL
         stop = start[j] + total[j]
-        offsets = np.sort(place[order[start[j]:stop]])
+        offsets = np.unique(place[order[start[j]:stop]])  # an edit spoils places of the item, however often the text repeats one
         most, least = index.budget[i]
         doc, size = points[at[t]:at[t + 1]], index.sizes[i]
         # The q-grams in a window change only where one enters or leaves, so the starts that reach the bound are few runs.

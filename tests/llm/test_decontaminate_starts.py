@@ -60,3 +60,17 @@ def test_skipping_equals_testing_every_start_on_the_given_table(monkeypatch, sma
     every = time.process_time()
     assert found(items, texts) == fast and any(fast)
     assert took < time.process_time() - every
+
+
+def test_a_repeated_phrase_reaches_no_alignment(monkeypatch):
+    """A text that repeats a few q-grams of an item pairs them often, which says nothing about the other places of the item."""
+    rng, called = np.random.default_rng(5), []
+    monkeypatch.setattr(decontaminate, "distance", lambda *x, real=decontaminate.distance: called.append(1) or real(*x))
+    other = ["".join(rng.choice(list("bcdfghjk "), 70)) for _ in range(2)]
+    item, text = other[0] + "ababab abababab" + other[1], "ab" * 300
+    raw = np.frombuffer(text.encode(), dtype=np.uint8)
+    points, at, _ = folded(raw, np.array([0, len(raw)]))
+    assert search(Index([(1, item)], 100, 0.08), points, at) == [[]] and not called
+    raw = np.frombuffer((text + item + text).encode(), dtype=np.uint8)
+    points, at, _ = folded(raw, np.array([0, len(raw)]))
+    assert [x[0] for x in search(Index([(1, item)], 100, 0.08), points, at)[0]] == [1] and called
