@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import io
+import struct
 import uuid
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +21,13 @@ from keelson.session import scratch_path, staged
 CONTEXT = 3
 BURN_IN, SAMPLES, INNER = 2, 3, 4
 CHUNK_BYTES = 16 << 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES, MANY_BLOCKS = 128 << 20, 16
 EXACT = 64
 SYMBOLS = 257  # bytes, then the start of a word as context or its end as dish
 EDGE = 256
-END = ""  # the end of a document as a word
+# What a row of a block is, unless its code is an event: sums over words, the files of a block, messages between blocks.
+TABLES, CUSTOMERS, ONCE, TWICE, STATE, PAIRS, KNOWN, MESSAGE, SINGLES, REPLY = range(-1, -11, -1)
+ROWS = "block long, code long, n long, p double, source long, data binary"
 
 
 def stirling(n: int, discount: float) -> np.ndarray:
@@ -153,10 +156,9 @@ def root(customers: np.ndarray, discount: float, theta: float, random, sweeps: i
 
 @dataclass(frozen=True)
 class Restaurant:
-    """The restaurant of words: ``customers`` are training tokens, ``words`` the distinct ones among them."""
+    """The restaurant of words: ``customers`` are training tokens, or the tables of the restaurants of previous words."""
 
     customers: int
-    words: int
     tables: int
     discount: float
     theta: float = 1.0
@@ -186,73 +188,223 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max(initial=0))))
 
 
-def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Flat arrays as the value of one row; those of 64 unsigned bits are sorted and kept as planes of their gaps."""
+    heads, parts = [bytes([len(arrays)])], []
+    for x in arrays:
+        heads.append(struct.pack("<2sQ", x.dtype.str[1:].encode(), len(x)))
+        gaps = x.dtype == np.uint64
+        parts.append(np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes() if gaps else x.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(heads + parts))
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    raw, out = zstandard.ZstdDecompressor().decompress(data), []
+    at = 1 + 10 * raw[0]
+    for i in range(raw[0]):
+        kind, size = struct.unpack_from("<2sQ", raw, 1 + 10 * i)
+        x = np.frombuffer(raw, kind.decode(), size, at)
+        at += x.nbytes
+        if x.dtype == np.uint64:
+            x = np.cumsum(np.frombuffer(x.tobytes(), np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel(), dtype=np.uint64)
+        out.append(x)
+    return out
+
+
+def _rows(block: int | list[int], code, n=None, p=None, source=None, data=None) -> pa.Table:
+    blocks = block if isinstance(block, list) else [block] * len(code)
+    columns = {"block": (blocks, pa.int64()), "code": (code, pa.int64()), "n": (n, pa.int64()), "p": (p, pa.float64()),
+               "source": (source, pa.int64()), "data": (data, pa.binary())}
+    return pa.table({k: pa.nulls(len(code), t) if x is None else pa.array(x, t) for k, (x, t) in columns.items()})
+
+
+def _of(table: pa.Table, code: int) -> tuple[list[int], list[bytes]]:
+    """Sources and values of the rows of one kind, in the order of their sources."""
+    own = table.filter(pc.equal(table["code"], code)).sort_by("source")
+    return own["source"].to_pylist(), own["data"].to_pylist()
+
+
+def _files(table: pa.Table, code: int) -> list[str]:
+    return _of(table, code)[1][0].decode().split(" ")
+
+
+def _ranges(sorted_hashes: np.ndarray, width: int) -> np.ndarray:
+    """Where each of ``width`` equal ranges of 64-bit values begins in a sorted array, and its end."""
+    own = (sorted_hashes >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)
+    return np.searchsorted(own, np.arange(width + 1, dtype=np.uint64))
+
 
+def _local_bits(width: int) -> int:
+    """Ids of words have 32 bits: their block, and below it their place in the block."""
+    return 32 - (width - 1).bit_length()
 
-def _chunks(docs: DataFrame, folder: str) -> DataFrame:
-    """(chunk, place, word, n): the distinct words of every chunk of documents and how often its training documents have them.
 
-    The chunk itself, its documents as places in that list, is a file. A row of place -1 stands for the ends of documents.
+def _unmixed(y: np.ndarray) -> np.ndarray:
+    """The values that :func:`textops.mix` scrambled."""
+    y = (y ^ (y >> np.uint64(31)) ^ (y >> np.uint64(62))) * np.uint64(pow(0x94D049BB133111EB, -1, 2**64))
+    y = (y ^ (y >> np.uint64(27)) ^ (y >> np.uint64(54))) * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 2**64))
+    return y ^ (y >> np.uint64(30)) ^ (y >> np.uint64(60))
+
+
+def _chunks(docs: DataFrame, folder: str, width: int) -> DataFrame:
+    """(block, source, data): the distinct words of every chunk of documents that a block of words holds, and how often the
+    chunk's training documents have them.
+
+    The chunk itself, its documents as places in the list of its words by hash, is a file. Place 0 is the end of a document,
+    the empty word.
     """
-    schema = pa.schema([("chunk", pa.int64()), ("place", pa.int32()), ("word", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in textops.released(batches):
             ids, held = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for low, high, data, offsets in textops.text_runs(batch.column(2), CHUNK_BYTES):
-                hashes, spans, size = [], [], []
+                hashes, spans, size = [np.zeros(1, dtype=np.uint64)], [np.zeros((2, 1), dtype=np.int64)], []
                 for a, _, part, at in textops.text_runs(batch.column(2).slice(low, high - low)):
                     starts, ends, first = textops.word_spans(part, at)
                     hashes.append(textops.word_hashes(part, starts, ends))
                     spans.append(np.stack((starts, ends)) + offsets[a])
                     size.append(np.diff(first))
                 size, spans = np.concatenate(size), np.concatenate(spans, axis=1)
-                _, sample, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-                n = np.bincount(place, weights=np.repeat(~held[low:high], size), minlength=len(sample)).astype(np.int64)
-                raw = textops._LOWER[data].tobytes()
-                words = [raw[a:z].decode() for a, z in spans[:, sample].T.tolist()]
+                names, sample, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+                place, learned = place[1:], ~held[low:high]
+                n = np.bincount(place, weights=np.repeat(learned, size), minlength=len(sample)).astype(np.int64)
+                n[0] += learned.sum()
+                raw, own = textops._LOWER[data].tobytes(), spans[:, sample]
+                words = [raw[a:z] for a, z in own.T.tolist()]
                 name = uuid.uuid4().int >> 66
-                own = ids.slice(low, high - low)
+                key = ids.slice(low, high - low)
                 _save(f"{folder}/{name:x}.chunk", place=_small(place), size=_small(size), held=held[low:high],
-                      ids=own.fill_null(0).to_numpy(zero_copy_only=False), known=own.is_valid().to_numpy(zero_copy_only=False))
-                rows = len(words) + 1
-                yield _batch(schema, np.full(rows, name), np.arange(-1, rows - 1), [END, *words], np.append((~held[low:high]).sum(), n))
-
-    return docs.mapInArrow(run, "chunk long, place int, word string, n long")
-
-
-def _blocks(words: DataFrame, folder: str, context: int) -> DataFrame:
-    """(block, code, n): words and their customers go to files; the rows are the spelling events of a block's words, with a
-    customer per table, of which every seen word has one at first. Rows below 0 are sums: -1 tables, -2 customers, -3 and -4
-    words seen once and twice."""
-    schema = pa.schema([("block", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
-
-    def write(table: pa.Table) -> pa.RecordBatch:
-        (_, _, data, offsets), = textops.text_runs(table.column(0), 1 << 62)
-        c = table.column(1).to_numpy()
-        block, state = (f"{folder}/{uuid.uuid4().hex}.{kind}" for kind in ("words", "state"))
-        _save(block, data=data, offsets=offsets, customers=c)
-        tables = np.minimum(c, 1)
-        _save(state, tables=tables, sum=np.full(len(c), -np.inf))
-        code, first = events(data, offsets, context)
-        names, place = np.unique(code, return_inverse=True)
-        n = np.bincount(place, weights=np.repeat(tables, np.diff(first)), minlength=len(names)).astype(np.int64)
-        sums = [tables.sum(), c.sum(), (c == 1).sum(), (c == 2).sum()]
-        return _batch(schema, [f"{block} {state}"] * (len(names) + 4), np.concatenate((names, [-1, -2, -3, -4])), np.concatenate((n, sums)))
+                      ids=key.fill_null(0).to_numpy(zero_copy_only=False), known=key.is_valid().to_numpy(zero_copy_only=False))
+                cuts = _ranges(names, width).tolist()
+                full = [b for b in range(width) if cuts[b] < cuts[b + 1]]
+                parts = [_pack(np.frombuffer(b"".join(words[a:z]), np.uint8), _small(own[1, a:z] - own[0, a:z]), _small(n[a:z]))
+                         for a, z in ((cuts[b], cuts[b + 1]) for b in full)]
+                yield from _rows(full, [MESSAGE] * len(full), source=[name] * len(full), data=parts).to_batches()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in textops.released(batches):
-            held.append(batch)
-            size += batch.column(0).nbytes
-            if size >= BLOCK_BYTES:
-                yield write(pa.Table.from_batches(held).combine_chunks())
-                held, size = [], 0
-        if size:
-            yield write(pa.Table.from_batches(held).combine_chunks())
+    return docs.mapInArrow(run, ROWS)
+
+
+def _blocks(words: DataFrame, folder: str, width: int) -> DataFrame:
+    """Gather the words of every block, which go to a file with their training tokens, in order of the alphabet.
 
-    return words.sortWithinPartitions("word").mapInArrow(run, "block string, code long, n long")
+    Rows: the files of the block, the tokens (``CUSTOMERS``) and the distinct words among them (``TABLES``), and to every chunk
+    the places of its words in the block.
+    """
+    most = 1 << _local_bits(width)
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        chunks, parts = _of(table, MESSAGE)
+        data, size, n = (np.concatenate(x) for x in zip(*map(_unpack, parts)))
+        offsets = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+        coded = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        order = pc.array_sort_indices(coded.dictionary)
+        if len(order) > most:
+            raise ValueError("a block has more words than their ids can tell apart")
+        rank = np.empty(len(order), dtype=np.uint32)
+        rank[order.to_numpy()] = np.arange(len(order))
+        local = rank[coded.indices.to_numpy()]
+        (_, _, data, offsets), = textops.text_runs(coded.dictionary.take(order), 1 << 62)
+        n = np.bincount(local, weights=n, minlength=len(order)).astype(np.int64)
+        words, state = (files.new_file(folder, suffix) for suffix in (".words", ".state"))
+        _save(words, data=data, offsets=offsets, n=n)
+        zeros = np.zeros(len(n), dtype=np.int64)
+        _save(state, customers=n, tables=zeros, taken=zeros, fixed=zeros, fixed_taken=zeros, spelled=zeros)
+        ends = np.cumsum([len(_unpack(x)[1]) for x in parts]).tolist()
+        replies = [_pack(local[a:z]) for a, z in zip([0, *ends], ends)]
+        return pa.concat_tables([
+            _rows(block, [STATE], data=[f"{words} {state}".encode()]), _rows(block, [CUSTOMERS, TABLES], n=[n.sum(), (n > 0).sum()]),
+            _rows(block, [REPLY] * len(chunks), source=chunks, data=replies)])
+
+    return words.groupBy("block").applyInArrow(run, ROWS)
+
+
+def _pairs_of(chunk: dict[str, np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of neighbours of a chunk as sorted scrambled pairs of ids, the places of both words of each, and the
+    pair of every token. The word before a document is the end of another."""
+    size = chunk["size"].astype(np.int64) + 1
+    place = _places(chunk)
+    before = np.concatenate(([0], place[:-1]))
+    wide = ids.astype(np.uint64)
+    keys, sample, at = np.unique(textops.mix(wide[before] << np.uint64(32) | wide[place]), return_index=True, return_inverse=True)
+    return keys, before[sample], place[sample], at
+
+
+def _places(chunk: dict[str, np.ndarray]) -> np.ndarray:
+    """The place of every token of a chunk, ends of documents among them."""
+    size = chunk["size"].astype(np.int64) + 1
+    out = np.zeros(size.sum(), dtype=np.int64)
+    inside = np.ones(len(out), dtype=bool)
+    inside[np.cumsum(size) - 1] = False
+    out[inside] = chunk["place"]
+    return out
+
+
+def _chunk_pairs(replies: DataFrame, folder: str, bits: int, width: int) -> DataFrame:
+    """(block, source, data): the distinct pairs of neighbours of every chunk that a block of pairs holds, and how often the chunk's
+    training documents have them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        name = table["source"][0].as_py()
+        table = table.sort_by("block")
+        ids = np.concatenate([np.uint32(b << bits) | _unpack(x)[0] for b, x in zip(table["block"].to_pylist(), table["data"].to_pylist())])
+        chunk = _load(f"{folder}/{name:x}.chunk")
+        keys, _, _, at = _pairs_of(chunk, ids)
+        learned = np.repeat(~chunk["held"], chunk["size"].astype(np.int64) + 1)
+        n = np.bincount(at, weights=learned, minlength=len(keys)).astype(np.int64)
+        cuts = _ranges(keys, width).tolist()
+        full = [b for b in range(width) if cuts[b] < cuts[b + 1]]
+        parts = [_pack(keys[cuts[b]:cuts[b + 1]], _small(n[cuts[b]:cuts[b + 1]])) for b in full]
+        return _rows(full, [MESSAGE] * len(full), source=[name] * len(full), data=parts)
+
+    return replies.groupBy("source").applyInArrow(run, ROWS)
+
+
+def _messages(block: int, code: int, bits: int, dish: np.ndarray, dish_n: np.ndarray, context: np.ndarray, context_n: np.ndarray) -> pa.Table:
+    """To every block of words the tables of a block of pairs: by word, as customers, and by previous word. Ids are sorted."""
+    to = np.union1d(dish >> np.uint64(bits), context >> np.uint64(bits))
+    low, parts = np.uint64((1 << bits) - 1), []
+    starts = [(np.searchsorted(x, to << np.uint64(bits)), np.searchsorted(x, (to + np.uint64(1)) << np.uint64(bits))) for x in (dish, context)]
+    for (a, z), (b, y) in zip(zip(*starts[0]), zip(*starts[1])):
+        parts.append(_pack(dish[a:z] & low, _small(dish_n[a:z]), context[b:y] & low, _small(context_n[b:y])))
+    return _rows(to.astype(np.int64).tolist(), [code] * len(to), source=[block] * len(to), data=parts)
+
+
+def _counted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(x, return_counts=True)
+
+
+def _pair_blocks(pairs: DataFrame, folder: str, bits: int) -> DataFrame:
+    """Count the pairs of every block. Those that occur once have one table for good; the others go to a file, with a table each.
+
+    Rows: the files of the block, the pairs seen once and twice, and messages to the blocks of words: ``SINGLES`` for the tables
+    that stay, ``MESSAGE`` for the others.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        chunks, parts = _of(table, MESSAGE)
+        parts = [_unpack(x) for x in parts]
+        keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        c = np.bincount(at, weights=np.concatenate([n for _, n in parts]), minlength=len(keys)).astype(np.int64)
+        again = np.flatnonzero(c > 1)
+        rank = np.cumsum(c > 1) - 1
+        low = np.minimum(c, 2).astype(np.uint8)[at]
+        pair = _unmixed(keys[again])
+        context, context_at = np.unique(pair >> np.uint64(32), return_inverse=True)
+        dish, dish_at = np.unique(pair & np.uint64(0xFFFFFFFF), return_inverse=True)
+        entries, fixed, state = (files.new_file(folder, suffix) for suffix in (".entries", ".pairs", ".state"))
+        _save(entries, chunks=np.array(chunks), size=np.array([len(k) for k, _ in parts]), low=low, which=rank[at[low == 2]].astype(np.uint32))
+        _save(fixed, customers=c[again], context=context, context_at=context_at, dish=dish, dish_at=dish_at)
+        ones = np.ones(len(again), dtype=np.int64)
+        _save(state, tables=ones, sum=np.zeros(len(again), dtype=np.int64))
+        single = _unmixed(keys[c == 1])
+        return pa.concat_tables([
+            _rows(block, [PAIRS], data=[f"{entries} {fixed} {state}".encode()]), _rows(block, [ONCE, TWICE], n=[(c == 1).sum(), (c == 2).sum()]),
+            _messages(block, SINGLES, bits, *_counted(single & np.uint64(0xFFFFFFFF)), *_counted(single >> np.uint64(32))),
+            _messages(block, MESSAGE, bits, dish, np.bincount(dish_at, minlength=len(dish)), context, np.bincount(context_at, minlength=len(context)))])
+
+    return pairs.groupBy("block").applyInArrow(run, ROWS)
 
 
 def _spelled(rows: DataFrame, base: np.ndarray, context: int, discount: float, theta: float, sweep: int) -> DataFrame:
@@ -272,49 +424,177 @@ def _spelled(rows: DataFrame, base: np.ndarray, context: int, discount: float, t
     return leaves.groupBy(last).applyInArrow(run, "code long, p double")
 
 
-def _seated(rows: DataFrame, room: Restaurant, context: int, folder: str, sweep: int, sample: bool) -> DataFrame:
-    """A sweep over the words, from (block, code, p): adds their predictive probability if this state is a sample, then draws
-    the tables of every word. Returns new rows (block, code, n) as :func:`_blocks` does."""
+def _summed(table: pa.Table, code: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The customers and, as previous words, the tables that the blocks of pairs count for the words of a block."""
+    parts = [_unpack(x) for x in _of(table, code)[1]]
+    out = []
+    for i in (0, 2):
+        ids, n = (np.concatenate([p[i + j] for p in parts] or [np.zeros(0, dtype=np.int64)]) for j in (0, 1))
+        out.append(np.bincount(ids.astype(np.int64), weights=n, minlength=size).astype(np.int64))
+    return out[0], out[1]
+
+
+def _seated(rows: DataFrame, room: Restaurant | None, context: int, folder: str, sweep: int, pairs: bool) -> DataFrame:
+    """Draw the tables of every word, from the files of its block and, with ``pairs``, its customers by messages of the blocks of
+    pairs. Without ``room`` every word gets its first table.
+
+    Returns the new files, sums, and the spelling events of the block's words, with a customer per table.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        block, state = table["block"][0].as_py().split(" ")
-        words, old = _load(block), _load(state)
-        customers, tables, total = words["customers"], old["tables"], old["sum"]
+        block = table["block"][0].as_py()
+        path, *old = _files(table, STATE)
+        words, state = _load(path), _load(old[0])
+        if pairs:
+            if room is None:
+                state["fixed"], state["fixed_taken"] = _summed(table, SINGLES, len(words["n"]))
+            customers, taken = _summed(table, MESSAGE, len(words["n"]))
+            state["customers"], state["taken"] = customers + state["fixed"], taken + state["fixed_taken"]
+        customers = state["customers"]
+        tables = np.clip(state["tables"], np.minimum(customers, 1), customers)
+        if room is not None:
+            random = np.random.Generator(np.random.PCG64([sweep, block]))
+            tables = draw_tables(customers, np.maximum(room.tables - tables, 0), state["spelled"], room.discount, room.theta, random)
+        state["tables"] = tables
+        new = files.new_file(folder, ".state")
+        _save(new, **state)
         code, first = events(words["data"], words["offsets"], context)
-        order = np.argsort(table["code"].to_numpy())
-        names = table["code"].to_numpy()[order]
-        place = np.searchsorted(names, code)
-        spelled = np.add.reduceat(table["p"].to_numpy()[order][place], first[:-1])
+        names, place = np.unique(code, return_inverse=True)
+        n = np.bincount(place, weights=np.repeat(tables, np.diff(first)), minlength=len(names)).astype(np.int64)
+        sums = [tables.sum(), customers.sum(), (customers == 1).sum(), (customers == 2).sum()]
+        return pa.concat_tables([_rows(block, [STATE], data=[" ".join((path, new, *old[1:])).encode()]),
+                                 _rows(block, [TABLES, CUSTOMERS, ONCE, TWICE], n=sums), _rows(block, names, n=n)])
+
+    return rows.groupBy("block").applyInArrow(run, ROWS)
+
+
+def _told(rows: DataFrame, room: Restaurant, context: int, folder: str, sample: bool) -> DataFrame:
+    """The predictive law of the words from their files and the spelled events (code, p), kept if this state is a sample.
+
+    Every message of a block of pairs is answered by the log probability of its words and the tables of its previous words.
+    ``KNOWN`` rows sum the probability of the words seen.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        path, old, *samples = _files(table, STATE)
+        words, state = _load(path), _load(old)
+        back = table.filter(pc.greater_equal(table["code"], 0))
+        order = np.argsort(back["code"].to_numpy())
+        code, first = events(words["data"], words["offsets"], context)
+        place = np.searchsorted(back["code"].to_numpy()[order], code)
+        state["spelled"] = np.add.reduceat(back["p"].to_numpy()[order][place], first[:-1])
+        log_p = room.predictive(state["customers"], state["tables"], state["spelled"])
         if sample:
-            total = np.logaddexp(total, room.predictive(customers, tables, spelled))
-        random = np.random.Generator(np.random.PCG64([sweep, zlib.crc32(words["data"].tobytes())]))
-        tables = draw_tables(customers, room.tables - tables, spelled, room.discount, room.theta, random)
-        new = f"{folder}/{uuid.uuid4().hex}.state"
+            samples.append(files.new_file(folder, ".sample"))
+            _save(samples[-1], log_p=log_p.astype(np.float32), taken=_small(state["taken"]))
+        new = files.new_file(folder, ".state")
+        _save(new, **state)
+        sources, asked = _of(table, MESSAGE)
+        answers = []
+        for x in asked:
+            dish, _, before, _ = _unpack(x)
+            answers.append(_pack(log_p[dish.astype(np.int64)], _small(state["taken"][before.astype(np.int64)])))
+        return pa.concat_tables([
+            _rows(block, [STATE], data=[" ".join((path, new, *samples)).encode()]), _rows(block, [KNOWN], p=[np.exp(log_p[words["n"] > 0]).sum()]),
+            _rows(block, [MESSAGE] * len(sources), source=sources, data=answers)])
+
+    return rows.groupBy("block").applyInArrow(run, ROWS)
+
+
+def _drawn(rows: DataFrame, discount: float, theta: float, folder: str, bits: int, sweep: int, sample: bool) -> DataFrame:
+    """Draw the tables of the pairs that occur more than once, from the files of their block and the answers of the blocks of words.
+    Returns the new files and messages as :func:`_pair_blocks` does."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        entries, path, old = _files(table, PAIRS)
+        pairs, state = _load(path), _load(old)
+        tables, total = state["tables"], state["sum"]
+        if sample:
+            total = total + tables
+        answers = [_unpack(x) for x in _of(table, MESSAGE)[1]]
+        if answers:
+            log_p, taken = (np.concatenate(x) for x in zip(*answers))
+            others = np.maximum(taken.astype(np.int64)[pairs["context_at"]] - tables, 0)
+            random = np.random.Generator(np.random.PCG64([sweep, block, 2]))
+            tables = draw_tables(pairs["customers"], others, log_p[pairs["dish_at"]], discount, theta, random)
+        new = files.new_file(folder, ".state")
         _save(new, tables=tables, sum=total)
-        n = np.bincount(place, weights=np.repeat(tables, np.diff(first)), minlength=len(names)).astype(np.int64)
-        return pa.table({"block": [f"{block} {new}"] * (len(names) + 1), "code": np.append(names, -1), "n": np.append(n, tables.sum())})
+        dish_n, context_n = (np.bincount(pairs[f"{x}_at"], weights=tables, minlength=len(pairs[x])).astype(np.int64) for x in ("dish", "context"))
+        return pa.concat_tables([_rows(block, [PAIRS], data=[f"{entries} {path} {new}".encode()]),
+                                 _messages(block, MESSAGE, bits, pairs["dish"], dish_n, pairs["context"], context_n)])
+
+    return rows.groupBy("block").applyInArrow(run, ROWS)
 
-    return rows.groupBy("block").applyInArrow(run, "block string, code long, n long")
 
+def _word_answers(rows: DataFrame, bits: int) -> DataFrame:
+    """To every chunk, for its words in a block: ids, training tokens, and of every sample log probability and tables as previous words."""
 
-def _words(blocks: DataFrame, samples: int) -> DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        path, _, *samples = _files(table, STATE)
+        n, states = _load(path)["n"], [_load(x) for x in samples]
+        chunks, asked = _of(table, REPLY)
+        out = []
+        for x in asked:
+            own = _unpack(x)[0]
+            out.append(_pack(np.uint32(block << bits) | own, _small(n[own]), *(s[k][own] for s in states for k in ("log_p", "taken"))))
+        return _rows(block, [STATE] * len(chunks), source=chunks, data=out)
+
+    return rows.groupBy("block").applyInArrow(run, ROWS)
+
+
+def _pair_answers(blocks: DataFrame, samples: int) -> DataFrame:
+    """To every chunk, for its pairs in a block: training tokens, and tables summed over the samples."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        entries, pairs, state = map(_load, _files(table, PAIRS))
+        c, tables = entries["low"].astype(np.int64), entries["low"].astype(np.int64) * samples
+        more = entries["low"] == 2
+        c[more], tables[more] = pairs["customers"][entries["which"]], state["sum"][entries["which"]]
+        chunks, ends = entries["chunks"].tolist(), np.cumsum(entries["size"]).tolist()
+        return _rows(block, [PAIRS] * len(chunks), source=chunks, data=[_pack(_small(c[a:z]), _small(tables[a:z])) for a, z in zip([0, *ends], ends)])
+
+    return blocks.groupBy("block").applyInArrow(run, ROWS)
+
+
+def _words(blocks: DataFrame) -> DataFrame:
     """(word, n, log10_p) of the last state of every block."""
     schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("log10_p", pa.float64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in textops.released(batches):
-            for name in batch.column(0).to_pylist():
-                block, state = map(_load, name.split(" "))
-                raw, ends = block["data"].tobytes(), block["offsets"].tolist()
-                log_p = (state["sum"] - np.log(samples)) / np.log(10)
-                yield _batch(schema, [raw[a:z].decode() for a, z in zip(ends, ends[1:])], block["customers"], log_p)
-
-    return blocks.mapInArrow(run, "word string, n long, log10_p double")
+    def run(table: pa.Table) -> pa.Table:
+        path, _, *samples = _files(table, STATE)
+        words = _load(path)
+        raw, ends = words["data"].tobytes(), words["offsets"].tolist()
+        log_p = np.logaddexp.reduce([_load(x)["log_p"].astype(np.float64) for x in samples]) - np.log(len(samples))
+        return pa.table([[raw[a:z].decode() for a, z in zip(ends, ends[1:])], words["n"], log_p / np.log(10)], schema=schema)
+
+    return blocks.groupBy("block").applyInArrow(run, "word string, n long, log10_p double")
+
+
+def _scores(pair_n: np.ndarray | None, pair_tables: np.ndarray | None, before: np.ndarray | None, word: np.ndarray, n: np.ndarray,
+            log_p: np.ndarray, taken: np.ndarray, unknown: np.ndarray, discount: float, theta: float) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of the averaged predictive probability of words after others, an unseen one as any other word or by its spelling."""
+    samples, unseen = len(log_p), n[word] == 0
+    new = np.zeros((samples, len(word)))  # the probability that a word comes from the restaurant of words
+    total = np.zeros(len(word))
+    if before is not None:
+        new = np.log((theta + discount * taken[:, before]) / (theta + n[before]))
+        total = (pair_n - discount * pair_tables / samples) / (theta + n[before])
+    spelled = new + log_p[:, word]
+    other = np.logaddexp.reduce(spelled[:, unseen]) - np.log(samples)
+    spelled[:, unseen] = (new + np.log(unknown)[:, None])[:, unseen]
+    score = np.log10(total + np.exp(spelled).mean(axis=0))
+    alone = score.copy()
+    alone[unseen] = other / np.log(10)
+    return score, alone
 
 
 def pitman_yor(
     docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT,
-    burn_in: int = BURN_IN, samples: int = SAMPLES, discount: float = 0.5, theta: float = 1.0,
+    burn_in: int = BURN_IN, samples: int = SAMPLES, discount: float = 0.5, theta: float = 1.0, order: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """Score whole texts with a hierarchical Pitman-Yor model learned from the documents that are not ``held_out``.
 
@@ -323,72 +603,111 @@ def pitman_yor(
     ``base_score`` adds log10((c + 1) / (N + V + 1)) per token: V seen words and, as one outcome, any other. ``score`` adds
     log10 of the model's predictive probability of these V + 1 outcomes, averaged over ``samples`` states of the sampler: a
     word outside the training documents counts as the outcome "another word", with all the probability that the model
-    leaves to such words. ``spelled_score`` tells them apart by their spelling instead. Perplexity is 10^(-score / n_tokens).
+    leaves to such words. The words' ``log10_p`` is that of the restaurant of words, whatever comes before. ``spelled_score`` tells them apart by their spelling instead. Perplexity is 10^(-score / n_tokens).
 
-    The model: a restaurant of words, whose customers are all training tokens, over a spelling law. Each of its tables sends
-    a spelled word to the restaurants of byte contexts: a customer per byte (and one for the word's end) in that of the
+    The model: with ``order`` 2 every word has a restaurant of the words that follow it in training documents (the end of a
+    document goes before the next). All of these share the restaurant of words: each of their tables sends it a customer.
+    With ``order`` 1 its customers are all training tokens. The restaurant of words lies over a spelling law: each of its
+    tables sends a spelled word to the restaurants of byte contexts, a customer per byte (and one for the word's end) in that of the
     last ``context`` symbols, whose tables are customers of the context one symbol shorter, which its sisters share,
     down to the empty context over 257 equal symbols. So any word has a probability, and all of them sum to 1.
 
     Gibbs sampling on Spark: a sweep draws the table counts of all restaurants, each dish from its conditional given the
     other dishes' tables of the last sweep (:func:`draw_tables`). Contexts that end in one symbol share no restaurant with
-    others but the empty one, so they are one group of at most 257^(``context`` + 1) distinct events however large the corpus is; words lie in
-    files of bounded blocks. Between them travel distinct events per block, never tokens. ``burn_in`` sweeps
-    go unused. The words' discount is n1 / (n1 + 2 n2) from the numbers of words seen once and twice.
+    others but the empty one, so they are one group of at most 257^(``context`` + 1) distinct events however large the corpus is. Words
+    and pairs of neighbours lie in files of blocks by hash, whose numbers grow with the bytes of the texts, so that a frequent
+    previous word is spread over all blocks of pairs. A pair that occurs once always has one table and is counted once; only the
+    others are drawn. Between blocks travel distinct events, words and pairs, never tokens. ``burn_in`` sweeps go unused. The discounts of
+    words and of pairs are n1 / (n1 + 2 n2) from the numbers with one and two customers at first.
 
-    Word contexts are not modelled: the pairs of neighbouring words grow almost as fast as the text. All documents
-    and words count, none is capped. Words are told apart by 64-bit hashes inside a chunk of documents and as strings across chunks.
+    All documents, words and pairs count, none is capped. Words are told apart by 64-bit hashes inside a chunk of documents and as
+    strings across chunks, pairs by ids of their words.
 
     NULL and empty texts are one end token. A NULL ``held_out`` is no. NULL and repeated ids are rows like others. If no
     document is learned from, the base is 1 per token and the model is the spelling law alone. An empty table gives empty
     results; other columns are ignored.
     """
-    spark = docs.sparkSession
+    if order not in (1, 2):
+        raise ValueError("order is 1 or 2")
+    spark, pairs = docs.sparkSession, order == 2
     folder = scratch_path(spark, "pitman-yor")
-    rows = docs.select(F.col(f"`{id_col}`").cast("long"), F.coalesce(held_out, F.lit(False)), F.col(f"`{text_col}`").cast("string"))
-    chunks = staged(_chunks(rows, folder), "word-rows")
-    counted = chunks.groupBy("word").agg(F.sum("n").alias("n"))
-    rows = staged(_blocks(counted, folder, context), "events")
-    sums = {r.code: r.n for r in rows.where("code < 0").groupBy("code").agg(F.sum("n").alias("n")).collect()}
-    seen, total, once, twice = (sums.get(-i, 0) for i in range(1, 5))
-    own = min(max(once / (once + 2 * twice), 0.1), 0.9) if once else 0.5
-    room = Restaurant(total, seen, seen, own, theta)
-    base = np.full(SYMBOLS, 1 / SYMBOLS)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long"), F.coalesce(held_out, F.lit(False)), F.col(f"`{text_col}`").cast("string").alias("_text"))
+    size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    wide = max(-(-size // CHUNK_BYTES), 1)
+    width = max(min(wide, MANY_BLOCKS), -(-size // BLOCK_BYTES))
+    bits = _local_bits(width)
+
+    def sums(frame: DataFrame) -> dict[int, int]:
+        return {r.code: r.n for r in frame.where(F.col("code").between(TWICE, TABLES)).groupBy("code").agg(F.sum("n").alias("n")).collect()}
+
+    def estimated(once: int, twice: int) -> float:
+        return min(max(once / (once + 2 * twice), 0.1), 0.9) if once else 0.5
+
+    words = staged(_blocks(_chunks(rows, folder, width), folder, width), "words")
+    found, replies = sums(words), words.where(F.col("code") == REPLY)
+    total, seen = found.get(CUSTOMERS, 0), found.get(TABLES, 0)
+    states, mail, own = words.where(F.col("code") == STATE), words.limit(0), 0.5
+    if pairs:
+        drawn = staged(_pair_blocks(_chunk_pairs(replies, folder, bits, wide), folder, bits), "pairs")
+        mail, found = drawn.where(F.col("code").isin(MESSAGE, SINGLES)), sums(drawn)
+        own = estimated(found.get(ONCE, 0), found.get(TWICE, 0))
+    room, base, unknown = None, np.full(SYMBOLS, 1 / SYMBOLS), []
     for sweep in range(burn_in + samples):
+        sample = sweep >= burn_in
+        rows = staged(_seated(states.unionByName(mail), room, context, folder, sweep, pairs), "events")
+        states, mail, found = rows.where(F.col("code") == STATE), mail.where(F.col("code") == MESSAGE), sums(rows)
+        word_discount = room.discount if room else estimated(found.get(ONCE, 0), found.get(TWICE, 0))
+        room = Restaurant(found.get(CUSTOMERS, 0), found.get(TABLES, 0), word_discount, theta)
         spelled = staged(_spelled(rows, base, context, discount, theta, sweep), "spelled")
         sent = np.zeros(SYMBOLS, dtype=np.int64)
         for r in spelled.where("code < 0").groupBy("code").agg(F.sum("p").alias("n")).collect():  # a row per symbol
             sent[-1 - r.code] = r.n
-        back = rows.where("code >= 0").select("block", "code").join(spelled, "code")
-        rows = staged(_seated(back, room, context, folder, sweep, sweep >= burn_in), "events")
         base = root(sent, discount, theta, np.random.Generator(np.random.PCG64(sweep)))
-        tables = rows.where("code = -1").agg(F.sum("n")).first()[0]
-        room = replace(room, tables=tables or 0)
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = staged(_words(rows.where("code = -1").select("block").repartition(width, "block"), samples), "words")
-
-    known = words.where("n > 0").agg(F.sum(F.pow(F.lit(10.0), "log10_p"))).first()[0] or 0.0
-    unknown = np.log10(min(max(1 - known, 1e-12), 1.0))
+        back = rows.where("code >= 0").select("block", "code").join(spelled, "code")
+        told = staged(_told(states.unionByName(mail).unionByName(back, allowMissingColumns=True), room, context, folder, sample), "told")
+        states = told.where(F.col("code") == STATE)
+        if sample:
+            known = told.where(F.col("code") == KNOWN).agg(F.sum("p")).first()[0] or 0.0
+            unknown.append(min(max(1 - known, 1e-12), 1.0))
+        if pairs:
+            answers = told.where(F.col("code") == MESSAGE).select(F.col("source").alias("block"), "code", "n", "p", F.col("block").alias("source"), "data")
+            drawn = staged(_drawn(drawn.where(F.col("code") == PAIRS).unionByName(answers), own, theta, folder, bits, sweep, sample), "pairs")
+            mail = drawn.where(F.col("code") == MESSAGE)
 
     def finish(table: pa.Table) -> pa.Table:
-        chunk = _load(f"{folder}/{table['chunk'][0].as_py():x}.chunk")
-        order = np.argsort(table["place"].to_numpy())
-        n, log_p = table["n"].to_numpy()[order], table["log10_p"].to_numpy()[order]
-        unit = np.log10((n + 1) / (total + seen + 1))
-        size = chunk["size"].astype(np.int64)
-        doc, place = np.repeat(np.arange(len(size)), size), chunk["place"].astype(np.int64) + 1  # place 0: the end
+        chunk = _load(f"{folder}/{table['source'][0].as_py():x}.chunk")
+        table = table.sort_by("block")
+
+        def joined(code: int) -> Iterator[np.ndarray]:
+            parts = table.filter(pc.equal(table["code"], code))["data"].to_pylist()
+            return (np.concatenate(x) for x in zip(*map(_unpack, parts)))
+
+        ids, n, *laws = joined(STATE)
+        n, log_p, taken = n.astype(np.int64), np.array(laws[::2], dtype=np.float64), np.array(laws[1::2], dtype=np.float64)
+        place, law = _places(chunk), (n, log_p, taken, np.array(unknown), own, theta)
+        if pairs:
+            _, before, word, at = _pairs_of(chunk, ids)
+            score, alone = _scores(*joined(PAIRS), before, word, *law)
+        else:
+            score, alone = _scores(None, None, None, np.arange(len(n)), *law)
+            at = place
+        size = chunk["size"].astype(np.int64) + 1
+        doc = np.repeat(np.arange(len(size)), size)
 
         def summed(x: np.ndarray) -> np.ndarray:
-            return np.bincount(doc, weights=x[place], minlength=len(size)) + x[0]
+            return np.bincount(doc, weights=x, minlength=len(size))
 
-        score = summed(np.where(n > 0, log_p, unknown))
+        unit = np.log10((n + 1) / (total + seen + 1))
+        score = summed(score[at])
         return pa.table(
-            [pa.array(chunk["ids"], pa.int64(), mask=~chunk["known"]), pa.array(chunk["held"]), pa.array(size + 1), pa.array(summed(n > 0).astype(np.int64)),
-             pa.array(np.full(len(size), total, dtype=np.int64)), pa.array(summed(unit)), pa.array(score), pa.array(summed(log_p)),
-             pa.array(10 ** (-score / (size + 1)))],
+            [pa.array(chunk["ids"], pa.int64(), mask=~chunk["known"]), pa.array(chunk["held"]), pa.array(size), pa.array(summed((n > 0)[place]).astype(np.int64)),
+             pa.array(np.full(len(size), total, dtype=np.int64)), pa.array(summed(unit[place])), pa.array(score), pa.array(summed(alone[at])),
+             pa.array(10 ** (-score / size))],
             names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score", "perplexity"])
 
     schema = (f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
               "spelled_score double, perplexity double")
-    found = chunks.select("chunk", "place", "word").join(words, "word").select("chunk", "place", "n", "log10_p")
-    return found.groupBy("chunk").applyInArrow(finish, schema), words
+    answers = _word_answers(replies.unionByName(states), bits)
+    if pairs:
+        answers = answers.unionByName(_pair_answers(drawn.where(F.col("code") == PAIRS), samples))
+    return answers.groupBy("source").applyInArrow(finish, schema), _words(states)

@@ -122,4 +122,4 @@ def op12_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op11_pitman_yor")
 def op11_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pitman_yor(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2))[0]
+    return pitman_yor(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2), order=2)[0]

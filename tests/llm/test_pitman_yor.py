@@ -10,8 +10,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from keelson.llm import pitman_yor as PY
+from keelson.llm import textops
 from keelson.llm.langid import in_fold
 from keelson.llm.pitman_yor import EDGE, SYMBOLS, draw_tables, events, pitman_yor, root, spelling, stirling
+from keelson.llm.queries import QUERIES
 from tests.llm.conftest import DOCS, prose, row
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -214,3 +217,110 @@ def test_odd_rows(spark, odd, none):
     assert found.count() == words.count() == 0
     only_held, _ = pitman_yor(spark.createDataFrame([row(1, prose(9)), row(None, None)], DOCS), F.lit(True))
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in only_held.collect()) == [(1, 0, 0, 0.0), (10, 0, 0, 0.0)]
+
+
+def test_packed_arrays_and_scrambled_pairs_come_back():
+    rng = np.random.Generator(np.random.PCG64(1))
+    keys = np.sort(rng.integers(0, 2**64 - 1, 1000, dtype=np.uint64, endpoint=True))
+    arrays = [keys, np.arange(3, dtype=np.uint8), np.zeros(0, dtype=np.uint64), rng.random(5).astype(np.float32), np.array([70_000], dtype=np.uint32)]
+    for x, y in zip(arrays, PY._unpack(PY._pack(*arrays)), strict=True):
+        assert x.dtype == y.dtype and x.tolist() == y.tolist()
+    assert PY._unmixed(textops.mix(keys)).tolist() == keys.tolist()
+    cuts = PY._ranges(keys, 7)
+    assert cuts[0] == 0 and cuts[-1] == len(keys) and all(np.diff(cuts) > 0)
+    assert [PY._local_bits(n) for n in (1, 2, 3, 4, 5)] == [32, 31, 30, 30, 29]
+
+
+def neighbours(n=40, size=40, seed=5):
+    """Texts in which a word tells much about the next one."""
+    pick = random.Random(seed)
+    names = ["kalo", "mi", "terka", "ans", "lomi", "s", "anter", "kas"]
+    after = {w: pick.sample(names, 3) for w in names}
+    out = []
+    for _ in range(n):
+        text = [pick.choice(names)]
+        while len(text) < size:
+            text.append(pick.choices([*after.get(text[-1], names[:3]), f"{pick.choice(names)}{pick.choice(names)}"], [6, 3, 2, 2])[0])
+        out.append(" ".join(text))
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_previous_words_close_to_seating_customers_one_by_one(spark, monkeypatch, wide):
+    if wide:  # many blocks of words and of pairs
+        monkeypatch.setattr(PY, "CHUNK_BYTES", 1500)
+    random.seed(3)
+    docs = neighbours()
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found, words = pitman_yor(frame, in_fold("doc_id", 7, 2), context=2, samples=6, order=2)
+    got = {r.doc_id: r for r in found.collect()}
+
+    def pairs(text):
+        own = tokens(text)
+        return list(zip(["", *own], own))
+
+    learned = [x for i, text in docs if zlib.crc32(str(i).encode()) % 7 != 2 for x in pairs(text)]
+    seen = Counter(learned)
+    counts = Counter(seen.values())
+    customers = Counter(Counter(w for _, w in seen).values())
+    discount, own = (min(max(c[1] / (c[1] + 2 * c[2]), 0.1), 0.9) for c in (counts, customers))
+    below = Seats(own, 1.0, Spelling(2, 0.5, 1.0))
+    rooms = defaultdict(lambda: Seats(discount, 1.0, below))
+    for u, w in learned:
+        rooms[u].add(w)
+    total, sweeps = Counter(), 6
+    every = {x for _, text in docs for x in pairs(text)}
+    for sweep in range(2 + sweeps):
+        for u, w in learned:
+            rooms[u].remove(w)
+            rooms[u].add(w)
+        if sweep >= 2:
+            for u, w in every:
+                total[u, w] += rooms[u].p(w) / sweeps
+    held = [i for i, _ in docs if zlib.crc32(str(i).encode()) % 7 == 2]
+    for ids in (held, [i for i, _ in docs]):
+        want = sum(math.log10(total[x]) for i in ids for x in pairs(docs[i][1]))
+        assert sum(got[i].spelled_score for i in ids) == pytest.approx(want, rel=0.01)
+    for (i, text), want in zip(docs, base_scores(docs), strict=True):
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == want[:4] and r.base_score == pytest.approx(want[4])
+    alone = pitman_yor(frame, in_fold("doc_id", 7, 2), context=2)[0].agg(F.sum("score")).first()[0]
+    assert sum(r.score for r in got.values()) > 0.8 * alone
+    assert words.agg(F.sum(F.pow(10.0, "log10_p"))).first()[0] < 1
+
+
+def test_query_scores_words_after_their_previous_word(spark, tmp_path):
+    """Two held-out documents of the same words, one in the order of the training documents."""
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    common, other = "red apple green pear blue plum", "apple pear plum red green blue"
+    rows = [row(i, {held[0]: common, held[1]: other}.get(i, " ".join([common] * 3))) for i in range(60)]
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op11_pitman_yor"](spark, str(tmp_path)).collect()}
+    assert got[held[0]].base_score == pytest.approx(got[held[1]].base_score)
+    assert got[held[0]].score > got[held[1]].score + 3
+
+
+def test_laws_of_words_after_a_previous_word_sum_to_one():
+    rng = np.random.Generator(np.random.PCG64(8))
+    n = np.array([7, 5, 0, 9])
+    log_p = np.log(rng.dirichlet([1, 1, 1, 1], 3))
+    taken = rng.integers(1, 3, (3, 4)) * 1.0
+    c = np.array([4, 0, 0, 3])  # after word 0
+    taken[:, 0] = [4, 5, 6]
+    tables = np.array([8, 0, 0, 7])  # sums over three samples
+    assert tables.sum() == taken[:, 0].sum()
+    score, alone = PY._scores(c, tables, np.zeros(4, dtype=int), np.arange(4), n, log_p, taken, np.exp(log_p[:, 2]), 0.4, 1.0)
+    assert (10**score).sum() == pytest.approx(1) and alone.tolist() == pytest.approx(score.tolist())
+
+
+def test_odd_rows_after_previous_words(spark, odd, none, monkeypatch):
+    want = base_scores([(r.doc_id, r.text) for r in odd.collect()])
+    key = lambda x: (x[0], x[1], x[2], round(x[4], 6))
+    monkeypatch.setattr(PY, "CHUNK_BYTES", 50_000)
+    found = pitman_yor(odd, in_fold("doc_id", 7, 2), order=2)[0].collect()
+    got = [(r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in found]
+    assert sorted(map(key, got)) == sorted(map(key, want)) and all(r.score < 0 and math.isfinite(r.spelled_score) for r in found)
+    found, words = pitman_yor(none, in_fold("doc_id", 7, 2), order=2)
+    assert found.count() == words.count() == 0
+    only_held, _ = pitman_yor(spark.createDataFrame([row(1, prose(9)), row(None, None)], DOCS), F.lit(True), order=2)
+    assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in only_held.collect()) == [(1, 0, 0, 0.0), (10, 0, 0, 0.0)]
