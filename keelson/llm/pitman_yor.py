@@ -21,7 +21,8 @@ from keelson.session import scratch_path, staged
 CONTEXT = 3
 BURN_IN, SAMPLES, INNER = 2, 3, 4
 CHUNK_BYTES = 16 << 20
-BLOCK_BYTES, MANY_BLOCKS = 128 << 20, 16
+BLOCK_BYTES, MANY_BLOCKS = 64 << 20, 16
+EVENT_BYTES = 1 << 20
 EXACT = 64
 SYMBOLS = 257  # bytes, then the start of a word as context or its end as dish
 EDGE = 256
@@ -105,6 +106,15 @@ def events(data: np.ndarray, offsets: np.ndarray, context: int) -> tuple[np.ndar
     return code * SYMBOLS + dish, first
 
 
+def event_runs(words: dict[str, np.ndarray], context: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """:func:`events` of the words of a block, for runs of words of about ``EVENT_BYTES``."""
+    data, offsets, low = words["data"], words["offsets"], 0
+    while low < len(offsets) - 1:
+        high = max(int(np.searchsorted(offsets, offsets[low] + EVENT_BYTES, side="right")) - 1, low + 1)
+        yield slice(low, high), *events(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low], context)
+        low = high
+
+
 def spelling(codes: np.ndarray, customers: np.ndarray, base: np.ndarray, context: int, discount: float, theta: float, sweeps: int,
              random) -> tuple[np.ndarray, np.ndarray]:
     """Gibbs sweeps over the restaurants of all contexts that end in one symbol.
@@ -458,9 +468,12 @@ def _seated(rows: DataFrame, room: Restaurant | None, context: int, folder: str,
         state["tables"] = tables
         new = files.new_file(folder, ".state")
         _save(new, **state)
-        code, first = events(words["data"], words["offsets"], context)
-        names, place = np.unique(code, return_inverse=True)
-        n = np.bincount(place, weights=np.repeat(tables, np.diff(first)), minlength=len(names)).astype(np.int64)
+        parts = []
+        for own, code, first in event_runs(words, context):
+            names, place = np.unique(code, return_inverse=True)
+            parts.append((names, np.bincount(place, weights=np.repeat(tables[own], np.diff(first)), minlength=len(names))))
+        names, place = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+        n = np.bincount(place, weights=np.concatenate([x for _, x in parts]), minlength=len(names)).astype(np.int64)
         sums = [tables.sum(), customers.sum(), (customers == 1).sum(), (customers == 2).sum()]
         return pa.concat_tables([_rows(block, [STATE], data=[" ".join((path, new, *old[1:])).encode()]),
                                  _rows(block, [TABLES, CUSTOMERS, ONCE, TWICE], n=sums), _rows(block, names, n=n)])
@@ -481,9 +494,9 @@ def _told(rows: DataFrame, room: Restaurant, context: int, folder: str, sample:
         words, state = _load(path), _load(old)
         back = table.filter(pc.greater_equal(table["code"], 0))
         order = np.argsort(back["code"].to_numpy())
-        code, first = events(words["data"], words["offsets"], context)
-        place = np.searchsorted(back["code"].to_numpy()[order], code)
-        state["spelled"] = np.add.reduceat(back["p"].to_numpy()[order][place], first[:-1])
+        names, p = back["code"].to_numpy()[order], back["p"].to_numpy()[order]
+        state["spelled"] = np.concatenate([np.add.reduceat(p[np.searchsorted(names, code)], first[:-1])
+                                           for _, code, first in event_runs(words, context)])
         log_p = room.predictive(state["customers"], state["tables"], state["spelled"])
         if sample:
             samples.append(files.new_file(folder, ".sample"))

@@ -324,3 +324,14 @@ def test_odd_rows_after_previous_words(spark, odd, none, monkeypatch):
     assert found.count() == words.count() == 0
     only_held, _ = pitman_yor(spark.createDataFrame([row(1, prose(9)), row(None, None)], DOCS), F.lit(True), order=2)
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in only_held.collect()) == [(1, 0, 0, 0.0), (10, 0, 0, 0.0)]
+
+
+def test_events_of_a_block_come_in_bounded_runs(monkeypatch):
+    raw = [w.encode() for w in ("", "a", "longer than a run", "bb", "", "ccc", "d")]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    monkeypatch.setattr(PY, "EVENT_BYTES", 4)
+    runs = list(PY.event_runs({"data": data, "offsets": offsets}, 2))
+    assert len(runs) > 2 and [i for own, _, _ in runs for i in range(own.start, own.stop)] == list(range(len(raw)))
+    whole, first = events(data, offsets, 2)
+    assert np.concatenate([code for _, code, _ in runs]).tolist() == whole.tolist()
+    assert [len(code) for _, code, _ in runs] == [first[own.stop] - first[own.start] for own, _, _ in runs]
