@@ -6,12 +6,14 @@ all lanes. A lane starts from nothing: no model is shared between blocks.
 For each id three orders predict. Order 2 and order 1 name the id that last followed the last
 two ids and the last id, with a confidence of 0 to 3. Order 0 is the empirical distribution of
 the ids of the block so far, brought up to date at fixed positions. An event says which of them
-gives the id (or that it is new to the block and follows as 16 plain bits). The probabilities of
-the four events mix two adaptive counters, one chosen by the confidences and one by the last
-three events; the events and the order-0 intervals drive one range coder per lane.
+gives the id (or that it is new to the block; then it stands plain behind the coded words). The
+probabilities of the four events mix two adaptive counters, one chosen by the confidences and one
+by the last three events; the events of a stretch of ids are added to them at its end. The events
+and the order-0 intervals drive one range coder per lane.
 
-The coder holds 48 bits of low and range and moves 16 bits at a time. A carry runs back into
-the words that are out already.
+The coder holds 48 bits of low and range and moves 16 bits at a time. Only the range and the
+tables of orders 1 and 2 need a step per id when encoding: what an id adds to low is summed per word
+afterwards, and carries run back at the end.
 """
 
 from __future__ import annotations
@@ -19,205 +21,366 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 4096
-LANES = 512
+LANES = 2048
 IDS = 1 << 16
 _U = np.uint64
 _ONES = _U(0x0001000100010001)
-_LOW15 = _U(0x7FFF7FFF7FFF7FFF)
-_WORD = _U(0xFFFF)
-_16, _32, _48 = _U(16), _U(32), _U(48)
 # The coder's numbers stay below 2^49 and are whole, so doubles hold them exactly and divide faster.
 _TOP, _SMALL, _SHIFT = 2.0**48, 2.0**32, 2.0**16
-_STEP, _LIMIT = 32, 6000.0
-_FIRST, _SECOND = 1 << 11, 1 << 12
+_STEP, _LIMIT = 32, 6000
+_LOW15, _BYTE = _U(0x7FFF7FFF7FFF7FFF), 0xFF
+_FIRST_BITS, _SECOND_BITS = 10, 11
+_ID = 5
+_CONTEXTS, _PASTS = 1 << _ID, 64
 _REFRESH = tuple(int(64 * 1.5**k) for k in range(24))  # where order 0 takes in the ids so far
+_ADAPT = 255  # the counters take in the events at these positions too; at most 255, see _Counters.learn
+_RUN = 32  # ids per lane that the encoder takes at a time
 
 
-class _Model:
-    """The predictions of all lanes for the next id."""
+def _stretches(length: int) -> list[tuple[int, int]]:
+    cuts = sorted({0, 16, 32, *range(_ADAPT, length, _ADAPT), *_REFRESH, length})
+    return [(a, z) for a, z in zip(cuts, cuts[1:]) if a < length]
+
+
+class _Followers:
+    """Orders 1 and 2 of all lanes: per slot of a context the id that last followed it, above ``_ID`` bits, and its confidence.
+
+    The confidences of order 1 stand at bit 1 and those of order 2 at bit 3, so that the context of both
+    and what tells the two ids apart are one exclusive or.
+    """
 
     def __init__(self, lanes: int) -> None:
         lane = np.arange(lanes)
-        self.base1, self.base2, self.base_c, self.base_p = lane * _FIRST, lane * _SECOND, lane * 32, lane * 64
-        self.one = np.zeros(lanes * _FIRST, dtype=np.int32)  # id and, above it, confidence
-        self.two = np.zeros(lanes * _SECOND, dtype=np.int32)
-        self.by_confidence = np.full(lanes * 32, 0x0004_0004_0004_0004, dtype=_U)
-        self.by_past = np.full(lanes * 64, 0x0004_0004_0004_0004, dtype=_U)
-        self.past = np.zeros(lanes, dtype=np.int64)
-        self.last = np.zeros(lanes, dtype=np.int64)
-        self.before = np.zeros(lanes, dtype=np.int64)
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The ids that order 2 and order 1 name, the packed weights of the four events, and their packed sums."""
-        mixed = self.last * 48271
-        self.at1 = self.base1 + ((mixed >> 5) & (_FIRST - 1))
-        self.at2 = self.base2 + (((mixed + self.before) >> 4) & (_SECOND - 1))
-        self.before = self.last * 69621
-        e1, e2 = self.one.take(self.at1, mode="clip"), self.two.take(self.at2, mode="clip")
-        self.id1, self.id2 = e1 & 0xFFFF, e2 & 0xFFFF
-        self.c1, self.c2 = e1 >> 16, e2 >> 16
-        self.at_c = self.base_c + (self.c2 * 8 + self.c1 * 2 + (self.id1 == self.id2))
-        self.at_p = self.base_p + self.past
-        self.w_c, self.w_p = self.by_confidence.take(self.at_c, mode="clip"), self.by_past.take(self.at_p, mode="clip")
-        w = self.w_c + self.w_p
-        return self.id2, self.id1, w, w * _ONES
-
-    def learn(self, event: np.ndarray, shift: np.ndarray, ids: np.ndarray, total: np.ndarray) -> None:
-        more = _U(_STEP) << shift
-        full = np.flatnonzero(total > _LIMIT)
-        for table, at, w in ((self.by_confidence, self.at_c, self.w_c), (self.by_past, self.at_p, self.w_p)):
-            w += more
-            if len(full):
-                halved = w[full]
-                w[full] = halved - ((halved >> _U(1)) & _LOW15)
-            table[at] = w
-        self.past = (self.past << 2 | event) & 63
-        self.one[self.at1] = ids + (np.minimum(self.c1 + 1, 3) << 16) * (self.id1 == ids)
-        self.two[self.at2] = ids + (np.minimum(self.c2 + 1, 3) << 16) * (self.id2 == ids)
-        self.last = ids.astype(np.int64)
+        self.base1, self.base2 = lane << _FIRST_BITS, lane << _SECOND_BITS
+        self.one = np.zeros(lanes << _FIRST_BITS, dtype=np.int32)
+        self.two = np.zeros(lanes << _SECOND_BITS, dtype=np.int32)
+        self.fresh, self.same = np.empty(lanes, dtype=np.int32), np.empty(lanes, dtype=bool)
+
+    def slots(self, last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slots of contexts given as unsigned 32-bit ids."""
+        mixed = last * np.uint32(0x9E3779B1)
+        both = before * np.uint32(0x85EBCA77)
+        both += mixed
+        mixed >>= 32 - _FIRST_BITS
+        both >>= 32 - _SECOND_BITS
+        return mixed + self.base1, both + self.base2
+
+    def learn(self, at1: np.ndarray, at2: np.ndarray, e1: np.ndarray, e2: np.ndarray, shifted: np.ndarray) -> None:
+        """Take in the next ids, shifted by ``_ID`` bits."""
+        fresh, same = self.fresh, self.same
+        for table, at, e, bit in ((self.one, at1, e1, 1), (self.two, at2, e2, 3)):
+            np.bitwise_xor(e, shifted, out=fresh)  # of the same id only the confidence is left
+            np.less(fresh, 1 << _ID, out=same)
+            np.minimum(fresh, 2 << bit, out=fresh)
+            fresh += 1 << bit
+            fresh *= same
+            fresh += shifted
+            table[at] = fresh
+
 
+class _Counters:
+    """Counts of the four events, 16 bits each, by the confidences of both orders and by the last three events."""
 
-class _History:
-    """Order 0: for each lane its ids so far in sorted order; an id owns as many places as it has occurrences."""
+    def __init__(self, lanes: int) -> None:
+        lane = np.arange(lanes)
+        self.base_c, self.base_p = lane * _CONTEXTS, lane * _PASTS
+        self.by_confidence = np.full(lanes * _CONTEXTS, 0x0004_0004_0004_0004, dtype=_U)
+        self.by_past = np.full(lanes * _PASTS, 0x0004_0004_0004_0004, dtype=_U)
 
-    def __init__(self) -> None:
-        self.n = 0
+    def contexts(self, e1: np.ndarray, e2: np.ndarray) -> np.ndarray:
+        both = e1 ^ e2
+        agree = both < _CONTEXTS
+        both &= _CONTEXTS - 1
+        both += agree
+        return both + self.base_c
 
-    def refresh(self, past: np.ndarray) -> None:
-        lanes, n = past.shape
-        self.n, self.ids = n, np.sort(past, axis=1, kind="stable")
-        place = np.arange(n, dtype=np.uint16)
-        self.fresh = np.ones((lanes, n), dtype=bool)
-        np.not_equal(self.ids[:, 1:], self.ids[:, :-1], out=self.fresh[:, 1:])
-        self.start = np.maximum.accumulate(np.where(self.fresh, place, np.uint16(0)), axis=1)
-        ends = np.full((lanes, n), n, dtype=np.uint16)
-        ends[:, :-1] = np.where(self.fresh[:, 1:], place[1:], np.uint16(n))
-        self.count = np.minimum.accumulate(ends[:, ::-1], axis=1)[:, ::-1] - self.start
+    def mixed(self, at_c: np.ndarray, at_p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The packed weights of the four events and their packed running sums."""
+        w = self.by_confidence.take(at_c, mode="clip")
+        w += self.by_past.take(at_p, mode="clip")
+        return w, w * _ONES
+
+    def learn(self, seen_c: np.ndarray, seen_p: np.ndarray, event: np.ndarray) -> None:
+        """Add the events of a stretch, at most 255 a lane: their numbers are summed as the bytes of one number first."""
+        weight = np.array([1.0, 2.0**8, 2.0**16, 2.0**24]).take(event.reshape(-1))
+        for table, seen in ((self.by_confidence, seen_c), (self.by_past, seen_p)):
+            n = np.bincount(seen.reshape(-1), weight, len(table)).astype(_U)
+            at = np.flatnonzero(n)
+            n = n[at]
+            more = n & _U(_BYTE)
+            for k in (1, 2, 3):
+                more |= (n & _U(_BYTE << 8 * k)) << _U(8 * k)
+            w = table[at] + more * _U(_STEP)
+            full = np.flatnonzero(w * _ONES >> _U(48) > _LIMIT)
+            halved = w[full]
+            w[full] = halved - ((halved >> _U(1)) & _LOW15)
+            table[at] = w
+
+
+def _dense(blocks: np.ndarray) -> tuple[np.ndarray, int]:
+    """The rank of every id among the distinct ids of its block (positions x lanes), and the largest number of them."""
+    lanes, length = blocks.shape
+    bits, most = max(length - 1, 1).bit_length(), 0
+    kind = np.uint32 if bits <= 16 else np.uint64
+    ranks = np.empty((length, lanes), dtype=np.int32)
+    for low in range(0, lanes, 64):
+        some = blocks[low:low + 64]
+        keys = np.sort((some.astype(kind) << bits) | np.arange(length, dtype=kind), axis=1)
+        ids = keys >> bits
+        new = np.zeros(some.shape, dtype=bool)
+        np.not_equal(ids[:, 1:], ids[:, :-1], out=new[:, 1:])
+        order = np.cumsum(new, axis=1, dtype=np.int32)
+        most = max(most, int(order[:, -1].max()))
+        keys &= (1 << bits) - 1
+        at = keys + (np.arange(len(some)) * length)[:, None]
+        own = np.empty(some.size, dtype=np.int32)
+        own[at.astype(np.int64)] = order
+        ranks[:, low:low + 64] = own.reshape(some.shape).T
+    return ranks, most + 1
 
 
 def encode(blocks: np.ndarray) -> list[bytes]:
-    """One payload per row of ``blocks`` (lanes x BLOCK, uint16)."""
+    """One payload per row of ``blocks`` (lanes x BLOCK, uint16): the number of coded words, these, and the new ids."""
     lanes, length = blocks.shape
     lane = np.arange(lanes)
-    model, history = _Model(lanes), _History()
-    low, size = np.zeros(lanes), np.full(lanes, _TOP)
-    out, used = np.zeros((lanes, 2 * length + 4), dtype=np.uint16), np.zeros(lanes, dtype=np.int64)
-    place_of = np.zeros(lanes * IDS, dtype=np.uint16)  # a stale entry is found out by comparing the id
-
-    def carry_back(rows: np.ndarray) -> None:
-        at = used[rows] - 1
-        while len(rows):
-            out[rows, at] += 1
-            over = out[rows, at] == 0
-            rows, at = rows[over], at[over] - 1
-
-    def narrow(rows: np.ndarray, lo: np.ndarray, step: np.ndarray, start: np.ndarray, freq) -> tuple[np.ndarray, np.ndarray]:
-        lo = lo + step * start
-        sz = step * freq
-        carry = np.flatnonzero(lo >= _TOP)
-        if len(carry):
-            lo[carry] -= _TOP
-            carry_back(rows[carry])
-        small = np.flatnonzero(sz < _SMALL)
-        if len(small):
-            r, x = rows[small], lo[small]
-            word = np.floor(x / _SMALL)
-            out[r, used[r]] = word.astype(np.uint16)
-            used[r] += 1
-            lo[small] = (x - word * _SMALL) * _SHIFT
-            sz[small] *= _SHIFT
-        return lo, sz
-
-    ids = np.ascontiguousarray(blocks.T).astype(np.int32)
-    known = np.zeros((length, lanes), dtype=bool)
-    place = np.zeros((length, lanes), dtype=np.uint16)
-    for i in range(length):
+    followers, counters = _Followers(lanes), _Counters(lanes)
+    size = np.full(lanes, _TOP)
+    width = 2 * length + 4
+    words, used = np.zeros((lanes, width), dtype=np.int64), np.zeros(lanes, dtype=np.int64)
+    flat, row = words.reshape(-1), lane * width
+    ranks, distinct = _dense(blocks)
+    rank_base, counts = lane * distinct, np.zeros((lanes, distinct), dtype=np.int32)
+    packed, taken = counts.reshape(-1), 0  # first place and number of places, 16 bits each
+    ids = np.zeros((length + 2, lanes), dtype=np.uint32)
+    for a in range(0, lanes, 64):
+        ids[2:, a:a + 64] = blocks[a:a + 64].T
+    past = np.zeros((3, lanes), dtype=np.int64)  # the last three events
+    small, scale = np.empty(lanes, dtype=bool), np.empty(lanes)
+    plain = np.zeros((length, lanes), dtype=bool)
+    seen = tuple(np.empty((_ADAPT, lanes), dtype=np.int64) for _ in range(3))
+
+    def run(i: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Code the ids of all lanes from place i to place end; returns their contexts and events."""
+        nonlocal past, used
+        span = end - i
+        t = ids[i + 2:end + 2].view(np.int32) << _ID
+        slots1, slots2 = followers.slots(ids[i + 1:end + 1], ids[i:end])
+        e1, e2 = np.empty((span, lanes), dtype=np.int32), np.empty((span, lanes), dtype=np.int32)
+        for at1, at2, a, b, own in zip(slots1, slots2, e1, e2, t):
+            followers.one.take(at1, out=a, mode="clip")
+            followers.two.take(at2, out=b, mode="clip")
+            followers.learn(at1, at2, a, b, own)
+
+        at = ranks[i:end] + rank_base
+        count = packed.take(at, mode="clip")
+        first = count >> 16
+        count &= 0xFFFF
+        event = 3 - (count > 0).view(np.int8)
+        event[(e1 ^ t) < _CONTEXTS] = 1
+        event[(e2 ^ t) < _CONTEXTS] = 0
+        known = event == 2
+        plain[i:end] = event == 3
+        at_c = counters.contexts(e1, e2)
+        past = np.concatenate((past, event))
+        at_p = (past[:-3] << 4) + (past[1:-2] << 2) + past[2:-1] + counters.base_p
+        past = past[-3:]
+        w, cum = counters.mixed(at_c, at_p)
+        total = (cum >> _U(48)).astype(np.float64)
+        pick = np.arange(0, 4 * span * lanes, 4).reshape(span, lanes) + event
+        freq = w.view("<u2").reshape(-1).take(pick).astype(np.float64)
+        start = cum.view("<u2").reshape(-1).take(pick) - freq
+        places = max(taken, 1)
+        share = np.where(known, count, float(places))
+        first *= known
+
+        step, part = np.empty((span, lanes)), np.empty((span, lanes))
+        moved = np.empty((span, lanes), dtype=np.int64)
+        for k in range(span):
+            one, two = step[k], part[k]
+            np.divide(size, total[k], out=one)
+            np.floor(one, out=one)
+            np.multiply(one, freq[k], out=size)
+            np.divide(size, places, out=two)
+            np.floor(two, out=two)
+            np.multiply(two, share[k], out=size)
+            np.less(size, _SMALL, out=small)
+            moved[k] = small
+            np.multiply(small, _SHIFT - 1, out=scale)
+            np.add(scale, 1, out=scale)
+            np.multiply(size, scale, out=size)
+            if size.min() < _SMALL:
+                again = size < _SMALL
+                size[again] *= _SHIFT
+                moved[k] += again
+
+        # What the ids add to low: its upper 32 bits reach two words, its lower 16 the third.
+        step *= start
+        part *= first
+        step += part
+        high = np.floor(step / _SHIFT)
+        step -= high * _SHIFT
+        after = np.cumsum(moved, axis=0)
+        wide = int(after[-1].max()) + 3
+        to = (after - moved + lane * wide).reshape(-1)
+        upper = np.bincount(to, high.reshape(-1), lanes * wide).astype(np.int64).reshape(lanes, wide)
+        sums = np.bincount(to + 2, step.reshape(-1), lanes * wide).astype(np.int64).reshape(lanes, wide)
+        sums += upper >> 16
+        sums[:, 1:] += upper[:, :-1] & 0xFFFF
+        flat[(row + used)[:, None] + np.arange(wide)] += sums
+        used = used + after[-1]
+        return at_c, at_p, event
+
+    for i, end in _stretches(length):
         if i in _REFRESH:
-            history.refresh(blocks[:, :i])
-            row, col = np.nonzero(history.fresh)
-            place_of[row * IDS + history.ids[row, col]] = col
-            end = next((n for n in _REFRESH if n > i), length)
-            at = np.minimum(place_of.take(lane * IDS + ids[i:end], mode="clip"), np.uint16(i - 1))
-            place[i:end] = at
-            known[i:end] = history.ids.reshape(-1).take(lane * i + at, mode="clip") == ids[i:end]
-        t = ids[i]
-        id2, id1, w, cum = model.predict()
-        event = np.where(t == id2, 0, np.where(t == id1, 1, 3 - known[i]))
-        shift = (event << 4).astype(_U)
-        total = (cum >> _48).astype(np.float64)
-        low, size = narrow(lane, low, np.floor(size / total), (((cum << _16) >> shift) & _WORD).astype(np.float64),
-                           ((w >> shift) & _WORD).astype(np.float64))
-        rest = np.flatnonzero(event >= 2)
-        if len(rest):
-            new = event[rest] == 3
-            n, p = max(history.n, 1), place[i][rest]
-            count = history.count.reshape(-1).take(rest * n + p, mode="clip") if history.n else 1
-            step = np.where(new, np.floor(size[rest] / IDS), np.floor(size[rest] / n))
-            low[rest], size[rest] = narrow(rest, low[rest], step, np.where(new, t[rest], p), np.where(new, 1, count))
-        model.learn(event, shift, t, total)
+            at = ranks[taken:i] + rank_base
+            counts = counts + np.bincount(at.reshape(-1), minlength=counts.size).reshape(counts.shape).astype(np.int32)
+            packed = (np.cumsum(counts, axis=1, dtype=np.int32) - counts << 16 | counts).reshape(-1)
+            taken = i
+        for low in range(i, end, _RUN):
+            high = min(low + _RUN, end)
+            for whole, found in zip(seen, run(low, high)):
+                whole[low - i:high - i] = found
+        counters.learn(*(whole[:end - i] for whole in seen))
+
     # Any number in [low, low + size) will do: the words above the lowest 32 bits suffice, as size >= 2^32.
-    tail = np.ceil(low / _SMALL)
-    over = np.flatnonzero(tail >= _SHIFT)
-    tail[over] -= _SHIFT
-    carry_back(over)
-    out[lane, used] = tail.astype(np.uint16)
-    return [out[r, :used[r] + 1].astype("<u2").tobytes() for r in range(lanes)]
+    flat[row + used + 1] += 0xFFFF
+    flat[row + used + 2] += 0xFFFF
+    most = int(used.max()) + 3
+    lanes_over, over = np.nonzero(words[:, :most] > 0xFFFF)
+    at = row[lanes_over] + over
+    while len(at):
+        carry = flat[at] >> 16
+        flat[at] &= 0xFFFF
+        flat[at - 1] += carry
+        at -= 1
+        at = at[flat[at] > 0xFFFF]
+    coded = words[:, :most].astype("<u2")
+    plain = np.ascontiguousarray(plain.T)
+    new, of = blocks[plain].astype("<u2").tobytes(), np.cumsum(plain.sum(axis=1)).tolist()
+    return [np.uint16(n).astype("<u2").tobytes() + coded[r, :n].tobytes() + new[2 * a:2 * z]
+            for r, (n, a, z) in enumerate(zip((used + 1).tolist(), [0, *of], of))]
+
+
+def _places(past: np.ndarray) -> np.ndarray:
+    """Order 0: for each lane its ids so far in sorted order, an id on as many places as it has occurrences. Each place
+    packs the id, its first place and its number of places, 16 bits each."""
+    lanes, n = past.shape
+    ids = np.sort(past, axis=1).reshape(-1)
+    new = np.empty(lanes * n, dtype=bool)
+    np.not_equal(ids[1:], ids[:-1], out=new[1:])
+    new[::n] = True
+    at = np.flatnonzero(new)
+    count = np.diff(at, append=lanes * n)
+    return np.repeat(ids[at].astype(_U) | (at % n).astype(_U) << _U(16) | count.astype(_U) << _U(32), count)
 
 
 def decode(payloads: list[bytes], length: int = BLOCK) -> np.ndarray:
     """The blocks (lanes x ``length``, uint16) of payloads that :func:`encode` made."""
     lanes = len(payloads)
     lane = np.arange(lanes)
-    model, history = _Model(lanes), _History()
-    words = np.zeros((lanes, max(map(len, payloads)) // 2 + 4), dtype=np.uint16)
-    for r, p in enumerate(payloads):
-        words[r, :len(p) // 2] = np.frombuffer(p, dtype="<u2")
-    flat, next_word = words.reshape(-1), lane * words.shape[1] + 3
+    followers, counters = _Followers(lanes), _Counters(lanes)
+    parts = [np.frombuffer(p, dtype="<u2") for p in payloads]
+    coded = [p[1:1 + int(p[0])] for p in parts]
+    width = max(map(len, coded)) + 4
+    words = np.zeros((lanes, width), dtype=np.uint16)
+    for r, p in enumerate(coded):
+        words[r, :len(p)] = p
+    plain = np.concatenate([*(p[1 + int(p[0]):] for p in parts), np.zeros(1, dtype=np.uint16)]).astype(np.int32)
+    own = np.array([len(p) - 1 - int(p[0]) for p in parts])
+    next_plain = np.cumsum(own) - own
+    flat, next_word = words.reshape(-1), lane * width + 3
     value = (words[:, 0] * _SHIFT + words[:, 1]) * _SHIFT + words[:, 2]
     size = np.full(lanes, _TOP)
-    out = np.zeros((length, lanes), dtype=np.int32)
-    past = np.zeros((lanes, length), dtype=np.uint16)
-    kept = 0
-
-    def narrow(rows: np.ndarray, v: np.ndarray, step: np.ndarray, start: np.ndarray, freq) -> tuple[np.ndarray, np.ndarray]:
-        v = v - step * start
-        sz = step * freq
-        small = np.flatnonzero(sz < _SMALL)
-        if len(small):
-            r = rows[small]
-            v[small] = v[small] * _SHIFT + flat.take(next_word[r], mode="clip")
-            next_word[r] += 1
-            sz[small] *= _SHIFT
-        return v, sz
-
-    for i in range(length):
+    out = np.zeros((length, lanes), dtype=np.uint16)
+    places, kept, taken = np.full(lanes, 1 << 32, dtype=_U), 1, 0
+    so_far = np.zeros((lanes, length), dtype=np.uint16)
+    four = lane * 4
+    past = np.zeros(lanes, dtype=np.int64)
+    last, before = np.zeros(lanes, dtype=np.uint32), np.zeros(lanes, dtype=np.uint32)
+    seen_c, seen_p, events = (np.empty((_ADAPT, lanes), dtype=np.int64) for _ in range(3))
+    step, v, total, start, freq, scale, word = (np.empty(lanes) for _ in range(7))
+    at = np.empty(lanes, dtype=np.int64)
+    v16, pick = np.empty(lanes, dtype=np.uint16), np.empty(lanes, dtype=np.uint16)
+    named = np.empty((4, lanes), dtype=np.int32)  # the id that each event stands for
+    small = np.empty(lanes, dtype=bool)
+
+    for i, end in _stretches(length):
         if i in _REFRESH:
-            past[:, kept:i] = out[kept:i].T
-            kept = i
-            history.refresh(past[:, :i])
-        id2, id1, w, cum = model.predict()
-        total = (cum >> _48).astype(np.float64)
-        step = np.floor(size / total)
-        v = np.minimum(np.floor(value / step), total - 1).astype(_U)
-        event = (v >= (cum & _WORD)).astype(np.int64) + (v >= ((cum >> _16) & _WORD)) + (v >= ((cum >> _32) & _WORD))
-        shift = (event << 4).astype(_U)
-        value, size = narrow(lane, value, step, (((cum << _16) >> shift) & _WORD).astype(np.float64), ((w >> shift) & _WORD).astype(np.float64))
-        t = np.where(event == 0, id2, id1)
-        rest = np.flatnonzero(event >= 2)
-        if len(rest):
-            new = event[rest] == 3
-            n, sz, val = max(history.n, 1), size[rest], value[rest]
-            step = np.where(new, np.floor(sz / IDS), np.floor(sz / n))
-            v = np.minimum(np.floor(val / step), np.where(new, IDS, n) - 1).astype(np.int64)
-            start, count = v, 1
-            if history.n:
-                at = rest * n + np.where(new, 0, v)
-                start = np.where(new, v, history.start.reshape(-1).take(at, mode="clip"))
-                count = np.where(new, 1, history.count.reshape(-1).take(at, mode="clip"))
-                t[rest] = np.where(new, v, history.ids.reshape(-1).take(at, mode="clip"))
-            else:
-                t[rest] = v
-            value[rest], size[rest] = narrow(rest, val, step, start, count)
-        out[i] = t
-        model.learn(event, shift, t, total)
-    return np.ascontiguousarray(out.T).astype(np.uint16)
+            so_far[:, taken:i] = out[taken:i].T
+            places, kept, taken = _places(so_far[:, :i]), i, i
+        place_base = lane * kept
+        for k in range(end - i):
+            at1, at2 = followers.slots(last, before)
+            e1, e2 = followers.one.take(at1, mode="clip"), followers.two.take(at2, mode="clip")
+            at_c, at_p, event = counters.contexts(e1, e2), np.add(counters.base_p, past, out=seen_p[k]), events[k]
+            seen_c[k] = at_c
+            w, cum = counters.mixed(at_c, at_p)
+            sums = cum.view("<u2")
+            total[:] = sums[3::4]
+            np.divide(size, total, out=step)
+            np.floor(step, out=step)
+            np.divide(value, step, out=v)
+            v16[:] = v  # cuts the fraction off
+            beyond = v16 >= sums[1::4]
+            fresh = v16 >= sums[2::4]
+            np.add(v16 >= sums[0::4], fresh, out=event, dtype=np.int64)
+            event += beyond
+            np.add(four, event, out=at)
+            w.view("<u2").take(at, out=pick, mode="clip")
+            freq[:] = pick
+            sums.take(at, out=pick, mode="clip")
+            start[:] = pick
+            start -= freq
+            start *= step
+            value -= start
+            np.multiply(step, freq, out=size)
+
+            # The places of order 0; a lane with another event has all of them.
+            np.divide(size, kept, out=step)
+            np.floor(step, out=step)
+            np.divide(value, step, out=v)
+            known = beyond > fresh
+            v *= known
+            at[:] = v
+            at += place_base
+            found = places.take(at, mode="clip").view("<u2")
+            np.multiply(step, found[1::4], out=start)
+            value -= start
+            np.less_equal(beyond, fresh, out=small)
+            np.multiply(small, float(kept), out=v)
+            np.maximum(v, found[2::4], out=v)
+            np.multiply(step, v, out=size)
+
+            np.right_shift(e2, _ID, out=named[0])
+            np.right_shift(e1, _ID, out=named[1])
+            named[2] = found[0::4]
+            plain.take(next_plain, out=named[3], mode="clip")
+            next_plain += fresh
+            np.multiply(event, lanes, out=at)
+            at += lane
+            t = named.take(at, mode="clip")
+
+            np.less(size, _SMALL, out=small)
+            np.multiply(small, _SHIFT - 1, out=scale)
+            scale += 1
+            size *= scale
+            value *= scale
+            word[:] = flat.take(next_word, mode="clip")
+            word *= small
+            value += word
+            next_word += small
+            if size.min() < _SMALL:
+                again = np.flatnonzero(size < _SMALL)
+                size[again] *= _SHIFT
+                value[again] = value[again] * _SHIFT + flat.take(next_word[again], mode="clip")
+                next_word[again] += 1
+
+            past <<= 2
+            past += event
+            past &= _PASTS - 1
+            out[i + k] = t
+            before, last = last, t.view(np.uint32)
+            followers.learn(at1, at2, e1, e2, t << _ID)
+        counters.learn(seen_c[:end - i], seen_p[:end - i], events[:end - i])
+    so_far[:, taken:] = out[taken:].T
+    return so_far

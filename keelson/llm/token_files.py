@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +19,26 @@ from pyspark.sql import Window as W
 from keelson.llm import files, range_coder, textops
 from keelson.session import scratch_path, shuffle_width, staged
 
-MAGIC = b"KEELTOK1"
+MAGIC = b"KEELTOK2"
 _BLOCK_HEAD = struct.Struct("<IIII")  # ids, payload bytes, crc32 of the payload, crc32 of the ids
 FILE_IDS, FILE_DOCS = 1 << 25, 1 << 20
 CACHED_PIECES = 250_000
-TEXTS = 500
 _RUN_OF_SPACES = re.compile(r"\s \s")
+RUN_BYTES, KEPT_PIECES, KEPT_BYTES, JOINED = 1 << 24, 1_000_000, 64, 1000
+
+
+def _bytes(*spans: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(256, dtype=np.uint8)
+    for low, high in spans:
+        out[low:high + 1] = 1
+    return out
+
+
+_GRAPHIC, _LETTER = _bytes((0x21, 0x7E)), _bytes((0x41, 0x5A), (0x61, 0x7A))
+_SIGN = _GRAPHIC & ~(_LETTER | _bytes((0x30, 0x39)))
+# Of the last bytes of longer characters those that no Unicode space ends with.
+_SOLID = _GRAPHIC | _bytes((0x8B, 0x9E), (0xA1, 0xA7), (0xAA, 0xAE), (0xB0, 0xBF)) & ~_bytes((0x9F, 0x9F))
+_LEFT, _RIGHT = _SOLID | _LETTER << 1, _bytes((0x20, 0x20), (0x09, 0x0A), (0x0D, 0x0D)) | _SIGN << 1
 
 
 class TextEncoder:
@@ -45,12 +60,17 @@ class TextEncoder:
         self.opens = np.zeros(max(range_coder.IDS, self.library.get_vocab_size()), dtype=bool)
         self.opens[spaced] = True
         self.pieces: dict[str, bytes] = {}
+        self.kept, self.kept_ids = pa.array([], pa.string()), np.zeros(0, dtype="<u2")
+        self.kept_at, self.kept_size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def encode(self, text: str) -> bytes:
-        ids = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return self._checked(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    @staticmethod
+    def _checked(ids: list[int]) -> np.ndarray:
         if ids and max(ids) >= range_coder.IDS:
             raise ValueError("token ids from 65,536 on do not fit the file format")
-        return np.array(ids, dtype="<u2").tobytes()
+        return np.array(ids, dtype="<u2")
 
     def _learn(self, pieces: set[str]) -> None:
         """Encode unseen pieces side by side: the ids that open with a space part them again."""
@@ -88,6 +108,109 @@ class TextEncoder:
                 out.append((self.encode(c[0]) if c[0] else b"") + b"".join(map(known, c[1:])))
         return out
 
+    def column(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text of a string column (NULL: none), as of :meth:`__call__`.
+
+        Texts are cut in runs of about ``RUN_BYTES``, by their bytes, into pieces that the pre-tokenizer parts for certain:
+        before white space that follows something else, before an ASCII sign that follows an ASCII letter, and
+        after a single line feed between ASCII signs or letters. The library encodes each distinct piece once; up
+        to ``KEPT_PIECES`` short ones are kept for later runs. A text with an added token is one piece.
+        """
+        texts = texts.fill_null("")
+        whole = np.zeros(len(texts), dtype=bool)
+        for token in self.library.get_added_tokens_decoder().values():
+            whole |= np.asarray(pc.match_substring(texts, token.content))
+        for low, high, data, offsets in textops.text_runs(texts, RUN_BYTES):
+            pieces, first = self._cut(data, offsets, whole[low:high])
+            coded = pieces.dictionary_encode()
+            ids, begin, size = self._distinct(coded.dictionary)
+            code = np.asarray(coded.indices)
+            size = size[code]
+            ids, at = gathered(ids, begin[code], size)
+            bounds = (2 * np.append(at, len(ids))[first]).tolist()
+            ids = ids.tobytes()
+            del pieces, coded, begin, code, size, at, first
+            for a, z in zip(bounds, bounds[1:]):
+                yield ids[a:z]
+
+    @staticmethod
+    def _cut(data: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of a run of texts, and for each text the number of its first one."""
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        np.not_equal(_LEFT[data[:-1]] & _RIGHT[data[1:]], 0, out=cut[1:len(data)])
+        line = np.flatnonzero(data[1:-1] == 0x0A) + 1
+        cut[line[(_GRAPHIC[data[line - 1]] & _GRAPHIC[data[line + 1]]) > 0] + 1] = True
+        for j in np.flatnonzero(whole):
+            cut[offsets[j]:offsets[j + 1]] = False
+        cut[offsets] = True
+        at = np.flatnonzero(cut)
+        kind, wide = (pa.large_string(), np.int64) if len(data) >> 31 else (pa.string(), np.int32)
+        buffers = [None, pa.py_buffer(at.astype(wide)), pa.py_buffer(np.ascontiguousarray(data))]
+        return pa.Array.from_buffers(kind, len(at) - 1, buffers), np.searchsorted(at, offsets)
+
+    def _distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of distinct pieces: ids, and where those of each piece begin and how many they are."""
+        found = np.asarray(pc.index_in(pieces, value_set=self.kept.cast(pieces.type)).fill_null(-1)).astype(np.int64)
+        unseen = pieces.filter(pa.array(found < 0))
+        found[found < 0] = len(self.kept) + np.arange(len(unseen))
+        ids, begin, size = self._learned(unseen)
+        ids = np.concatenate((self.kept_ids, ids))
+        begins, sizes = np.concatenate((self.kept_at, len(self.kept_ids) + begin)), np.concatenate((self.kept_size, size))
+        own_at, own_size = begins[found], sizes[found]
+
+        if len(begins) > KEPT_PIECES or len(ids) > KEPT_BYTES * KEPT_PIECES:  # only the short pieces of this run go on
+            short = pc.less_equal(pc.binary_length(pieces), KEPT_BYTES)
+            self.kept, mask = pieces.filter(short).cast(pa.string()), np.asarray(short)
+            self.kept_size = own_size[mask]
+            self.kept_ids, self.kept_at = gathered(ids, own_at[mask], self.kept_size)
+        elif len(unseen):
+            short = pc.less_equal(pc.binary_length(unseen), KEPT_BYTES)
+            mask = np.concatenate((np.ones(len(self.kept), dtype=bool), np.asarray(short)))
+            self.kept = pa.concat_arrays([self.kept, unseen.filter(short).cast(pa.string())])
+            self.kept_ids, self.kept_at, self.kept_size = ids, begins[mask], sizes[mask]
+        return ids, own_at, own_size
+
+    def _learned(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of unseen pieces by the library, as :meth:`_distinct` gives them.
+
+        Pieces without white space but for a space before them are encoded many at a time: those with the space
+        side by side, as their first ids open with it, the others as lines, as a single line feed between them is
+        a token of its own. Where the count of these signs is not that of the pieces, each is encoded alone.
+        """
+        if not len(pieces):
+            return np.zeros(0, dtype="<u2"), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.library.model._resize_cache(0)  # no piece comes twice
+        line_end = int.from_bytes(self.encode("\n"), "little")  # more than an id if the vocabulary has no line feed: no id equals it
+        spaced = np.asarray(pc.match_substring_regex(pieces, r"^ [^\p{Z}\p{C}]+$"))
+        plain = np.asarray(pc.match_substring_regex(pieces, r"^[^\p{Z}\p{C}]+$"))
+        alone, names = np.flatnonzero(~(spaced | plain)).tolist(), pieces.to_pylist()
+        parts, order, sizes = [], [], []
+        for chosen, between in ((spaced, ""), (plain, "\n")):
+            chosen = np.flatnonzero(chosen)
+            for low in range(0, len(chosen), JOINED):
+                group = chosen[low:low + JOINED]
+                text = between.join([names[j] for j in group.tolist()])
+                found = self._checked(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+                signs = np.flatnonzero(found == line_end if between else self.opens[found])
+                if len(signs) != len(group) - len(between):
+                    alone += group.tolist()
+                    continue
+                parts.append(np.delete(found, signs) if between else found)
+                sizes.append(np.diff(signs, prepend=-1, append=len(found)) - 1 if between else np.diff(signs, append=len(found)))
+                order.append(group)
+        rest = [self._checked(x.ids) for x in self.library.encode_batch_fast([names[j] for j in alone], add_special_tokens=False)]
+        order = np.concatenate([*order, np.array(alone, dtype=np.int64)])
+        size = np.concatenate([*sizes, np.array([len(x) for x in rest], dtype=np.int64)])
+        begin, n = np.empty(len(pieces), dtype=np.int64), np.empty(len(pieces), dtype=np.int64)
+        begin[order], n[order] = np.cumsum(size) - size, size
+        return np.concatenate([*parts, *rest, np.zeros(0, dtype="<u2")]), begin, n
+
+
+def gathered(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of ``ids`` one after another, and where each then begins."""
+    at = np.cumsum(size) - size
+    return ids[np.repeat(begin - at, size) + np.arange(int(size.sum()))], at
+
 
 _encoders: dict[str, TextEncoder] = {}
 
@@ -113,18 +236,18 @@ class _FileWriter:
     def add(self, ids: bytes) -> None:
         self.parts.append(ids)
         self.waiting += len(ids)
-        if self.waiting >= 2 * range_coder.BLOCK * range_coder.LANES:
+        if self.waiting >= 4 * range_coder.BLOCK * range_coder.LANES:
             self._flush(False)
 
     def _flush(self, final: bool) -> None:
         ids = np.frombuffer(b"".join(self.parts), dtype="<u2")
         width = range_coder.BLOCK
-        n = -(-len(ids) // width) if final else len(ids) // width
+        n = -(-len(ids) // width) if final else range_coder.LANES
         padded = np.zeros(n * width, dtype=np.uint16)
         padded[:min(len(ids), n * width)] = ids[:n * width]
-        for low in range(0, n, range_coder.LANES):
-            lanes = padded.reshape(n, width)[low:low + range_coder.LANES]
-            for j, payload in enumerate(range_coder.encode(lanes), low):
+        groups = -(-n // range_coder.LANES)  # of equal size: many lanes cost little more than few
+        for low, high in ((n * g // groups, n * (g + 1) // groups) for g in range(groups)):
+            for j, payload in enumerate(range_coder.encode(padded.reshape(n, width)[low:high]), low):
                 own = ids[j * width:(j + 1) * width]
                 head = _BLOCK_HEAD.pack(len(own), len(payload), zlib.crc32(payload), zlib.crc32(own.tobytes()))
                 self.stream.write(head + payload)
@@ -190,9 +313,7 @@ def write_token_files(
                 + [pa.array([ids], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64()))], schema=arrow)
 
         for batch in textops.released(batches):
-            texts = (batch.column(1).slice(low, TEXTS).fill_null("").to_pylist() for low in range(0, len(batch), TEXTS))
-            coded = (x for some in texts for x in encoder.batch(some))
-            for doc, found in zip(batch.column(0).to_pylist(), coded):
+            for doc, found in zip(batch.column(0).to_pylist(), encoder.column(batch.column(1))):
                 if writer is None:
                     writer, ids, counts = _FileWriter(folder), [], []
                 found += end
