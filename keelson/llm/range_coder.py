@@ -32,14 +32,16 @@ _LOW15, _BYTE = _U(0x7FFF7FFF7FFF7FFF), 0xFF
 _FIRST_BITS, _SECOND_BITS = 10, 11
 _ID = 5
 _CONTEXTS, _PASTS = 1 << _ID, 64
-_REFRESH = tuple(int(64 * 1.5**k) for k in range(24))  # where order 0 takes in the ids so far
-_ADAPT = 255  # the counters take in the events at these positions too; at most 255, see _Counters.learn
+_REFRESH = tuple(int(64 * 1.6**k) for k in range(24))  # where order 0 takes in the ids so far
+_ADAPT = 255  # the most ids between two updates of the counters, see _Counters.learn
 _RUN = 32  # ids per lane that the encoder takes at a time
 
 
 def _stretches(length: int) -> list[tuple[int, int]]:
-    cuts = sorted({0, 16, 32, *range(_ADAPT, length, _ADAPT), *_REFRESH, length})
-    return [(a, z) for a, z in zip(cuts, cuts[1:]) if a < length]
+    """Where the counters take in events: at the places of order 0, and between them in equal parts of at most ``_ADAPT``."""
+    cuts = [0, *(n for n in (16, 32, *_REFRESH) if n < length), length]
+    cuts = [a + (z - a) * k // parts for a, z in zip(cuts, cuts[1:]) for parts in [-(-(z - a) // _ADAPT)] for k in range(parts)]
+    return list(zip(cuts, [*cuts[1:], length]))
 
 
 class _Followers:
@@ -87,12 +89,12 @@ class _Counters:
         self.by_confidence = np.full(lanes * _CONTEXTS, 0x0004_0004_0004_0004, dtype=_U)
         self.by_past = np.full(lanes * _PASTS, 0x0004_0004_0004_0004, dtype=_U)
 
-    def contexts(self, e1: np.ndarray, e2: np.ndarray) -> np.ndarray:
+    def contexts(self, e1: np.ndarray, e2: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
         both = e1 ^ e2
         agree = both < _CONTEXTS
         both &= _CONTEXTS - 1
         both += agree
-        return both + self.base_c
+        return np.add(both, self.base_c, out=out)
 
     def mixed(self, at_c: np.ndarray, at_p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The packed weights of the four events and their packed running sums."""
@@ -150,7 +152,7 @@ def encode(blocks: np.ndarray) -> list[bytes]:
     flat, row = words.reshape(-1), lane * width
     ranks, distinct = _dense(blocks)
     rank_base, counts = lane * distinct, np.zeros((lanes, distinct), dtype=np.int32)
-    packed, taken = counts.reshape(-1), 0  # first place and number of places, 16 bits each
+    packed, taken = np.zeros_like(counts), 0  # first place and number of places, 16 bits each
     ids = np.zeros((length + 2, lanes), dtype=np.uint32)
     for a in range(0, lanes, 64):
         ids[2:, a:a + 64] = blocks[a:a + 64].T
@@ -172,12 +174,12 @@ def encode(blocks: np.ndarray) -> list[bytes]:
             followers.learn(at1, at2, a, b, own)
 
         at = ranks[i:end] + rank_base
-        count = packed.take(at, mode="clip")
+        count = packed.reshape(-1).take(at, mode="clip")
         first = count >> 16
         count &= 0xFFFF
         event = 3 - (count > 0).view(np.int8)
-        event[(e1 ^ t) < _CONTEXTS] = 1
-        event[(e2 ^ t) < _CONTEXTS] = 0
+        np.copyto(event, 1, where=(e1 ^ t) < _CONTEXTS)
+        np.copyto(event, 0, where=(e2 ^ t) < _CONTEXTS)
         known = event == 2
         plain[i:end] = event == 3
         at_c = counters.contexts(e1, e2)
@@ -233,8 +235,13 @@ def encode(blocks: np.ndarray) -> list[bytes]:
     for i, end in _stretches(length):
         if i in _REFRESH:
             at = ranks[taken:i] + rank_base
-            counts = counts + np.bincount(at.reshape(-1), minlength=counts.size).reshape(counts.shape).astype(np.int32)
-            packed = (np.cumsum(counts, axis=1, dtype=np.int32) - counts << 16 | counts).reshape(-1)
+            for a in range(0, lanes, 64):
+                some = counts[a:a + 64]
+                some += np.bincount(at[:, a:a + 64].reshape(-1) - a * distinct, minlength=some.size).reshape(some.shape)
+                first = np.cumsum(some, axis=1, dtype=np.int32)
+                first -= some
+                first <<= 16
+                np.bitwise_or(first, some, out=packed[a:a + 64])
             taken = i
         for low in range(i, end, _RUN):
             high = min(low + _RUN, end)
@@ -246,6 +253,12 @@ def encode(blocks: np.ndarray) -> list[bytes]:
     flat[row + used + 1] += 0xFFFF
     flat[row + used + 2] += 0xFFFF
     most = int(used.max()) + 3
+    for a in range(0, lanes, 64):
+        some = words[a:a + 64, :most]
+        for _ in range(2):
+            carry = some >> 16
+            some &= 0xFFFF
+            some[:, :-1] += carry[:, 1:]
     lanes_over, over = np.nonzero(words[:, :most] > 0xFFFF)
     at = row[lanes_over] + over
     while len(at):
@@ -265,13 +278,16 @@ def _places(past: np.ndarray) -> np.ndarray:
     """Order 0: for each lane its ids so far in sorted order, an id on as many places as it has occurrences. Each place
     packs the id, its first place and its number of places, 16 bits each."""
     lanes, n = past.shape
-    ids = np.sort(past, axis=1).reshape(-1)
-    new = np.empty(lanes * n, dtype=bool)
-    np.not_equal(ids[1:], ids[:-1], out=new[1:])
-    new[::n] = True
-    at = np.flatnonzero(new)
-    count = np.diff(at, append=lanes * n)
-    return np.repeat(ids[at].astype(_U) | (at % n).astype(_U) << _U(16) | count.astype(_U) << _U(32), count)
+    out = np.empty(lanes * n, dtype=_U)
+    for low in range(0, lanes, 64):
+        ids = np.sort(past[low:low + 64], axis=1).reshape(-1)
+        new = np.empty(len(ids), dtype=bool)
+        np.not_equal(ids[1:], ids[:-1], out=new[1:])
+        new[::n] = True
+        at = np.flatnonzero(new)
+        count = np.diff(at, append=len(ids))
+        out[low * n:low * n + len(ids)] = np.repeat(ids[at].astype(_U) | (at % n).astype(_U) << _U(16) | count.astype(_U) << _U(32), count)
+    return out
 
 
 def decode(payloads: list[bytes], length: int = BLOCK) -> np.ndarray:
@@ -312,8 +328,7 @@ def decode(payloads: list[bytes], length: int = BLOCK) -> np.ndarray:
         for k in range(end - i):
             at1, at2 = followers.slots(last, before)
             e1, e2 = followers.one.take(at1, mode="clip"), followers.two.take(at2, mode="clip")
-            at_c, at_p, event = counters.contexts(e1, e2), np.add(counters.base_p, past, out=seen_p[k]), events[k]
-            seen_c[k] = at_c
+            at_c, at_p, event = counters.contexts(e1, e2, out=seen_c[k]), np.add(counters.base_p, past, out=seen_p[k]), events[k]
             w, cum = counters.mixed(at_c, at_p)
             sums = cum.view("<u2")
             total[:] = sums[3::4]

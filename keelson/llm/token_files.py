@@ -38,6 +38,8 @@ _GRAPHIC, _LETTER = _bytes((0x21, 0x7E)), _bytes((0x41, 0x5A), (0x61, 0x7A))
 _SIGN = _GRAPHIC & ~(_LETTER | _bytes((0x30, 0x39)))
 # Of the last bytes of longer characters those that no Unicode space ends with.
 _SOLID = _GRAPHIC | _bytes((0x8B, 0x9E), (0xA1, 0xA7), (0xAA, 0xAE), (0xB0, 0xBF)) & ~_bytes((0x9F, 0x9F))
+# First bytes of two: none of these characters is a space, and with some all are letters, but for two signs.
+_TWO, _TWO_LETTERS, _TWO_SIGNS = _bytes((0xC3, 0xDF)), _bytes((0xC3, 0xC9), (0xD0, 0xD1)), (0xC397, 0xC3B7)
 _LEFT, _RIGHT = _SOLID | _LETTER << 1, _bytes((0x20, 0x20), (0x09, 0x0A), (0x0D, 0x0D)) | _SIGN << 1
 
 
@@ -112,7 +114,7 @@ class TextEncoder:
         """The ids of each text of a string column (NULL: none), as of :meth:`__call__`.
 
         Texts are cut in runs of about ``RUN_BYTES``, by their bytes, into pieces that the pre-tokenizer parts for certain:
-        before white space that follows something else, before an ASCII sign that follows an ASCII letter, and
+        before white space that follows something else, before an ASCII sign that follows a letter, and
         after a single line feed between ASCII signs or letters. The library encodes each distinct piece once; up
         to ``KEPT_PIECES`` short ones are kept for later runs. A text with an added token is one piece.
         """
@@ -137,7 +139,14 @@ class TextEncoder:
     def _cut(data: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         """The pieces of a run of texts, and for each text the number of its first one."""
         cut = np.zeros(len(data) + 1, dtype=bool)
-        np.not_equal(_LEFT[data[:-1]] & _RIGHT[data[1:]], 0, out=cut[1:len(data)])
+        raw = bytearray(data)
+        left = np.frombuffer(raw.translate(_LEFT.tobytes()), dtype=np.uint8)[:-1]
+        right = np.frombuffer(raw.translate(_RIGHT.tobytes()), dtype=np.uint8)[1:]
+        second = np.flatnonzero(data[1:-1] & 0xC0 == 0x80) + 1
+        first = data[second - 1]
+        letter = _TWO_LETTERS[first] & ~np.isin(first.astype(np.uint16) << 8 | data[second], _TWO_SIGNS)
+        left[second] |= _TWO[first] | letter << 1
+        np.not_equal(left & right, 0, out=cut[1:len(data)])
         line = np.flatnonzero(data[1:-1] == 0x0A) + 1
         cut[line[(_GRAPHIC[data[line - 1]] & _GRAPHIC[data[line + 1]]) > 0] + 1] = True
         for j in np.flatnonzero(whole):
@@ -208,8 +217,16 @@ class TextEncoder:
 
 def gathered(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The spans of ``ids`` one after another, and where each then begins."""
-    at = np.cumsum(size) - size
-    return ids[np.repeat(begin - at, size) + np.arange(int(size.sum()))], at
+    ends = np.cumsum(size)
+    at = ends - size
+    shift, out = begin - at, np.empty(int(ends[-1]) if len(ends) else 0, dtype=ids.dtype)
+    for low in range(0, len(size), 1 << 16):  # bounds the indexes
+        some = slice(low, low + (1 << 16))
+        first, end = int(at[low]), int(ends[some][-1])
+        where = np.repeat(shift[some], size[some])
+        where += np.arange(first, end)
+        ids.take(where, out=out[first:end], mode="clip")
+    return out, at
 
 
 _encoders: dict[str, TextEncoder] = {}

@@ -34,7 +34,7 @@ def test_columns_equal_the_library(encoder, texts):
 
 def test_words_signs_and_added_tokens(encoder):
     texts = ["Don't stop. It's\nthe end,\n\n  x\n y \n", None, "", "a <|endoftext|> b.\nc", "<|endoftext|>", "<|endoftext", "|>", "\n", " ",
-             "\nHead", "a.\r\nb", "x" * 200 + " y", "naïve café, 世界.\nß!", "the the the"]
+             "\nHead", "a.\r\nb", "x" * 200 + " y", "naïve café, 世界.\nß!", "ieß ein, großö.\nÜ× 2÷3 a×. b÷, Ж. я's", "the the the"]
     want = [ids_of(encoder.library, t) for t in texts]
     assert columns(encoder, texts) == want and columns(encoder, texts[::-1]) == want[::-1]
     assert columns(encoder, []) == [] and columns(encoder, [None, ""]) == [[], []]
@@ -67,11 +67,11 @@ def test_the_library_sees_each_piece_once():
             return self.library.encode_batch_fast(texts, **how)
 
     encoder.library = Counting(encoder.library)
-    texts = [f"anning{a} reouth{b}.\nErtion, anning{a}\n" for a in "bcdefghijk" for b in "lmnopqrstu"]
+    texts = [f"anning{a} reouthö{b}ß.\nErtion, anningß {a}ö\n" for a in "bcdefghijk" for b in "lmnopqrstu"]
     want = [ids_of(encoder.library, t) for t in texts]
     assert columns(encoder, texts) == want
     words = [w for t in asked for w in t.replace("\n", " ").split()]
-    assert len([w for w in words if w.startswith("reouth")]) == 10 and len(words) < 50
+    assert len([w for w in words if "reouth" in w]) == 10 and len(words) < 60
     asked.clear()
     assert columns(encoder, texts[::-1]) == want[::-1] and asked == []
 
