@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 4096
-LANES = 2048
+LANES = 1024
 IDS = 1 << 16
 _U = np.uint64
 _ONES = _U(0x0001000100010001)

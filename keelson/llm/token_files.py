@@ -24,7 +24,7 @@ _BLOCK_HEAD = struct.Struct("<IIII")  # ids, payload bytes, crc32 of the payload
 FILE_IDS, FILE_DOCS = 1 << 25, 1 << 20
 CACHED_PIECES = 250_000
 _RUN_OF_SPACES = re.compile(r"\s \s")
-RUN_BYTES, KEPT_PIECES, KEPT_BYTES, JOINED = 1 << 24, 1_000_000, 64, 1000
+RUN_BYTES, CUT_BYTES, KEPT_PIECES, KEPT_BYTES, JOINED = 1 << 24, 1 << 21, 700_000, 64, 1000
 
 
 def _bytes(*spans: tuple[int, int]) -> np.ndarray:
@@ -113,7 +113,7 @@ class TextEncoder:
     def column(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text of a string column (NULL: none), as of :meth:`__call__`.
 
-        Texts are cut in runs of about ``RUN_BYTES``, by their bytes, into pieces that the pre-tokenizer parts for certain:
+        Texts are taken in runs of about ``RUN_BYTES`` and cut, by their bytes, into pieces that the pre-tokenizer parts for certain:
         before white space that follows something else, before an ASCII sign that follows a letter, and
         after a single line feed between ASCII signs or letters. The library encodes each distinct piece once; up
         to ``KEPT_PIECES`` short ones are kept for later runs. A text with an added token is one piece.
@@ -122,16 +122,36 @@ class TextEncoder:
         whole = np.zeros(len(texts), dtype=bool)
         for token in self.library.get_added_tokens_decoder().values():
             whole |= np.asarray(pc.match_substring(texts, token.content))
-        for low, high, data, offsets in textops.text_runs(texts, RUN_BYTES):
-            pieces, first = self._cut(data, offsets, whole[low:high])
-            coded = pieces.dictionary_encode()
-            ids, begin, size = self._distinct(coded.dictionary)
-            code = np.asarray(coded.indices)
-            size = size[code]
-            ids, at = gathered(ids, begin[code], size)
+        cut, taken = [], 0
+        for low, high, data, offsets in textops.text_runs(texts, CUT_BYTES):
+            if cut and taken + len(data) > RUN_BYTES:
+                yield from self._coded(cut)
+                cut, taken = [], 0
+            cut.append(self._cut(data, offsets, whole[low:high]))
+            taken += len(data)
+        if cut:
+            yield from self._coded(cut)
+
+    def _coded(self, cut: list[tuple[pa.Array, np.ndarray]]) -> Iterator[bytes]:
+        """The ids of the texts of a run, from the pieces of its parts."""
+        some = [pieces for pieces, _ in cut if len(pieces)]
+        firsts = [(len(pieces), first) for pieces, first in cut]
+        cut.clear()
+        if any(pa.types.is_large_string(pieces.type) for pieces in some):
+            some = [pieces.cast(pa.large_string()) for pieces in some]
+        coded = pa.chunked_array(some, some[0].type if some else pa.string()).dictionary_encode()
+        del some
+        chunks = iter(coded.chunks)
+        own, begin, size = self._distinct(coded.chunk(0).dictionary) if coded.num_chunks else (None, None, None)
+        for n, first in firsts:
+            if not n:
+                yield from [b""] * (len(first) - 1)
+                continue
+            code = np.asarray(next(chunks).indices)
+            ids, at = gathered(own, begin[code], size[code])
             bounds = (2 * np.append(at, len(ids))[first]).tolist()
             ids = ids.tobytes()
-            del pieces, coded, begin, code, size, at, first
+            del code, at
             for a, z in zip(bounds, bounds[1:]):
                 yield ids[a:z]
 

@@ -41,7 +41,8 @@ def test_words_signs_and_added_tokens(encoder):
 
 
 def test_small_runs_and_a_small_store(monkeypatch):
-    monkeypatch.setattr(token_files, "RUN_BYTES", 40)
+    monkeypatch.setattr(token_files, "RUN_BYTES", 100)
+    monkeypatch.setattr(token_files, "CUT_BYTES", 40)
     monkeypatch.setattr(token_files, "KEPT_PIECES", 5)
     monkeypatch.setattr(token_files, "KEPT_BYTES", 4)
     monkeypatch.setattr(token_files, "JOINED", 3)
